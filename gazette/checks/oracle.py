@@ -411,8 +411,8 @@ def language_of(key, table, column):
 
     def grams(columns, source, x):
         return f"""SELECT {columns},
-  unnest([substr(p, i, 3) for i in range(1, length(p) - 1)]) AS gram
-FROM (SELECT {columns}, ' ' || lower({norm(x)}) || ' ' AS p FROM {source})"""
+  unnest([c[i] || c[i+1] || c[i+2] for i in range(1, len(c) - 1)]) AS gram
+FROM (SELECT {columns}, string_split(' ' || lower({norm(x)}) || ' ', '') AS c FROM {source})"""
 
     return f"""
 counted AS (SELECT lang, gram, count(*) AS n FROM ({grams('lang', 'documents', 'text')})
@@ -811,6 +811,11 @@ FROM lake LEFT JOIN languages ON key = coalesce(url, ' ')""",
   count(*) FILTER (status = 'PASS') / count(*) * 100 AS pass_rate FROM ({CHECK_STATUS})""",
         "existing", "audit", "measured",
     ),
+    "stream_decode": sql(
+        f"""SELECT article_id, title, 'streaming' AS ingestion_mode, scraped_at,
+  {iso(AS_OF)} AS stream_received_at FROM batch WHERE category IS NOT NULL""",
+        "batch",
+    ),
     "stream_drain": sql(
         f"""SELECT {BRONZE_COLUMNS}, 'streaming' AS ingestion_mode, ingested_at FROM batch""",
         "batch",

@@ -3,41 +3,55 @@
 from pyspark.sql import types as T
 
 
-def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+def _strings(names: str) -> list[T.StructField]:
+    return [T.StructField(n, T.StringType()) for n in names.split()]
 
 
+def _fields(**types: T.DataType) -> list[T.StructField]:
+    return [T.StructField(n, t) for n, t in types.items()]
+
+
+_TIME, _FLAG, _INT = T.TimestampNTZType(), T.BooleanType(), T.IntegerType()
+
 # Bronze is text as it arrived; batch and stream add their own metadata.
-BRONZE = _struct(
-    "article_id string, title string, author string, published_at string, category string, "
-    "content_html string, content string, source string, source_country string, url string, "
-    "canonical_url string, scraped_at string"
+BRONZE = T.StructType(
+    _strings(
+        "article_id title author published_at category content_html content source "
+        "source_country url canonical_url scraped_at"
+    )
 )
-BRONZE_BATCH = _struct(BRONZE.toDDL() + ", ingestion_mode string, ingested_at string")
-BRONZE_STREAM = _struct(BRONZE_BATCH.toDDL() + ", stream_received_at string")
-
-ARTICLES_DETAIL = _struct(
-    "article_id string, title string, author string, source string, published_at timestamp_ntz, "
-    "url string, canonical_url string, content string, category string, "
-    "ingested_at timestamp_ntz, quarantine boolean, created_at timestamp_ntz"
+BRONZE_BATCH = T.StructType(BRONZE.fields + _strings("ingestion_mode ingested_at"))
+BRONZE_STREAM = T.StructType(BRONZE_BATCH.fields + _strings("stream_received_at"))
+HOUR_FOLDERS = _strings("date hour")
+
+ARTICLES_DETAIL = T.StructType(
+    _strings("article_id title author source")
+    + _fields(published_at=_TIME)
+    + _strings("url canonical_url content category")
+    + _fields(ingested_at=_TIME, quarantine=_FLAG, created_at=_TIME)
 )
 
-ARTICLES_SILVER = _struct(
-    "article_id string, title string, title_normalized string, author string, content string, "
-    "content_clean string, content_length int, word_count int, source string, category string, "
-    "detected_language string, published_at timestamp_ntz, url string, canonical_url string, "
-    "quarantine boolean, data_quality_score decimal(3,2), silver_timestamp timestamp_ntz, "
-    "scraped_at timestamp_ntz"
+ARTICLES_SILVER = T.StructType(
+    _strings("article_id title title_normalized author content content_clean")
+    + _fields(content_length=_INT, word_count=_INT)
+    + _strings("source category detected_language")
+    + _fields(published_at=_TIME)
+    + _strings("url canonical_url")
+    + _fields(
+        quarantine=_FLAG,
+        data_quality_score=T.DecimalType(3, 2),
+        silver_timestamp=_TIME,
+        scraped_at=_TIME,
+    )
 )
 
-QUARANTINE_AUDIT = _struct(
-    "article_id string, action string, performed_by string, reason string, "
-    "performed_at timestamp_ntz"
+QUARANTINE_AUDIT = T.StructType(
+    _strings("article_id action performed_by reason") + _fields(performed_at=_TIME)
 )
 
-TRANSFORMATION_AUDIT = _struct(
-    "article_id string, transformation_type string, input_value string, output_value string, "
-    "performed_at timestamp_ntz, transformation_timestamp timestamp_ntz"
+TRANSFORMATION_AUDIT = T.StructType(
+    _strings("article_id transformation_type input_value output_value")
+    + _fields(performed_at=_TIME, transformation_timestamp=_TIME)
 )
 
-SOURCE_CONFIG = _struct("name string, country string, rss_url string")
+SOURCE_CONFIG = T.StructType(_strings("name country rss_url"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from gazette import schemas
@@ -40,7 +41,7 @@ def read_files(spark: SparkSession, path: str, files_per_batch: int | None = Non
 
 
 def _parse(messages: DataFrame) -> DataFrame:
-    schema = f"{schemas.BRONZE_BATCH.toDDL()}, {_BROKEN} string"
+    schema = T.StructType([*schemas.BRONZE_BATCH.fields, T.StructField(_BROKEN, T.StringType())])
     parsed = F.from_json(
         F.col("value").cast("string"), schema, {"columnNameOfCorruptRecord": _BROKEN}
     )
