@@ -63,7 +63,7 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 17 == 1, F.lit(None))
         .when(k % 23 == 2, "")
         .when(k % 29 == 3, "Read more")
-        .when(k % 19 == 4, F.upper(headline))
+        .when(k % 19 == 4, F.upper(F.replace(headline, F.lit("ß"), F.lit("ss"))))
         .when(k % 31 == 5, "?!?!--..ab")
         .when(k % 37 == 6, "Short")
         .otherwise(headline)

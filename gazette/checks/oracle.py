@@ -144,6 +144,10 @@ CASE WHEN u = '' THEN ['url_missing']
                                                   THEN 'url_path_unexpected' END END
      ], lambda r: r IS NOT NULL) END"""
 
+# Average of the stored scores, rounded half up in whole hundredths
+_HUNDREDTHS = "sum((data_quality_score::DECIMAL(3,2) * 100)::BIGINT)"
+AVG_SCORE = f"((2 * {_HUNDREDTHS} + count(*)) // (2 * count(*)) / 100.0)::DECIMAL(3,2)"
+
 INPUTS = {
     "sources": "SELECT * FROM (VALUES "
     + ", ".join(f"('{n}', '{c}')" for n, c, _ in C.SOURCES)
@@ -154,7 +158,7 @@ INPUTS = {
 SELECT *, substr(sha256(coalesce(url, 'doc' || doc_id)), 1, 24) AS article_id FROM (
 SELECT doc_id, lang,
   CASE WHEN k%17=1 THEN NULL WHEN k%23=2 THEN '' WHEN k%29=3 THEN 'Read more'
-       WHEN k%19=4 THEN upper(headline) WHEN k%31=5 THEN '?!?!--..ab'
+       WHEN k%19=4 THEN upper(replace(headline, 'ß', 'ss')) WHEN k%31=5 THEN '?!?!--..ab'
        WHEN k%37=6 THEN 'Short' ELSE headline END AS title,
   CASE WHEN k%9=0 THEN NULL WHEN k%10=1 THEN 'Unknown' ELSE 'author' || (k%40) END AS author,
   CASE WHEN k%37=11 THEN NULL
@@ -657,14 +661,14 @@ WHERE quarantine AND NOT EXISTS (SELECT 1 FROM audit q WHERE q.article_id = e.ar
   count(*) FILTER (published_at::DATE = DATE '2024-01-31') AS articles_today,
   count(*) FILTER (quarantine) AS quarantined_articles,
   count(DISTINCT source) AS unique_sources,
-  avg(data_quality_score)::DECIMAL(3,2) AS avg_quality_score,
+  {AVG_SCORE} AS avg_quality_score,
   count(DISTINCT detected_language) AS languages_detected FROM measured""",
         "measured",
     ),
     "daily_article_trends": sql(
-        """SELECT published_at::DATE AS trend_date, source, count(*) AS articles_count,
+        f"""SELECT published_at::DATE AS trend_date, source, count(*) AS articles_count,
   round(avg(word_count))::INT AS avg_word_count,
-  avg(data_quality_score)::DECIMAL(3,2) AS avg_quality_score
+  {AVG_SCORE} AS avg_quality_score
 FROM measured WHERE published_at IS NOT NULL GROUP BY 1, 2""",
         "measured",
     ),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gazette import constants as C
@@ -74,6 +74,11 @@ def stamped(df: DataFrame, as_of: datetime) -> DataFrame:
 # Summaries
 
 
+def _score() -> Column:
+    """The score as the silver table stores it; exact, so averages are too."""
+    return F.col("data_quality_score").cast("decimal(3,2)")
+
+
 def kpi_metrics(detail: DataFrame, as_of: datetime) -> DataFrame:
     """Four headline numbers in one pass."""
     today = F.to_date("published_at") == F.lit(as_of.date())
@@ -94,8 +99,8 @@ def analytics_summary(silver: DataFrame, as_of: datetime) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.count_if(today).alias("today"),
         F.count_if(F.col("quarantine")).alias("flagged"),
-        F.sum("data_quality_score").alias("score"),
-        F.count("data_quality_score").alias("scored"),
+        F.sum(_score()).alias("score"),
+        F.count(_score()).alias("scored"),
     )
     zero = F.lit(0)
     return per_pair.agg(
@@ -117,7 +122,9 @@ def daily_article_trends(silver: DataFrame) -> DataFrame:
     return dated.groupBy(F.to_date("published_at").alias("trend_date"), "source").agg(
         F.count(F.lit(1)).alias("articles_count"),
         F.round(F.avg("word_count")).cast("int").alias("avg_word_count"),
-        F.avg("data_quality_score").cast("decimal(3,2)").alias("avg_quality_score"),
+        F.try_divide(F.sum(_score()), F.count(_score()))
+        .cast("decimal(3,2)")
+        .alias("avg_quality_score"),
     )
 
 
