@@ -26,14 +26,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A text table with at least as many partitions as the session has cores.
+    """A text table, spread over the session's cores if it is one small file.
 
-    A file with a single row group is one task. Large inputs have many files
-    and are read as they are, without this extra shuffle.
+    A file with a single row group is one task. A large table has many files
+    and is read as it is, without this extra shuffle.
     """
     df = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+    if len(df.inputFiles()) > 1:
+        return df
+    return df.repartition(spark.sparkContext.defaultParallelism, key)
 
 
 def _text(*parts: str | Column) -> Column:

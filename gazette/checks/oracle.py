@@ -422,7 +422,7 @@ FROM (SELECT {columns}, string_split(' ' || lower({norm(x)}) || ' ', '') AS c FR
 counted AS (SELECT lang, gram, count(*) AS n FROM ({grams('lang', 'documents', 'text')})
   GROUP BY 1, 2),
 frequent AS (SELECT lang, gram, n FROM (SELECT *, row_number() OVER (PARTITION BY lang
-  ORDER BY n DESC, gram) AS rn FROM counted) WHERE rn <= 3000),
+  ORDER BY n DESC, gram) AS rn FROM counted) WHERE rn <= 1000),
 totals AS (SELECT lang, sum(n) AS total FROM frequent GROUP BY 1),
 vocabulary AS (SELECT DISTINCT gram FROM frequent),
 scores AS (SELECT v.gram, t.lang, round(ln((coalesce(f.n, 0) + 1)

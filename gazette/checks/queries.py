@@ -556,9 +556,7 @@ def source_options(spark, sf):
 
 @register
 def upsert_articles(spark, sf):
-    table, batch = _existing(spark, sf), corpus.incoming(spark, sf)
-    maintenance.check_unique(table, batch)
-    return ingest(table, batch, AS_OF).articles
+    return ingest(_existing(spark, sf), corpus.incoming(spark, sf), AS_OF).articles
 
 
 @register

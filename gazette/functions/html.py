@@ -12,34 +12,48 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gazette import constants as C
-from gazette.functions.text import SPACE, collapse_space
+from gazette.functions.text import SPACE, collapse_space, strip_space
 
 # Markup ends up as this character while text nodes are being joined.
 _MARK = "\x01"
+_REFERENCE = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 
 def _element(name: str) -> str:
-    return rf"<{name}\b[^>]*>.*?</{name}\s*>"
+    """An element with its content, without the opening bracket."""
+    return rf"{name}\b[^>]*>.*?</{name}\s*>"
 
 
-COMMENT = "<!--.*?-->"
-TAG = r"</?[a-z][^>]*>|<[!?][^>]*>"
+def _markup(*forms: str) -> str:
+    """Any of the forms after one bracket, which is what the search looks for."""
+    return f"(?is)<(?:{'|'.join(forms)})"
+
+
+_COMMENT = "!--.*?-->"
+_TAGS = ["/?[a-z][^>]*>", "[!?][^>]*>"]
 DROPPED_ELEMENTS = ["script", "style", "noscript"]
 # Elements whose text a reader does not see as part of the page.
 UNSEEN_ELEMENTS = ["script", "style", "template", "rt", "rp"]
-PARAGRAPH = r"<p(?:\s[^>]*)?>"
-PARAGRAPH_END = "(?is)</p>|</article>|</section>|</div>|</body>"
+
+BOILERPLATE = _markup(_COMMENT, *map(_element, DROPPED_ELEMENTS))
+UNSEEN_OR_TAG = _markup(_COMMENT, *map(_element, UNSEEN_ELEMENTS), *_TAGS)
+TAG = _markup(*_TAGS)
+PARAGRAPH = r"(?is)<p(?:\s[^>]*)?>"
+PARAGRAPH_END = "(?is)</(?:p|article|section|div|body)>"
 
 
 def drop_boilerplate(page: Column) -> Column:
     """Page without script, style and noscript elements and without comments."""
-    parts = [COMMENT] + [_element(e) for e in DROPPED_ELEMENTS]
-    return F.regexp_replace(page, f"(?is){'|'.join(parts)}", "")
+    return F.regexp_replace(page, BOILERPLATE, "")
+
+
+# Names of the standard's character references, as text of (name, character) pairs.
+_NAMED = {**{n: chr(p) for n, p in html.entities.name2codepoint.items()}, "apos": "'"}
+_NAMED_PAIRS = "\x1e".join(f"{name}\x1f{char}" for name, char in _NAMED.items())
 
 
 def _entity_char(ref: Column) -> Column:
     """The character of one &name; or &#number; reference, null if unknown."""
-    names = [part for n, p in html.entities.name2codepoint.items() for part in (n, chr(p))]
     body = F.regexp_replace(ref, "^&|;$", "")
     digits = F.regexp_replace(body, "^#[xX]?", "")
     number = (
@@ -48,53 +62,51 @@ def _entity_char(ref: Column) -> Column:
         .cast("int")
     )
     utf32 = F.unhex(F.lpad(F.hex(number), 8, "0"))
-    known = F.create_map(*[F.lit(n) for n in names], F.lit("apos"), F.lit("'"))
+    named = F.str_to_map(F.lit(_NAMED_PAIRS), F.lit("\x1e"), F.lit("\x1f"))
     numeric = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
-    return F.when(numeric, F.decode(utf32, "UTF-32")).otherwise(known[body])
+    return F.when(numeric, F.decode(utf32, "UTF-32")).otherwise(named[body])
 
 
-def decode_entities(text: Column) -> Column:
-    """Replace character references; '&' itself last, so nothing decodes twice."""
-    refs = F.array_distinct(
-        F.regexp_extract_all(
-            text, F.lit("&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"), F.lit(0)
-        )
+def _decode_each(text: Column) -> Column:
+    refs = F.array_distinct(F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0)))
+    pairs = F.transform(refs, lambda r: F.struct(r.alias("ref"), _entity_char(r).alias("c")))
+    known = F.filter(pairs, lambda p: p["c"].isNotNull())
+    # false sorts before true: '&' itself comes last, so nothing decodes twice
+    ordered = F.array_sort(
+        F.transform(known, lambda p: F.struct((p["c"] == "&").alias("amp"), p["ref"], p["c"]))
     )
-    pairs = F.transform(refs, lambda r: F.struct(r.alias("ref"), _entity_char(r).alias("char")))
-    pairs = F.filter(pairs, lambda p: p["char"].isNotNull())
-    # false sorts before true: ampersands come last
-    pairs = F.array_sort(
-        F.transform(
-            pairs,
-            lambda p: F.struct((p["char"] == "&").alias("amp"), p["ref"], p["char"]),
-        )
+    return F.aggregate(ordered, text, lambda acc, p: F.replace(acc, p["ref"], p["c"]))
+
+
+def decode_entities(text: Column) -> Column:
+    """Replace character references; text without any passes through."""
+    # through an array of one, so that the text is worked out only once
+    decoded = F.transform(
+        F.array(text), lambda t: F.when(F.contains(t, F.lit("&")), _decode_each(t)).otherwise(t)
     )
-    decoded = F.aggregate(pairs, text, lambda acc, p: F.replace(acc, p["ref"], p["char"]))
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+    return F.get(decoded, 0)
 
 
 def visible_text(page: Column) -> Column:
     """Text nodes of a page, each stripped, joined by one space."""
-    unseen = "|".join([COMMENT] + [_element(e) for e in UNSEEN_ELEMENTS])
-    marked = F.regexp_replace(page, f"(?is){unseen}|{TAG}", _MARK)
-    spaced = F.regexp_replace(
-        decode_entities(marked), f"[{SPACE}]*{_MARK}[{SPACE}{_MARK}]*", " "
-    )
-    return F.regexp_replace(spaced, rf"^[{SPACE}]+|[{SPACE}]+\z", "")
+    marked = decode_entities(F.regexp_replace(page, UNSEEN_OR_TAG, _MARK))
+    joined = F.regexp_replace(marked, f"(?U)[{SPACE}]*{_MARK}[{SPACE}{_MARK}]*", " ")
+    return strip_space(joined)
 
 
 def html_to_text(page: Column) -> Column:
     """Visible text with white space collapsed; '' for null."""
-    return F.coalesce(collapse_space(visible_text(page)), F.lit(""))
+    spaced = decode_entities(F.regexp_replace(page, UNSEEN_OR_TAG, " "))
+    return F.coalesce(collapse_space(spaced), F.lit(""))
 
 
 def _fragment_text(fragment: Column) -> Column:
-    return collapse_space(decode_entities(F.regexp_replace(fragment, f"(?is){TAG}", " ")))
+    return collapse_space(decode_entities(F.regexp_replace(fragment, TAG, " ")))
 
 
 def paragraph_fragments(clean_page: Column) -> Column:
     """Inner markup of every paragraph, in page order."""
-    pieces = F.split(clean_page, f"(?is){PARAGRAPH}")
+    pieces = F.split(clean_page, PARAGRAPH)
     inner = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
     return F.transform(inner, lambda p: F.split(p, PARAGRAPH_END, 2)[0])
 
@@ -109,7 +121,7 @@ def paragraph_texts(clean_page: Column) -> Column:
 
 def paragraph_html(clean_page: Column) -> Column:
     """Markup of the first thirty paragraphs, one per line."""
-    opens = F.regexp_extract_all(clean_page, F.lit(f"(?is){PARAGRAPH}"), F.lit(0))
+    opens = F.regexp_extract_all(clean_page, F.lit(PARAGRAPH), F.lit(0))
     whole = F.zip_with(
         opens, paragraph_fragments(clean_page), lambda tag, p: F.concat(tag, p, F.lit("</p>"))
     )

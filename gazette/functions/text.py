@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 
 from gazette import constants as C
 
-# Unicode white space, spelled out because \s is ASCII in Java and in RE2.
-# The first class leaves out the plain space.
-ODD_SPACE = r"\t-\r\x1c-\x1f\x85\xa0  -     　"
-SPACE = " " + ODD_SPACE
-
-# A run that is not already one plain space. Most gaps in real text are one
-# plain space, and leaving those alone halves the work of the replacement.
-_SPACE_RUN = f" [{SPACE}]+|[{ODD_SPACE}][{SPACE}]*"
+# Unicode white space: \s in Unicode mode, and four separators it leaves out.
+# A predefined class is several times faster than a list of ranges.
+SPACE = r"\s\x1c-\x1f"
+SPACE_RUN = f"(?U)[{SPACE}]+"
+SPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def blank_if_null(text: Column) -> Column:
@@ -30,12 +31,12 @@ def null_if_blank(text: Column) -> Column:
 
 def collapse_space(text: Column) -> Column:
     """Every run of white space becomes one space; the ends are stripped."""
-    return F.trim(F.regexp_replace(text, _SPACE_RUN, " "))
+    return F.trim(F.regexp_replace(text, SPACE_RUN, " "))
 
 
 def strip_space(text: Column) -> Column:
     """Strip Unicode white space at both ends, leaving the inside alone."""
-    return F.regexp_replace(text, rf"^[{SPACE}]+|[{SPACE}]+\z", "")
+    return F.btrim(text, F.lit(SPACE_CHARS))
 
 
 def normalize_text(text: Column) -> Column:
@@ -44,7 +45,7 @@ def normalize_text(text: Column) -> Column:
 
 def normalize_title(title: Column) -> Column:
     """Collapsed title without characters outside letters, digits and - . , ! ?"""
-    return F.regexp_replace(normalize_text(title), rf"[^\p{{L}}\p{{N}}_{SPACE}\-.,!?]", "")
+    return F.regexp_replace(normalize_text(title), r"[^a-zA-Z0-9_ \-.,!?\p{L}\p{N}]+", "")
 
 
 def char_count(text: Column) -> Column:
@@ -53,13 +54,12 @@ def char_count(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """White-space separated tokens of any text."""
-    return F.regexp_count(text, F.lit(f"[^{SPACE}]+"))
+    return F.regexp_count(text, F.lit(f"(?U)[^{SPACE}]+"))
 
 
 def word_count_collapsed(text: Column) -> Column:
     """Tokens of text whose white space is already collapsed: spaces plus one."""
-    spaces = F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
-    return F.when(text == "", 0).otherwise(spaces + 1)
+    return F.when(text == "", 0).otherwise(F.regexp_count(text, F.lit(" ")) + 1)
 
 
 def contains_any(lowered: Column, words: list[str]) -> Column:

@@ -22,7 +22,7 @@ _TRIGRAM = "(?s)(?=(...))"
 LOG_UNIT = 1_000_000
 # Most frequent trigrams a language keeps; with the bound on languages this
 # fixes the size of the profile, which is why it may be broadcast.
-PROFILE_GRAMS = 3000
+PROFILE_GRAMS = 1000
 MAX_LANGUAGES = 100
 UNKNOWN = "unknown"
 
@@ -49,9 +49,8 @@ def train(labelled: DataFrame, text: str, label: str) -> LanguageProfile:
         .agg(F.count(F.lit(1)).alias("n"))
     )
     shared_dir(labelled.sparkSession)
-    frequent = first_n(
-        counted, ["language"], [F.col("n").desc(), F.col("gram")], PROFILE_GRAMS
-    ).checkpoint()
+    order = [F.col("n").desc(), F.col("gram")]
+    frequent = first_n(counted, ["language"], order, PROFILE_GRAMS, few_keys=True).checkpoint()
     totals = {
         row["language"]: row["total"]
         for row in frequent.groupBy("language")

@@ -19,10 +19,14 @@ class DuplicateKey(ValueError):
     """A batch that would break a uniqueness rule; none of it is applied."""
 
 
+def batch_keys(batch: DataFrame) -> DataFrame:
+    """Ids and URLs of a batch, counted once and marked for broadcast if few."""
+    return broadcast_if_small(batch.select("article_id", "url"))
+
+
 def without_keys(table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Rows of the table whose key is not listed; null keys stay."""
-    listed = keys.select(key).filter(F.col(key).isNotNull())
-    return table.join(broadcast_if_small(listed), key, "left_anti")
+    return table.join(broadcast_if_small(keys.select(key)), key, "left_anti")
 
 
 def replace_by_key(table: DataFrame, batch: DataFrame, key: str = "article_id") -> DataFrame:
@@ -30,9 +34,8 @@ def replace_by_key(table: DataFrame, batch: DataFrame, key: str = "article_id")
     return without_keys(table, batch, key).unionByName(batch, allowMissingColumns=True)
 
 
-def check_unique(table: DataFrame, batch: DataFrame) -> None:
+def check_unique(table: DataFrame, keys: DataFrame) -> None:
     """Raise if applying the batch would leave two rows with one id or one URL."""
-    keys = broadcast_if_small(batch.select("article_id", "url"))
     with_url = keys.filter(F.col("url").isNotNull())
     untouched = table.select("article_id", "url").join(keys, "article_id", "left_anti")
     offenders = {
@@ -45,9 +48,10 @@ def check_unique(table: DataFrame, batch: DataFrame) -> None:
             raise DuplicateKey(rule)
 
 
-def dated_batch(table: DataFrame, batch: DataFrame, as_of: datetime) -> DataFrame:
+def dated_batch(
+    table: DataFrame, batch: DataFrame, keys: DataFrame, as_of: datetime
+) -> DataFrame:
     """The batch as table rows; articles already there keep their created_at."""
-    keys = broadcast_if_small(batch.select("article_id"))
     born = table.select("article_id", "created_at").join(keys, "article_id", "left_semi")
     return (
         batch.drop("created_at")
@@ -57,13 +61,15 @@ def dated_batch(table: DataFrame, batch: DataFrame, as_of: datetime) -> DataFram
     )
 
 
-def upsert(table: DataFrame, batch: DataFrame, as_of: datetime) -> DataFrame:
+def upsert(table: DataFrame, batch: DataFrame, keys: DataFrame, as_of: datetime) -> DataFrame:
     """Insert the batch, replacing the articles it repeats.
 
     The table is read without a shuffle while the batch's keys fit a broadcast.
     """
-    kept = without_keys(table, batch, "article_id").select(*schemas.ARTICLES_DETAIL.names)
-    return kept.unionByName(dated_batch(table, batch, as_of))
+    kept = table.join(keys, "article_id", "left_anti")
+    return kept.select(*schemas.ARTICLES_DETAIL.names).unionByName(
+        dated_batch(table, batch, keys, as_of)
+    )
 
 
 def _audit_row(action: Column, performed_by: str, reason: Column, as_of: datetime) -> list[Column]:
@@ -76,9 +82,10 @@ def _audit_row(action: Column, performed_by: str, reason: Column, as_of: datetim
     ]
 
 
-def quarantine_audit_delta(table: DataFrame, batch: DataFrame, as_of: datetime) -> DataFrame:
+def quarantine_audit_delta(
+    table: DataFrame, batch: DataFrame, keys: DataFrame, as_of: datetime
+) -> DataFrame:
     """Audit rows for the flags the batch changes, and for new flagged articles."""
-    keys = broadcast_if_small(batch.select("article_id"))
     before = (
         table.select("article_id", F.coalesce("quarantine", F.lit(False)).alias("_before"))
         .join(keys, "article_id", "left_semi")
@@ -151,14 +158,14 @@ def purge_counts(
     """How many articles and audit rows a purge removes."""
     expired = detail.filter(_expired(as_of, days)).select("article_id")
     per_article = audit.groupBy("article_id").agg(F.count(F.lit(1)).alias("n"))
-    articles = expired.agg(F.count(F.lit(1)).alias("articles_deleted"))
+    none = F.lit(0).cast("bigint")
+    articles = expired.agg(F.count(F.lit(1)).alias("articles"), none.alias("audits"))
     audits = per_article.join(expired, "article_id", "left_semi").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("audit_deleted")
+        none.alias("articles"), F.coalesce(F.sum("n"), none).alias("audits")
+    )
+    return articles.unionByName(audits).agg(
+        F.sum("articles").alias("articles_deleted"), F.sum("audits").alias("audit_deleted")
     )
-    # two one-row frames side by side
-    return articles.withColumn("_one", F.lit(1)).join(
-        audits.withColumn("_one", F.lit(1)), "_one"
-    ).drop("_one")
 
 
 # Approval

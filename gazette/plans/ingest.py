@@ -35,10 +35,13 @@ class Ingested:
 def ingest(detail: DataFrame, batch: DataFrame, as_of: datetime) -> Ingested:
     """Next version of the article table, with the audit rows of the change.
 
-    batch is judged (with_quarantine) and unique; both results read it, so a
-    caller that writes both should persist it.
+    The batch is judged (with_quarantine). It is refused whole if it breaks a
+    uniqueness rule. Both results read it, so a caller that writes both should
+    persist it.
     """
+    keys = maintenance.batch_keys(batch)
+    maintenance.check_unique(detail, keys)
     return Ingested(
-        articles=maintenance.upsert(detail, batch, as_of),
-        audit_delta=maintenance.quarantine_audit_delta(detail, batch, as_of),
+        articles=maintenance.upsert(detail, batch, keys, as_of),
+        audit_delta=maintenance.quarantine_audit_delta(detail, batch, keys, as_of),
     )

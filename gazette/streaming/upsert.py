@@ -91,9 +91,10 @@ def apply_batch(
     judged = as_detail_batch(latest).persist()
     try:
         table = current(spark, root, before=batch)
-        maintenance.check_unique(table, judged)
-        delta = maintenance.quarantine_audit_delta(table, judged, as_of)
-        rows = maintenance.dated_batch(table, judged, as_of)
+        keys = maintenance.batch_keys(judged)
+        maintenance.check_unique(table, keys)
+        delta = maintenance.quarantine_audit_delta(table, judged, keys, as_of)
+        rows = maintenance.dated_batch(table, judged, keys, as_of)
         delta.write.mode("overwrite").parquet(f"{root}/audit/batch={batch}")
         rows.write.mode("overwrite").parquet(f"{root}/changes/batch={batch}")
         return True
