@@ -344,12 +344,12 @@ def trend_by_day(spark, sf):
 
 @register
 def hourly_by_source(spark, sf):
-    return gold.hourly_by_source(_detail(spark, sf), AS_OF)
+    return gold.hourly_by_source(corpus.articles(spark, sf), AS_OF)
 
 
 @register
 def articles_for_source(spark, sf):
-    rows = filters.for_source(_detail(spark, sf), "Hespress")
+    rows = filters.for_source(corpus.articles(spark, sf), "Hespress")
     return rows.select("article_id", "source", "title", "published_at")
 
 
@@ -408,12 +408,12 @@ def backfill_audit(spark, sf):
 
 @register
 def articles_by_day(spark, sf):
-    return gold.count_by(gold.with_published_day(_detail(spark, sf)), "published_day")
+    return gold.count_by(gold.with_published_day(corpus.articles(spark, sf)), "published_day")
 
 
 @register
 def articles_by_source(spark, sf):
-    return gold.count_by(_detail(spark, sf), "source")
+    return gold.count_by(corpus.articles(spark, sf), "source")
 
 
 @register
@@ -425,12 +425,12 @@ def articles_by_theme(spark, sf):
 
 @register
 def articles_by_country(spark, sf):
-    return gold.count_by(lookups.with_country(_detail(spark, sf)), "source_country")
+    return gold.count_by(lookups.with_country(corpus.articles(spark, sf)), "source_country")
 
 
 @register
 def articles_by_category(spark, sf):
-    return gold.count_by(_detail(spark, sf), "category")
+    return gold.count_by(corpus.articles(spark, sf), "category")
 
 
 @register
@@ -442,7 +442,7 @@ def top_keywords_content(spark, sf):
 @register
 def top_keywords_title(spark, sf):
     return gold.top_keywords(
-        _detail(spark, sf), "title", C.WAREHOUSE_TOP_KEYWORDS, C.WAREHOUSE_STOPWORDS
+        corpus.articles(spark, sf), "title", C.WAREHOUSE_TOP_KEYWORDS, C.WAREHOUSE_STOPWORDS
     )
 
 
@@ -515,7 +515,7 @@ def themes_ranked(spark, sf):
 
 @register
 def latest_for_source(spark, sf):
-    rows = _detail(spark, sf).select("article_id", "title", "source", "published_at", "url")
+    rows = corpus.articles(spark, sf).select("article_id", "title", "source", "published_at", "url")
     return gold.latest_for_source(rows, "BBC News")
 
 

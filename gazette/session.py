@@ -34,6 +34,8 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # recording the Python line of every column doubles the time to build a plan
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update(conf or {})
     builder = SparkSession.builder.appName(app)
