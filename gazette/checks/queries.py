@@ -17,10 +17,11 @@ from gazette.operators import extract, filters, gold, lookups, maintenance, qual
 from gazette.operators import quarantine as rules
 from gazette.operators.language_model import identify, train
 from gazette.plans import gold as gold_plan
+from gazette.plans import jobs
 from gazette.plans import silver as silver_plan
 from gazette.plans.ingest import ingest
 from gazette.session import run_dir
-from gazette.sources import bronze, messages, warehouse
+from gazette.sources import bronze, keyed, messages, warehouse
 from gazette.streaming import ingest as stream
 from gazette.streaming import upsert as stream_table
 
@@ -731,9 +732,10 @@ def stream_upsert(spark, sf):
         dates.iso_utc(F.col("ingested_at")).alias("scraped_at"),
     )
     messages.publish_files(fresh, path)
-    stream_table.create(spark, root, _existing(spark, sf), AS_OF.replace(hour=0))
+    detail_root = f"{root}/articles_detail"
+    keyed.create(spark, detail_root, _existing(spark, sf), AS_OF.replace(hour=0))
     for _ in range(2):
         arrived = stream.decode(stream.read_files(spark, path, files_per_batch=4))
         stream_table.drain_to_table(arrived, root, f"{root}/checkpoint", clock=lambda: AS_OF)
-    stream_table.compact(spark, root, batch=1, as_of=AS_OF)
-    return stream_table.current(spark, root)
+    keyed.compact(spark, detail_root, schemas.ARTICLES_DETAIL, batch=1, as_of=AS_OF)
+    return jobs.detail(spark, root)

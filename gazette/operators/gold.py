@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gazette import constants as C
 from gazette.functions import text
 from gazette.operators.filters import day_window, for_source, last_24_hours, moment
+from gazette.session import shared_dir
 
 # Gold table -> the key it counts articles by.
 COUNT_KEYS = {
@@ -44,10 +45,12 @@ def count_tables(facts: DataFrame, tables: list[str]) -> dict[str, DataFrame]:
 
     The articles are first counted by all keys together. That frame has a row
     per combination of keys, so the tables roll up from it and the article
-    text is read only once.
+    text is read only once. The checkpoint keeps it that way if executors are
+    lost before the last table is written.
     """
     keys = [COUNT_KEYS[t] for t in tables]
-    combined = count_by(facts, *keys).persist()
+    shared_dir(facts.sparkSession)
+    combined = count_by(facts, *keys).checkpoint()
     return {
         t: combined.groupBy(COUNT_KEYS[t]).agg(F.sum("articles_count").alias("articles_count"))
         for t in tables

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,9 +44,10 @@ def check_unique(table: DataFrame, keys: DataFrame) -> None:
         "url repeated in the batch": with_url.groupBy("url").count().filter("count > 1"),
         "url belongs to another article": untouched.join(with_url, "url", "left_semi"),
     }
-    for rule, rows in offenders.items():
-        if not rows.isEmpty():
-            raise DuplicateKey(rule)
+    found = [rows.select(F.lit(rule).alias("rule")).limit(1) for rule, rows in offenders.items()]
+    broken = reduce(DataFrame.unionByName, found).collect()
+    if broken:
+        raise DuplicateKey("; ".join(row["rule"] for row in broken))
 
 
 def dated_batch(

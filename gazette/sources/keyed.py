@@ -1,0 +1,70 @@
+"""Tables with a key, kept as a published version under batches of changes.
+
+A table of this size is not rewritten for every small batch. A batch appends
+its rows to a folder of its own, readers take the latest row of a key, and a
+compaction folds the folders into a new published version from time to time.
+Folder names carry the batch number, so a repeated batch replaces itself.
+"""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from gazette.operators.maintenance import without_keys
+from gazette.operators.ranking import first_n
+from gazette.sources import warehouse
+
+KEY = "article_id"
+_ALL = 2**62
+_BASE = "base"
+
+
+def _version(batch: int) -> str:
+    return f"{batch:012d}"
+
+
+def create(spark: SparkSession, root: str, rows: DataFrame, as_of: datetime) -> None:
+    """Start a table from existing rows; batches count from 1."""
+    warehouse.publish(spark, root, _version(0), {_BASE: rows}, as_of)
+
+
+def append(root: str, rows: DataFrame, batch: int) -> None:
+    rows.write.mode("overwrite").parquet(f"{root}/changes/batch={batch}")
+
+
+def changes(
+    spark: SparkSession, root: str, schema: T.StructType, after: int = 0, before: int = _ALL
+) -> DataFrame:
+    """Rows of the batches after one and before another, with their batch."""
+    batched = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    try:
+        found = spark.read.schema(batched).parquet(f"{root}/changes")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], batched)  # no batch has been written yet
+    return found.filter((F.col("batch") > after) & (F.col("batch") < before))
+
+
+def current(
+    spark: SparkSession, root: str, schema: T.StructType, before: int = _ALL
+) -> DataFrame:
+    """The table: the published version under the batches since."""
+    version = warehouse.current_version(spark, root)
+    base = warehouse.read(spark, root, _BASE, version)
+    newer = changes(spark, root, schema, after=int(version), before=before)
+    latest = first_n(newer, [KEY], [F.col("batch").desc()], 1).drop("batch")
+    return without_keys(base, latest, KEY).unionByName(latest)
+
+
+def compact(
+    spark: SparkSession, root: str, schema: T.StructType, batch: int, as_of: datetime
+) -> None:
+    """Publish the table as of a batch; later batches go on top of it."""
+    table = current(spark, root, schema, before=batch + 1)
+    warehouse.publish(spark, root, _version(batch), {_BASE: table}, as_of)

@@ -1,111 +1,20 @@
-"""Streaming upsert into the article table.
-
-A table of this size is not rewritten for every small batch. A batch appends
-its rows to a folder of its own, readers take the latest row of an article,
-and a compaction folds the folders into a new published version from time to
-time. Folder names carry the batch id, so a repeated batch replaces itself.
-"""
+"""Streaming upsert: every micro-batch is one batch of the article table."""
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Callable
 from datetime import UTC, datetime
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from gazette import schemas
-from gazette.operators import maintenance
-from gazette.operators.ranking import first_n
-from gazette.plans.ingest import as_detail_batch
-from gazette.sources import warehouse
-
-log = logging.getLogger(__name__)
-_TABLE = "articles_detail"
+from gazette.plans import jobs
 
 
 def utc_now() -> datetime:
     return datetime.now(UTC).replace(tzinfo=None)
 
 
-def _version(batch_id: int) -> str:
-    return f"{batch_id:012d}"
-
-
-def create(spark: SparkSession, root: str, detail: DataFrame, as_of: datetime) -> None:
-    """Start a table from existing articles, before any batch."""
-    warehouse.publish(spark, root, _version(0), {_TABLE: detail}, as_of)
-
-
-def _changes(
-    spark: SparkSession, root: str, folder: str, schema, after: int, before: int
-) -> DataFrame:
-    """Rows of the batches after one and before another; batches count from 1."""
-    empty = spark.createDataFrame([], schema).withColumn("batch", F.lit(0).cast("bigint"))
-    try:
-        found = spark.read.schema(empty.schema).parquet(f"{root}/{folder}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return empty  # no batch has been written yet
-    return found.filter((F.col("batch") > after) & (F.col("batch") < before))
-
-
-def current(spark: SparkSession, root: str, before: int = 2**62) -> DataFrame:
-    """The article table: the published version under the batches since."""
-    version = warehouse.current_version(spark, root)
-    base = warehouse.read(spark, root, _TABLE, version)
-    changes = _changes(
-        spark, root, "changes", schemas.ARTICLES_DETAIL, after=int(version), before=before
-    )
-    latest = first_n(changes, ["article_id"], [F.col("batch").desc()], 1).drop("batch")
-    return maintenance.without_keys(base, latest, "article_id").unionByName(latest)
-
-
-def audit(spark: SparkSession, root: str) -> DataFrame:
-    """Audit rows of all batches."""
-    return _changes(
-        spark, root, "audit", schemas.QUARANTINE_AUDIT, after=0, before=2**62
-    ).drop("batch")
-
-
-def compact(spark: SparkSession, root: str, batch: int, as_of: datetime) -> None:
-    """Publish the table as of a batch; later batches go on top of it."""
-    table = current(spark, root, before=batch + 1)
-    warehouse.publish(spark, root, _version(batch), {_TABLE: table}, as_of)
-
-
-def apply_batch(
-    spark: SparkSession, root: str, articles: DataFrame, batch: int, as_of: datetime
-) -> bool:
-    """Apply one batch of bronze articles; False if it was refused as a whole."""
-    latest = first_n(
-        articles.filter(F.col("article_id") != ""),
-        ["article_id"],
-        [F.col("scraped_at").desc_nulls_last(), F.col("title"), F.col("content")],
-        1,
-    )
-    judged = as_detail_batch(latest).persist()
-    try:
-        table = current(spark, root, before=batch)
-        keys = maintenance.batch_keys(judged)
-        maintenance.check_unique(table, keys)
-        delta = maintenance.quarantine_audit_delta(table, judged, keys, as_of)
-        rows = maintenance.dated_batch(table, judged, keys, as_of)
-        delta.write.mode("overwrite").parquet(f"{root}/audit/batch={batch}")
-        rows.write.mode("overwrite").parquet(f"{root}/changes/batch={batch}")
-        return True
-    except maintenance.DuplicateKey as error:
-        log.error("batch %d refused: %s", batch, error)
-        articles.write.mode("overwrite").parquet(f"{root}/refused/batch={batch}")
-        return False
-    finally:
-        judged.unpersist()
-
-
 def drain_to_table(
     articles: DataFrame,
     root: str,
@@ -115,12 +24,13 @@ def drain_to_table(
 ) -> StreamingQuery:
     """Upsert every micro-batch; drains once, or keeps on at the interval.
 
-    The query is returned running if an interval is given
-    (normally constants.INGEST_INTERVAL_SECONDS).
+    A refused batch is logged and kept aside and the stream goes on. The query
+    is returned running if an interval is given (normally
+    constants.INGEST_INTERVAL_SECONDS).
     """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(batch.sparkSession, root, batch, batch_id + 1, clock())
+        jobs.apply_batch(batch.sparkSession, root, batch, batch_id + 1, clock())
 
     writer = articles.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
     if interval_seconds:

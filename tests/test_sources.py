@@ -9,6 +9,7 @@ import check
 from __spark_entry__ import entry, oracle_sql, queries
 from gazette import schemas
 from gazette.checks import corpus
+from gazette.plans import jobs
 from gazette.session import run_dir, scale_conf, shared_dir
 from gazette.sources import bronze, messages, warehouse
 from gazette.streaming import ingest as stream
@@ -93,41 +94,72 @@ def test_stream_resumes_and_keeps_broken_messages_aside(spark):
     assert [r["value"] for r in spark.read.text(f"{root}/broken").collect()] == ["{not json"]
 
 
-def test_streamed_upserts(spark):
-    root, inbox = run_dir(spark, "table"), run_dir(spark, "in")
-    empty = spark.createDataFrame([], schemas.ARTICLES_DETAIL)
-    table.create(spark, root, empty, AS_OF)
-    assert table.current(spark, root).count() == 0
-    assert table.apply_batch(spark, root, articles(spark, 4), 1, AS_OF)
-    later = AS_OF + timedelta(hours=1)
+def test_batches_of_the_article_table(spark):
+    root = run_dir(spark, "warehouse")
+    jobs.create_warehouse(spark, root, AS_OF)
+    assert jobs.detail(spark, root).count() == 0
+    run = jobs.warehouse_run(spark, root, articles(spark, 4), 1, AS_OF)
+    assert run.applied and tuple(run.metrics.collect()[0]) == (4, 0, 0, 1)
+    assert {r["status"] for r in run.checks.collect()} == {"PASS"}
+    later = AS_OF + timedelta(minutes=10)
     changed = articles(spark, 2, start=3, title="Short")
     for _ in range(2):  # a repeated batch replaces itself
-        assert table.apply_batch(spark, root, changed.unionByName(changed), 2, later)
-    rows = {r["article_id"]: r for r in table.current(spark, root).collect()}
+        assert jobs.apply_batch(spark, root, changed.unionByName(changed), 2, later)
+    rows = {r["article_id"]: r for r in jobs.detail(spark, root).collect()}
     assert len(rows) == 5 and rows["id3"]["title"] == "Short"
     assert rows["id3"]["created_at"] == AS_OF and rows["id4"]["created_at"] == later
-    assert {(r["article_id"], r["action"]) for r in table.audit(spark, root).collect()} == {
+    assert {(r["article_id"], r["action"]) for r in jobs.audit(spark, root).collect()} == {
         ("id3", "mark"), ("id4", "mark")
     }
     # another article with a URL that is taken: the batch is refused and kept
     clash = articles(spark, 1, start=9, url="https://x.org/1")
-    assert not table.apply_batch(spark, root, clash, 3, later)
+    run = jobs.warehouse_run(spark, root, clash, 3, later)
+    assert not run.applied
     assert spark.read.parquet(f"{root}/refused/batch=3").count() == 1
-    before = sorted(table.current(spark, root).collect())
-    table.compact(spark, root, 2, later)
-    assert sorted(table.current(spark, root).collect()) == before
-    # the stream itself, from files: batches go on after the checkpoint's
-    streamed, start = run_dir(spark, "table"), AS_OF
-    table.create(spark, streamed, empty, start)
+    silver = jobs.silver_table(spark, root)
+    assert {r["article_id"]: r["silver_timestamp"] for r in silver.collect()} == {
+        f"id{i}": later for i in range(5)
+    }
+    before = sorted(jobs.detail(spark, root).collect()), sorted(silver.collect())
+    jobs.compact_warehouse(spark, root, 3, later)
+    after = jobs.detail(spark, root), jobs.silver_table(spark, root)
+    assert tuple(sorted(df.collect()) for df in after) == before
+    themes = warehouse.read(spark, f"{root}/gold", "articles_by_theme").collect()
+    assert [(r["theme"], r["articles_count"], r["last_updated"]) for r in themes] == [
+        ("autre", 5, later)
+    ]
+
+
+def test_streamed_upserts(spark):
+    root, inbox = run_dir(spark, "table"), run_dir(spark, "in")
+    jobs.create_warehouse(spark, root, AS_OF)
     messages.publish_files(articles(spark, 3).repartition(3), inbox)
-    for _ in range(2):
+    for _ in range(2):  # the second drain finds nothing new
         raw = stream.read_files(spark, inbox, files_per_batch=1)
-        table.drain_to_table(stream.decode(raw), streamed, f"{streamed}/c", lambda: AS_OF)
-    assert sorted(r["article_id"] for r in table.current(spark, streamed).collect()) == [
+        table.drain_to_table(stream.decode(raw), root, f"{root}/checkpoint", lambda: AS_OF)
+    assert sorted(r["article_id"] for r in jobs.detail(spark, root).collect()) == [
         "id0", "id1", "id2"
     ]
 
 
+def test_lake_run(spark):
+    root = run_dir(spark, "lake")
+    bronze.write_hour(articles(spark, 3, title="A match"), f"{root}/bronze", AS_OF)
+    streamed = articles(spark, 2, start=2, title="Streamed", scraped_at="2024-01-31T00:40:00Z")
+    inbox = run_dir(spark, "in")
+    messages.publish_files(streamed, inbox)
+    arrived = stream.decode(stream.read_files(spark, inbox))
+    stream.drain_to_hours(arrived, f"{root}/bronze", f"{root}/checkpoint")
+    silver = jobs.lake_silver(spark, root, AS_OF)
+    assert {r["article_id"]: r["title"] for r in silver.collect()} == {
+        "id0": "A match", "id1": "A match", "id2": "Streamed", "id3": "Streamed"
+    }
+    assert jobs.lake_quality(spark, root, AS_OF).collect()[0]["date_manquante"] == 4
+    jobs.lake_gold(spark, root, AS_OF)
+    themes = warehouse.read(spark, f"{root}/gold", "articles_by_theme").collect()
+    assert {r["theme"]: r["articles_count"] for r in themes} == {"sport": 2, "autre": 2}
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == shared_dir(spark)
     assert run_dir(spark, "a") != run_dir(spark, "a")
