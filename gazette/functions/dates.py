@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Tried in this order after a weekday name has been cut off.
-RFC822_PATTERNS = ["d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm:ss z"]
+# RFC-822 forms by the shape of their zone, tried once a weekday name is cut off.
+RFC822_PATTERNS = {
+    r"^\d{1,2} [A-Za-z]{3} \d{4} \S+ [+-]\d{4}$": "d MMM yyyy HH:mm:ss Z",
+    r"^\d{1,2} [A-Za-z]{3} \d{4} \S+ [A-Za-z]{1,5}$": "d MMM yyyy HH:mm:ss z",
+}
 
 
 def utc(instant: Column) -> Column:
@@ -18,9 +21,16 @@ def parse_timestamp(text: Column) -> Column:
     """ISO-8601 or RFC-822 text as UTC; null if it is neither."""
     bare = F.regexp_replace(F.trim(text), r"^[A-Za-z]{3,9},\s*", "")
     # a bare time of day would parse too, as a time of the current date
-    iso = F.when(bare.rlike(r"^\d{4}-\d{2}-\d{2}"), F.try_to_timestamp(bare))
-    forms = [iso] + [F.try_to_timestamp(bare, F.lit(p)) for p in RFC822_PATTERNS]
-    return utc(F.coalesce(*forms))
+    is_iso = bare.rlike(r"^\d{4}-\d{2}-\d{2}")
+    has_zone = bare.rlike(r"([zZ]|[+-]\d{2}:?\d{2})$")
+    instants = [F.when(is_iso & has_zone, F.try_to_timestamp(bare))]
+    # a failed parse costs an exception, so each is tried only on its own shape
+    instants += [
+        F.when(bare.rlike(shape), F.try_to_timestamp(bare, F.lit(pattern)))
+        for shape, pattern in RFC822_PATTERNS.items()
+    ]
+    wall_time = F.when(is_iso & ~has_zone, bare.try_cast("timestamp_ntz"))
+    return F.coalesce(wall_time, utc(F.coalesce(*instants)))
 
 
 def iso_utc(timestamp: Column) -> Column:

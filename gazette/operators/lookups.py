@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from gazette import constants as C
 from gazette import schemas
 
-# Keys are 24 hex digits: two million of them are some 200 MB once hashed.
-BROADCAST_ROWS = 2_000_000
+# An id with its URL is some 150 bytes: a million of them are a few hundred MB once hashed.
+BROADCAST_ROWS = 1_000_000
 
 
 def broadcast_if_small(keys: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -168,10 +168,11 @@ def test_parse_timestamp(spark):
         "2024-01-31T01:02:03+02:00", "2024-01-31T01:02:03.5Z", "2024-01-31 01:02:03",
         "Wed, 31 Jan 2024 01:02:03 +0100", "Wed, 31 Jan 2024 01:02:03 GMT",
         "Wednesday, 1 Feb 2024 01:02:03 +0000", "garbage", "12:30", "", None, "2024-01-31",
+        "2024-01-31T01:02:03+0200", "2024-13-01",
     ]
     got = [None if v is None else v.isoformat() for v in apply(spark, values, dates.parse_timestamp)]
     assert got == [
         "2024-01-30T23:02:03", "2024-01-31T01:02:03.500000", "2024-01-31T01:02:03",
         "2024-01-31T00:02:03", "2024-01-31T01:02:03", "2024-02-01T01:02:03",
-        None, None, None, None, "2024-01-31T00:00:00",
+        None, None, None, None, "2024-01-31T00:00:00", "2024-01-30T23:02:03", None,
     ]

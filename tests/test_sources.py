@@ -9,9 +9,10 @@ import check
 from __spark_entry__ import entry, oracle_sql, queries
 from gazette import schemas
 from gazette.checks import corpus
+from gazette.operators import lookups
 from gazette.plans import jobs
 from gazette.session import run_dir, scale_conf, shared_dir
-from gazette.sources import bronze, messages, warehouse
+from gazette.sources import bronze, config, messages, warehouse
 from gazette.streaming import ingest as stream
 from gazette.streaming import upsert as table
 
@@ -166,6 +167,16 @@ def test_shared_folder_comes_from_the_session(spark):
     assert scale_conf(10**14, 8000)["spark.sql.shuffle.partitions"] == "745059"
 
 
+def test_source_file(spark, tmp_path):
+    pytest.importorskip("yaml")
+    file = tmp_path / "sources.yml"
+    file.write_text("sources:\n  - name: s\n    country: Maroc\n  - name: t\n")
+    found = config.load_sources(str(file))
+    assert found == [("s", "Maroc", ""), ("t", "Unknown", "")]
+    joined = lookups.with_country(articles(spark, 1).drop("source_country"), found)
+    assert joined.collect()[0]["source_country"] == "Maroc"
+
+
 def test_every_query_has_sql():
     assert set(queries()) == set(oracle_sql())
 
