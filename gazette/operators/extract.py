@@ -12,7 +12,8 @@ from gazette import schemas
 from gazette.functions import dates, html, urls
 from gazette.functions.text import null_if_blank
 from gazette.operators.filters import moment
-from gazette.operators.ranking import first_n_per_source, keep_first
+from gazette.operators.lookups import broadcast_if_small
+from gazette.operators.ranking import first_n, first_n_per_source
 
 
 def first_category(tags: Column) -> Column:
@@ -31,9 +32,14 @@ def extract_articles(entries: DataFrame, as_of: datetime, limit_per_source: int)
 
     Entries carry source, source_country, source_pos, feed_pos, url, html,
     title, author, published, updated and tags. The first entries of every
-    feed count, including unusable ones; pages are parsed after that choice.
+    feed count, including unusable ones. They are chosen by position alone, so
+    only the chosen pages are read whole and none of them is shuffled before.
     """
-    chosen = first_n_per_source(entries, limit_per_source).filter(F.col("url") != "")
+    place = ["source", "feed_pos"]
+    first = first_n_per_source(entries.select(*place), limit_per_source)
+    chosen = entries.join(broadcast_if_small(first), place, "left_semi").filter(
+        F.col("url") != ""
+    )
     cleaned = chosen.withColumn("html", html.drop_boilerplate(F.col("html")))
     parsed = cleaned.select(
         "source",
@@ -50,7 +56,11 @@ def extract_articles(entries: DataFrame, as_of: datetime, limit_per_source: int)
         html.canonical_url(F.col("html")).alias("canonical_url"),
         dates.iso_utc(moment(as_of)).alias("scraped_at"),
     )
-    titled = parsed.filter(F.col("title") != "").withColumn(
+    identified = parsed.withColumn(
         "article_id", urls.article_id(F.col("canonical_url"), F.col("url"))
     )
-    return keep_first(titled).select(*schemas.BRONZE.names)
+    # untitled entries rank last and go after the choice: as a filter before it,
+    # the title of every page would be worked out ahead of the join above
+    order = [F.col("title") == "", F.col("source_pos"), F.col("feed_pos")]
+    unique = first_n(identified, ["article_id"], order, 1)
+    return unique.filter(F.col("title") != "").select(*schemas.BRONZE.names)
