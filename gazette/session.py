@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -47,17 +46,16 @@ def build_session(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the session names it.
+    """The folder all executors share: spark.checkpoint.dir, else one below the warehouse.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    The session's checkpoints go there too, if it has no folder for them yet.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="gazette-"))
-        folder = context.getCheckpointDir()
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
