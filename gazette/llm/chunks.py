@@ -151,8 +151,10 @@ class Texts:
 
 
 def unpack(table: pa.Table) -> Texts:
+    """The texts in an order that does not depend on the shuffle."""
     parts = [
-        unsqueeze(payload.as_py(), np.int64, np.int64, np.uint8) for payload in table["payload"]
+        unsqueeze(payload, np.int64, np.int64, np.uint8)
+        for payload in sorted(table["payload"].to_pylist())
     ]
     if not parts:
         empty = np.zeros(0, np.int64)

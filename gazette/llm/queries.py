@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm import repeats
+from gazette.llm import repeats, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,17 @@ def _span_length(spans: str):
     return F.aggregate(spans, F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
 
 
+def op9_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents"), width=50)
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        _span_length("removed").alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op10_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.repeated_windows(table(spark, sf_dir, "documents"), width=35)
     return found.select(
@@ -31,6 +42,7 @@ def op10_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op9_suffix_repeats": op9_suffix_repeats,
     "op10_repeated_windows": op10_repeated_windows,
 }
 ORACLES: dict[str, str] = {}
