@@ -91,17 +91,29 @@ class Chunks:
     """The packed texts of documents (doc_id, text), dealt by id or by ranges of it.
 
     With `ordered`, a smaller doc_id never lies in a later chunk. A null doc_id
-    counts as the smallest, a null text as empty.
+    counts as the smallest, a null text as empty. `mark` names a boolean column
+    that goes along (null: false).
     """
 
-    def __init__(self, docs: DataFrame, ordered: bool = False, chunk_bytes: int = CHUNK_BYTES):
-        docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    def __init__(
+        self,
+        docs: DataFrame,
+        ordered: bool = False,
+        chunk_bytes: int = CHUNK_BYTES,
+        mark: str | None = None,
+    ):
+        docs = docs.select(
+            F.col("doc_id").cast("long"),
+            F.col("text").cast("string"),
+            F.coalesce(F.col(mark), F.lit(False)) if mark else F.lit(False),
+        )
         n = self.n = max(4, math.ceil(total_bytes(docs) / chunk_bytes))
         bounds = id_bounds(docs, n) if ordered else None
 
         def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 ids, (body, offsets) = ids_of(batch.column(0)), string_parts(batch.column(1))
+                marks = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
                 if bounds is None:
                     to = spread(mix(ids.view(np.uint64)), n)
                 else:
@@ -113,7 +125,7 @@ class Chunks:
                     texts = [body[offsets[r] : offsets[r + 1]] for r in rows]
                     sizes = np.array([len(t) for t in texts], np.int64)
                     joined = np.concatenate(texts) if texts else np.zeros(0, np.uint8)
-                    payloads.append(squeeze(ids[rows], sizes, joined))
+                    payloads.append(squeeze(ids[rows], sizes, joined, marks[rows]))
                 if payloads:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(chunk, pa.int32()), pa.array(payloads, pa.binary())],
@@ -143,22 +155,22 @@ class Chunks:
 
 
 class Texts:
-    """The texts of a chunk: ids, and bytes with the offsets of their borders."""
+    """The texts of a chunk: ids, marks, and bytes with the offsets of their borders."""
 
-    def __init__(self, ids: np.ndarray, sizes: np.ndarray, body: np.ndarray):
-        self.ids, self.body = ids, body
+    def __init__(self, ids: np.ndarray, sizes: np.ndarray, body: np.ndarray, marks: np.ndarray):
+        self.ids, self.body, self.marks = ids, body, marks
         self.offsets = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
 
 
 def unpack(table: pa.Table) -> Texts:
     """The texts in an order that does not depend on the shuffle."""
     parts = [
-        unsqueeze(payload, np.int64, np.int64, np.uint8)
+        unsqueeze(payload, np.int64, np.int64, np.uint8, bool)
         for payload in sorted(table["payload"].to_pylist())
     ]
     if not parts:
         empty = np.zeros(0, np.int64)
-        return Texts(empty, empty, np.zeros(0, np.uint8))
+        return Texts(empty, empty, np.zeros(0, np.uint8), np.zeros(0, bool))
     return Texts(*(np.concatenate(column) for column in zip(*parts, strict=True)))
 
 

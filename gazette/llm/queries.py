@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm import repeats, suffixes
+from gazette.llm import katz, repeats, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,21 @@ def _span_length(spans: str):
     return F.aggregate(spans, F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
 
 
+def remainder(key: str, of: int):
+    """crc32 of an id as text, modulo a number."""
+    return F.crc32(F.col(key).cast("string")) % of
+
+
+def op6_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = katz.katz_scores(docs.withColumn("train", remainder("doc_id", 7) != 2), order=2)
+    return scored.select(
+        "doc_id",
+        (remainder("doc_id", 7) == 2).alias("held_out"),
+        *("n_tokens", "n_known", "train_tokens", "base_score", "score"),
+    )
+
+
 def op9_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.remove_repeats(table(spark, sf_dir, "documents"), width=50)
     return found.select(
@@ -42,6 +57,7 @@ def op10_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op6_katz_scores": op6_katz_scores,
     "op9_suffix_repeats": op9_suffix_repeats,
     "op10_repeated_windows": op10_repeated_windows,
 }
