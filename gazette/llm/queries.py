@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm import katz, repeats, suffixes
+from gazette.llm import katz, repeats, simhash, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,10 @@ def op6_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, radius=2)
+
+
 def op9_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.remove_repeats(table(spark, sf_dir, "documents"), width=50)
     return found.select(
@@ -58,6 +62,7 @@ def op10_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op6_katz_scores": op6_katz_scores,
+    "op8_simhash_groups": op8_simhash_groups,
     "op9_suffix_repeats": op9_suffix_repeats,
     "op10_repeated_windows": op10_repeated_windows,
 }
