@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm import katz, repeats, simhash, suffixes
+from gazette.llm import katz, multiindex, repeats, simhash, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,10 @@ def _span_length(spans: str):
     return F.aggregate(spans, F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
 
 
+def op2_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.linked(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def remainder(key: str, of: int):
     """crc32 of an id as text, modulo a number."""
     return F.crc32(F.col(key).cast("string")) % of
@@ -61,6 +65,7 @@ def op10_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_embedding_links": op2_embedding_links,
     "op6_katz_scores": op6_katz_scores,
     "op8_simhash_groups": op8_simhash_groups,
     "op9_suffix_repeats": op9_suffix_repeats,
