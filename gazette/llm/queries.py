@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm import katz, multiindex, repeats, simhash, suffixes
+from gazette.llm import katz, multiindex, quality, repeats, simhash, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,15 +20,29 @@ def _span_length(spans: str):
     return F.aggregate(spans, F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
 
 
-def op2_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return multiindex.linked(table(spark, sf_dir, "embeddings"), threshold=0.98)
-
-
 def remainder(key: str, of: int):
     """crc32 of an id as text, modulo a number."""
     return F.crc32(F.col(key).cast("string")) % of
 
 
+def op1_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.quality_scores(
+        table(spark, sf_dir, "documents"),
+        table(spark, sf_dir, "labels"),
+        train=remainder("doc_id", 5) != 0,
+    )
+    return scored.select(
+        "doc_id",
+        (remainder("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+def op2_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.linked(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op6_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = katz.katz_scores(docs.withColumn("train", remainder("doc_id", 7) != 2), order=2)
@@ -65,6 +79,7 @@ def op10_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_scores": op1_quality_scores,
     "op2_embedding_links": op2_embedding_links,
     "op6_katz_scores": op6_katz_scores,
     "op8_simhash_groups": op8_simhash_groups,
