@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm import katz, multiindex, quality, repeats, simhash, suffixes
+from gazette.llm import katz, mixing, multiindex, quality, repeats, simhash, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +43,10 @@ def op2_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiindex.linked(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"), weights=(1, 2, 3), limit=3).taken()
+
+
 def op6_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = katz.katz_scores(docs.withColumn("train", remainder("doc_id", 7) != 2), order=2)
@@ -81,6 +85,7 @@ def op10_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_scores": op1_quality_scores,
     "op2_embedding_links": op2_embedding_links,
+    "op4_source_mix": op4_source_mix,
     "op6_katz_scores": op6_katz_scores,
     "op8_simhash_groups": op8_simhash_groups,
     "op9_suffix_repeats": op9_suffix_repeats,
