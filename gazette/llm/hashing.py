@@ -15,6 +15,9 @@ BLOCK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_NOT_ALPHANUMERIC = np.ones(128, bool)
+_NOT_ALPHANUMERIC[[*range(48, 58), *range(65, 91), *range(97, 123)]] = False
+_NOT_ALPHANUMERIC = np.concatenate([_NOT_ALPHANUMERIC, np.zeros(128, bool)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -36,7 +39,7 @@ def powers(n: int, base: int = BASE) -> tuple[np.ndarray, np.ndarray]:
     """base^i and base^-i modulo 2^64 for i up to n."""
     known = _powers.get(base)
     if known is None or len(known[0]) <= n:
-        size = max(n + 1, 1 << 16)
+        size = max(1 << 16, 1 << int(n).bit_length())
         both = []
         for b in (base, pow(base, -1, 1 << 64)):
             steps = np.full(size, b, np.uint64)
@@ -83,15 +86,20 @@ def blocks(offsets: np.ndarray, size: int = BLOCK_BYTES):
 
 
 class Words:
-    """The words of a block: runs of bytes that are not ASCII white space."""
+    """The words of a block: runs of bytes that are not ASCII white space.
 
-    def __init__(self, body: np.ndarray, offsets: np.ndarray, lower: bool = False):
+    With `plain`, runs of ASCII letters, digits and any other characters than ASCII.
+    """
+
+    def __init__(
+        self, body: np.ndarray, offsets: np.ndarray, lower: bool = False, plain: bool = False
+    ):
         begin = int(offsets[0])
         self.body = body[begin : int(offsets[-1])]
         if lower:
             self.body = _LOWER[self.body]
         borders = offsets - begin
-        space = _SPACE[self.body]
+        space = (_NOT_ALPHANUMERIC if plain else _SPACE)[self.body]
         before, after = np.ones(len(space), bool), np.ones(len(space), bool)
         before[1:], after[:-1] = space[:-1], space[1:]
         full = borders[1:] > borders[:-1]

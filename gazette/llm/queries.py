@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm import katz, mixing, multiindex, quality, repeats, simhash, suffixes
+from gazette.llm import decontamination, katz, mixing, multiindex, quality, repeats, simhash, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +57,11 @@ def op6_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_benchmark_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontamination.hits(documents, items)
+
+
 def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, radius=2)
 
@@ -87,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op2_embedding_links": op2_embedding_links,
     "op4_source_mix": op4_source_mix,
     "op6_katz_scores": op6_katz_scores,
+    "op7_benchmark_hits": op7_benchmark_hits,
     "op8_simhash_groups": op8_simhash_groups,
     "op9_suffix_repeats": op9_suffix_repeats,
     "op10_repeated_windows": op10_repeated_windows,
