@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm import decontamination, katz, mixing, multiindex, quality, repeats, simhash, suffixes
+from gazette.llm import (
+    decontamination,
+    katz,
+    mixing,
+    multiindex,
+    pii,
+    quality,
+    repeats,
+    simhash,
+    suffixes,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +53,35 @@ def op2_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiindex.linked(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
+def _joined(spans):
+    """kind:start:end of spans, by kind as listed and start, comma-joined."""
+    kinds = F.array(*[F.lit(k) for k in pii.KINDS])
+    ranked = F.transform(
+        spans, lambda s: F.struct(F.array_position(kinds, s["kind"]), s["start"], s["end"], s["kind"])
+    )
+    return F.array_join(
+        F.transform(
+            F.array_sort(ranked), lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
+        ),
+        ",",
+    )
+
+
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *(count(kind) for kind in pii.KINDS),
+        F.sha2(_joined(base), 256).alias("base_sha256"),
+        _joined("spans").alias("spans"),
+    )
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"), weights=(1, 2, 3), limit=3).taken()
 
@@ -90,6 +129,7 @@ def op10_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_scores": op1_quality_scores,
     "op2_embedding_links": op2_embedding_links,
+    "op3_personal_data": op3_personal_data,
     "op4_source_mix": op4_source_mix,
     "op6_katz_scores": op6_katz_scores,
     "op7_benchmark_hits": op7_benchmark_hits,
