@@ -15,6 +15,7 @@ from gazette.llm import (
     pii,
     quality,
     repeats,
+    secrets,
     simhash,
     suffixes,
 )
@@ -86,6 +87,17 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"), weights=(1, 2, 3), limit=3).taken()
 
 
+def op5_secret_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "position",
+        F.length("value").cast("long").alias("length"),
+        F.sha2("value", 256).alias("value_sha256"),
+        "probability",
+    )
+
+
 def op6_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = katz.katz_scores(docs.withColumn("train", remainder("doc_id", 7) != 2), order=2)
@@ -131,6 +143,7 @@ QUERIES: dict[str, Query] = {
     "op2_embedding_links": op2_embedding_links,
     "op3_personal_data": op3_personal_data,
     "op4_source_mix": op4_source_mix,
+    "op5_secret_findings": op5_secret_findings,
     "op6_katz_scores": op6_katz_scores,
     "op7_benchmark_hits": op7_benchmark_hits,
     "op8_simhash_groups": op8_simhash_groups,
