@@ -223,3 +223,17 @@ def quality_scores(docs: DataFrame, labels: DataFrame, train: Column | None = No
     shared_dir(docs.sparkSession)
     own = statistics(docs).checkpoint()
     return score(own, fit(own, labels if train is None else labels.where(train)))
+
+
+def accepted(docs: DataFrame, model: Discriminant, threshold: float) -> DataFrame:
+    """The rows of documents, all columns, whose score reaches the threshold."""
+    text = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            body, offsets = string_parts(batch.column(text).cast(pa.string()))
+            rows = [text_statistics(body, offsets[a : b + 1]) for a, b in blocks(offsets)]
+            rows = np.concatenate([np.zeros((0, len(STATISTICS)), np.int64), *rows])
+            yield batch.filter(pa.array(model.scores(rows / GRID) >= threshold))
+
+    return docs.mapInArrow(keep, docs.schema)

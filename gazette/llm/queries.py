@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from gazette.llm import (
     decontamination,
     katz,
@@ -138,6 +139,10 @@ def op10_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_scores": op1_quality_scores,
     "op2_embedding_links": op2_embedding_links,
@@ -149,5 +154,6 @@ QUERIES: dict[str, Query] = {
     "op8_simhash_groups": op8_simhash_groups,
     "op9_suffix_repeats": op9_suffix_repeats,
     "op10_repeated_windows": op10_repeated_windows,
+    "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {}

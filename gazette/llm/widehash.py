@@ -1,0 +1,198 @@
+"""SimHash with wide fingerprints, for copies that differ in more than a few bits.
+
+The share of differing bits of two fingerprints estimates the angle between the
+shingle counts, so a similarity is a radius; with 1024 bits it is estimated to a
+few hundredths. A pair that near cannot be told by equal blocks, so keys are
+samples of bits, as many tables of them as reach the target recall at the
+radius. Pairs that share a key are discarded by their pivot distances or
+verified on all bits, as in simhash.py.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from gazette.llm.chunks import as_ids, ids_of, spread, string_parts
+from gazette.llm.components import smallest_reachable
+from gazette.llm.hashing import PrefixHash, Words, blocks, inside, mix
+from gazette.llm.simhash import CROWDED, SEARCH_ROWS, forest
+from gazette.session import shared_dir
+
+LANES = 16
+BITS = 64 * LANES
+RECALL = 0.95
+PIVOTS = mix(np.arange(101, 101 + 8 * LANES, dtype=np.uint64)).reshape(8, LANES)
+_LANE = mix(np.arange(11, 11 + LANES, dtype=np.uint64))
+_BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
+_SLICE = 1 << 12
+
+
+def wide_fingerprint(hashes: np.ndarray) -> bytes:
+    """Bits set in over half of the hashes, each widened to all lanes."""
+    ones = np.zeros(BITS, np.int64)
+    for i in range(0, len(hashes), _SLICE):
+        wide = mix(hashes[i : i + _SLICE, None] ^ _LANE).view(np.uint8).reshape(-1, BITS // 8)
+        if len(wide) < 200:
+            ones += np.unpackbits(wide, axis=1).sum(0, dtype=np.int64)
+        else:
+            cells = wide + np.arange(BITS // 8) * 256
+            counts = np.bincount(cells.ravel(), minlength=BITS * 32).reshape(-1, 256)
+            ones += (counts @ _BYTE_BITS).ravel()
+    return np.packbits(ones * 2 > len(hashes)).tobytes()
+
+
+def fingerprints(docs: DataFrame, size: int) -> DataFrame:
+    """doc_id and mark (binary) of each row of (doc_id, text)."""
+
+    def act(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            body, offsets = string_parts(batch.column(1))
+            marks = []
+            for first, last in blocks(offsets):
+                words = Words(body, offsets[first : last + 1], lower=True)
+                prefix = PrefixHash(words.hashes())
+                shingles, valid = prefix.windows(size), inside(words.borders, size, len(words.starts))
+                for a, b in zip(words.borders, words.borders[1:], strict=False):
+                    if b - a >= size:
+                        own = shingles[a : b - size + 1][valid[a : b - size + 1]]
+                    else:
+                        own = mix(prefix.ranges(np.array([a]), np.array([b])))[: b - a]
+                    marks.append(wide_fingerprint(own))
+            yield pa.RecordBatch.from_arrays(
+                [as_ids(ids_of(batch.column(0))), pa.array(marks, pa.binary())], ["doc_id", "mark"]
+            )
+
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return docs.mapInArrow(act, "doc_id long, mark binary")
+
+
+def radius_of(similarity: float) -> int:
+    """Differing bits of two texts whose shingles have this Jaccard similarity."""
+    return math.floor(BITS * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+
+
+def tables_for(rows: int, radius: int, recall: float = RECALL) -> tuple[int, int]:
+    """Bits of a key and number of tables for this many fingerprints."""
+    bits = min(40, max(12, math.ceil(math.log2(max(rows, 2))) + 2))
+    chance = (1 - radius / BITS) ** bits
+    return bits, max(1, math.ceil(math.log(1 - recall) / math.log(1 - chance)))
+
+
+def _lanes(marks: pa.Array) -> np.ndarray:
+    if isinstance(marks, pa.ChunkedArray):
+        marks = marks.combine_chunks()
+    return np.frombuffer(b"".join(marks.to_pylist()), np.uint64).reshape(-1, LANES)
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(a ^ b).sum(1, dtype=np.int64)
+
+
+def close_pairs(key: np.ndarray, marks: np.ndarray, radius: int):
+    """Pairs of rows with one key whose fingerprints are within the radius."""
+    table = np.stack([_apart(marks, p) for p in PIVOTS], 1)
+    order = np.argsort(key, kind="stable")
+    key, marks, table = key[order], marks[order], table[order]
+    left = np.arange(len(key))
+    for step in range(1, len(key)):
+        left = left[left + step < len(key)]
+        left = left[key[left] == key[left + step]]
+        if not len(left):
+            return
+        a = left[np.abs(table[left] - table[left + step]).max(1) <= radius]
+        a = a[_apart(marks[a], marks[a + step]) <= radius]
+        if len(a):
+            yield order[a], order[a + step]
+
+
+def links(marks: DataFrame, radius: int, recall: float = RECALL) -> DataFrame:
+    """Links a, b between nodes (node, mark) within the radius, a forest per key."""
+    rows = marks.count()
+    bits, tables = tables_for(rows, radius, recall)
+    rng = np.random.default_rng(5)
+    chosen = [np.sort(rng.choice(BITS, bits, replace=False)) for _ in range(tables)]
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = np.unpackbits(_lanes(batch["mark"]).view(np.uint8), axis=1)
+            place = np.uint64(1) << np.arange(bits, dtype=np.uint64)
+            keys = [own[:, c].astype(np.uint64) @ place for c in chosen]
+            keys = [mix(k + (np.uint64(t) << np.uint64(40))) for t, k in enumerate(keys)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(keys).view(np.int64)),
+                    pa.array(np.tile(batch["node"].to_numpy(), tables)),
+                ],
+                ["key", "node"],
+            )
+
+    stands = marks.mapInArrow(keyed, "key long, node long")
+    counts = stands.groupBy("key").count().where("count > 1").checkpoint()
+    parts = F.ceil(F.col("count") / CROWDED)
+    own = F.pmod(F.xxhash64("node"), parts)
+    other = F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))
+    # rows of a crowded key meet in pairs of its parts
+    units = (
+        stands.join(counts, "key")
+        .select("key", "node", own.alias("own"), other.alias("other"))
+        .select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "node")
+    )
+    n = max(4, math.ceil(rows * tables / (4 * SEARCH_ROWS)))
+
+    def bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bucket = spread(mix(batch["key"].to_numpy().view(np.uint64)), n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket, pa.int32()), *batch.columns], ["bucket", "key", "node", "mark"]
+            )
+
+    def search(group: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        node, place = np.unique(table["node"].to_numpy(), return_inverse=True)
+        pairs = close_pairs(table["key"].to_numpy(), _lanes(table["mark"]), radius)
+        root = forest(len(node), ((place[a], place[b]) for a, b in pairs))
+        moved = np.flatnonzero(root != np.arange(len(node)))
+        return pa.table({"a": pa.array(node[moved]), "b": pa.array(node[root[moved]])})
+
+    met = units.join(marks, "node").select("key", "node", "mark")
+    dealt = met.mapInArrow(bucketed, "bucket int, key long, node long, mark binary")
+    return dealt.groupBy("bucket").applyInArrow(search, "a long, b long")
+
+
+def similar_documents(
+    docs: DataFrame, size: int = 5, similarity: float = 0.8, recall: float = RECALL
+) -> DataFrame:
+    """The group of near copies of each document (doc_id, text).
+
+    Returns doc_id and component_id, the smallest doc_id reachable over pairs whose
+    shingles of `size` words (A-Z in lower case) are about as similar, by wide
+    fingerprints; a pair just at the similarity is met with the given recall, a
+    nearer one almost surely. A shorter text is one shingle; texts without words (or
+    null) are copies of each other. A null doc_id is never the smallest; a group of
+    such rows alone has a null component_id. Other columns are not read.
+    """
+    shared_dir(docs.sparkSession)
+    own = fingerprints(docs, size).checkpoint()
+    marks = (
+        own.groupBy("mark")
+        .agg(F.min("doc_id").alias("first"))
+        .withColumn("node", F.xxhash64("mark"))
+        .checkpoint()
+    )
+    reach = smallest_reachable(links(marks.select("node", "mark"), radius_of(similarity), recall))
+    linked = marks.select(F.col("node").alias("n"), "first").join(reach, F.col("n") == F.col("node"))
+    least = linked.groupBy("component").agg(F.min("first").alias("least"))
+    moved = linked.join(least, "component").select(F.col("node").alias("moved"), "least")
+    roots = marks.join(moved, marks["node"] == F.col("moved"), "left").select(
+        "node", F.coalesce("least", "first").alias("component_id")
+    )
+    return (
+        own.select("doc_id", F.xxhash64("mark").alias("node"))
+        .join(roots.checkpoint(), "node")
+        .select("doc_id", "component_id")
+    )
