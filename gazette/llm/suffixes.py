@@ -24,7 +24,7 @@ from gazette.llm.hashing import BASE, PrefixHash, blocks, covered, mix, runs
 
 REMOVED = "doc_id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary"
 #: Cells of one anchor that one task sorts; more are dealt by the hash of their windows.
-SORTED_TOGETHER = 4096
+SORTED_TOGETHER = 1024
 _OTHER_BASE = 0xD6E8FEB86659FD93
 
 
@@ -101,11 +101,12 @@ class Suffixes:
         return out
 
 
-def repeated_windows(group, rank, masks, sizes, text, width: int) -> np.ndarray:
+def repeated_windows(group, rank, masks, anchor, sizes, text, width: int) -> np.ndarray:
     """For each context, the windows that a context of lower rank in its group has too.
 
     Contexts are byte strings of the given sizes, end to end in `text`; bit i of a
-    mask stands for the window that begins at byte i.
+    mask stands for the window that begins at byte i. Equal windows have their
+    anchor at the same place, so only those are sorted together.
     """
     out = np.zeros(len(group), np.uint32)
     if not len(group):
@@ -114,12 +115,22 @@ def repeated_windows(group, rank, masks, sizes, text, width: int) -> np.ndarray:
     places = [np.flatnonzero(masks >> np.uint32(i) & np.uint32(1)) for i in range(32)]
     owner = np.concatenate(places)
     shift = np.repeat(np.arange(32), [len(p) for p in places])
-    by_group = np.argsort(group[owner], kind="stable")
-    owner, shift = owner[by_group], shift[by_group]
+    place = anchor[owner].astype(np.int64) - shift
+    by_group = np.lexsort((place, group[owner]))
+    owner, shift, place = owner[by_group], shift[by_group], place[by_group]
+    new = np.ones(len(owner), bool)
+    new[1:] = (group[owner[1:]] != group[owner[:-1]]) | (place[1:] != place[:-1])
+    together = np.cumsum(new)
+    # a suffix that stands alone needs no sorting
+    counts = np.bincount(together)
+    some = counts[together] > 1
+    owner, shift, together = owner[some], shift[some], together[some]
+    if not len(owner):
+        return out
     suffixes = Suffixes(text, begin[owner] + shift, width)
-    order = suffixes.sort(group[owner])
+    order = suffixes.sort(together)
     a, b = order[:-1], order[1:]
-    same = group[owner[a]] == group[owner[b]]
+    same = together[a] == together[b]
     near = np.flatnonzero(same)
     same[near] = suffixes.common(a[near], b[near]) == width
     near = np.flatnonzero(same)
@@ -170,9 +181,10 @@ class Cells:
             low = windows[at]
             high = windows[np.append(at[1:], len(windows)) - 1]
             number = np.searchsorted(borders, low + borders[0], side="right") - 1 + first
-            found.append((grams[anchor[at]], low + borders[0], high + borders[0], number))
-        columns = zip(*found, strict=True) if found else [np.zeros(0, np.int64)] * 4
-        key, self.low, self.high, self.number = (
+            place = (anchor[at] - low).astype(np.uint8)
+            found.append((grams[anchor[at]], low + borders[0], high + borders[0], number, place))
+        columns = zip(*found, strict=True) if found else [np.zeros(0, np.int64)] * 5
+        key, self.low, self.high, self.number, self.anchor = (
             np.concatenate(c) if found else c for c in columns
         )
         self.key, self.width = key.astype(np.uint64), width
@@ -315,7 +327,9 @@ def remove_repeats(docs: DataFrame, width: int = 50, **options) -> DataFrame:
         bodies = []
         for a, b in zip(np.concatenate(([0], ends[:-1])), ends, strict=True):
             sizes, joined = cells.contexts(texts, cell[a:b])
-            bodies.append(C.squeeze(group[a:b], mask[a:b], sizes, joined))
+            bodies.append(
+                C.squeeze(group[a:b], mask[a:b], cells.anchor[cell[a:b]], sizes, joined)
+            )
         return pa.table(
             {
                 "bucket": pa.array(np.arange(n), pa.int32()),
@@ -327,12 +341,13 @@ def remove_repeats(docs: DataFrame, width: int = 50, **options) -> DataFrame:
     def sort_edges(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         chunks = table["chunk"].to_numpy()
         parts = [
-            C.unsqueeze(b.as_py(), np.uint64, np.uint32, np.int64, np.uint8) for b in table["body"]
+            C.unsqueeze(b.as_py(), np.uint64, np.uint32, np.uint8, np.int64, np.uint8)
+            for b in table["body"]
         ]
-        group, mask, sizes, text = (np.concatenate(c) for c in zip(*parts, strict=True))
+        group, mask, anchor, sizes, text = (np.concatenate(c) for c in zip(*parts, strict=True))
         counts = [len(p[0]) for p in parts]
         rank = np.repeat(chunks.astype(np.int64), counts)
-        found = repeated_windows(group, rank, mask, sizes, text, width)
+        found = repeated_windows(group, rank, mask, anchor, sizes, text, width)
         ends = np.cumsum(counts)
         return pa.table(
             {
@@ -435,6 +450,6 @@ def _within(texts, cells: Cells, width: int) -> np.ndarray:
     some = which[stands]
     sizes, joined = cells.contexts(texts, some)
     out[some] |= repeated_windows(
-        cells.place[some], ids[some], cells.masks(some), sizes, joined, width
+        cells.place[some], ids[some], cells.masks(some), cells.anchor[some], sizes, joined, width
     )
     return out
