@@ -35,6 +35,7 @@ def main() -> None:
     conf = {
         **scale_conf(bytes_in, cores),
         "spark.sql.shuffle.partitions": str(cores),
+        "spark.gazette.spread": str(cores),
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",

@@ -26,15 +26,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A text table, spread over the session's cores if it is one small file.
+    """A text table; with spark.gazette.spread set, dealt to that many tasks first.
 
-    A file with a single row group is one task. A large table has many files
-    and is read as it is, without this extra shuffle.
+    A small table is one file with one row group, hence one task; who knows this of
+    the input sets the number. Otherwise the table is read as it is.
     """
     df = table(spark, sf_dir, name)
-    if len(df.inputFiles()) > 1:
-        return df
-    return df.repartition(spark.sparkContext.defaultParallelism, key)
+    spread = spark.conf.get("spark.gazette.spread", None)
+    return df.repartition(int(spread), key) if spread else df
 
 
 def _text(*parts: str | Column) -> Column:

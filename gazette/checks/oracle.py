@@ -384,6 +384,8 @@ UNION ALL
 SELECT {DETAIL_COLUMNS.replace('created_at', f'coalesce(born, {AS_OF}) AS created_at')}
 FROM incoming LEFT JOIN {PREV} ON article_id = id"""
 EXPIRED = f"coalesce(quarantine AND ingested_at < {AS_OF} - INTERVAL 7 DAY, false)"
+_APPROVED = f"""quarantine AND article_id NOT IN (
+  SELECT article_id FROM ({RECENT.format('existing')}) WHERE quarantine) AS quarantine"""
 CHECKS = f"""
 SELECT 'articles_detail.title_null' AS name,
   (SELECT count(*) FROM existing WHERE coalesce(title, '') = '') AS value
@@ -415,14 +417,15 @@ def language_of(key, table, column):
 
     def grams(columns, source, x):
         return f"""SELECT {columns},
-  unnest([c[i] || c[i+1] || c[i+2] for i in range(1, len(c) - 1)]) AS gram
+  unnest([((unicode(c[i]) * 7919 + unicode(c[i+1]) * 104729 + unicode(c[i+2]) * 1299709) % 262144)
+    for i in range(1, len(c) - 1)]) AS gram
 FROM (SELECT {columns}, string_split(' ' || lower({norm(x)}) || ' ', '') AS c FROM {source})"""
 
     return f"""
-counted AS (SELECT lang, gram, count(*) AS n FROM ({grams('lang', 'documents', 'text')})
+taught AS (SELECT lang, text FROM documents
+  WHERE substr(md5(doc_id::VARCHAR), 1, 1) NOT IN ('0', '1', '2')),
+frequent AS (SELECT lang, gram, count(*) AS n FROM ({grams('lang', 'taught', 'text')})
   GROUP BY 1, 2),
-frequent AS (SELECT lang, gram, n FROM (SELECT *, row_number() OVER (PARTITION BY lang
-  ORDER BY n DESC, gram) AS rn FROM counted) WHERE rn <= 1000),
 totals AS (SELECT lang, sum(n) AS total FROM frequent GROUP BY 1),
 vocabulary AS (SELECT DISTINCT gram FROM frequent),
 scores AS (SELECT v.gram, t.lang, round(ln((coalesce(f.n, 0) + 1)
@@ -482,8 +485,10 @@ UNION ALL SELECT '20240131_010000', count(*) FROM batch WHERE url IS NOT NULL"""
         "lake",
     ),
     "silver_snapshot": sql(
-        f"""SELECT '20240131_010000' AS run_ts, article_id, content_length::INT AS content_length,
-  word_count::INT AS word_count FROM measured
+        f"""SELECT '20240131_010000' AS run_ts, article_id, title, author, content, source, category,
+  published_at, url, canonical_url, coalesce(scraped_at, created_at) AS scraped_at, content_clean,
+  title_normalized, content_length::INT AS content_length, word_count::INT AS word_count,
+  detected_language, data_quality_score, {AS_OF} AS silver_timestamp FROM measured
 WHERE coalesce(scraped_at, created_at) > {AS_OF} - INTERVAL 1 HOUR""",
         "measured",
     ),
@@ -621,8 +626,8 @@ FROM (SELECT *, {host('u')} AS h, {path('u')} AS p FROM (
         "articles",
     ),
     "split_quarantine": sql(
-        f"""SELECT CASE WHEN quarantine THEN 'quarantined' ELSE 'reliable' END AS side, source,
-  article_id FROM ({RECENT.format('detail')})""",
+        f"""SELECT CASE WHEN quarantine THEN 'quarantined' ELSE 'reliable' END AS side,
+  {DETAIL_COLUMNS} FROM ({RECENT.format('detail')})""",
         "detail",
     ),
     "country_lookup": sql(
@@ -694,9 +699,7 @@ FROM (SELECT count(*) AS n, count(*) FILTER ({norm('title')} = '') AS t,
 FROM ({RECENT.format('detail')})""",
         "detail",
     ),
-    "dedup_keep_last": sql(
-        "SELECT url, article_id, scraped_at, ingestion_mode FROM latest", "latest"
-    ),
+    "dedup_keep_last": sql("SELECT * FROM latest", "latest"),
     "top_source": sql(
         """SELECT coalesce(max(source), 'N/A') AS source,
   coalesce(max(articles_count), 0) AS articles_count FROM (
@@ -716,10 +719,7 @@ WHERE source = 'BBC News' ORDER BY published_at DESC NULLS FIRST, article_id LIM
     ),
     "sources_top5": sql(f"{BY_SOURCE} ORDER BY 2 DESC, 1 NULLS LAST LIMIT 5", "detail"),
     "countries_ranked": sql(BY_COUNTRY, "detail", "sources"),
-    "bronze_union": sql(
-        "SELECT article_id, url, scraped_at, ingestion_mode, stream_received_at FROM bronze",
-        "bronze",
-    ),
+    "bronze_union": sql("SELECT * FROM bronze", "bronze"),
     "distinct_sources": sql("SELECT DISTINCT source FROM detail", "detail"),
     "source_options": sql(
         """SELECT source, min(position) AS position FROM (
@@ -737,14 +737,16 @@ FROM incoming LEFT JOIN {PREV} ON article_id = id WHERE coalesce(was, false) <>
         "existing", "incoming",
     ),
     "replace_by_key": sql(
-        """SELECT article_id, title_normalized, content_length::INT AS content_length,
-  word_count::INT AS word_count, scraped_at FROM measured WHERE doc_id IN (
+        """SELECT article_id, title, title_normalized, author, content, content_clean,
+  content_length::INT AS content_length, word_count::INT AS word_count, source, category,
+  detected_language, published_at, url, canonical_url, data_quality_score, scraped_at
+FROM measured WHERE doc_id IN (
     SELECT doc_id FROM incoming UNION ALL SELECT doc_id FROM existing
     WHERE article_id NOT IN (SELECT article_id FROM incoming))""",
         "measured", "existing", "incoming",
     ),
     "purge_articles": sql(
-        f"SELECT article_id, quarantine, ingested_at FROM existing WHERE NOT {EXPIRED}", "existing"
+        f"SELECT {DETAIL_COLUMNS} FROM existing WHERE NOT {EXPIRED}", "existing"
     ),
     "purge_audit": sql(
         f"""SELECT * FROM audit WHERE article_id NOT IN (
@@ -758,9 +760,7 @@ FROM incoming LEFT JOIN {PREV} ON article_id = id WHERE coalesce(was, false) <>
         "existing", "audit",
     ),
     "approve_articles": sql(
-        f"""SELECT article_id, quarantine AND article_id NOT IN (
-  SELECT article_id FROM ({RECENT.format('existing')}) WHERE quarantine) AS quarantine
-FROM existing""",
+        f"""SELECT {DETAIL_COLUMNS.replace('quarantine', _APPROVED)} FROM existing""",
         "existing",
     ),
     "approve_audit": sql(
@@ -769,8 +769,11 @@ FROM existing""",
         "existing",
     ),
     "evolve_schema": sql(
-        """SELECT article_id, title, created_at, NULL::VARCHAR AS canonical_url,
-  false AS quarantine FROM existing""",
+        "SELECT "
+        + DETAIL_COLUMNS.replace("canonical_url", "NULL::VARCHAR AS canonical_url").replace(
+            "quarantine", "false AS quarantine"
+        )
+        + " FROM existing",
         "existing",
     ),
     "transformation_audit": sql(
@@ -779,8 +782,8 @@ FROM existing""",
     SELECT article_id, doc_id, 'title_normalized' AS transformation_type, title AS input_value,
       title_normalized AS output_value FROM measured
     UNION ALL SELECT article_id, doc_id, 'content_clean', content, content_clean FROM measured)
-WHERE input_value IS DISTINCT FROM output_value AND doc_id IN (SELECT doc_id FROM incoming)""",
-        "measured", "incoming",
+WHERE input_value IS DISTINCT FROM output_value""",
+        "measured",
     ),
     "silver_warehouse": sql(
         f"""
@@ -816,7 +819,7 @@ FROM lake LEFT JOIN languages ON key = coalesce(url, ' ')""",
         "existing", "audit", "measured",
     ),
     "stream_decode": sql(
-        f"""SELECT article_id, title, 'streaming' AS ingestion_mode, scraped_at,
+        f"""SELECT {BRONZE_COLUMNS}, 'streaming' AS ingestion_mode, ingested_at,
   {iso(AS_OF)} AS stream_received_at FROM batch WHERE category IS NOT NULL""",
         "batch",
     ),
@@ -830,4 +833,30 @@ FROM lake LEFT JOIN languages ON key = coalesce(url, ' ')""",
         "batch",
     ),
     "stream_upsert": sql(UPSERTED, "existing", "incoming"),
+    "set_aside": sql(
+        """WITH arrived AS (SELECT * FROM batch
+  WHERE scraped_at > '2024-01-31T00:00:00.000000+00:00')
+SELECT reason, n FROM (
+  SELECT 'no article_id' AS reason, count(*) AS n FROM arrived WHERE category IS NULL
+  UNION ALL SELECT 'article_id repeated in the batch', count(*) - count(DISTINCT article_id)
+    FROM arrived WHERE category IS NOT NULL
+  UNION ALL SELECT 'not an article', count(*) FROM arrived WHERE category IS NULL
+  UNION ALL SELECT 'empty message', count(*) FROM arrived WHERE title IS NULL) WHERE n > 0""",
+        "batch",
+    ).replace("\nWITH arrived AS (", ",\narrived AS ("),
+    "silver_lake_hours": sql("SELECT *, 'unknown' AS language FROM lake", "lake"),
+    "sources_dim": sql(
+        "SELECT name, country, rss_url, count(article_id) AS articles_count FROM (VALUES "
+        + ", ".join(f"('{n}', '{c}', '{u}')" for n, c, u in C.SOURCES)
+        + ") v(name, country, rss_url) LEFT JOIN articles ON source = name GROUP BY ALL",
+        "articles",
+    ),
+}
+# The same operations on stored tables give what they give on frames.
+ORACLES |= {
+    "stored_purge": ORACLES["purge_articles"],
+    "stored_purge_audit": ORACLES["purge_audit"],
+    "stored_approve": ORACLES["approve_articles"],
+    "stored_backfill": ORACLES["backfill_audit"],
+    "batch_ingest": ORACLES["extract_articles"],
 }

@@ -21,7 +21,7 @@ from gazette.plans import jobs
 from gazette.plans import silver as silver_plan
 from gazette.plans.ingest import ingest
 from gazette.session import run_dir
-from gazette.sources import bronze, keyed, messages, warehouse
+from gazette.sources import bronze, messages, warehouse
 from gazette.streaming import ingest as stream
 from gazette.streaming import upsert as stream_table
 
@@ -129,9 +129,7 @@ def silver_snapshot(spark, sf):
     root = run_dir(spark, "silver")
     rows = silver_plan.warehouse_silver(_detail_as_scraped(spark, sf), AS_OF)
     warehouse.write_run_snapshot(rows, root, AS_OF)
-    return spark.read.parquet(root).select(
-        F.col("run_ts").cast("string").alias("run_ts"), "article_id", "content_length", "word_count"
-    )
+    return spark.read.parquet(root).withColumn("run_ts", F.col("run_ts").cast("string"))
 
 
 def _detail_as_scraped(spark, sf):
@@ -146,10 +144,11 @@ def gold_publish(spark, sf):
     root = run_dir(spark, "warehouse")
     detail = _detail(spark, sf)
     undated = detail.filter("published_at IS NULL")
+    warehouse.publish(spark, root, gold_plan.warehouse_tables(undated, AS_OF), AS_OF)
+    # the later load is current although it is for an earlier time
     warehouse.publish(
-        spark, root, "load-1", gold_plan.warehouse_tables(undated, AS_OF), AS_OF.replace(hour=0)
+        spark, root, gold_plan.warehouse_tables(detail, AS_OF), AS_OF.replace(hour=0)
     )
-    warehouse.publish(spark, root, "load-2", gold_plan.warehouse_tables(detail, AS_OF), AS_OF)
     keys = {**{t: gold.COUNT_KEYS[t] for t in gold.WAREHOUSE_TABLES}, "top_keywords": "keyword"}
     return _long(spark, {t: warehouse.read(spark, root, t) for t in keys}, keys)
 
@@ -307,9 +306,15 @@ def detect_language_vote(spark, sf):
 
 @register
 def detect_language_ngram(spark, sf):
-    """Profile from the labelled documents, then every document's language."""
+    """Profile from most of the labelled documents, then every document's language."""
     documents = corpus.texts(spark, sf, "documents", "doc_id")
-    return identify(documents, "doc_id", "text", train(documents, "text", "lang"))
+    return identify(documents, "doc_id", "text", _profile(documents))
+
+
+def _profile(documents):
+    """Learnt from documents that are not held out by a hash of their id."""
+    held_out = F.substring(F.md5(F.col("doc_id").cast("string")), 1, 1).isin("0", "1", "2")
+    return train(documents.where(~held_out), "text", "lang")
 
 
 @register
@@ -380,7 +385,7 @@ def split_quarantine(spark, sf):
     recent = ranking.recent_per_source(_detail(spark, sf))
     shown, held = rules.split_quarantine(recent)
     side = [(shown, "reliable"), (held, "quarantined")]
-    parts = [df.select(F.lit(name).alias("side"), "source", "article_id") for df, name in side]
+    parts = [df.withColumn("side", F.lit(name)) for df, name in side]
     return parts[0].unionByName(parts[1])
 
 
@@ -492,8 +497,7 @@ def recent_per_source(spark, sf):
 
 @register
 def dedup_keep_last(spark, sf):
-    rows = ranking.keep_last(_bronze(spark, sf))
-    return rows.select("url", "article_id", "scraped_at", "ingestion_mode")
+    return ranking.keep_last(_bronze(spark, sf))
 
 
 # Sorts, limits and sets
@@ -537,9 +541,7 @@ def countries_ranked(spark, sf):
 
 @register
 def bronze_union(spark, sf):
-    return _bronze(spark, sf).select(
-        "article_id", "url", "scraped_at", "ingestion_mode", "stream_received_at"
-    )
+    return _bronze(spark, sf)
 
 
 @register
@@ -568,7 +570,8 @@ def quarantine_audit_delta(spark, sf):
 @register
 def replace_by_key(spark, sf):
     """Silver rows of earlier articles, with the last hour's rows put in."""
-    columns = ["article_id", "title_normalized", "content_length", "word_count", "scraped_at"]
+    judged = ("quarantine", "silver_timestamp")
+    columns = [c for c in schemas.ARTICLES_SILVER.names if c not in judged]
     old = silver_plan.with_warehouse_text(corpus.existing(spark, sf)).select(*columns)
     new = silver_plan.with_warehouse_text(corpus.incoming(spark, sf)).select(*columns)
     return maintenance.replace_by_key(old, new)
@@ -576,8 +579,7 @@ def replace_by_key(spark, sf):
 
 @register
 def purge_articles(spark, sf):
-    kept = maintenance.purge_articles(_existing(spark, sf), AS_OF)
-    return kept.select("article_id", "quarantine", "ingested_at")
+    return maintenance.purge_articles(_existing(spark, sf), AS_OF)
 
 
 @register
@@ -597,8 +599,7 @@ def _approved_ids(spark, sf):
 
 @register
 def approve_articles(spark, sf):
-    approved = maintenance.approve_articles(_existing(spark, sf), _approved_ids(spark, sf))
-    return approved.select("article_id", "quarantine")
+    return maintenance.approve_articles(_existing(spark, sf), _approved_ids(spark, sf))
 
 
 @register
@@ -609,7 +610,7 @@ def approve_audit(spark, sf):
 @register
 def evolve_schema(spark, sf):
     """An old article table gains its later columns, existing ones stay."""
-    old = _existing(spark, sf).select("article_id", "title", "created_at")
+    old = _existing(spark, sf).drop("canonical_url", "quarantine")
     return maintenance.evolve_schema(
         old,
         {
@@ -622,7 +623,7 @@ def evolve_schema(spark, sf):
 
 @register
 def transformation_audit(spark, sf):
-    rows = silver_plan.with_warehouse_text(corpus.incoming(spark, sf)).withColumn(
+    rows = silver_plan.with_warehouse_text(corpus.detail(spark, sf)).withColumn(
         "silver_timestamp", filters.moment(AS_OF)
     )
     return maintenance.transformation_audit(rows, AS_OF)
@@ -647,8 +648,7 @@ def silver_warehouse(spark, sf):
 @register
 def silver_lake(spark, sf):
     documents = corpus.texts(spark, sf, "documents", "doc_id")
-    profile = train(documents, "text", "lang")
-    return silver_plan.lake_silver(_bronze(spark, sf), profile)
+    return silver_plan.lake_silver(_bronze(spark, sf), _profile(documents))
 
 
 # Data quality
@@ -690,10 +690,7 @@ def stream_decode(spark, sf):
     whole = messages.to_message_value(articles.filter("category IS NOT NULL"))
     cut = messages.to_message_value(articles.filter("category IS NULL"))
     arrived = whole.unionByName(cut.select(F.concat(F.lit("{"), "value").alias("value")))
-    decoded = stream.decode(arrived, filters.moment(AS_OF))
-    return decoded.select(
-        "article_id", "title", "ingestion_mode", "scraped_at", "stream_received_at"
-    )
+    return stream.decode(arrived, filters.moment(AS_OF))
 
 
 @register
@@ -701,7 +698,7 @@ def stream_drain(spark, sf):
     """All messages through the stream in several batches, twice on one checkpoint."""
     path, root = _messages(spark, sf), run_dir(spark, "bronze")
     for _ in range(2):
-        arrived = stream.decode(stream.read_files(spark, path, files_per_batch=2))
+        arrived = stream.read_files(spark, path, files_per_batch=2)
         stream.drain_to_hours(arrived, root, f"{root}/checkpoint")
     return bronze.scan(spark, f"{root}/streaming").drop("stream_received_at")
 
@@ -710,8 +707,7 @@ def stream_drain(spark, sf):
 def stream_sink(spark, sf):
     """Rows per ingestion mode in the hour folders of a drained stream."""
     path, root = _messages(spark, sf), run_dir(spark, "bronze")
-    arrived = stream.decode(stream.read_files(spark, path))
-    stream.drain_to_hours(arrived, root, f"{root}/checkpoint")
+    stream.drain_to_hours(stream.read_files(spark, path), root, f"{root}/checkpoint")
     written = spark.read.schema(
         T.StructType(schemas.BRONZE_STREAM.fields + schemas.HOUR_FOLDERS)
     ).json(f"{root}/streaming")
@@ -721,21 +717,124 @@ def stream_sink(spark, sf):
     )
 
 
-@register
-def stream_upsert(spark, sf):
-    """The last hour's articles streamed into the article table, then compacted."""
-    path, root = run_dir(spark, "messages"), run_dir(spark, "table")
-    names = schemas.BRONZE.names
-    fresh = corpus.incoming(spark, sf).select(
-        *[c for c in names if c not in ("published_at", "scraped_at", "source_country")],
+def _as_bronze(articles):
+    """Rows of the article table as they would arrive: text, taken in when scraped."""
+    names = [c for c in schemas.BRONZE.names if c not in ("published_at", "scraped_at")]
+    return articles.withColumn("source_country", F.lit(None).cast("string")).select(
+        *names,
         dates.iso_utc(F.col("published_at")).alias("published_at"),
         dates.iso_utc(F.col("ingested_at")).alias("scraped_at"),
     )
-    messages.publish_files(fresh, path)
-    detail_root = f"{root}/articles_detail"
-    keyed.create(spark, detail_root, _existing(spark, sf), AS_OF.replace(hour=0))
+
+
+@register
+def stream_upsert(spark, sf):
+    """The last hour's articles by two streams and a batch run, compacted in between."""
+    path, root = run_dir(spark, "messages"), run_dir(spark, "table")
+    fresh = _as_bronze(corpus.incoming(spark, sf))
+    first = F.substring("article_id", 1, 1)
+    jobs.create_warehouse(spark, root, AS_OF.replace(hour=0), _existing(spark, sf))
+    messages.publish_files(fresh.where(first < "5"), path)
+    for checkpoint in ("a", "a", "b"):  # a second drain, and a checkpoint that is lost
+        arrived = stream.read_files(spark, path, files_per_batch=4)
+        stream_table.drain_to_table(arrived, root, f"{root}/{checkpoint}", clock=lambda: AS_OF)
     for _ in range(2):
-        arrived = stream.decode(stream.read_files(spark, path, files_per_batch=4))
-        stream_table.drain_to_table(arrived, root, f"{root}/checkpoint", clock=lambda: AS_OF)
-    keyed.compact(spark, detail_root, schemas.ARTICLES_DETAIL, batch=1, as_of=AS_OF)
+        jobs.compact_warehouse(spark, root, AS_OF)
+        jobs.apply_batch(spark, root, fresh.where(first >= "5"), "run", 1, AS_OF)
     return jobs.detail(spark, root)
+
+
+# Stored tables
+
+
+@register
+def set_aside(spark, sf):
+    """What a batch does not take, by reason, as the tables have it."""
+    root = run_dir(spark, "table")
+    recent = corpus.bronze_batch(spark, sf).where(
+        F.col("scraped_at") > dates.iso_utc(F.lit("2024-01-31").cast("timestamp_ntz"))
+    )
+    articles = recent.select(*schemas.BRONZE.names).withColumn(
+        "article_id", F.when(F.col("category").isNotNull(), F.col("article_id"))
+    )
+    cut = messages.to_message_value(recent.where("category IS NULL"))
+    arrived = cut.select(F.concat(F.lit("{"), "value").alias("value")).unionByName(
+        recent.where("title IS NULL").select(F.lit(" ").alias("value"))
+    )
+    jobs.create_warehouse(spark, root, AS_OF)
+    jobs.apply_batch(spark, root, articles, "run", 1, AS_OF, stream.aside(arrived))
+    return jobs.set_aside(spark, root).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def _stored(spark, sf):
+    """A warehouse of the earlier articles and their audit."""
+    root = run_dir(spark, "warehouse")
+    before = AS_OF.replace(hour=0)
+    jobs.create_warehouse(spark, root, before, _existing(spark, sf), corpus.audit(spark, sf))
+    return root
+
+
+@register
+def stored_purge(spark, sf):
+    """Articles after a purge of the stored tables."""
+    root = _stored(spark, sf)
+    jobs.purge_warehouse(spark, root, AS_OF)
+    return jobs.detail(spark, root)
+
+
+@register
+def stored_purge_audit(spark, sf):
+    """Audit rows after a purge of the stored tables and a compaction."""
+    root = _stored(spark, sf)
+    jobs.purge_warehouse(spark, root, AS_OF)
+    jobs.compact_warehouse(spark, root, AS_OF)
+    return jobs.audit(spark, root)
+
+
+@register
+def stored_approve(spark, sf):
+    """Articles after an approval in the stored tables."""
+    root = _stored(spark, sf)
+    jobs.approve_in_warehouse(spark, root, _approved_ids(spark, sf), AS_OF)
+    return jobs.detail(spark, root)
+
+
+@register
+def stored_backfill(spark, sf):
+    """Audit rows after two backfills of the stored tables."""
+    root = _stored(spark, sf)
+    for _ in range(2):
+        jobs.backfill_warehouse(spark, root, AS_OF)
+    return jobs.audit(spark, root)
+
+
+@register
+def batch_ingest(spark, sf):
+    """Pages to the hour's folder and on to messages; the articles as consumers get them."""
+    root = run_dir(spark, "lake")
+    jobs.lake_ingest(spark, root, corpus.entries(spark, sf), AS_OF)
+    received = spark.read.text(f"{root}/messages")
+    return stream.decode(received, filters.moment(AS_OF)).select(*schemas.BRONZE.names)
+
+
+@register
+def silver_lake_hours(spark, sf):
+    """Lake silver built hour by hour: the batch's folder, then the stream's."""
+    root = run_dir(spark, "lake")
+    for hour, kind, rows in (
+        (0, "batch", corpus.bronze_batch(spark, sf)),
+        (1, "streaming", corpus.bronze_stream(spark, sf)),
+    ):
+        rows.write.json(f"{root}/bronze/{kind}/date=2024-01-31/hour={hour:02d}")
+        jobs.lake_silver_hour(spark, root, AS_OF.replace(hour=hour))
+    return warehouse.read(spark, f"{root}/silver", "articles_silver")
+
+
+@register
+def sources_dim(spark, sf):
+    """The configured sources with the articles each has in the table."""
+    counts = gold.count_by(corpus.articles(spark, sf), "source")
+    known = lookups.sources_dim(spark)
+    return known.join(counts, known["name"] == counts["source"], "left").select(
+        "name", "country", "rss_url", F.coalesce("articles_count", F.lit(0)).alias("articles_count")
+    )

@@ -5,11 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# RFC-822 forms by the shape of their zone, tried once a weekday name is cut off.
-RFC822_PATTERNS = {
-    r"^\d{1,2} [A-Za-z]{3} \d{4} \S+ [+-]\d{4}$": "d MMM yyyy HH:mm:ss Z",
-    r"^\d{1,2} [A-Za-z]{3} \d{4} \S+ [A-Za-z]{1,5}$": "d MMM yyyy HH:mm:ss z",
-}
+_TIME = r"(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?"
+_ZONE = r"\s*([zZ]|[+-]\d{2}(?::?\d{2})?|[A-Za-z]{2,5})?"
+# year, month, day, hour, minute, second, fraction, zone
+ISO = rf"^(\d{{4}})-(\d{{2}})-(\d{{2}})(?:[Tt ]{_TIME}{_ZONE})?$"
+ISO_BASIC = rf"^(\d{{4}})(\d{{2}})(\d{{2}})(?:[Tt](\d{{2}})(\d{{2}})(?:(\d{{2}})(?:[.,](\d{{1,9}}))?)?{_ZONE})?$"
+# day, month name, year, hour, minute, second, fraction, zone
+RFC822 = rf"^(\d{{1,2}}) ([A-Za-z]{{3}}) (\d{{4}}|\d{{2}}) {_TIME}{_ZONE}$"
+# RFC 822's names of zones, in hours from UTC
+ZONES = {
+    "z": 0, "ut": 0, "utc": 0, "gmt": 0, "est": -5, "edt": -4, "cst": -6, "cdt": -5,
+    "mst": -7, "mdt": -6, "pst": -8, "pdt": -7,
+}
+MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+MAX_OFFSET_MINUTES = 18 * 60
 
 
 def utc(instant: Column) -> Column:
@@ -17,20 +26,61 @@ def utc(instant: Column) -> Column:
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
 
 
+def _offset_minutes(zone: Column) -> Column:
+    """Minutes from UTC; 0 without a zone, null for a name that is not known."""
+    named = F.create_map(*[F.lit(x) for pair in ZONES.items() for x in pair])
+    digits = F.regexp_replace(zone, "[^0-9]", "")
+    minutes = F.substring(digits, 1, 2).try_cast("int") * 60 + F.when(
+        F.length(digits) == 4, F.substring(digits, 3, 2).try_cast("int")
+    ).otherwise(0)
+    signed = F.when(zone.startswith("-"), -minutes).otherwise(minutes)
+    numeric = F.when(minutes <= MAX_OFFSET_MINUTES, signed)
+    return (
+        F.when(zone == "", 0)
+        .when(zone.rlike("^[+-]"), numeric)
+        .otherwise(F.try_element_at(named, F.lower(zone)) * 60)
+    )
+
+
+def _parsed(text: Column, pattern: str, rfc: bool) -> Column:
+    part = [F.regexp_extract(text, pattern, i) for i in range(1, 9)]
+    year, month, day = part[:3]
+    if rfc:
+        day, name, short = part[:3]
+        place = F.instr(F.lit(MONTHS), F.lower(name))
+        # a name must begin where a month begins
+        month = F.when((place > 0) & (place % 3 == 1), F.lpad(((place + 2) / 3).cast("int").cast("string"), 2, "0"))
+        century = F.when(short.try_cast("int") < 50, "20").otherwise("19")
+        year = F.when(F.length(short) == 2, F.concat(century, short)).otherwise(short)
+        day = F.lpad(day, 2, "0")
+    hour, minute, second, fraction, zone = part[3:]
+    time = F.when(hour == "", "00:00:00").otherwise(
+        F.concat_ws(
+            ":", F.lpad(hour, 2, "0"), minute, F.when(second == "", "00").otherwise(second)
+        )
+    )
+    wall = F.concat(
+        year, F.lit("-"), month, F.lit("-"), day, F.lit(" "), time,
+        F.when(fraction == "", "").otherwise(F.concat(F.lit("."), F.substring(fraction, 1, 6))),
+    ).try_cast("timestamp_ntz")
+    offset = _offset_minutes(zone)
+    return wall - F.make_dt_interval(F.lit(0), F.lit(0), offset)
+
+
 def parse_timestamp(text: Column) -> Column:
-    """ISO-8601 or RFC-822 text as UTC; null if it is neither."""
+    """ISO-8601 (extended or basic) or RFC-822 text as UTC; null if it is neither.
+
+    Text without a zone is UTC; a zone that is not known makes the whole null.
+    Seconds may be missing, RFC-822 years may have two digits.
+    """
     bare = F.regexp_replace(F.trim(text), r"^[A-Za-z]{3,9},\s*", "")
-    # a bare time of day would parse too, as a time of the current date
-    is_iso = bare.rlike(r"^\d{4}-\d{2}-\d{2}")
-    has_zone = bare.rlike(r"([zZ]|[+-]\d{2}:?\d{2})$")
-    instants = [F.when(is_iso & has_zone, F.try_to_timestamp(bare))]
-    # a failed parse costs an exception, so each is tried only on its own shape
-    instants += [
-        F.when(bare.rlike(shape), F.try_to_timestamp(bare, F.lit(pattern)))
-        for shape, pattern in RFC822_PATTERNS.items()
-    ]
-    wall_time = F.when(is_iso & ~has_zone, bare.try_cast("timestamp_ntz"))
-    return F.coalesce(wall_time, utc(F.coalesce(*instants)))
+    # each shape is taken apart only where it matches
+    return F.coalesce(
+        *[
+            F.when(bare.rlike(pattern), _parsed(bare, pattern, rfc))
+            for pattern, rfc in ((ISO, False), (RFC822, True), (ISO_BASIC, False))
+        ]
+    )
 
 
 def iso_utc(timestamp: Column) -> Column:

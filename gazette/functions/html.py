@@ -16,12 +16,13 @@ from gazette.functions.text import SPACE, collapse_space, strip_space
 
 # Markup ends up as this character while text nodes are being joined.
 _MARK = "\x01"
-_REFERENCE = "&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+# Attributes of a tag: a quoted value may hold a closing bracket.
+_INSIDE = r"""[^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+"""
 
 
 def _element(name: str) -> str:
-    """An element with its content, without the opening bracket."""
-    return rf"{name}\b[^>]*>.*?</{name}\s*>"
+    """An element with its content, without the opening bracket; unclosed, the rest."""
+    return rf"{name}\b(?:{_INSIDE}>|[^>]*>).*?(?:</{name}\s*>|\z)"
 
 
 def _markup(*forms: str) -> str:
@@ -29,8 +30,9 @@ def _markup(*forms: str) -> str:
     return f"(?is)<(?:{'|'.join(forms)})"
 
 
-_COMMENT = "!--.*?-->"
-_TAGS = ["/?[a-z][^>]*>", "[!?][^>]*>"]
+_COMMENT = r"!--.*?(?:-->|\z)"
+# the second form is for tags with a quote that does not end
+_TAGS = [f"/?[a-z]{_INSIDE}>", "/?[a-z][^>]*>", "[!?][^>]*>"]
 DROPPED_ELEMENTS = ["script", "style", "noscript"]
 # Elements whose text a reader does not see as part of the page.
 UNSEEN_ELEMENTS = ["script", "style", "template", "rt", "rp"]
@@ -47,42 +49,64 @@ def drop_boilerplate(page: Column) -> Column:
     return F.regexp_replace(page, BOILERPLATE, "")
 
 
-# Names of the standard's character references, as text of (name, character) pairs.
-_NAMED = {**{n: chr(p) for n, p in html.entities.name2codepoint.items()}, "apos": "'"}
-_NAMED_PAIRS = "\x1e".join(f"{name}\x1f{char}" for name, char in _NAMED.items())
+# The standard's character references, as text of (name, character) pairs. Some
+# old names count without a semicolon too.
+_NAMED_PAIRS = "\x1e".join(f"{name}\x1f{char}" for name, char in html.entities.html5.items())
+_OLD_NAMES = sorted((n for n in html.entities.html5 if not n.endswith(";")), key=len, reverse=True)
+_NUMBERED = "#[0-9]+;?|#[xX][0-9a-fA-F]+;?"
+_REFERENCE = f"&(?:{_NUMBERED}|[A-Za-z][A-Za-z0-9]*;|(?:{'|'.join(_OLD_NAMES)}))"
+_REFERENCE_IN_ATTRIBUTE = f"&(?:{_NUMBERED}|[A-Za-z][A-Za-z0-9]*;)"
+# The standard reads the numbers 128 to 159 as characters of this code page.
+_OLD_NUMBERS = {
+    n: char for n in range(128, 160) if (char := bytes([n]).decode("cp1252", "ignore"))
+}
+_REPLACEMENT = "\ufffd"
 
 
 def _entity_char(ref: Column) -> Column:
     """The character of one &name; or &#number; reference, null if unknown."""
-    body = F.regexp_replace(ref, "^&|;$", "")
-    digits = F.regexp_replace(body, "^#[xX]?", "")
-    number = (
-        F.when(body.rlike("^#[xX]"), F.conv(digits, 16, 10))
-        .when(body.startswith("#"), digits)
-        .cast("int")
+    body = F.regexp_replace(ref, "^&", "")
+    digits = F.regexp_replace(body, "^#[xX]?0*|;$", "")
+    hexadecimal = body.rlike("^#[xX]")
+    # no number of more digits is a character
+    number = F.when(
+        F.length(digits) <= 7,
+        F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(digits).try_cast("int"),
     )
     utf32 = F.unhex(F.lpad(F.hex(number), 8, "0"))
     named = F.str_to_map(F.lit(_NAMED_PAIRS), F.lit("\x1e"), F.lit("\x1f"))
+    old = F.create_map(*[F.lit(x) for pair in _OLD_NUMBERS.items() for x in pair])
     numeric = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
-    return F.when(numeric, F.decode(utf32, "UTF-32")).otherwise(named[body])
+    character = (
+        F.when(number.between(128, 159), F.coalesce(F.try_element_at(old, number), F.decode(utf32, "UTF-32")))
+        .when(numeric, F.decode(utf32, "UTF-32"))
+        .otherwise(_REPLACEMENT)
+    )
+    return F.when(body.startswith("#"), character).otherwise(F.try_element_at(named, body))
 
 
-def _decode_each(text: Column) -> Column:
-    refs = F.array_distinct(F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0)))
+def _decode_each(text: Column, pattern: str) -> Column:
+    refs = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
     pairs = F.transform(refs, lambda r: F.struct(r.alias("ref"), _entity_char(r).alias("c")))
     known = F.filter(pairs, lambda p: p["c"].isNotNull())
-    # false sorts before true: '&' itself comes last, so nothing decodes twice
+    # '&' itself comes last, so nothing decodes twice; a name goes before its beginning
     ordered = F.array_sort(
-        F.transform(known, lambda p: F.struct((p["c"] == "&").alias("amp"), p["ref"], p["c"]))
+        F.transform(
+            known,
+            lambda p: F.struct(
+                (p["c"] == "&").alias("amp"), (-F.length(p["ref"])).alias("n"), p["ref"], p["c"]
+            ),
+        )
     )
     return F.aggregate(ordered, text, lambda acc, p: F.replace(acc, p["ref"], p["c"]))
 
 
-def decode_entities(text: Column) -> Column:
+def decode_entities(text: Column, pattern: str = _REFERENCE) -> Column:
     """Replace character references; text without any passes through."""
     # through an array of one, so that the text is worked out only once
     decoded = F.transform(
-        F.array(text), lambda t: F.when(F.contains(t, F.lit("&")), _decode_each(t)).otherwise(t)
+        F.array(text),
+        lambda t: F.when(F.contains(t, F.lit("&")), _decode_each(t, pattern)).otherwise(t),
     )
     return F.get(decoded, 0)
 
@@ -130,12 +154,16 @@ def paragraph_html(clean_page: Column) -> Column:
 
 def _attribute(tag: Column, name: str) -> Column:
     """Value of an attribute in a tag, '' if there is none."""
-    quoted = F.regexp_extract(tag, rf"(?is)\b{name}\s*=\s*(\"[^\"]*\"|'[^']*')", 1)
-    return decode_entities(F.regexp_replace(quoted, "^[\"']|[\"']\\z", ""))
+    pattern = rf"(?is)(?<![\w-]){name}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
+    value = F.regexp_replace(F.regexp_extract(tag, pattern, 1), "^[\"']|[\"']\\z", "")
+    return decode_entities(value, _REFERENCE_IN_ATTRIBUTE)
 
 
 def _first_tag(page: Column, tag: str, attribute: str, value: str) -> Column:
-    pattern = rf"(?is)<{tag}\b[^>]*?\b{attribute}\s*=\s*[\"']{value}[\"'][^>]*>"
+    """The first tag with the value among those of the attribute, quoted or not."""
+    word = rf"(?<![\w:-]){value}(?![\w:-])"
+    held = rf"(?:\"[^\">]*{word}[^\">]*\"|'[^'>]*{word}[^'>]*'|{value}(?=[\s/>]))"
+    pattern = rf"(?is)<{tag}\b[^>]*?(?<![\w-]){attribute}\s*=\s*{held}{_INSIDE}>"
     return F.regexp_extract(page, pattern, 0)
 
 

@@ -12,7 +12,6 @@ from gazette import schemas
 from gazette.functions import dates, html, urls
 from gazette.functions.text import null_if_blank
 from gazette.operators.filters import moment
-from gazette.operators.lookups import broadcast_if_small
 from gazette.operators.ranking import first_n, first_n_per_source
 
 
@@ -37,7 +36,7 @@ def extract_articles(entries: DataFrame, as_of: datetime, limit_per_source: int)
     """
     place = ["source", "feed_pos"]
     first = first_n_per_source(entries.select(*place), limit_per_source)
-    chosen = entries.join(broadcast_if_small(first), place, "left_semi").filter(
+    chosen = entries.join(first, place, "left_semi").filter(
         F.col("url") != ""
     )
     cleaned = chosen.withColumn("html", html.drop_boilerplate(F.col("html")))

@@ -1,8 +1,10 @@
 """Language identification: naive Bayes over character trigrams.
 
-Training counts the trigrams of labelled texts; scoring sums the log
-probabilities of a text's trigrams per language and takes the largest sum.
-Only (key, language sums) rows are shuffled, never the trigrams of a text.
+Training counts the trigrams of labelled texts in a fixed number of buckets, so
+no trigram is left out and the profile is bounded by construction: it may be
+broadcast whatever the texts hold. Scoring sums the log probabilities of a
+text's trigrams per language and takes the largest sum. Only (key, language
+sums) rows are shuffled, never the trigrams of a text.
 """
 
 from __future__ import annotations
@@ -13,63 +15,64 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gazette.functions.text import normalize_text
-from gazette.operators.ranking import first_n
 from gazette.session import shared_dir
 
 # Overlapping trigrams: an empty match at every position, three characters ahead.
 _TRIGRAM = "(?s)(?=(...))"
 # Log probabilities are whole millionths, so sums do not depend on row order.
 LOG_UNIT = 1_000_000
-# Most frequent trigrams a language keeps; with the bound on languages this
-# fixes the size of the profile, which is why it may be broadcast.
-PROFILE_GRAMS = 1000
-MAX_LANGUAGES = 100
+# Rows of a profile at most; each has a number for every language.
+BUCKETS = 1 << 18
+# Factors of the three code points of a trigram.
+FACTORS = (7919, 104_729, 1_299_709)
 UNKNOWN = "unknown"
 
 
 @dataclass(frozen=True)
 class LanguageProfile:
-    """Languages in name order, and a row per trigram with a score for each."""
+    """A row per bucket seen in training, with a score in a column for each language."""
 
-    languages: list[str]
     scores: DataFrame
 
+    @property
+    def languages(self) -> list[str]:
+        return sorted(c for c in self.scores.columns if c != "bucket")
+
 
 def trigrams(text: Column) -> Column:
     padded = F.concat(F.lit(" "), F.lower(normalize_text(text)), F.lit(" "))
     return F.regexp_extract_all(padded, F.lit(_TRIGRAM), F.lit(1))
 
 
+def bucket(gram: Column) -> Column:
+    """The bucket of a trigram, from its code points."""
+    points = [F.ascii(F.substr(gram, F.lit(i), F.lit(1))).cast("long") for i in (1, 2, 3)]
+    total = sum((p * f for p, f in zip(points, FACTORS, strict=True)), F.lit(0))
+    return (total % BUCKETS).cast("int")
+
+
 def train(labelled: DataFrame, text: str, label: str) -> LanguageProfile:
     """Profile of every language that occurs as a label."""
+    shared_dir(labelled.sparkSession)
     counted = (
         labelled.filter(F.col(label).isNotNull())
         .select(F.col(label).alias("language"), F.explode(trigrams(F.col(text))).alias("gram"))
-        .groupBy("language", "gram")
+        .groupBy("language", bucket(F.col("gram")).alias("bucket"))
         .agg(F.count(F.lit(1)).alias("n"))
+        .checkpoint()
     )
-    shared_dir(labelled.sparkSession)
-    order = [F.col("n").desc(), F.col("gram")]
-    frequent = first_n(counted, ["language"], order, PROFILE_GRAMS, few_keys=True).checkpoint()
     totals = {
         row["language"]: row["total"]
-        for row in frequent.groupBy("language")
-        .agg(F.sum("n").alias("total"))
-        .limit(MAX_LANGUAGES + 1)
-        .collect()
+        for row in counted.groupBy("language").agg(F.sum("n").alias("total")).collect()
     }
-    if len(totals) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    languages = sorted(totals)
-    table = frequent.groupBy("gram").pivot("language", languages).agg(F.sum("n"))
+    table = counted.groupBy("bucket").pivot("language", sorted(totals)).agg(F.sum("n"))
     vocabulary = table.count()
 
     def log_score(language: str) -> Column:
         seen = F.coalesce(F.col(f"`{language}`"), F.lit(0)) + 1
         return F.round(F.log(seen / F.lit(totals[language] + vocabulary)) * LOG_UNIT).cast("bigint")
 
-    scores = table.select("gram", *[log_score(x).alias(f"s{i}") for i, x in enumerate(languages)])
-    return LanguageProfile(languages, scores)
+    return LanguageProfile(table.select("bucket", *[log_score(x).alias(x) for x in sorted(totals)]))
 
 
 def identify(df: DataFrame, key: str, text: str, profile: LanguageProfile) -> DataFrame:
@@ -77,15 +80,18 @@ def identify(df: DataFrame, key: str, text: str, profile: LanguageProfile) -> Da
 
     Rows that share a key must share the text: copies scale all sums alike.
     """
+    names = profile.languages
+    scores = profile.scores.select("bucket", *[F.col(f"`{x}`").alias(f"s{i}") for i, x in enumerate(names)])
     grams = df.select(key, F.explode_outer(trigrams(F.col(text))).alias("gram"))
     sums = (
-        grams.join(F.broadcast(profile.scores), "gram", "left")
+        grams.select(key, bucket(F.col("gram")).alias("bucket"))
+        .join(F.broadcast(scores), "bucket", "left")
         .groupBy(key)
-        .agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(len(profile.languages))])
+        .agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(len(names))])
     )
     ranked = [
         F.struct(F.col(f"s{i}").alias("score"), F.lit(x).alias("language"))
-        for i, x in enumerate(profile.languages)
+        for i, x in enumerate(names)
     ]
     best = F.array_max(F.filter(F.array(*ranked), lambda s: s["score"].isNotNull()))
     return sums.select(key, F.coalesce(best["language"], F.lit(UNKNOWN)).alias("language"))

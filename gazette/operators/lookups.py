@@ -1,4 +1,4 @@
-"""Joins against small dimensions and key lists, with a checked broadcast."""
+"""Joins against small dimensions; Spark broadcasts them by their size in bytes."""
 
 from __future__ import annotations
 
@@ -8,18 +8,6 @@ from pyspark.sql import functions as F
 from gazette import constants as C
 from gazette import schemas
 
-# An id with its URL is some 150 bytes: a million of them are a few hundred MB once hashed.
-BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(keys: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a narrow side for broadcast after counting it; leave a large one.
-
-    Counting costs one job over the key columns. It is worth it where the
-    other side is a whole table that would otherwise be shuffled.
-    """
-    return F.broadcast(keys) if keys.count() <= max_rows else keys
-
 
 def sources_dim(spark: SparkSession, sources: list[tuple] = C.SOURCES) -> DataFrame:
     """The configured sources as a table."""
@@ -31,8 +19,6 @@ def with_country(articles: DataFrame, sources: list[tuple] = C.SOURCES) -> DataF
     dim = sources_dim(articles.sparkSession, sources).select(
         F.col("name").alias("_name"), F.col("country").alias("_country")
     )
-    if len(sources) <= BROADCAST_ROWS:
-        dim = F.broadcast(dim)
     joined = articles.join(dim, F.col("source") == F.col("_name"), "left")
     return joined.withColumn("source_country", F.coalesce("_country", F.lit(C.UNKNOWN))).drop(
         "_name", "_country"

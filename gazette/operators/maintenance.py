@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from gazette import constants as C
 from gazette import schemas
 from gazette.operators.filters import moment
-from gazette.operators.lookups import broadcast_if_small
 
 BACKFILL_REASON = "retroactive-backfill"
 
@@ -21,13 +20,13 @@ class DuplicateKey(ValueError):
 
 
 def batch_keys(batch: DataFrame) -> DataFrame:
-    """Ids and URLs of a batch, counted once and marked for broadcast if few."""
-    return broadcast_if_small(batch.select("article_id", "url"))
+    """Ids and URLs of a batch; Spark broadcasts them if they are few bytes."""
+    return batch.select("article_id", "url")
 
 
 def without_keys(table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Rows of the table whose key is not listed; null keys stay."""
-    return table.join(broadcast_if_small(keys.select(key)), key, "left_anti")
+    return table.join(keys.select(key), key, "left_anti")
 
 
 def replace_by_key(table: DataFrame, batch: DataFrame, key: str = "article_id") -> DataFrame:
@@ -66,7 +65,7 @@ def dated_batch(
 def upsert(table: DataFrame, batch: DataFrame, keys: DataFrame, as_of: datetime) -> DataFrame:
     """Insert the batch, replacing the articles it repeats.
 
-    The table is read without a shuffle while the batch's keys fit a broadcast.
+    The table is read without a shuffle while Spark broadcasts the batch's keys.
     """
     kept = table.join(keys, "article_id", "left_anti")
     return kept.select(*schemas.ARTICLES_DETAIL.names).unionByName(
@@ -140,6 +139,13 @@ def _expired(as_of: datetime, days: int) -> Column:
     return F.coalesce(F.col("quarantine") & (F.col("ingested_at") < cutoff), F.lit(False))
 
 
+def expired(
+    detail: DataFrame, as_of: datetime, days: int = C.QUARANTINE_RETENTION_DAYS
+) -> DataFrame:
+    """Articles that a purge removes."""
+    return detail.filter(_expired(as_of, days))
+
+
 def purge_articles(
     detail: DataFrame, as_of: datetime, days: int = C.QUARANTINE_RETENTION_DAYS
 ) -> DataFrame:
@@ -151,18 +157,18 @@ def purge_audit(
     audit: DataFrame, detail: DataFrame, as_of: datetime, days: int = C.QUARANTINE_RETENTION_DAYS
 ) -> DataFrame:
     """Audit rows that stay: those of articles that are not purged."""
-    return without_keys(audit, detail.filter(_expired(as_of, days)), "article_id")
+    return without_keys(audit, expired(detail, as_of, days), "article_id")
 
 
 def purge_counts(
     audit: DataFrame, detail: DataFrame, as_of: datetime, days: int = C.QUARANTINE_RETENTION_DAYS
 ) -> DataFrame:
     """How many articles and audit rows a purge removes."""
-    expired = detail.filter(_expired(as_of, days)).select("article_id")
+    gone = expired(detail, as_of, days).select("article_id")
     per_article = audit.groupBy("article_id").agg(F.count(F.lit(1)).alias("n"))
     none = F.lit(0).cast("bigint")
-    articles = expired.agg(F.count(F.lit(1)).alias("articles"), none.alias("audits"))
-    audits = per_article.join(expired, "article_id", "left_semi").agg(
+    articles = gone.agg(F.count(F.lit(1)).alias("articles"), none.alias("audits"))
+    audits = per_article.join(gone, "article_id", "left_semi").agg(
         none.alias("articles"), F.coalesce(F.sum("n"), none).alias("audits")
     )
     return articles.unionByName(audits).agg(
@@ -177,7 +183,7 @@ def approve_articles(detail: DataFrame, ids: DataFrame) -> DataFrame:
     """Articles with the flag cleared for the listed ids."""
     listed = ids.select("article_id").distinct().withColumn("_listed", F.lit(True))
     return (
-        detail.join(broadcast_if_small(listed), "article_id", "left")
+        detail.join(listed, "article_id", "left")
         .withColumn(
             "quarantine", F.when(F.col("_listed"), False).otherwise(F.col("quarantine"))
         )

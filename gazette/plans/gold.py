@@ -17,9 +17,9 @@ def lake_facts(silver: DataFrame) -> DataFrame:
     return keyed.select(*[gold.COUNT_KEYS[t] for t in gold.LAKE_TABLES])
 
 
-def warehouse_facts(detail: DataFrame) -> DataFrame:
+def warehouse_facts(detail: DataFrame, sources: list[tuple] = C.SOURCES) -> DataFrame:
     """The gold keys of the warehouse's articles; country comes from the configuration."""
-    keyed = gold.with_theme(gold.with_published_day(with_country(detail)), "content")
+    keyed = gold.with_theme(gold.with_published_day(with_country(detail, sources)), "content")
     return keyed.select(*[gold.COUNT_KEYS[t] for t in gold.WAREHOUSE_TABLES])
 
 
@@ -29,8 +29,10 @@ def lake_tables(silver: DataFrame) -> dict[str, DataFrame]:
     return {**tables, "top_keywords": words}
 
 
-def warehouse_tables(detail: DataFrame, as_of: datetime) -> dict[str, DataFrame]:
-    tables = gold.count_tables(warehouse_facts(detail), gold.WAREHOUSE_TABLES)
+def warehouse_tables(
+    detail: DataFrame, as_of: datetime, sources: list[tuple] = C.SOURCES
+) -> dict[str, DataFrame]:
+    tables = gold.count_tables(warehouse_facts(detail, sources), gold.WAREHOUSE_TABLES)
     words = gold.top_keywords(detail, "title", C.WAREHOUSE_TOP_KEYWORDS, C.WAREHOUSE_STOPWORDS)
     return {
         name: gold.stamped(df, as_of) for name, df in {**tables, "top_keywords": words}.items()

@@ -13,33 +13,88 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gazette import constants as C
 from gazette import schemas
 from gazette.operators import gold as gold_operators
 from gazette.operators import maintenance, quality
+from gazette.operators.extract import extract_articles
 from gazette.operators.filters import moment
-from gazette.operators.language_model import LanguageProfile
+from gazette.operators.language_model import LanguageProfile, train
 from gazette.operators.ranking import first_n
 from gazette.plans import gold, silver
 from gazette.plans.ingest import as_detail_batch
-from gazette.sources import bronze, keyed, warehouse
+from gazette.sources import bronze, messages, warehouse
+from gazette.sources.store import Store, Table
 
 log = logging.getLogger(__name__)
 
-
-def _version(as_of: datetime) -> str:
-    return f"{as_of:%Y%m%d_%H%M%S}"
+NO_ID, REPEATED, REFUSED = "no article_id", "article_id repeated in the batch", "batch refused"
+APPLIED = "applied"
 
 
 # Lake
 
 
+def lake_ingest(
+    spark: SparkSession,
+    root: str,
+    entries: DataFrame,
+    as_of: datetime,
+    limit_per_source: int = C.LIMIT_PER_SOURCE_LAKE,
+) -> DataFrame:
+    """Feed entries with their pages to the hour's bronze folder and to messages.
+
+    The messages are made from the folder, so the pages are taken apart once.
+    """
+    articles = extract_articles(entries, as_of, limit_per_source)
+    bronze.write_hour(articles, f"{root}/bronze", as_of)
+    landed = bronze.scan(
+        spark, f"{root}/bronze/batch/date={as_of:%Y-%m-%d}/hour={as_of:%H}", schemas.BRONZE_BATCH
+    )
+    messages.publish_files(landed.select(*schemas.BRONZE.names), f"{root}/messages")
+    return landed
+
+
+def train_language(
+    spark: SparkSession, root: str, labelled: DataFrame, text: str, label: str, as_of: datetime
+) -> LanguageProfile:
+    """Learn a language profile from labelled texts and keep it for later runs."""
+    tables = {"profile": train(labelled, text, label).scores}
+    warehouse.publish(spark, f"{root}/language", tables, as_of)
+    return language_profile(spark, root)
+
+
+def language_profile(spark: SparkSession, root: str) -> LanguageProfile:
+    """The profile learnt last."""
+    return LanguageProfile(warehouse.read(spark, f"{root}/language", "profile"))
+
+
 def lake_silver(
     spark: SparkSession, root: str, as_of: datetime, profile: LanguageProfile | None = None
 ) -> DataFrame:
     """Bronze to silver: all JSON lines below bronze, rewritten as a new version."""
     articles = bronze.require_rows(bronze.scan(spark, f"{root}/bronze"))
     rows = silver.lake_silver(articles, profile)
-    warehouse.publish(spark, f"{root}/silver", _version(as_of), {"articles_silver": rows}, as_of)
+    warehouse.publish(spark, f"{root}/silver", {"articles_silver": rows}, as_of)
+    return warehouse.read(spark, f"{root}/silver", "articles_silver")
+
+
+def lake_silver_hour(
+    spark: SparkSession, root: str, as_of: datetime, profile: LanguageProfile | None = None
+) -> DataFrame:
+    """Add the hour's bronze folders to the silver table of the hours before.
+
+    Reads the new hour and the current silver; the latest scrape of a URL stays,
+    whichever of them holds it. Hours must be added once each, in any order.
+    """
+    hour = f"date={as_of:%Y-%m-%d}/hour={as_of:%H}"
+    fresh = silver.lake_silver(
+        bronze.require_rows(bronze.scan(spark, f"{root}/bronze/*/{hour}")), profile
+    )
+    if warehouse.published(spark, f"{root}/silver"):
+        before = warehouse.read(spark, f"{root}/silver", "articles_silver")
+        fresh = silver.latest_by_url(before.unionByName(fresh))
+    warehouse.publish(spark, f"{root}/silver", {"articles_silver": fresh}, as_of)
     return warehouse.read(spark, f"{root}/silver", "articles_silver")
 
 
@@ -54,12 +109,22 @@ def lake_quality(spark: SparkSession, root: str, as_of: datetime) -> DataFrame:
 def lake_gold(spark: SparkSession, root: str, as_of: datetime) -> None:
     """Silver to gold: five tables that become visible together."""
     rows = warehouse.read(spark, f"{root}/silver", "articles_silver")
-    warehouse.publish(spark, f"{root}/gold", _version(as_of), gold.lake_tables(rows), as_of)
+    warehouse.publish(spark, f"{root}/gold", gold.lake_tables(rows), as_of)
 
 
 # Warehouse
 
 
+TABLES = {
+    "articles_detail": Table(schemas.ARTICLES_DETAIL),
+    "url_owner": Table(schemas.URL_OWNER, key="url"),
+    "articles_silver": Table(schemas.ARTICLES_SILVER),
+    "quarantine_audit": Table(schemas.QUARANTINE_AUDIT, latest=False),
+    "transformation_audit": Table(schemas.TRANSFORMATION_AUDIT, latest=False),
+    "set_aside": Table(schemas.SET_ASIDE, latest=False),
+}
+
+
 @dataclass(frozen=True)
 class WarehouseRun:
     applied: bool
@@ -67,80 +132,235 @@ class WarehouseRun:
     checks: DataFrame
 
 
-def create_warehouse(spark: SparkSession, root: str, as_of: datetime) -> None:
-    """Empty article and silver tables."""
-    for name, schema in {
-        "articles_detail": schemas.ARTICLES_DETAIL, "articles_silver": schemas.ARTICLES_SILVER
-    }.items():
-        keyed.create(spark, f"{root}/{name}", spark.createDataFrame([], schema), as_of)
+def warehouse_store(spark: SparkSession, root: str) -> Store:
+    return Store(spark, f"{root}/warehouse", TABLES)
+
+
+def _owned(articles: DataFrame) -> DataFrame:
+    """The URLs of articles with their owners."""
+    return articles.where(F.col("url").isNotNull()).select("url", "article_id")
+
+
+def create_warehouse(
+    spark: SparkSession,
+    root: str,
+    as_of: datetime,
+    articles: DataFrame | None = None,
+    audit: DataFrame | None = None,
+) -> None:
+    """Start the warehouse, empty or with articles and audit rows."""
+    rows = {} if articles is None else {"articles_detail": articles, "url_owner": _owned(articles)}
+    if audit is not None:
+        rows["quarantine_audit"] = audit
+    warehouse_store(spark, root).create(as_of, rows)
 
 
-def detail(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
-    bound = {} if before is None else {"before": before}
-    return keyed.current(spark, f"{root}/articles_detail", schemas.ARTICLES_DETAIL, **bound)
+def detail(spark: SparkSession, root: str) -> DataFrame:
+    return warehouse_store(spark, root).current("articles_detail")
 
 
 def silver_table(spark: SparkSession, root: str) -> DataFrame:
-    return keyed.current(spark, f"{root}/articles_silver", schemas.ARTICLES_SILVER)
+    return warehouse_store(spark, root).current("articles_silver")
 
 
 def audit(spark: SparkSession, root: str) -> DataFrame:
     """Quarantine audit rows of all batches."""
-    rows = keyed.changes(spark, f"{root}/quarantine_audit", schemas.QUARANTINE_AUDIT)
-    return rows.drop("batch")
+    return warehouse_store(spark, root).current("quarantine_audit")
+
+
+def set_aside(spark: SparkSession, root: str) -> DataFrame:
+    """What the batches did not take, with the reason."""
+    return warehouse_store(spark, root).current("set_aside")
+
+
+def _aside(articles: DataFrame, reason: str, as_of: datetime) -> DataFrame:
+    names = [c for c in articles.columns if not c.startswith("_")]
+    return articles.select(
+        "article_id",
+        F.lit(reason).alias("reason"),
+        F.to_json(F.struct(*names)).alias("record"),
+        moment(as_of).alias("set_aside_at"),
+    )
 
 
 def apply_batch(
-    spark: SparkSession, root: str, articles: DataFrame, batch: int, as_of: datetime
+    spark: SparkSession,
+    root: str,
+    articles: DataFrame,
+    writer: str,
+    batch: int,
+    as_of: datetime,
+    broken: DataFrame | None = None,
 ) -> bool:
-    """Upsert one batch of bronze articles; False if it was refused as a whole."""
-    latest = first_n(
-        articles.filter(F.col("article_id") != ""),
-        ["article_id"],
-        [F.col("scraped_at").desc_nulls_last(), F.col("title"), F.col("content")],
-        1,
-    )
+    """Upsert one batch of bronze articles; False if it was refused as a whole.
+
+    Articles, audit rows, URL owners and what is set aside are one commit. Articles
+    without an id, and all but the latest of several with one id, are set aside, as
+    are `broken` messages (record, reason). A batch that would leave two articles
+    with one URL is refused: all of it is set aside. A batch that this writer has
+    committed before changes nothing. Only the parts of the tables that hold the
+    batch's ids and URLs are read.
+    """
+    store = warehouse_store(spark, root)
+    if (known := store.note(writer, batch)) is not None:
+        return known == APPLIED
+    named = articles.where(F.coalesce(F.col("article_id") != "", F.lit(False)))
+    unnamed = articles.where(~F.coalesce(F.col("article_id") != "", F.lit(False)))
+    order = [F.col("scraped_at").desc_nulls_last(), F.xxhash64(*articles.columns)]
+    latest = first_n(named, ["article_id"], order, 1)
     judged = as_detail_batch(latest).persist()
+    aside = [_aside(unnamed, NO_ID, as_of), _aside(_others(named, order), REPEATED, as_of)]
+    if broken is not None:
+        aside.append(
+            broken.select(
+                F.lit(None).cast("string").alias("article_id"),
+                *("reason", "record"),
+                moment(as_of).alias("set_aside_at"),
+            )
+        )
     try:
-        table = detail(spark, root, before=batch)
         keys = maintenance.batch_keys(judged)
-        maintenance.check_unique(table, keys)
-        delta = maintenance.quarantine_audit_delta(table, judged, keys, as_of)
-        keyed.append(f"{root}/quarantine_audit", delta, batch)
-        rows = maintenance.dated_batch(table, judged, keys, as_of)
-        keyed.append(f"{root}/articles_detail", rows, batch)
-        return True
+        urls = _owned(keys)
+        before = store.current("articles_detail", near=keys).join(keys.select("article_id"), "article_id", "left_semi")
+        before = before.select("article_id", "url", "quarantine", "created_at").persist()
+        owners = store.current("url_owner", near=urls).join(urls.select("url"), "url", "left_semi")
+        maintenance.check_unique(owners, keys)
+        freed = before.where(F.col("url").isNotNull()).join(urls.select("url"), "url", "left_anti")
+        note = store.commit(
+            as_of,
+            rows={
+                "articles_detail": maintenance.dated_batch(before, judged, keys, as_of),
+                "quarantine_audit": maintenance.quarantine_audit_delta(before, judged, keys, as_of),
+                "url_owner": urls,
+                "set_aside": _union(aside),
+            },
+            deletes={"url_owner": freed},
+            writer=writer,
+            batch=batch,
+            note=APPLIED,
+        )
+        before.unpersist()
+        return note == APPLIED
     except maintenance.DuplicateKey as error:
-        log.error("batch %d refused: %s", batch, error)
-        articles.write.mode("overwrite").parquet(f"{root}/refused/batch={batch}")
+        log.error("batch %d of %s refused: %s", batch, writer, error)
+        refused = _aside(latest, f"{REFUSED}: {error}", as_of)
+        store.commit(
+            as_of,
+            rows={"set_aside": _union([*aside, refused])},
+            writer=writer,
+            batch=batch,
+            note=REFUSED,
+        )
         return False
     finally:
         judged.unpersist()
 
 
+def _others(named: DataFrame, order: list) -> DataFrame:
+    """The rows of each id behind the first."""
+    from pyspark.sql import Window
+
+    rank = F.row_number().over(Window.partitionBy("article_id").orderBy(*order))
+    return named.withColumn("_rank", rank).where("_rank > 1")
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def warehouse_run(
-    spark: SparkSession, root: str, articles: DataFrame, batch: int, as_of: datetime
+    spark: SparkSession,
+    root: str,
+    articles: DataFrame,
+    batch: int,
+    as_of: datetime,
+    sources: list[tuple] = C.SOURCES,
+    writer: str = "run",
 ) -> WarehouseRun:
     """Ingest, silver, gold, headline numbers and checks, in this order."""
-    applied = apply_batch(spark, root, articles, batch, as_of)
+    store = warehouse_store(spark, root)
+    applied = apply_batch(spark, root, articles, writer, batch, as_of)
     table = detail(spark, root)
-    fresh = silver.as_silver_table(silver.warehouse_silver(table, as_of))
-    keyed.append(f"{root}/articles_silver", fresh.select(*schemas.ARTICLES_SILVER.names), batch)
-    warehouse.publish(
-        spark, f"{root}/gold", _version(as_of), gold.warehouse_tables(table, as_of), as_of
+    fresh = silver.as_silver_table(silver.warehouse_silver(table, as_of)).persist()
+    store.commit(
+        as_of,
+        rows={
+            "articles_silver": fresh,
+            "transformation_audit": maintenance.transformation_audit(fresh, as_of),
+        },
+        writer=f"{writer} silver",
+        batch=batch,
     )
+    fresh.unpersist()
+    warehouse.write_run_snapshot(
+        warehouse_silver_of(spark, root, as_of), f"{root}/silver_runs", as_of, f"{writer}-{batch}"
+    )
+    silver_rows = silver_table(spark, root)
+    tables = {
+        **gold.warehouse_tables(table, as_of, sources),
+        "daily_article_trends": gold_operators.daily_article_trends(silver_rows),
+        "analytics_summary": gold_operators.analytics_summary(silver_rows, as_of),
+    }
+    warehouse.publish(spark, f"{root}/gold", tables, as_of)
     return WarehouseRun(
         applied=applied,
         metrics=gold_operators.kpi_metrics(table, as_of),
-        checks=quality.warehouse_checks(
-            table, audit(spark, root), silver_table(spark, root), as_of
-        ),
+        checks=quality.warehouse_checks(table, audit(spark, root), silver_rows, as_of),
+    )
+
+
+def warehouse_silver_of(spark: SparkSession, root: str, as_of: datetime) -> DataFrame:
+    """The silver rows of one run."""
+    return silver_table(spark, root).where(F.col("silver_timestamp") == moment(as_of))
+
+
+def purge_warehouse(
+    spark: SparkSession, root: str, as_of: datetime, days: int = C.QUARANTINE_RETENTION_DAYS
+) -> DataFrame:
+    """Remove expired quarantined articles with their audit rows, in one commit.
+
+    Returns how many of each were removed.
+    """
+    store = warehouse_store(spark, root)
+    table, trail = detail(spark, root), audit(spark, root)
+    counts = maintenance.purge_counts(trail, table, as_of, days).collect()
+    gone = maintenance.expired(table, as_of, days).select("article_id", "url").persist()
+    store.commit(
+        as_of,
+        deletes={
+            "articles_detail": gone,
+            "quarantine_audit": gone,
+            "transformation_audit": gone,
+            "url_owner": gone.where(F.col("url").isNotNull()),
+        },
+    )
+    gone.unpersist()
+    return spark.createDataFrame(counts, "articles_deleted long, audit_deleted long")
+
+
+def approve_in_warehouse(spark: SparkSession, root: str, ids: DataFrame, as_of: datetime) -> None:
+    """Clear the flag of the listed articles and note it in the audit, in one commit."""
+    store = warehouse_store(spark, root)
+    listed = ids.select("article_id").distinct()
+    own = store.current("articles_detail", near=listed).join(listed, "article_id", "left_semi")
+    store.commit(
+        as_of,
+        rows={
+            "articles_detail": own.withColumn("quarantine", F.lit(False)),
+            "quarantine_audit": maintenance.approve_audit(ids, as_of),
+        },
     )
 
 
-def compact_warehouse(spark: SparkSession, root: str, batch: int, as_of: datetime) -> None:
-    """Fold the batches so far into new versions of both tables."""
-    for name, schema in {
-        "articles_detail": schemas.ARTICLES_DETAIL, "articles_silver": schemas.ARTICLES_SILVER
-    }.items():
-        keyed.compact(spark, f"{root}/{name}", schema, batch, as_of)
+def backfill_warehouse(spark: SparkSession, root: str, as_of: datetime) -> None:
+    """Add the audit rows that flagged articles lack; repeatable."""
+    missing = maintenance.missing_marks(detail(spark, root), audit(spark, root), as_of)
+    warehouse_store(spark, root).commit(as_of, rows={"quarantine_audit": missing})
+
+
+def compact_warehouse(spark: SparkSession, root: str, as_of: datetime) -> None:
+    """Fold the batches so far into new bases of all tables."""
+    warehouse_store(spark, root).compact(as_of)

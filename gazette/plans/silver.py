@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 from gazette import constants as C
 from gazette.functions import dates, html, language, text
 from gazette.operators.filters import event_time, moment, recent_hour
-from gazette.operators.language_model import LanguageProfile, identify
+from gazette.operators.language_model import UNKNOWN, LanguageProfile, identify
 from gazette.operators.ranking import keep_last
-
-# Stands for a missing URL where a key must not be null; no URL is a blank.
-_NO_URL = " "
+from gazette.session import shared_dir
 
 
 def with_lake_defaults(bronze: DataFrame) -> DataFrame:
@@ -46,20 +44,32 @@ def with_lake_content(bronze: DataFrame) -> DataFrame:
 
 
 def lake_silver(bronze: DataFrame, profile: LanguageProfile | None = None) -> DataFrame:
-    """Latest scrape of every URL, cleaned; with a profile, its language too.
+    """Latest scrape of every URL, cleaned, with its language (unknown without a profile).
 
     The choice depends on raw columns only, so it comes first and only the
-    rows that stay are cleaned. Language sums are grouped by the same key, so
-    they follow the partitioning the choice has made.
+    rows that stay are cleaned. They are written once and scored from there, so
+    the input is read once.
     """
-    keyed = bronze.withColumn("url_key", F.coalesce("url", F.lit(_NO_URL)))
-    latest = keep_last(keyed, "url_key")
+    latest = latest_by_url(bronze)
     dated = latest.withColumn("published_at", dates.parse_timestamp(F.col("published_at")))
     silver = with_lake_content(with_lake_defaults(dated))
-    if profile is not None:
-        found = identify(silver, "url_key", "content_final", profile)
-        silver = silver.join(found, "url_key")
-    return silver.drop("url_key")
+    if profile is None:
+        return silver.withColumn("language", F.lit(UNKNOWN))
+    shared_dir(silver.sparkSession)
+    silver = silver.withColumn("_url", _url_key()).checkpoint()
+    found = identify(silver, "_url", "content_final", profile)
+    return silver.join(found, "_url").drop("_url")
+
+
+def _url_key() -> Column:
+    """A key that is not null; a missing URL differs from every URL."""
+    return F.struct(F.col("url").isNotNull().alias("has"), F.coalesce("url", F.lit("")).alias("url"))
+
+
+def latest_by_url(articles: DataFrame) -> DataFrame:
+    """The latest scrape of every URL; missing URLs are one."""
+    keyed = articles.withColumn("_url", _url_key())
+    return keep_last(keyed, "_url").drop("_url")
 
 
 def with_warehouse_text(articles: DataFrame) -> DataFrame:

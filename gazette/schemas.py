@@ -54,4 +54,9 @@ TRANSFORMATION_AUDIT = T.StructType(
     + _fields(performed_at=_TIME, transformation_timestamp=_TIME)
 )
 
+URL_OWNER = T.StructType(_strings("url article_id"))
+
+# What a batch did not take, as text.
+SET_ASIDE = T.StructType(_strings("article_id reason record") + _fields(set_aside_at=_TIME))
+
 SOURCE_CONFIG = T.StructType(_strings("name country rss_url"))

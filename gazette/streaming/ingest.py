@@ -41,55 +41,65 @@ def read_files(spark: SparkSession, path: str, files_per_batch: int | None = Non
 
 
 def _parse(messages: DataFrame) -> DataFrame:
+    """The article of each message, its text, and why it is not taken (null if it is)."""
     schema = T.StructType([*schemas.BRONZE_BATCH.fields, T.StructField(_BROKEN, T.StringType())])
-    parsed = F.from_json(
-        F.col("value").cast("string"), schema, {"columnNameOfCorruptRecord": _BROKEN}
+    record = F.col("value").cast("string")
+    parsed = F.from_json(record, schema, {"columnNameOfCorruptRecord": _BROKEN})
+    reason = (
+        F.when(F.coalesce(F.trim("record"), F.lit("")) == "", "empty message")
+        .when(
+            F.col("article").isNull()
+            | F.col(f"article.{_BROKEN}").isNotNull()
+            | ~F.col("record").rlike(r"^\s*\{"),
+            "not an article",
+        )
+        .when(F.coalesce("article.article_id", F.lit("")) == "", "no article_id")
+    )
+    return messages.select(record.alias("record"), parsed.alias("article")).withColumn(
+        "reason", reason
     )
-    return messages.select(parsed.alias("article")).select("article.*")
 
 
 def decode(messages: DataFrame, received_at: Column | None = None) -> DataFrame:
-    """Articles from messages, stamped as streamed; broken messages are left out."""
+    """Articles from messages, stamped as streamed; what aside() gives is left out."""
     if received_at is None:
         received_at = utc(F.current_timestamp())
-    valid = _parse(messages).filter(F.col(_BROKEN).isNull()).drop(_BROKEN)
+    valid = _parse(messages).filter("reason IS NULL").select("article.*").drop(_BROKEN)
     return valid.withColumns(
         {"ingestion_mode": F.lit("streaming"), "stream_received_at": iso_utc(received_at)}
     )
 
 
-def broken(messages: DataFrame) -> DataFrame:
-    """The messages decode leaves out, as text."""
-    return _parse(messages).filter(F.col(_BROKEN).isNotNull()).select(F.col(_BROKEN).alias("value"))
+def aside(messages: DataFrame) -> DataFrame:
+    """The messages decode leaves out (record, reason): empty, broken or without an id."""
+    return _parse(messages).filter("reason IS NOT NULL").select("record", "reason")
 
 
-def drain_to_hours(articles: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
-    """Append to date= and hour= folders by time of processing; returns when drained."""
+def drain_to_hours(messages: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+    """Append articles to date= and hour= folders by time of processing, drain and return.
+
+    Messages that are no articles go to the set_aside folder of the same root in
+    the same run, by a query with a position of its own.
+    """
     now = utc(F.current_timestamp())
-    query = (
-        articles.withColumns(
-            {"date": F.date_format(now, "yyyy-MM-dd"), "hour": F.date_format(now, "HH")}
-        )
+    rejected = (
+        aside(messages)
         .writeStream.format("json")
-        .partitionBy("date", "hour")
-        .option("path", f"{root}/streaming")
-        .option("checkpointLocation", checkpoint)
+        .option("path", f"{root}/set_aside")
+        .option("checkpointLocation", f"{checkpoint}/set_aside")
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
-    return query
-
-
-def drain_broken(messages: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep broken messages aside, with a position of their own."""
     query = (
-        broken(messages)
-        .writeStream.format("text")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
+        decode(messages)
+        .withColumns({"date": F.date_format(now, "yyyy-MM-dd"), "hour": F.date_format(now, "HH")})
+        .writeStream.format("json")
+        .partitionBy("date", "hour")
+        .option("path", f"{root}/streaming")
+        .option("checkpointLocation", f"{checkpoint}/articles")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    rejected.awaitTermination()
     return query

@@ -98,6 +98,29 @@ def test_visible_text(spark):
     ]
 
 
+def test_open_elements_and_references(spark):
+    values = {
+        "<p>a</p><script>var x=1;": "a", "<p>a</p><!-- open <b>x</b>": "a",
+        "it&#146;s &lsqb;x&check;&copy y &notit; &#00000065;&#0; &#99999999999;":
+            "it\u2019s [x\u2713\u00a9 y &notit; A\ufffd \ufffd",
+        '<a title="x > y">z</a>': "z", "<a title='it is \"so\" > 1'>z</a>": "z",
+        '<a title="open>z</a>': "z", "a < b & c": "a < b & c", "&amp;lt;": "&lt;",
+    }
+    assert apply(spark, list(values), html.html_to_text) == list(values.values())
+
+
+def test_attribute_forms(spark):
+    values = {
+        '<meta data-property="og:url" content="https://no/">': "",
+        '<meta property="og:url" data-content="https://no/" content="https://b/1">': "https://b/1",
+        "<link rel=canonical href=https://a/1>": "https://a/1",
+        '<link rel="canonical alternate" href="https://a/2">': "https://a/2",
+        '<link rel="non-canonical" href="https://a/3">': "",
+        '<link href="https://a/4?x=1&copy=2&amp;y" rel=canonical>': "https://a/4?x=1&copy=2&y",
+    }
+    assert apply(spark, list(values), html.canonical_url) == list(values.values())
+
+
 def test_paragraphs(spark):
     long = "x" * 31
     page = f"<p class='a'>{long}<p>short</p><div><p>{long} <b>y</b></div>tail<p>{'z' * 30}</p>"
@@ -168,11 +191,18 @@ def test_parse_timestamp(spark):
         "2024-01-31T01:02:03+02:00", "2024-01-31T01:02:03.5Z", "2024-01-31 01:02:03",
         "Wed, 31 Jan 2024 01:02:03 +0100", "Wed, 31 Jan 2024 01:02:03 GMT",
         "Wednesday, 1 Feb 2024 01:02:03 +0000", "garbage", "12:30", "", None, "2024-01-31",
-        "2024-01-31T01:02:03+0200", "2024-13-01",
+        "2024-01-31T01:02:03+0200", "2024-13-01", "2024-01-01T00:00:00+05",
+        "2024-01-01T00:00:00 EST", "Mon, 01 Jan 24 10:00:00 GMT", "Mon, 01 Jan 2024 10:00 PST",
+        "20240101T000000Z", "2024-01-01T00:00:00 XYZ", "1 Foo 2024 10:00:00 GMT",
+        "1 Jan 99 10:00:00 -0130", "2024-01-31T01:02Z", "31 Feb 2024 10:00:00 GMT",
+        "2024-01-01T00:00:00+99:00",
     ]
     got = [None if v is None else v.isoformat() for v in apply(spark, values, dates.parse_timestamp)]
     assert got == [
         "2024-01-30T23:02:03", "2024-01-31T01:02:03.500000", "2024-01-31T01:02:03",
         "2024-01-31T00:02:03", "2024-01-31T01:02:03", "2024-02-01T01:02:03",
         None, None, None, None, "2024-01-31T00:00:00", "2024-01-30T23:02:03", None,
+        "2023-12-31T19:00:00", "2024-01-01T05:00:00", "2024-01-01T10:00:00",
+        "2024-01-01T18:00:00", "2024-01-01T00:00:00", None, None, "1999-01-01T11:30:00",
+        "2024-01-31T01:02:00", None, None,
     ]

@@ -9,10 +9,13 @@ import check
 from __spark_entry__ import entry, oracle_sql, queries
 from gazette import schemas
 from gazette.checks import corpus
+from gazette.checks.oracle import ORACLES
+from gazette.checks.queries import QUERIES
 from gazette.operators import lookups
 from gazette.plans import jobs
+from gazette.plans.ingest import as_detail_batch
 from gazette.session import run_dir, scale_conf, shared_dir
-from gazette.sources import bronze, config, messages, warehouse
+from gazette.sources import bronze, config, messages, store, warehouse
 from gazette.streaming import ingest as stream
 from gazette.streaming import upsert as table
 
@@ -61,13 +64,16 @@ def test_snapshots_are_kept(spark):
 def test_readers_see_the_last_complete_version(spark):
     root = run_dir(spark, "t")
     one, two = spark.range(1), spark.range(2)
-    warehouse.publish(spark, root, "v1", {"a": one, "b": one}, AS_OF)
+    first = warehouse.publish(spark, root, {"a": one, "b": one}, AS_OF)
     # a load that did not get as far as its commit
     two.write.parquet(f"{root}/versions/v2/a")
     assert warehouse.read(spark, root, "a").count() == 1
-    warehouse.publish(spark, root, "v2", {"a": two, "b": two}, AS_OF + timedelta(hours=1))
+    # a load for the same time, then one for an earlier time: the last commit counts
+    warehouse.publish(spark, root, {"a": two, "b": two}, AS_OF)
     assert warehouse.read(spark, root, "b").count() == 2
-    assert warehouse.read(spark, root, "b", version="v1").count() == 1
+    assert warehouse.read(spark, root, "b", version=first).count() == 1
+    warehouse.publish(spark, root, {"a": one, "b": one}, AS_OF - timedelta(hours=1))
+    assert warehouse.read(spark, root, "b").count() == 1
 
 
 def test_messages_keep_every_field(spark):
@@ -81,31 +87,46 @@ def test_stream_resumes_and_keeps_broken_messages_aside(spark):
 
     def drain():
         raw = stream.read_files(spark, inbox, files_per_batch=1)
-        stream.drain_to_hours(stream.decode(raw), root, f"{root}/c1")
-        stream.drain_broken(stream.read_files(spark, inbox), f"{root}/broken", f"{root}/c2")
+        stream.drain_to_hours(raw, root, f"{root}/checkpoint")
         return bronze.scan(spark, f"{root}/streaming")
 
     drain()
     assert drain().count() == 4
     messages.publish_files(articles(spark, 2, start=4), inbox)
-    spark.createDataFrame([("{not json",)], "value string").write.mode("append").text(inbox)
+    odd = ["{not json", "", "[1]", "12", '{"article_id": null}', '{"title": "t"}', "null"]
+    lines = spark.createDataFrame([(x,) for x in odd], "value string")
+    lines.write.mode("append").text(inbox)
     rows = drain().collect()
     assert sorted(r["article_id"] for r in rows) == [f"id{i}" for i in range(6)]
     assert {r["ingestion_mode"] for r in rows} == {"streaming"}
-    assert [r["value"] for r in spark.read.text(f"{root}/broken").collect()] == ["{not json"]
+    kept = {r["record"]: r["reason"] for r in spark.read.json(f"{root}/set_aside").collect()}
+    assert kept == {
+        "{not json": "not an article", "": "empty message", "[1]": "not an article",
+        "12": "not an article", '{"article_id": null}': "no article_id",
+        '{"title": "t"}': "no article_id", "null": "not an article",
+    }
+    tombstone = spark.createDataFrame([(None,)], "value string")
+    assert stream.decode(tombstone).count() == 0
+    assert stream.aside(tombstone).collect()[0]["reason"] == "empty message"
 
 
 def test_batches_of_the_article_table(spark):
     root = run_dir(spark, "warehouse")
     jobs.create_warehouse(spark, root, AS_OF)
     assert jobs.detail(spark, root).count() == 0
+    with pytest.raises(store.Conflict):
+        jobs.create_warehouse(spark, root, AS_OF)
     run = jobs.warehouse_run(spark, root, articles(spark, 4), 1, AS_OF)
     assert run.applied and tuple(run.metrics.collect()[0]) == (4, 0, 0, 1)
     assert {r["status"] for r in run.checks.collect()} == {"PASS"}
     later = AS_OF + timedelta(minutes=10)
     changed = articles(spark, 2, start=3, title="Short")
-    for _ in range(2):  # a repeated batch replaces itself
-        assert jobs.apply_batch(spark, root, changed.unionByName(changed), 2, later)
+    unnamed = articles(spark, 1, article_id=None)
+    for _ in range(2):  # a repeated batch changes nothing
+        given = changed.unionByName(changed).unionByName(unnamed)
+        assert jobs.apply_batch(spark, root, given, "run", 2, later)
+    aside = jobs.set_aside(spark, root).groupBy("reason").count().collect()
+    assert {tuple(r) for r in aside} == {(jobs.REPEATED, 2), (jobs.NO_ID, 1)}
     rows = {r["article_id"]: r for r in jobs.detail(spark, root).collect()}
     assert len(rows) == 5 and rows["id3"]["title"] == "Short"
     assert rows["id3"]["created_at"] == AS_OF and rows["id4"]["created_at"] == later
@@ -114,33 +135,110 @@ def test_batches_of_the_article_table(spark):
     }
     # another article with a URL that is taken: the batch is refused and kept
     clash = articles(spark, 1, start=9, url="https://x.org/1")
-    run = jobs.warehouse_run(spark, root, clash, 3, later)
-    assert not run.applied
-    assert spark.read.parquet(f"{root}/refused/batch=3").count() == 1
+    assert not jobs.warehouse_run(spark, root, clash, 3, later).applied
+    assert not jobs.apply_batch(spark, root, clash, "run", 3, later)
+    refused = jobs.set_aside(spark, root).where(F.col("reason").startswith(jobs.REFUSED))
+    assert [r["article_id"] for r in refused.collect()] == ["id9"]
     silver = jobs.silver_table(spark, root)
     assert {r["article_id"]: r["silver_timestamp"] for r in silver.collect()} == {
         f"id{i}": later for i in range(5)
     }
     before = sorted(jobs.detail(spark, root).collect()), sorted(silver.collect())
-    jobs.compact_warehouse(spark, root, 3, later)
+    for _ in range(2):  # a repeated compaction changes nothing
+        jobs.compact_warehouse(spark, root, later)
     after = jobs.detail(spark, root), jobs.silver_table(spark, root)
     assert tuple(sorted(df.collect()) for df in after) == before
-    themes = warehouse.read(spark, f"{root}/gold", "articles_by_theme").collect()
-    assert [(r["theme"], r["articles_count"], r["last_updated"]) for r in themes] == [
+    gold = {t: warehouse.read(spark, f"{root}/gold", t).collect() for t in (
+        "articles_by_theme", "daily_article_trends", "analytics_summary")}
+    assert [(r["theme"], r["articles_count"], r["last_updated"]) for r in gold["articles_by_theme"]] == [
         ("autre", 5, later)
     ]
+    assert gold["daily_article_trends"] == []  # none of them is dated
+    assert gold["analytics_summary"][0]["total_articles"] == 5
+    # an article gives its URL up; another one takes it in the next batch
+    moved = articles(spark, 1, start=1, url="https://x.org/new")
+    assert jobs.apply_batch(spark, root, moved, "other", 1, later)
+    assert jobs.apply_batch(spark, root, clash, "other", 2, later)
+
+
+def test_a_failed_commit_leaves_no_trace(spark, monkeypatch):
+    root = run_dir(spark, "warehouse")
+    jobs.create_warehouse(spark, root, AS_OF)
+
+    def fail(*args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(store.Store, "_commit", fail)
+        with pytest.raises(OSError):
+            jobs.apply_batch(spark, root, articles(spark, 3, title="Short"), "run", 1, AS_OF)
+    assert jobs.detail(spark, root).count() == 0 and jobs.audit(spark, root).count() == 0
+    assert jobs.apply_batch(spark, root, articles(spark, 3, title="Short"), "run", 1, AS_OF)
+    assert jobs.detail(spark, root).count() == 3 and jobs.audit(spark, root).count() == 3
+
+
+def test_another_writer_in_between_is_refused(spark, monkeypatch):
+    root = run_dir(spark, "warehouse")
+    jobs.create_warehouse(spark, root, AS_OF)
+    numbers = iter([0, 1])
+    monkeypatch.setattr(store.Store, "last", lambda self: next(numbers))
+    audit = spark.createDataFrame([], schemas.QUARANTINE_AUDIT)
+    with pytest.raises(store.Conflict):
+        jobs.warehouse_store(spark, root).commit(AS_OF, rows={"quarantine_audit": audit})
+
+
+def test_a_batch_reads_only_the_buckets_of_its_keys(spark):
+    root = run_dir(spark, "warehouse")
+    jobs.create_warehouse(spark, root, AS_OF, as_detail_batch(articles(spark, 40)).withColumn(
+        "created_at", F.lit(AS_OF)))
+    near = articles(spark, 1, start=7)
+    found = jobs.warehouse_store(spark, root).current("articles_detail", near=near)
+    ids = {r["article_id"] for r in found.collect()}
+    assert "id7" in ids and len(ids) < 10
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_bucket" in plan
+
+
+def test_maintenance_of_the_stored_tables(spark):
+    root = run_dir(spark, "warehouse")
+    old = AS_OF - timedelta(days=9)
+    jobs.create_warehouse(spark, root, old)
+    jobs.apply_batch(spark, root, articles(spark, 3, title="Short", scraped_at="2024-01-20T00:00:00Z"),
+                     "run", 1, old)
+    jobs.apply_batch(spark, root, articles(spark, 2, start=3, title="Short"), "run", 2, AS_OF)
+    ids = spark.createDataFrame([("id0",), ("id3",)], "article_id string")
+    jobs.approve_in_warehouse(spark, root, ids, AS_OF)
+    jobs.backfill_warehouse(spark, root, AS_OF)
+    jobs.backfill_warehouse(spark, root, AS_OF)
+    actions = jobs.audit(spark, root).groupBy("action").count().collect()
+    assert {tuple(r) for r in actions} == {("mark", 8), ("unmark", 2)}
+    gone = jobs.purge_warehouse(spark, root, AS_OF).collect()
+    assert tuple(gone[0]) == (2, 4)
+    for _ in range(2):
+        assert {r["article_id"]: r["quarantine"] for r in jobs.detail(spark, root).collect()} == {
+            "id0": False, "id3": False, "id4": True
+        }
+        assert {r["article_id"] for r in jobs.audit(spark, root).collect()} == {"id0", "id3", "id4"}
+        jobs.compact_warehouse(spark, root, AS_OF)
+    # the URLs of purged articles are free
+    taken = articles(spark, 1, start=8, url="https://x.org/1")
+    assert jobs.apply_batch(spark, root, taken, "run", 3, AS_OF)
 
 
 def test_streamed_upserts(spark):
     root, inbox = run_dir(spark, "table"), run_dir(spark, "in")
     jobs.create_warehouse(spark, root, AS_OF)
     messages.publish_files(articles(spark, 3).repartition(3), inbox)
-    for _ in range(2):  # the second drain finds nothing new
-        raw = stream.read_files(spark, inbox, files_per_batch=1)
-        table.drain_to_table(stream.decode(raw), root, f"{root}/checkpoint", lambda: AS_OF)
+    spark.createDataFrame([("{oops",)], "value string").write.mode("append").text(inbox)
+    for checkpoint in "aab":  # the second drain finds nothing new, the third starts over
+        raw = stream.read_files(spark, inbox, files_per_batch=2)
+        table.drain_to_table(raw, root, f"{root}/{checkpoint}", lambda: AS_OF)
+        jobs.compact_warehouse(spark, root, AS_OF)
+    assert jobs.apply_batch(spark, root, articles(spark, 1, start=3), "run", 0, AS_OF)
     assert sorted(r["article_id"] for r in jobs.detail(spark, root).collect()) == [
-        "id0", "id1", "id2"
+        "id0", "id1", "id2", "id3"
     ]
+    assert {r["record"] for r in jobs.set_aside(spark, root).collect()} == {"{oops"}
 
 
 def test_lake_run(spark):
@@ -149,9 +247,11 @@ def test_lake_run(spark):
     streamed = articles(spark, 2, start=2, title="Streamed", scraped_at="2024-01-31T00:40:00Z")
     inbox = run_dir(spark, "in")
     messages.publish_files(streamed, inbox)
-    arrived = stream.decode(stream.read_files(spark, inbox))
-    stream.drain_to_hours(arrived, f"{root}/bronze", f"{root}/checkpoint")
-    silver = jobs.lake_silver(spark, root, AS_OF)
+    stream.drain_to_hours(stream.read_files(spark, inbox), f"{root}/bronze", f"{root}/checkpoint")
+    taught = spark.createDataFrame([("a match of the day", "en"), ("un jour de plus", "fr")], "t string, l string")
+    profile = jobs.train_language(spark, root, taught, "t", "l", AS_OF)
+    silver = jobs.lake_silver(spark, root, AS_OF, profile)
+    assert {r["language"] for r in silver.collect()} == {"unknown"}
     assert {r["article_id"]: r["title"] for r in silver.collect()} == {
         "id0": "A match", "id1": "A match", "id2": "Streamed", "id3": "Streamed"
     }
@@ -178,7 +278,8 @@ def test_source_file(spark, tmp_path):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gazette import schemas
 from gazette.operators import filters, gold, maintenance, quality, ranking
-from gazette.operators.language_model import identify, train
+from gazette.operators.language_model import BUCKETS, identify, train
 from gazette.plans import gold as gold_plan
 from gazette.plans.ingest import ingest
 
@@ -293,8 +293,11 @@ def test_warehouse_checks(spark):
 
 def test_language_model_knows_the_documents(spark):
     documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    profile = train(documents, "text", "lang")
+    held_out = F.col("doc_id") % 3 == 0
+    profile = train(documents.where(~held_out), "text", "lang")
     assert profile.languages == ["de", "en", "es", "fr"]
+    assert profile.scores.count() <= BUCKETS
+    documents = documents.where(held_out)
     found = identify(documents, "doc_id", "text", profile).join(
         documents.select("doc_id", "lang"), "doc_id"
     )
