@@ -29,7 +29,7 @@ ANNOUNCED = r"(?i)(passw|pwd|secret|token|api.?key|access.?key|credential|bearer
 #: Formats that are secrets for certain, for labels.
 KNOWN_SECRET = r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-[A-Za-z0-9-]{10,}$"
 #: Formats that are none: numbers, addresses, dates, versions, words with a number.
-KNOWN_PLAIN = r"^[0-9.:/+-]+$|^[a-z]+[._-]?[0-9]{1,4}$|^[0-9]{1,4}[._-]?[a-z]+$"
+KNOWN_PLAIN = r"^[0-9TZ.:/+-]+$|^[a-z]+[._-]?[0-9]{1,4}$|^[0-9]{1,4}[._-]?[a-z]+$"
 #: Documents that hold a word of the dictionary, at least.
 IN_DOCUMENTS = 5
 #: Labelled findings that the forest learns from, at most, chosen by a hash.
@@ -211,7 +211,11 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, sample: int = SAMPL
         forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED)
         model = forest.fit(vectors.transform(taught.coalesce(1)))
         judged = model.transform(vectors.transform(rows.drop("label", "probability")))
-        judged = judged.withColumn("probability", vector_to_array("probability")[1])
+        # a format that only secrets have needs no vote
+        certain = F.col("value").rlike(KNOWN_SECRET)
+        judged = judged.withColumn(
+            "probability", F.when(certain, 1.0).otherwise(vector_to_array("probability")[1])
+        )
     return judged.where(F.col("probability") >= SECRET).select(
         "doc_id", "position", "value", "probability"
     )
