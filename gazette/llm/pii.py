@@ -291,7 +291,8 @@ def added_spans(text: str, weights: Weights, base: list[tuple[int, int, int]]):
             end -= 1
         if start == end:
             continue
-        if found and found[-1][0] == label - 1 and not text[found[-1][2] : start].strip():
+        gap = text[found[-1][2] : start] if found else ""
+        if found and found[-1][0] == label - 1 and not gap.strip(" \t\r\n().-"):
             found[-1][2] = end
         else:
             found.append([label - 1, start, end])
@@ -339,7 +340,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> Weights:
         return (flat(name) + np.repeat(before, counts)).astype(np.int64).reshape(-1, 2)
 
     labels = flat("labels").astype(np.int64)
-    features = flat("features").astype(np.int64).reshape(len(labels), -1)
+    names = len(_features("0", "", ""))
+    features = flat("features").astype(np.int64).reshape(-1, names)
     return learn(features, labels, links("chain"), links("skip"))
 
 

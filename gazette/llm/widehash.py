@@ -1,7 +1,7 @@
 """SimHash with wide fingerprints, for copies that differ in more than a few bits.
 
 The share of differing bits of two fingerprints estimates the angle between the
-shingle counts, so a similarity is a radius; with 1024 bits it is estimated to a
+sets of shingles, so a similarity is a radius; with 1024 bits it is estimated to a
 few hundredths. A pair that near cannot be told by equal blocks, so keys are
 samples of bits, as many tables of them as reach the target recall at the
 radius. Pairs that share a key are discarded by their pivot distances or
@@ -63,7 +63,8 @@ def fingerprints(docs: DataFrame, size: int) -> DataFrame:
                         own = shingles[a : b - size + 1][valid[a : b - size + 1]]
                     else:
                         own = mix(prefix.ranges(np.array([a]), np.array([b])))[: b - a]
-                    marks.append(wide_fingerprint(own))
+                    # each shingle once, as the similarity of sets has it
+                    marks.append(wide_fingerprint(np.unique(own)))
             yield pa.RecordBatch.from_arrays(
                 [as_ids(ids_of(batch.column(0))), pa.array(marks, pa.binary())], ["doc_id", "mark"]
             )
