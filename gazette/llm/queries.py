@@ -156,4 +156,3 @@ QUERIES: dict[str, Query] = {
     "op10_repeated_windows": op10_repeated_windows,
     "pipeline": pipeline,
 }
-ORACLES: dict[str, str] = {}
