@@ -302,7 +302,7 @@ def test_no_query_leaves_the_jvm_or_crosses(spark):
     for name in ["silver_lake", "silver_warehouse", "purge_counts", "quality_suite",
                  "extract_articles", "top_keywords_content", "approve_articles"]:
         plan = queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
-        for operator in ("Python", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        for operator in ("Python", "InArrow", "InPandas", "CartesianProduct", "NestedLoopJoin"):
             assert operator not in plan, (name, operator)
 
 
