@@ -733,10 +733,10 @@ def stream_upsert(spark, sf):
     path, root = run_dir(spark, "messages"), run_dir(spark, "table")
     fresh = _as_bronze(corpus.incoming(spark, sf))
     first = F.substring("article_id", 1, 1)
-    jobs.create_warehouse(spark, root, AS_OF.replace(hour=0), _existing(spark, sf))
+    jobs.create_warehouse(spark, root, AS_OF.replace(hour=0), _existing(spark, sf), buckets=8)
     messages.publish_files(fresh.where(first < "5"), path)
     for checkpoint in ("a", "a", "b"):  # a second drain, and a checkpoint that is lost
-        arrived = stream.read_files(spark, path, files_per_batch=4)
+        arrived = stream.read_files(spark, path, files_per_batch=8)
         stream_table.drain_to_table(arrived, root, f"{root}/{checkpoint}", clock=lambda: AS_OF)
     for _ in range(2):
         jobs.compact_warehouse(spark, root, AS_OF)
@@ -770,7 +770,9 @@ def _stored(spark, sf):
     """A warehouse of the earlier articles and their audit."""
     root = run_dir(spark, "warehouse")
     before = AS_OF.replace(hour=0)
-    jobs.create_warehouse(spark, root, before, _existing(spark, sf), corpus.audit(spark, sf))
+    jobs.create_warehouse(
+        spark, root, before, _existing(spark, sf), corpus.audit(spark, sf), buckets=8
+    )
     return root
 
 

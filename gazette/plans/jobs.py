@@ -10,7 +10,7 @@ import logging
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gazette import constants as C
@@ -24,7 +24,7 @@ from gazette.operators.ranking import first_n
 from gazette.plans import gold, silver
 from gazette.plans.ingest import as_detail_batch
 from gazette.sources import bronze, messages, warehouse
-from gazette.sources.store import Store, Table
+from gazette.sources.store import BUCKETS, Store, Table
 
 log = logging.getLogger(__name__)
 
@@ -147,12 +147,16 @@ def create_warehouse(
     as_of: datetime,
     articles: DataFrame | None = None,
     audit: DataFrame | None = None,
+    buckets: int = BUCKETS,
 ) -> None:
-    """Start the warehouse, empty or with articles and audit rows."""
+    """Start the warehouse, empty or with articles and audit rows.
+
+    More buckets make an upsert read less of a large table.
+    """
     rows = {} if articles is None else {"articles_detail": articles, "url_owner": _owned(articles)}
     if audit is not None:
         rows["quarantine_audit"] = audit
-    warehouse_store(spark, root).create(as_of, rows)
+    warehouse_store(spark, root).create(as_of, rows, buckets)
 
 
 def detail(spark: SparkSession, root: str) -> DataFrame:
@@ -220,10 +224,12 @@ def apply_batch(
         )
     try:
         keys = maintenance.batch_keys(judged)
-        urls = _owned(keys)
-        before = store.current("articles_detail", near=keys).join(keys.select("article_id"), "article_id", "left_semi")
+        urls, state = _owned(keys), store.state()
+        own = store.current("articles_detail", near=keys, state=state)
+        before = own.join(keys.select("article_id"), "article_id", "left_semi")
         before = before.select("article_id", "url", "quarantine", "created_at").persist()
-        owners = store.current("url_owner", near=urls).join(urls.select("url"), "url", "left_semi")
+        owners = store.current("url_owner", near=urls, state=state)
+        owners = owners.join(urls.select("url"), "url", "left_semi")
         maintenance.check_unique(owners, keys)
         freed = before.where(F.col("url").isNotNull()).join(urls.select("url"), "url", "left_anti")
         note = store.commit(
@@ -258,8 +264,6 @@ def apply_batch(
 
 def _others(named: DataFrame, order: list) -> DataFrame:
     """The rows of each id behind the first."""
-    from pyspark.sql import Window
-
     rank = F.row_number().over(Window.partitionBy("article_id").orderBy(*order))
     return named.withColumn("_rank", rank).where("_rank > 1")
 

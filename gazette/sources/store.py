@@ -70,8 +70,8 @@ class Store:
         made = self.spark.createDataFrame([row], _LOG).withColumn("committed_at", moment(as_of))
         made.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
 
-    def _state(self):
-        """The base and the commits since."""
+    def state(self) -> tuple:
+        """The base and the commits since, for reading several tables as of one moment."""
         bases = self._log().where("base").orderBy(F.desc("sequence"), F.desc("folder"))
         base = bases.first()
         later = self._log().where(~F.col("base") & (F.col("sequence") > base["sequence"]))
@@ -136,9 +136,9 @@ class Store:
 
     def compact(self, as_of: datetime) -> None:
         """Fold all commits so far into a new base; nothing to do without any."""
-        base, later = self._state()
+        state = base, later = self.state()
         if later:
-            found = {name: self.current(name) for name in self.tables}
+            found = {name: self.current(name, state=state) for name in self.tables}
             self._write_base(later[-1]["sequence"], found, base["buckets"], as_of)
 
     def _write_base(self, sequence, rows, buckets, as_of) -> None:
@@ -163,14 +163,16 @@ class Store:
                   T.StructField(_SEQUENCE, T.LongType())]
         return self.spark.read.schema(T.StructType(fields)).parquet(*paths)
 
-    def current(self, name: str, near: DataFrame | None = None) -> DataFrame:
-        """A table as of the last commit.
+    def current(
+        self, name: str, near: DataFrame | None = None, state: tuple | None = None
+    ) -> DataFrame:
+        """A table as of the last commit, or of a state read before.
 
         With `near` (a frame with the key column), only the buckets of its keys are
         read: every row with one of these keys, and some others.
         """
         table = self.tables[name]
-        base_commit, later = self._state()
+        base_commit, later = state or self.state()
         fields = [*table.schema.fields, T.StructField(_BUCKET, T.IntegerType())]
         base = self.spark.read.schema(T.StructType(fields)).parquet(
             f"{self.root}/data/{base_commit['folder']}/{name}"
