@@ -117,6 +117,8 @@ class Mixture:
     def taken(self) -> DataFrame:
         """doc_id, size, source_size, target and taken: words that the slots take of it."""
         times = self.slots.groupBy("number", "block").agg(F.count("*").alias("times"))
+        # made from a few rows, so Spark thinks the slots are few: no broadcast
+        times = times.hint("merge")
         columns = ["doc_id", "size", "source_size", "target"]
         some = (
             self.pieces()
@@ -146,7 +148,8 @@ class Mixture:
             .agg(F.sort_array(F.collect_list(F.struct("start", "part"))).alias("parts"))
             .select("number", "block", F.array_join("parts.part", " ").alias("text"))
         )
-        return self.slots.join(blocks, ["number", "block"]).select("shard", "slot", "text")
+        slots = self.slots.hint("merge")
+        return slots.join(blocks, ["number", "block"]).select("shard", "slot", "text")
 
 
 def mixture(
@@ -204,7 +207,8 @@ def mixture(
     drawn = spark.createDataFrame(
         rows, "shard int, number int, done long, across long, count long, blocks long"
     )
-    return Mixture(placed, _slots(drawn, seed), block_words)
+    tasks = max(8, math.ceil(sum(quotas) / (4 * SLOT_ROWS)))
+    return Mixture(placed, _slots(drawn, seed, tasks), block_words)
 
 
 def _placed(sized: DataFrame) -> DataFrame:
@@ -230,10 +234,11 @@ def _placed(sized: DataFrame) -> DataFrame:
     )
 
 
-def _slots(drawn: DataFrame, seed: int) -> DataFrame:
+def _slots(drawn: DataFrame, seed: int, tasks: int) -> DataFrame:
     """The slots of all shards with the blocks they take."""
     steps = F.sequence(F.lit(0).cast("long"), F.col("count") - 1, F.lit(SLOT_ROWS).cast("long"))
-    parts = drawn.withColumn("step", F.explode(steps)).repartition("shard", "number", "step")
+    # rows are few where slots are many: the number of tasks follows the slots
+    parts = drawn.withColumn("step", F.explode(steps)).repartition(tasks, "shard", "number", "step")
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
