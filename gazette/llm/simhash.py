@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from gazette.llm.chunks import as_ids, ids_of, spread, string_parts
 from gazette.llm.components import smallest_reachable
 from gazette.llm.hashing import mix
+from gazette.session import shared_dir
 
 SEED = 42
 PIVOTS = mix(np.arange(1, 17, dtype=np.uint64))
@@ -29,7 +30,7 @@ PIVOTS = mix(np.arange(1, 17, dtype=np.uint64))
 CROWDED = 1024
 GRID_PIVOTS, GRID_STEP = 6, 4
 #: Rows that one task searches, about.
-SEARCH_ROWS = 200_000
+SEARCH_ROWS = 50_000
 _SLICE = 1 << 16
 
 
@@ -151,7 +152,7 @@ def links(marks: DataFrame, radius: int = 2) -> DataFrame:
         lambda batches: _gridded(batches, radius), "key long, fingerprint long"
     )
     count = marks.count() * len(masks)
-    n = max(4, -(-count // SEARCH_ROWS))
+    n = max(32, -(-count // SEARCH_ROWS))
 
     def bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,6 +213,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, radius: int = 2) -> DataFram
     such rows alone has a null component_id. Rows with one doc_id are separate
     rows. Other columns are not read.
     """
+    shared_dir(docs.sparkSession)
     own = fingerprints(docs, size).checkpoint()
     marks = own.groupBy("fingerprint").agg(F.min("doc_id").alias("first")).checkpoint()
     reach = smallest_reachable(links(marks, radius))

@@ -144,7 +144,7 @@ def links(marks: DataFrame, radius: int, recall: float = RECALL) -> DataFrame:
         .select("key", "node", own.alias("own"), other.alias("other"))
         .select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "node")
     )
-    n = max(4, math.ceil(rows * tables / (4 * SEARCH_ROWS)))
+    n = max(32, math.ceil(rows * tables / (4 * SEARCH_ROWS)))
 
     def bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
