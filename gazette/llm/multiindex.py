@@ -28,7 +28,7 @@ from gazette.session import shared_dir
 #: At most this many vectors are fetched to fit the codebooks and the traversal.
 SAMPLE = 16_384
 CELL_ROWS = 32
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 1024
 TASK_ROWS = 50_000
 VALID = "vec_id long, label int, sign binary, embedding array<float>"
 
@@ -183,7 +183,7 @@ def linked(
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Each vector once as a member of its cell, and once for each cell it asks."""
-        for batch in batches:
+        for batch in (b.slice(i, 1000) for b in batches for i in range(0, len(b), 1000)):
             sizes = np.asarray(batch["size"])
             values, offsets, _ = _vectors(batch["embedding"])
             for size in np.unique(sizes):
@@ -286,6 +286,14 @@ def _others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([own.column(0)], ["vec_id"])
 
 
+def _pairs(near: np.ndarray, rows: np.ndarray, columns: np.ndarray):
+    """The pairs of a block, some rows at a time, so that a dense one stays small."""
+    for first in range(0, len(rows), 64):
+        i, j = np.nonzero(near[first : first + 64])
+        if len(i):
+            yield rows[first + i], columns[j]
+
+
 def _compare(table: pa.Table, threshold: float) -> pa.Table:
     """Counts (a, n) and a forest of links (a, b) from the blocks of one task."""
     names = ["label", "size", "cell", "m", "q"]
@@ -316,9 +324,8 @@ def _compare(table: pa.Table, threshold: float) -> pa.Table:
         total = near @ copies[members]
         some = np.flatnonzero(total)
         counted.append((node[queries[some]], total[some]))
-        i, j = np.nonzero(near)
         ids, place = np.unique(np.concatenate([node[queries], node[members]]), return_inverse=True)
-        root = forest(len(ids), [(place[i], place[len(queries) + j])])
+        root = forest(len(ids), _pairs(near, place[: len(queries)], place[len(queries) :]))
         moved = np.flatnonzero(root != np.arange(len(ids)))
         links.append((ids[moved], ids[root[moved]]))
     none = np.zeros(0, np.int64)
