@@ -1,7 +1,7 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a word with a long run of key characters and a digit. The forest
-looks at its length, its character transitions, how much of it a dictionary
+A candidate is a part, between assignments, of a long run of key characters with a
+digit; a word may hold several runs and parts. The forest looks at its length, its character transitions, how much of it a dictionary
 covers, whether it stands in a path or address, and the words beside it. The
 dictionary and the letter transitions are counted over all documents. Everything
 is DataFrame operations.
@@ -26,8 +26,17 @@ CANDIDATE = rf"(?<![{_KEY}])(?=[{_KEY}]{{12}})[A-Za-z+/_=.:-]*+[0-9]"
 RUN = rf"{CANDIDATE}[{_KEY}]*+"
 #: Words that announce a secret.
 ANNOUNCED = r"(?i)(passw|pwd|secret|token|api.?key|access.?key|credential|bearer|auth)"
+#: Parts of addresses and file names.
+ADDRESS = r"://|[.](com|org|net|html?|json|txt|py|js)\b"
 #: Formats that are secrets for certain, for labels.
 KNOWN_SECRET = r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-[A-Za-z0-9-]{10,}$"
+#: The same formats within a longer run.
+KNOWN_INSIDE = (
+    r"(?<![A-Za-z0-9])(?:(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36})(?![A-Za-z0-9])"
+    r"|xox[abprs]-[A-Za-z0-9-]{10,})"
+)
+#: Parts of a run before a value that may announce it.
+BEFORE = 8
 #: Formats that are none: numbers, addresses, dates, versions, words with a number.
 KNOWN_PLAIN = r"^[0-9TZ.:/+-]+$|^[a-z]+[._-]?[0-9]{1,4}$|^[0-9]{1,4}[._-]?[a-z]+$"
 #: Documents that hold a word of the dictionary, at least.
@@ -45,7 +54,7 @@ FEATURES = [
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """Each candidate word: doc_id, position (number of the word), value and its context."""
+    """Each candidate value: doc_id, position (number of its word), value and its context."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     words = F.split("text", SPACE)
     found = F.filter(
@@ -70,13 +79,37 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 
 def _valued(near: DataFrame) -> DataFrame:
-    """The value in each word, after an assignment if there is one."""
-    run = F.regexp_replace(F.regexp_extract("word", RUN, 0), r"[.:-]+$", "")
-    value = F.regexp_replace("run", rf"^.*[=:](?=[{_KEY}]{{6}})", "")
+    """The values in each word: all parts of all its runs, split at assignments.
+
+    A part that holds a known format, or ends in a few characters after a colon or an
+    equals sign, counts without what surrounds it as well. `main` marks one value of
+    each word, the last part of its first run.
+    """
+    runs = near.select("*", F.posexplode(F.regexp_extract_all("word", F.lit(RUN), 0)).alias("_n", "run"))
+    split = runs.withColumn("run", F.regexp_replace("run", r"[.:-]+$", "")).withColumn(
+        "parts", F.split("run", rf"[=:](?=[^=:][{_KEY}]{{5}})")
+    )
+    # what stands before a part in its run, so far as it could announce it
+    name = F.expr(
+        f"if(_i = 0, '', concat(array_join(slice(parts, greatest(_i - {BEFORE - 1}, 1), "
+        f"least(_i, {BEFORE})), '='), '='))"
+    )
+    part = F.regexp_replace("part", r"[.:-]+$", "")
+    values = F.array_distinct(
+        F.concat(
+            F.array(part),
+            F.array(F.regexp_replace(part, "^([^=:]+)[=:]+[^=:].*$", "$1")),
+            F.regexp_extract_all(part, F.lit(KNOWN_INSIDE), 0),
+        )
+    )
     return (
-        near.withColumn("run", run)
-        .withColumn("value", value)
-        .withColumn("name", F.expr("left(run, length(run) - length(value))"))
+        split.select("*", F.posexplode("parts").alias("_i", "part"))
+        .withColumn("name", name)
+        .withColumn("_last", (F.col("_n") == 0) & (F.col("_i") == F.size("parts") - 1))
+        .drop("parts")
+        .select("*", F.posexplode(values).alias("_v", "value"))
+        .withColumn("main", F.col("_last") & (F.col("_v") == 0))
+        .drop("_n", "_i", "_v", "_last", "part")
         .where("length(value) >= 8")
     )
 
@@ -151,7 +184,7 @@ def described(found: DataFrame, words: DataFrame, known: dict[str, float]) -> Da
         "covered": F.coalesce(F.col("letters"), F.lit(0)) / size,
         "slashes": share("/"),
         "dots": share("[.]"),
-        "address": has("word", "@|://|[.](com|org|net|html?|json|txt|py|js)\\b"),
+        "address": has("word", f"@|{ADDRESS}"),
         "hexadecimal": has(value, "^([0-9a-f]{16,}|[0-9A-F]{16,})$"),
         "announced": has(before, ANNOUNCED),
         "assigned": has(before, "[=:]\\s*$"),
@@ -166,13 +199,12 @@ def described(found: DataFrame, words: DataFrame, known: dict[str, float]) -> Da
 def labelled(rows: DataFrame) -> DataFrame:
     """Label 1 or 0 for candidates whose format or context tells, null for the others."""
     told = (F.col("announced") == 1) & (F.col("assigned") == 1) & (F.col("digits") > 0)
-    plain = (
-        F.col("value").rlike(KNOWN_PLAIN)
-        | (F.col("address") == 1)
-        | (F.col("covered") >= 0.6)
-    )
+    ordinary = F.col("value").rlike(KNOWN_PLAIN) | (F.col("covered") >= 0.6)
+    plain = ordinary | (F.col("address") == 1)
+    # an assigned value in the query of an address is not the address
+    query = ~F.col("run").rlike(ADDRESS) & ~F.contains("word", F.lit("@"))
     label = (
-        F.when(F.col("value").rlike(KNOWN_SECRET) | (told & ~plain), 1.0)
+        F.when(F.col("value").rlike(KNOWN_SECRET) | (told & ~ordinary & (~plain | query)), 1.0)
         .when(plain & (F.col("announced") == 0), 0.0)
     )
     return rows.withColumn("label", label)
@@ -183,10 +215,12 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, sample: int = SAMPL
 
     Returns doc_id, position (number of the word, from 0), value and probability
     (at least SECRET). `findings` may give labelled findings (word, second_before,
-    before, after, label 0 or 1) to learn from; without it, candidates whose format
+    before, after, label 0 or 1) to learn from, where label 1 speaks of the last part of
+    the word's first run and label 0 of all its values; without it, candidates whose format
     or context tells are labelled. At most `sample` labelled rows are used. If one
     class is missing, labelled secrets alone are reported. A null or empty text has
-    none. Repeated rows are reported each. Other columns are not read.
+    none. Each value of a word is reported, also one within another. Repeated rows are
+    reported each. Other columns are not read.
     """
     shared_dir(docs.sparkSession)
     words = dictionary(docs).checkpoint()
@@ -196,7 +230,7 @@ def scan(docs: DataFrame, findings: DataFrame | None = None, sample: int = SAMPL
         taught = rows
     else:
         near = findings.select("word", "second_before", "before", "after", "label")
-        taught = described(_valued(near), words, known)
+        taught = described(_valued(near).where("label = 0 or main"), words, known)
     taught = (
         taught.where("label in (0, 1)")
         .select("label", *FEATURES)
