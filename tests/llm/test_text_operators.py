@@ -140,6 +140,49 @@ def test_katz_trigrams_and_no_training(spark):
     assert none.agg(F.min("score"), F.max("base_score"), F.max("train_tokens")).first() == (0, 0, 0)
 
 
+def test_katz_query_is_brute_force_trigrams(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    rows = {r["doc_id"]: ["begin", "begin", *lowered(r["text"]), "end"] for r in docs}
+    train = [i for i in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    counts = [Counter(), Counter(), Counter()]
+    for i in train:
+        for at in range(2, len(rows[i])):
+            for m in range(3):
+                counts[m][tuple(rows[i][at - m : at + 1])] += 1
+    n, k = sum(counts[0].values()), katz.GOOD_TURING
+    of = [{(): n}, {**counts[0], ("begin",): len(train)}, {**counts[1], ("begin",) * 2: len(train)}]
+    tables = [
+        katz.discounts(np.array([sum(c == r for c in own.values()) for r in range(1, k + 2)]))
+        for own in counts
+    ]
+
+    def seen(gram):
+        m = len(gram) - 1
+        c, d = counts[m][gram], tables[m]
+        return (c - d[k + 1] if c > k else c * d[c]) / of[m][gram[:-1]]
+
+    unknown = 1 - sum(seen(g) for g in counts[0])
+    weights = [{}, {}, {}]
+
+    def probability(gram):
+        m = len(gram) - 1
+        if gram in counts[m]:
+            return seen(gram)
+        return weights[m].get(gram[:-1], 1) * probability(gram[1:]) if m else unknown
+
+    for m in (1, 2):
+        left, rest = defaultdict(lambda: 1.0), defaultdict(lambda: 1.0)
+        for g in counts[m]:
+            left[g[:-1]] -= seen(g)
+            rest[g[:-1]] -= probability(g[1:])
+        weights[m].update((h, left[h] / rest[h]) for h in left)
+    got = {r["doc_id"]: r["score"] for r in queries.op6_katz_scores(spark, SF).collect()}
+    assert set(got) == set(rows)
+    for i, w in rows.items():
+        score = sum(math.log10(probability(tuple(w[at - 2 : at + 1]))) for at in range(2, len(w)))
+        assert abs(got[i] - score) < 1e-6 * abs(score)
+
+
 def components(nodes, linked):
     parent = {n: n for n in nodes}
 
