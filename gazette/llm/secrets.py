@@ -3,7 +3,8 @@
 A candidate is a part, between assignments, of a long run of key characters with a
 digit; a word may hold several runs and parts. The forest looks at its length, its character transitions, how much of it a dictionary
 covers, whether it stands in a path or address, and the words beside it. The
-dictionary and the letter transitions are counted over all documents. Everything
+dictionary and the letter transitions are counted over all documents, outside
+candidates. Everything
 is DataFrame operations.
 """
 
@@ -39,8 +40,8 @@ KNOWN_INSIDE = (
 BEFORE = 8
 #: Formats that are none: numbers, addresses, dates, versions, words with a number.
 KNOWN_PLAIN = r"^[0-9TZ.:/+-]+$|^[a-z]+[._-]?[0-9]{1,4}$|^[0-9]{1,4}[._-]?[a-z]+$"
-#: Documents that hold a word of the dictionary, at least.
-IN_DOCUMENTS = 5
+#: Documents that hold a word of the dictionary, at least, and their share of all documents.
+IN_DOCUMENTS, IN_SHARE = 5, 1e-5
 #: Labelled findings that the forest learns from, at most, chosen by a hash.
 SAMPLE = 20_000
 TREES, DEPTH, SEED = 32, 6, 7
@@ -115,10 +116,15 @@ def _valued(near: DataFrame) -> DataFrame:
 
 
 def dictionary(docs: DataFrame) -> DataFrame:
-    """Words of small letters (word, documents) that several documents hold."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,24}"), 0))
+    """Words of small letters (word, documents) that several documents hold outside candidates.
+
+    A key in many copies would otherwise bring its own letters into the dictionary.
+    """
+    least = max(IN_DOCUMENTS, math.ceil(docs.count() * IN_SHARE))
+    rest = F.lower(F.regexp_replace("text", RUN, " "))
+    words = F.array_distinct(F.regexp_extract_all(rest, F.lit("[a-z]{3,24}"), 0))
     counted = docs.select(F.explode(words).alias("word")).groupBy("word")
-    return counted.agg(F.count("*").alias("documents")).where(F.col("documents") >= IN_DOCUMENTS)
+    return counted.agg(F.count("*").alias("documents")).where(F.col("documents") >= least)
 
 
 def transitions(words: DataFrame) -> dict[str, float]:

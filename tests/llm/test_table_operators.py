@@ -174,6 +174,22 @@ def test_every_secret_of_a_word_is_found(spark):
     assert not any(v in r["text"] for v in expected for r in masked)
 
 
+def test_copies_of_a_key_do_not_make_it_a_word(spark, monkeypatch):
+    key = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
+    df, n = with_secrets(spark)
+    copies = [f"our secret_key = {key} on host {i}" for i in range(50)] + [f"then {key} was seen"] * 50
+    df = df.unionByName(documents(spark, copies).withColumn("doc_id", F.col("doc_id") + n))
+    words = secrets.dictionary(df)
+    known = {r["word"] for r in words.collect()}
+    assert not known & {"wjalrxutnfemi", "mdeng", "bpxrficyexamplekey"} and {"our", "host"} <= known
+    rows = secrets.labelled(secrets.described(secrets.candidates(df), words, {})).where(F.col("value") == key)
+    labels = [(r["covered"], r["label"]) for r in rows.collect()]
+    assert sorted(labels, key=str) == [(0.0, 1.0)] * 50 + [(0.0, None)] * 50
+    # a larger corpus asks for more documents
+    monkeypatch.setattr(secrets, "IN_SHARE", 0.3)
+    assert "our" not in {r["word"] for r in secrets.dictionary(df).collect()}
+
+
 def test_secret_scan_with_given_findings_and_without(spark):
     df, _ = with_secrets(spark)
     given = secrets.candidates(df).select(
