@@ -77,8 +77,84 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed,
 FROM texts LEFT JOIN counted USING (doc_id)
 """
 
+# Triplets of bytes hash by the product's upper byte; 64, 128 and 192 are the places of the
+# quartiles among 256 counts; a digest's length grows by steps of an eighth.
+OP11 = r"""
+WITH RECURSIVE steps(reached, k) AS (
+  SELECT 1::BIGINT, 1
+  UNION ALL SELECT reached + greatest(1, reached // 8), k + 1 FROM steps WHERE k < 255),
+ordered AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+    row_number() OVER (ORDER BY doc_id NULLS FIRST) AS i, count(*) OVER () AS n FROM documents),
+texts AS (
+  SELECT a.doc_id, a.i, b.i AS next, a.t,
+    left(a.t, length(a.t) - length(a.t) // 4) || left(b.t, length(a.t) // 4) AS e
+  FROM ordered a JOIN ordered b ON b.i = a.i % a.n + 1),
+both_texts AS (
+  SELECT i, 0 AS which, hex(encode(t)) AS h FROM texts
+  UNION ALL SELECT i, 1, hex(encode(e)) FROM texts),
+bytes AS (
+  SELECT i, which, ('0x' || byte)::BIGINT AS b0, lead(byte_value, 1) OVER w AS b1,
+    lead(byte_value, 2) OVER w AS b2, lead(byte_value, 3) OVER w AS b3
+  FROM (SELECT *, ('0x' || byte)::BIGINT AS byte_value FROM (
+    SELECT i, which, unnest(regexp_extract_all(h, '..')) AS byte,
+      unnest(range(length(h) // 2)) AS p FROM both_texts))
+  WINDOW w AS (PARTITION BY i, which ORDER BY p)),
+triplets AS (
+  SELECT i, which, b0 + b1 * 256 + b2 * 65536 AS v FROM bytes WHERE b2 IS NOT NULL
+  UNION ALL
+  SELECT i, which, b0 + b1 * 256 + b3 * 65536 + 16777216 FROM bytes WHERE b3 IS NOT NULL
+  UNION ALL
+  SELECT i, which, b0 + b2 * 256 + b3 * 65536 + 33554432 FROM bytes WHERE b3 IS NOT NULL),
+found AS (
+  SELECT i, which, ((v * 2654435761) % 4294967296) // 16777216 AS bucket, count(*) AS c
+  FROM triplets GROUP BY ALL),
+counts AS (
+  SELECT t.i, t.which, k.bucket, coalesce(c, 0) AS c
+  FROM both_texts t CROSS JOIN (SELECT unnest(range(256)) AS bucket) k
+  LEFT JOIN found f ON f.i = t.i AND f.which = t.which AND f.bucket = k.bucket),
+quartiles AS (
+  SELECT i, which, list_sort(list(c)) AS s FROM counts GROUP BY ALL),
+codes AS (
+  SELECT i, which, bucket,
+    (c > s[64])::BIGINT + (c > s[128])::BIGINT + (c > s[192])::BIGINT AS code
+  FROM counts JOIN quartiles USING (i, which)),
+sizes AS (
+  SELECT i, which, (SELECT count(*) FROM steps WHERE reached <= length(h) // 2) AS size
+  FROM both_texts),
+digests AS (
+  SELECT i, which, list(code ORDER BY bucket) AS codes,
+    [count(*) FILTER (code = 0), count(*) FILTER (code = 1), count(*) FILTER (code = 2),
+      count(*) FILTER (code = 3)] AS many,
+    any_value(size) AS size,
+    string_agg(CASE WHEN bucket % 2 = 0 THEN
+      substr('0123456789abcdef', 1 + 4 * code + after, 1) ELSE '' END, '' ORDER BY bucket) AS head
+  FROM (SELECT *, lead(code) OVER (PARTITION BY i, which ORDER BY bucket) AS after FROM codes)
+  JOIN sizes USING (i, which) GROUP BY i, which),
+named AS (
+  SELECT *, head || lower(printf('%02x', size)) AS digest FROM digests),
+pairs AS (
+  SELECT i, i AS j, 1 AS which FROM texts UNION ALL SELECT i, next, 0 FROM texts),
+parts AS (
+  SELECT p.i, p.which, least(20, abs(a.size - b.size)) AS steps,
+    list_sum(list_transform(list_zip(a.codes, b.codes), lambda x: abs(x[1] - x[2])))::BIGINT AS body,
+    (SELECT sum(abs(x - y) * a.many[x + 1] * b.many[y + 1])
+      FROM (SELECT unnest(range(4)) AS x) CROSS JOIN (SELECT unnest(range(4)) AS y))::BIGINT AS chance
+  FROM pairs p JOIN named a ON a.i = p.i AND a.which = 0
+  JOIN named b ON b.i = p.j AND b.which = p.which),
+likes AS (
+  SELECT i, which, CASE WHEN chance = 0 THEN (20 - steps)::DOUBLE / 20 ELSE
+    greatest(0, 20 * (chance - 256 * body) - steps * chance)::DOUBLE / (20 * chance) END AS near
+  FROM parts)
+SELECT t.doc_id, length(t.t) AS n_chars, sha256(t.e) AS edited_sha256, a.digest AS fingerprint,
+  b.digest AS edited_fingerprint, x.near AS near_edited, y.near AS near_next
+FROM texts t JOIN named a ON a.i = t.i AND a.which = 0 JOIN named b ON b.i = t.i AND b.which = 1
+JOIN likes x ON x.i = t.i AND x.which = 1 JOIN likes y ON y.i = t.i AND y.which = 0
+"""
+
 ORACLES: dict[str, str] = {
     "op2_embedding_links": OP2,
     "op9_suffix_repeats": OP9,
     "op10_repeated_windows": OP10,
+    "op11_text_digests": OP11,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from gazette.llm import (
     decontamination,
+    digests,
     katz,
     mixing,
     multiindex,
@@ -139,6 +140,10 @@ def op10_repeated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_text_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -154,5 +159,6 @@ QUERIES: dict[str, Query] = {
     "op8_simhash_groups": op8_simhash_groups,
     "op9_suffix_repeats": op9_suffix_repeats,
     "op10_repeated_windows": op10_repeated_windows,
+    "op11_text_digests": op11_text_digests,
     "pipeline": pipeline,
 }
