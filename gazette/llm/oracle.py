@@ -152,9 +152,56 @@ FROM texts t JOIN named a ON a.i = t.i AND a.which = 0 JOIN named b ON b.i = t.i
 JOIN likes x ON x.i = t.i AND x.which = 1 JOIN likes y ON y.i = t.i AND y.which = 0
 """
 
+_ROUND = """
+apart{n} AS (
+  SELECT u.part, u.v, b.entry, list_sum(list_transform(list_zip(u.v, b.c),
+    lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+  FROM (SELECT DISTINCT part, v FROM pieces) u JOIN book{n} b ON b.part = u.part),
+near{n} AS (
+  SELECT part, v, entry, d FROM apart{n}
+  QUALIFY row_number() OVER (PARTITION BY part, v ORDER BY d, entry) = 1)"""
+
+_MOVE = """,
+sums{n} AS (
+  SELECT p.part, entry, k, sum(p.v[k])::BIGINT AS total, count(*) AS many
+  FROM pieces p JOIN near{n} a ON a.part = p.part AND a.v = p.v
+  CROSS JOIN (SELECT unnest(range(1, width + 1)) AS k FROM dims) GROUP BY ALL),
+means{n} AS (
+  SELECT part, entry, list((total - (total % many + many) % many) // many ORDER BY k) AS c
+  FROM sums{n} GROUP BY ALL),
+book{m} AS (
+  SELECT b.part, b.entry, coalesce(m.c, b.c) AS c
+  FROM book{n} b LEFT JOIN means{n} m ON m.part = b.part AND m.entry = b.entry),"""
+
+OP12 = (
+    """
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x,
+    row_number() OVER (ORDER BY vec_id NULLS LAST) AS i
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+dims AS (SELECT len(x) // 16 AS width FROM kept LIMIT 1),
+pieces AS (
+  SELECT vec_id, label, i, part, x[part * width + 1 : (part + 1) * width] AS v
+  FROM kept, dims, (SELECT unnest(range(16)) AS part)),
+book0 AS (SELECT part, i - 1 AS entry, v AS c FROM pieces WHERE i <= 64),"""
+    + "".join(_ROUND.format(n=n) + (_MOVE.format(n=n, m=n + 1) if n < 2 else "") for n in range(3))
+    + """,
+codes AS (
+  SELECT p.vec_id, p.i, p.label, string_agg(printf('%02x', a.entry), '' ORDER BY p.part) AS code,
+    sum(a.d)::BIGINT AS error
+  FROM pieces p JOIN near2 a ON a.part = p.part AND a.v = p.v GROUP BY ALL)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(c[k]::VARCHAR, ',' ORDER BY part, entry, k))
+   FROM book2, (SELECT unnest(range(1, width + 1)) AS k FROM dims)) AS codebooks_sha256
+FROM codes
+"""
+)
+
 ORACLES: dict[str, str] = {
     "op2_embedding_links": OP2,
     "op9_suffix_repeats": OP9,
     "op10_repeated_windows": OP10,
     "op11_text_digests": OP11,
+    "op12_vector_codes": OP12,
 }

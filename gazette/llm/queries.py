@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gazette.llm import (
+    codes,
     decontamination,
     digests,
     katz,
@@ -144,6 +145,11 @@ def op11_text_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests.edited_likeness(table(spark, sf_dir, "documents"))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    return codes.compressed(embeddings, parts=16, entries=64, rounds=2, scale=256)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -160,5 +166,6 @@ QUERIES: dict[str, Query] = {
     "op9_suffix_repeats": op9_suffix_repeats,
     "op10_repeated_windows": op10_repeated_windows,
     "op11_text_digests": op11_text_digests,
+    "op12_vector_codes": op12_vector_codes,
     "pipeline": pipeline,
 }
