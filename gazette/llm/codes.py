@@ -130,9 +130,10 @@ def whole_vectors(embeddings: DataFrame, scale: int) -> DataFrame:
         "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     )
     kept = rows.where(F.coalesce(usable, F.lit(False)))
-    return kept.select(
-        "vec_id", "label", F.transform("embedding", lambda x: F.floor(x * F.lit(float(scale)))).alias("x")
-    )
+    # far beyond what is refused later, so that nothing overflows before
+    end = F.lit(4.0 * LARGEST)
+    scaled = F.transform("embedding", lambda x: F.greatest(F.least(x * F.lit(float(scale)), end), -end))
+    return kept.select("vec_id", "label", F.transform(scaled, F.floor).alias("x"))
 
 
 def _first(whole: DataFrame, entries: int) -> np.ndarray:

@@ -21,6 +21,7 @@ from gazette.llm import (
     secrets,
     simhash,
     suffixes,
+    whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,6 +151,10 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.compressed(embeddings, parts=16, entries=64, rounds=2, scale=256)
 
 
+def op13_whitened_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), components=32)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -167,5 +172,6 @@ QUERIES: dict[str, Query] = {
     "op10_repeated_windows": op10_repeated_windows,
     "op11_text_digests": op11_text_digests,
     "op12_vector_codes": op12_vector_codes,
+    "op13_whitened_vectors": op13_whitened_vectors,
     "pipeline": pipeline,
 }
