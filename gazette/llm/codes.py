@@ -133,7 +133,7 @@ def whole_vectors(embeddings: DataFrame, scale: int) -> DataFrame:
     # far beyond what is refused later, so that nothing overflows before
     end = F.lit(4.0 * LARGEST)
     scaled = F.transform("embedding", lambda x: F.greatest(F.least(x * F.lit(float(scale)), end), -end))
-    return kept.select("vec_id", "label", F.transform(scaled, F.floor).alias("x"))
+    return kept.select("vec_id", "label", F.transform(scaled, lambda x: F.floor(x)).alias("x"))
 
 
 def _first(whole: DataFrame, entries: int) -> np.ndarray:
