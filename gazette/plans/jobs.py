@@ -8,15 +8,15 @@ from __future__ import annotations
 
 import logging
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gazette import constants as C
 from gazette import schemas
+from gazette.operators import deltas, maintenance, quality
 from gazette.operators import gold as gold_operators
-from gazette.operators import maintenance, quality
 from gazette.operators.extract import extract_articles
 from gazette.operators.filters import moment
 from gazette.operators.language_model import LanguageProfile, train
@@ -24,7 +24,7 @@ from gazette.operators.ranking import first_n
 from gazette.plans import gold, silver
 from gazette.plans.ingest import as_detail_batch
 from gazette.sources import bronze, messages, warehouse
-from gazette.sources.store import BUCKETS, Store, Table
+from gazette.sources.store import BUCKETS, Conflict, Store, Table
 
 log = logging.getLogger(__name__)
 
@@ -116,13 +116,23 @@ def lake_gold(spark: SparkSession, root: str, as_of: datetime) -> None:
 
 
 TABLES = {
-    "articles_detail": Table(schemas.ARTICLES_DETAIL),
+    # cut by the day of intake, so that a read of the last hours finds its folders
+    "articles_detail": Table(
+        schemas.ARTICLES_DETAIL, day=lambda: F.coalesce("ingested_at", "created_at")
+    ),
     "url_owner": Table(schemas.URL_OWNER, key="url"),
-    "articles_silver": Table(schemas.ARTICLES_SILVER),
+    "articles_silver": Table(schemas.ARTICLES_SILVER, day=lambda: F.col("silver_timestamp")),
     "quarantine_audit": Table(schemas.QUARANTINE_AUDIT, latest=False),
     "transformation_audit": Table(schemas.TRANSFORMATION_AUDIT, latest=False),
     "set_aside": Table(schemas.SET_ASIDE, latest=False),
+    "article_counts": Table(schemas.ARTICLE_COUNTS, key="source", latest=False, sums=("n",)),
+    "keyword_counts": Table(schemas.KEYWORD_COUNTS, key="keyword", latest=False, sums=("n",)),
+    "trend_counts": Table(
+        schemas.TREND_COUNTS, key="source", latest=False, sums=tuple(deltas.TREND_SUMS)
+    ),
 }
+#: How often a batch starts over when another writer commits in between.
+ATTEMPTS = 10
 
 
 @dataclass(frozen=True)
@@ -153,16 +163,32 @@ def create_warehouse(
 
     More buckets make an upsert read less of a large table.
     """
-    rows = {} if articles is None else {"articles_detail": articles, "url_owner": _owned(articles)}
+    rows = {}
+    if articles is not None:
+        rows = {"articles_detail": articles, "url_owner": _owned(articles), **_counts(None, articles)}
     if audit is not None:
         rows["quarantine_audit"] = audit
     warehouse_store(spark, root).create(as_of, rows, buckets)
 
 
+def _counts(before: DataFrame | None, after: DataFrame | None) -> dict[str, DataFrame]:
+    """What a change of articles does to the stored counts."""
+    changed = deltas.signed(before, after, deltas.ARTICLE_COLUMNS)
+    return {
+        "article_counts": deltas.article_counts(changed),
+        "keyword_counts": deltas.keyword_counts(changed),
+    }
+
+
 def detail(spark: SparkSession, root: str) -> DataFrame:
     return warehouse_store(spark, root).current("articles_detail")
 
 
+def recent_detail(spark: SparkSession, root: str, since: datetime) -> DataFrame:
+    """Articles taken in from the day of `since` on, read from the folders of these days."""
+    return warehouse_store(spark, root).current("articles_detail", since=since.date())
+
+
 def silver_table(spark: SparkSession, root: str) -> DataFrame:
     return warehouse_store(spark, root).current("articles_silver")
 
@@ -205,8 +231,29 @@ def apply_batch(
     committed before changes nothing. Only the parts of the tables that hold the
     batch's ids and URLs are read.
     """
+    for attempt in range(ATTEMPTS):
+        try:
+            return _apply(spark, root, articles, writer, batch, as_of, broken)
+        except Conflict:
+            # another writer came first: all is decided anew from its state
+            if attempt == ATTEMPTS - 1:
+                raise
+            log.info("batch %d of %s starts over", batch, writer)
+    raise AssertionError
+
+
+def _apply(
+    spark: SparkSession,
+    root: str,
+    articles: DataFrame,
+    writer: str,
+    batch: int,
+    as_of: datetime,
+    broken: DataFrame | None,
+) -> bool:
     store = warehouse_store(spark, root)
-    if (known := store.note(writer, batch)) is not None:
+    state = store.state()
+    if (known := store.note(writer, batch, state)) is not None:
         return known == APPLIED
     named = articles.where(F.coalesce(F.col("article_id") != "", F.lit(False)))
     unnamed = articles.where(~F.coalesce(F.col("article_id") != "", F.lit(False)))
@@ -224,26 +271,31 @@ def apply_batch(
         )
     try:
         keys = maintenance.batch_keys(judged)
-        urls, state = _owned(keys), store.state()
+        urls = _owned(keys)
         own = store.current("articles_detail", near=keys, state=state)
         before = own.join(keys.select("article_id"), "article_id", "left_semi")
-        before = before.select("article_id", "url", "quarantine", "created_at").persist()
+        before = before.select(
+            "article_id", "url", "quarantine", "created_at", *deltas.ARTICLE_COLUMNS
+        ).persist()
         owners = store.current("url_owner", near=urls, state=state)
         owners = owners.join(urls.select("url"), "url", "left_semi")
         maintenance.check_unique(owners, keys)
         freed = before.where(F.col("url").isNotNull()).join(urls.select("url"), "url", "left_anti")
+        dated = maintenance.dated_batch(before.select("article_id", "created_at"), judged, keys, as_of)
         note = store.commit(
             as_of,
             rows={
-                "articles_detail": maintenance.dated_batch(before, judged, keys, as_of),
+                "articles_detail": dated,
                 "quarantine_audit": maintenance.quarantine_audit_delta(before, judged, keys, as_of),
                 "url_owner": urls,
                 "set_aside": _union(aside),
+                **_counts(before, judged),
             },
             deletes={"url_owner": freed},
             writer=writer,
             batch=batch,
             note=APPLIED,
+            state=state,
         )
         before.unpersist()
         return note == APPLIED
@@ -256,6 +308,7 @@ def apply_batch(
             writer=writer,
             batch=batch,
             note=REFUSED,
+            state=state,
         )
         return False
     finally:
@@ -287,25 +340,13 @@ def warehouse_run(
     """Ingest, silver, gold, headline numbers and checks, in this order."""
     store = warehouse_store(spark, root)
     applied = apply_batch(spark, root, articles, writer, batch, as_of)
-    table = detail(spark, root)
-    fresh = silver.as_silver_table(silver.warehouse_silver(table, as_of)).persist()
-    store.commit(
-        as_of,
-        rows={
-            "articles_silver": fresh,
-            "transformation_audit": maintenance.transformation_audit(fresh, as_of),
-        },
-        writer=f"{writer} silver",
-        batch=batch,
-    )
-    fresh.unpersist()
+    _silver_hour(spark, store, as_of, f"{writer} silver", batch)
     warehouse.write_run_snapshot(
         warehouse_silver_of(spark, root, as_of), f"{root}/silver_runs", as_of, f"{writer}-{batch}"
     )
-    silver_rows = silver_table(spark, root)
+    table, silver_rows = detail(spark, root), silver_table(spark, root)
     tables = {
-        **gold.warehouse_tables(table, as_of, sources),
-        "daily_article_trends": gold_operators.daily_article_trends(silver_rows),
+        **gold_tables(spark, root, as_of, sources),
         "analytics_summary": gold_operators.analytics_summary(silver_rows, as_of),
     }
     warehouse.publish(spark, f"{root}/gold", tables, as_of)
@@ -316,9 +357,64 @@ def warehouse_run(
     )
 
 
+def silver_hour(spark: SparkSession, root: str, as_of: datetime, writer: str, batch: int) -> None:
+    """Silver rows of the articles of the last hour in place of their older ones."""
+    _silver_hour(spark, warehouse_store(spark, root), as_of, writer, batch)
+
+
+def _silver_hour(spark: SparkSession, store: Store, as_of: datetime, writer: str, batch: int) -> None:
+    """Reads the articles of the last hour's days, and of silver the buckets of their ids."""
+    for attempt in range(ATTEMPTS):
+        state = store.state()
+        if store.note(writer, batch, state) is not None:
+            return
+        since = (as_of - timedelta(hours=1)).date()
+        recent = store.current("articles_detail", state=state, since=since)
+        fresh = silver.as_silver_table(silver.warehouse_silver(recent, as_of)).persist()
+        ids = fresh.select("article_id")
+        before = store.current("articles_silver", near=ids, state=state)
+        before = before.join(ids, "article_id", "left_semi")
+        changed = deltas.signed(before, fresh, deltas.SILVER_COLUMNS)
+        try:
+            store.commit(
+                as_of,
+                rows={
+                    "articles_silver": fresh,
+                    "transformation_audit": maintenance.transformation_audit(fresh, as_of),
+                    "trend_counts": deltas.trend_counts(changed),
+                },
+                writer=writer,
+                batch=batch,
+                state=state,
+            )
+            return
+        except Conflict:
+            if attempt == ATTEMPTS - 1:
+                raise
+        finally:
+            fresh.unpersist()
+
+
+def gold_tables(
+    spark: SparkSession, root: str, as_of: datetime, sources: list[tuple] = C.SOURCES
+) -> dict[str, DataFrame]:
+    """The gold tables from the stored counts; no article is read."""
+    store = warehouse_store(spark, root)
+    state = store.state()
+    counts, words, trends = (
+        store.current(name, state=state)
+        for name in ("article_counts", "keyword_counts", "trend_counts")
+    )
+    return {
+        **deltas.count_tables(counts, words, as_of, sources),
+        "daily_article_trends": deltas.daily_trends(trends),
+    }
+
+
 def warehouse_silver_of(spark: SparkSession, root: str, as_of: datetime) -> DataFrame:
     """The silver rows of one run."""
-    return silver_table(spark, root).where(F.col("silver_timestamp") == moment(as_of))
+    rows = warehouse_store(spark, root).current("articles_silver", since=as_of.date())
+    return rows.where(F.col("silver_timestamp") == moment(as_of))
 
 
 def purge_warehouse(
@@ -329,17 +425,21 @@ def purge_warehouse(
     Returns how many of each were removed.
     """
     store = warehouse_store(spark, root)
-    table, trail = detail(spark, root), audit(spark, root)
+    state = store.state()
+    table, trail = (store.current(n, state=state) for n in ("articles_detail", "quarantine_audit"))
     counts = maintenance.purge_counts(trail, table, as_of, days).collect()
-    gone = maintenance.expired(table, as_of, days).select("article_id", "url").persist()
+    gone = maintenance.expired(table, as_of, days)
+    gone = gone.select("article_id", "url", *deltas.ARTICLE_COLUMNS).persist()
     store.commit(
         as_of,
+        rows=_counts(gone, None),
         deletes={
             "articles_detail": gone,
             "quarantine_audit": gone,
             "transformation_audit": gone,
             "url_owner": gone.where(F.col("url").isNotNull()),
         },
+        state=state,
     )
     gone.unpersist()
     return spark.createDataFrame(counts, "articles_deleted long, audit_deleted long")
@@ -348,21 +448,26 @@ def purge_warehouse(
 def approve_in_warehouse(spark: SparkSession, root: str, ids: DataFrame, as_of: datetime) -> None:
     """Clear the flag of the listed articles and note it in the audit, in one commit."""
     store = warehouse_store(spark, root)
-    listed = ids.select("article_id").distinct()
-    own = store.current("articles_detail", near=listed).join(listed, "article_id", "left_semi")
+    state, listed = store.state(), ids.select("article_id").distinct()
+    own = store.current("articles_detail", near=listed, state=state)
+    own = own.join(listed, "article_id", "left_semi")
     store.commit(
         as_of,
         rows={
             "articles_detail": own.withColumn("quarantine", F.lit(False)),
             "quarantine_audit": maintenance.approve_audit(ids, as_of),
         },
+        state=state,
     )
 
 
 def backfill_warehouse(spark: SparkSession, root: str, as_of: datetime) -> None:
     """Add the audit rows that flagged articles lack; repeatable."""
-    missing = maintenance.missing_marks(detail(spark, root), audit(spark, root), as_of)
-    warehouse_store(spark, root).commit(as_of, rows={"quarantine_audit": missing})
+    store = warehouse_store(spark, root)
+    state = store.state()
+    table, trail = (store.current(n, state=state) for n in ("articles_detail", "quarantine_audit"))
+    missing = maintenance.missing_marks(table, trail, as_of)
+    store.commit(as_of, rows={"quarantine_audit": missing}, state=state)
 
 
 def compact_warehouse(spark: SparkSession, root: str, as_of: datetime) -> None:

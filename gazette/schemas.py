@@ -56,6 +56,20 @@ TRANSFORMATION_AUDIT = T.StructType(
 
 URL_OWNER = T.StructType(_strings("url article_id"))
 
+# Changes of the gold counts; their sums are the counts.
+_LONG, _DATE = T.LongType(), T.DateType()
+ARTICLE_COUNTS = T.StructType(
+    _fields(published_day=_DATE) + _strings("source theme category") + _fields(n=_LONG)
+)
+KEYWORD_COUNTS = T.StructType(_strings("keyword") + _fields(n=_LONG))
+TREND_COUNTS = T.StructType(
+    _fields(trend_date=_DATE)
+    + _strings("source")
+    + _fields(
+        articles=_LONG, words=_LONG, counted=_LONG, score=T.DecimalType(28, 2), scored=_LONG
+    )
+)
+
 # What a batch did not take, as text.
 SET_ASIDE = T.StructType(_strings("article_id reason record") + _fields(set_aside_at=_TIME))
 

@@ -1,9 +1,11 @@
 """Sinks, versions, streaming and the registered queries as a whole."""
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import check
 from __spark_entry__ import entry, oracle_sql, queries
@@ -11,8 +13,9 @@ from gazette import schemas
 from gazette.checks import corpus
 from gazette.checks.oracle import ORACLES
 from gazette.checks.queries import QUERIES
-from gazette.operators import lookups
+from gazette.operators import lookups, maintenance
 from gazette.plans import jobs
+from gazette.plans import silver as silver_plan
 from gazette.plans.ingest import as_detail_batch
 from gazette.session import run_dir, scale_conf, shared_dir
 from gazette.sources import bronze, config, messages, store, warehouse
@@ -165,7 +168,7 @@ def test_a_failed_commit_leaves_no_trace(spark, monkeypatch):
     root = run_dir(spark, "warehouse")
     jobs.create_warehouse(spark, root, AS_OF)
 
-    def fail(*args):
+    def fail(*args, **given):
         raise OSError("lost")
 
     with monkeypatch.context() as patch:
@@ -177,14 +180,172 @@ def test_a_failed_commit_leaves_no_trace(spark, monkeypatch):
     assert jobs.detail(spark, root).count() == 3 and jobs.audit(spark, root).count() == 3
 
 
-def test_another_writer_in_between_is_refused(spark, monkeypatch):
+def test_another_writer_in_between_is_refused(spark):
+    """A commit made after a batch has looked at the tables, and before its own."""
     root = run_dir(spark, "warehouse")
     jobs.create_warehouse(spark, root, AS_OF)
-    numbers = iter([0, 1])
-    monkeypatch.setattr(store.Store, "last", lambda self: next(numbers))
-    audit = spark.createDataFrame([], schemas.QUARANTINE_AUDIT)
+    ours, theirs = (jobs.warehouse_store(spark, root) for _ in range(2))
+    audit = maintenance.approve_audit(articles(spark, 1), AS_OF)
+    state = ours.state()
+    theirs.commit(AS_OF, rows={"quarantine_audit": audit})
     with pytest.raises(store.Conflict):
-        jobs.warehouse_store(spark, root).commit(AS_OF, rows={"quarantine_audit": audit})
+        ours.commit(AS_OF, rows={"quarantine_audit": audit}, state=state)
+    assert ours.last() == 1 and jobs.audit(spark, root).count() == 1
+    # the name of a record can be taken once only, whatever the state says
+    assert not ours.log.add(f"{1:012d}", {"sequence": 1})
+
+
+def test_writers_in_parallel_lose_nothing(spark):
+    """Three writers with articles of their own and one that all of them change."""
+    root = run_dir(spark, "warehouse")
+    jobs.create_warehouse(spark, root, AS_OF)
+
+    def run(i):
+        rows = articles(spark, 2, start=10 * i).unionByName(articles(spark, 1, start=99, title=f"By {i}"))
+        return jobs.apply_batch(spark, root, rows, f"writer {i}", 1, AS_OF)
+
+    with ThreadPoolExecutor(3) as pool:
+        assert list(pool.map(run, range(3))) == [True] * 3
+    names = jobs.warehouse_store(spark, root).log.names()
+    assert [n for n in names if not n.startswith("base")] == [f"{i:012d}" for i in (1, 2, 3)]
+    rows = {r["article_id"]: r for r in jobs.detail(spark, root).collect()}
+    assert sorted(rows) == sorted([f"id{10 * i + j}" for i in range(3) for j in range(2)] + ["id99"])
+    # the one that came last has seen what the others did: the counts add up
+    by_source = jobs.gold_tables(spark, root, AS_OF)["articles_by_source"].collect()
+    assert [(r["source"], r["articles_count"]) for r in by_source] == [("s", 7)]
+
+
+def opened(df):
+    """The scans of the plan that will run: (columns, files they read)."""
+    plan, out = df._jdf.queryExecution().executedPlan(), []
+    leaves = (plan.initialPlan() if "Adaptive" in plan.nodeName() else plan).collectLeaves()
+    for i in range(leaves.size()):
+        if "Scan parquet" in leaves.apply(i).nodeName():
+            parts = leaves.apply(i).inputRDD().partitions()
+            found = [f.urlEncodedPath() for p in parts for f in p.files()]
+            out.append((leaves.apply(i).output().toString(), found))
+    return out
+
+
+def test_the_last_hour_reads_its_days_only(spark):
+    """Folders of other days are not opened for content, in the base and in later commits."""
+    root = run_dir(spark, "warehouse")
+    jobs.create_warehouse(spark, root, AS_OF)
+    for n, day in enumerate(("2024-01-27", "2024-01-28", "2024-01-31", "2024-01-29", "2024-01-31")):
+        if n == 3:
+            jobs.compact_warehouse(spark, root, AS_OF)
+        given = articles(spark, 3, start=2 * n, scraped_at=f"{day}T00:30:00Z")
+        jobs.apply_batch(spark, root, given, "run", n, AS_OF)
+    since = AS_OF - timedelta(hours=1)
+    recent = jobs.recent_detail(spark, root, since)
+    # the commit of another day is read for its keys alone
+    other = [c for c in jobs.warehouse_store(spark, root).state().commits
+             if c["days"].get("articles_detail") == ["2024-01-29", "2024-01-29"]]
+    assert len(other) == 1
+    texts = [files for columns, files in opened(recent) if "content" in columns]
+    files = [f for scan in texts for f in scan]
+    assert any("/base-" in f for f in files) and any("/commit-" in f for f in files)
+    assert all("_day=2024-01-31" in f for f in files if "/base-" in f)
+    assert not any(other[0]["folder"].rsplit("/", 1)[1] in f for f in files)
+    # and so does the silver of the hour, as planned over the stored tables
+    hour = silver_plan.warehouse_silver(recent, AS_OF)
+    assert {f for c, scan in opened(hour) if "content" in c for f in scan} == set(files)
+    whole = jobs.detail(spark, root).where(F.col("ingested_at") > F.lit(since.isoformat(" ")).cast("timestamp_ntz"))
+    assert sorted(recent.collect()) == sorted(whole.collect())
+    # an article taken in anew moves to its new day, one that is gone from the day stays away
+    ids = {r["article_id"] for r in recent.collect()}
+    assert ids == {"id4", "id5", "id8", "id9", "id10"}
+
+
+def small_store(spark):
+    """Rows (k, at, n) by key and day, and counts (name, n) that add up."""
+    tables = {
+        "rows": store.Table(
+            T.StructType.fromDDL("k string, at timestamp_ntz, n long"), "k", day=lambda: F.col("at")
+        ),
+        "counts": store.Table(T.StructType.fromDDL("name string, n long"), "name", False, sums=("n",)),
+    }
+    out = store.Store(spark, run_dir(spark, "store"), tables)
+    out.create(AS_OF, buckets=16)
+    return out
+
+
+def keyed(spark, numbers, n=0, day=1):
+    rows = [(f"k{i}", datetime(2024, 1, day), n) for i in numbers]
+    return spark.createDataFrame(rows, "k string, at timestamp_ntz, n long")
+
+
+def test_compaction_leaves_untouched_buckets_alone(spark, monkeypatch):
+    tables = small_store(spark)
+    one = spark.createDataFrame([("a", 2), ("b", 1)], "name string, n long")
+    tables.commit(AS_OF, {"rows": keyed(spark, range(60)), "counts": one}, writer="run", batch=1)
+    tables.compact(AS_OF)
+    first = set(tables.current("rows").inputFiles())
+    less = spark.createDataFrame([("a", -1), ("b", -1)], "name string, n long")
+    tables.commit(AS_OF, {"rows": keyed(spark, [7], 5, day=2), "counts": less}, writer="run", batch=2)
+    assert {r["n"] for r in tables.current("rows").where("k = 'k7'").collect()} == {5}
+    tables.compact(AS_OF)
+    kept = {f for columns, files in opened(tables.current("rows")) for f in files}
+    assert len(first - kept) == 1 and len(kept - first) <= 2 and len(first & kept) > 10
+    rows = {r["k"]: r["n"] for r in tables.current("rows").collect()}
+    assert len(rows) == 60 and rows["k7"] == 5 and sum(rows.values()) == 5
+    # counts that have become nothing are gone, others are one row
+    assert sorted(map(tuple, tables.current("counts").collect())) == [("a", 1)]
+    # what was committed before is still known, after its records are gone
+    tables.commit(AS_OF, {"rows": keyed(spark, [61])}, writer="run", batch=3)
+    tables.compact(AS_OF)
+    assert [tables.note("run", i) for i in (1, 2, 3, 4)] == ["applied"] * 3 + [None]
+    assert f"{1:012d}" not in tables.log.names()
+    assert tables.commit(AS_OF, {"rows": keyed(spark, [7], 9)}, writer="run", batch=2) == "applied"
+    assert {r["n"] for r in tables.current("rows").where("k = 'k7'").collect()} == {5}
+    # many small bases become one again
+    monkeypatch.setattr(store, "PARTS", 2)
+    tables.commit(AS_OF, {"rows": keyed(spark, [3], 1)})
+    tables.compact(AS_OF)
+    assert len(tables.state().base["parts"]["rows"]) == 1 and tables.current("rows").count() == 61
+
+
+def test_deleted_keys_stay_away_and_days_are_kept_apart(spark):
+    tables = small_store(spark)
+    tables.commit(AS_OF, {"rows": keyed(spark, range(6), day=1)})
+    tables.commit(AS_OF, {"rows": keyed(spark, [0, 1, 9], 1, day=3)}, {"rows": keyed(spark, [5])})
+    for _ in range(2):
+        late = tables.current("rows", since=datetime(2024, 1, 2).date())
+        assert {r["k"] for r in late.collect()} == {"k0", "k1", "k9"}
+        assert {r["k"] for r in tables.current("rows").collect()} == {
+            "k0", "k1", "k2", "k3", "k4", "k9"
+        }
+        tables.compact(AS_OF)
+    # a row that moves back to an earlier day leaves its later one
+    tables.commit(AS_OF, {"rows": keyed(spark, [9], 2, day=1)}, {"rows": keyed(spark, [0])})
+    late = tables.current("rows", since=datetime(2024, 1, 2).date())
+    assert {r["k"] for r in late.collect()} == {"k1"}
+
+
+def test_columns_added_to_stored_tables(spark):
+    """Rows of older folders have the default, also after a compaction and next to nulls."""
+    root = run_dir(spark, "warehouse")
+    jobs.create_warehouse(spark, root, AS_OF)
+    tables = jobs.warehouse_store(spark, root)
+    jobs.apply_batch(spark, root, articles(spark, 2), "run", 1, AS_OF)
+    for _ in range(2):  # repeatable
+        tables.add_column(AS_OF, "articles_detail", "region", "string", "home")
+    with pytest.raises(ValueError, match="region"):
+        tables.add_column(AS_OF, "articles_detail", "region", "int")
+    jobs.apply_batch(spark, root, articles(spark, 1, start=2), "run", 2, AS_OF)
+    state = tables.state()
+    new = tables.current("articles_detail", state=state).where("article_id = 'id1'")
+    tables.commit(AS_OF, {"articles_detail": new.withColumn("region", F.lit(None).cast("string"))}, state=state)
+    for _ in range(2):
+        found = jobs.detail(spark, root)
+        assert found.columns == [*schemas.ARTICLES_DETAIL.names, "region"]
+        assert {r["article_id"]: r["region"] for r in found.collect()} == {
+            "id0": "home", "id1": None, "id2": "home"
+        }
+        jobs.compact_warehouse(spark, root, AS_OF)
+    # batches after that come with their own value or the default
+    jobs.apply_batch(spark, root, articles(spark, 1, start=1), "run", 3, AS_OF)
+    assert {r["region"] for r in jobs.detail(spark, root).collect()} == {"home"}
 
 
 def test_a_batch_reads_only_the_buckets_of_its_keys(spark):
