@@ -383,19 +383,21 @@ WHERE article_id NOT IN (SELECT article_id FROM incoming)
 UNION ALL
 SELECT {DETAIL_COLUMNS.replace('created_at', f'coalesce(born, {AS_OF}) AS created_at')}
 FROM incoming LEFT JOIN {PREV} ON article_id = id"""
+INPUTS["upserted"] = UPSERTED
+NEEDS["upserted"] = ["existing", "incoming"]
 EXPIRED = f"coalesce(quarantine AND ingested_at < {AS_OF} - INTERVAL 7 DAY, false)"
 _APPROVED = f"""quarantine AND article_id NOT IN (
-  SELECT article_id FROM ({RECENT.format('existing')}) WHERE quarantine) AS quarantine"""
+  SELECT article_id FROM ({RECENT.format('upserted')}) WHERE quarantine) AS quarantine"""
 CHECKS = f"""
 SELECT 'articles_detail.title_null' AS name,
-  (SELECT count(*) FROM existing WHERE coalesce(title, '') = '') AS value
+  (SELECT count(*) FROM upserted WHERE coalesce(title, '') = '') AS value
 UNION ALL SELECT 'articles_detail.author_null',
-  (SELECT count(*) FROM existing WHERE author = 'Unknown')
+  (SELECT count(*) FROM upserted WHERE author = 'Unknown')
 UNION ALL SELECT 'articles_detail.content_null',
-  (SELECT count(*) FROM existing WHERE coalesce(content, '') = '')
+  (SELECT count(*) FROM upserted WHERE coalesce(content, '') = '')
 UNION ALL SELECT 'orphaned_audit_records', (SELECT count(*) FROM audit q
-  WHERE NOT EXISTS (SELECT 1 FROM existing d WHERE d.article_id = q.article_id))
-UNION ALL SELECT 'invalid_dates', (SELECT count(*) FROM existing WHERE published_at > {AS_OF})
+  WHERE NOT EXISTS (SELECT 1 FROM upserted d WHERE d.article_id = q.article_id))
+UNION ALL SELECT 'invalid_dates', (SELECT count(*) FROM upserted WHERE published_at > {AS_OF})
 UNION ALL SELECT 'negative_lengths', (SELECT count(*) FROM measured WHERE content_length < 0)
 UNION ALL SELECT 'invalid_scores', (SELECT count(*) FROM measured
   WHERE data_quality_score > 1 OR data_quality_score < 0)"""
@@ -637,15 +639,15 @@ FROM articles LEFT JOIN sources ON source = name""",
     ),
     "orphan_audit": sql(
         """SELECT * FROM audit q WHERE NOT EXISTS (
-  SELECT 1 FROM existing d WHERE d.article_id = q.article_id)""",
-        "existing", "audit",
+  SELECT 1 FROM upserted d WHERE d.article_id = q.article_id)""",
+        "upserted", "audit",
     ),
     "backfill_audit": sql(
         f"""SELECT * FROM audit UNION ALL
-SELECT article_id, 'mark', 'system', 'retroactive-backfill', {AS_OF} FROM existing e
+SELECT article_id, 'mark', 'system', 'retroactive-backfill', {AS_OF} FROM upserted e
 WHERE quarantine AND NOT EXISTS (SELECT 1 FROM audit q WHERE q.article_id = e.article_id
   AND q.action = 'mark' AND q.reason = 'retroactive-backfill')""",
-        "existing", "audit",
+        "upserted", "audit",
     ),
     "articles_by_day": sql(count_by(DAY, "detail"), "detail"),
     "articles_by_source": sql(BY_SOURCE, "detail"),
@@ -746,35 +748,35 @@ FROM measured WHERE doc_id IN (
         "measured", "existing", "incoming",
     ),
     "purge_articles": sql(
-        f"SELECT {DETAIL_COLUMNS} FROM existing WHERE NOT {EXPIRED}", "existing"
+        f"SELECT {DETAIL_COLUMNS} FROM upserted WHERE NOT {EXPIRED}", "upserted"
     ),
     "purge_audit": sql(
         f"""SELECT * FROM audit WHERE article_id NOT IN (
-  SELECT article_id FROM existing WHERE {EXPIRED})""",
-        "existing", "audit",
+  SELECT article_id FROM upserted WHERE {EXPIRED})""",
+        "upserted", "audit",
     ),
     "purge_counts": sql(
-        f"""SELECT (SELECT count(*) FROM existing WHERE {EXPIRED}) AS articles_deleted,
+        f"""SELECT (SELECT count(*) FROM upserted WHERE {EXPIRED}) AS articles_deleted,
   (SELECT count(*) FROM audit WHERE article_id IN (
-    SELECT article_id FROM existing WHERE {EXPIRED})) AS audit_deleted""",
-        "existing", "audit",
+    SELECT article_id FROM upserted WHERE {EXPIRED})) AS audit_deleted""",
+        "upserted", "audit",
     ),
     "approve_articles": sql(
-        f"""SELECT {DETAIL_COLUMNS.replace('quarantine', _APPROVED)} FROM existing""",
-        "existing",
+        f"""SELECT {DETAIL_COLUMNS.replace('quarantine', _APPROVED)} FROM upserted""",
+        "upserted",
     ),
     "approve_audit": sql(
         f"""SELECT article_id, 'unmark' AS action, 'ui' AS performed_by, 'approved_ui' AS reason,
-  {AS_OF} AS performed_at FROM ({RECENT.format('existing')}) WHERE quarantine""",
-        "existing",
+  {AS_OF} AS performed_at FROM ({RECENT.format('upserted')}) WHERE quarantine""",
+        "upserted",
     ),
     "evolve_schema": sql(
         "SELECT "
         + DETAIL_COLUMNS.replace("canonical_url", "NULL::VARCHAR AS canonical_url").replace(
             "quarantine", "false AS quarantine"
         )
-        + " FROM existing",
-        "existing",
+        + " FROM upserted",
+        "upserted",
     ),
     "transformation_audit": sql(
         f"""SELECT article_id, transformation_type, input_value, output_value,
@@ -810,13 +812,13 @@ SELECT m.article_id""",
 FROM lake LEFT JOIN languages ON key = coalesce(url, ' ')""",
         "lake",
     ),
-    "quality_suite": sql(CHECK_STATUS, "existing", "audit", "measured"),
+    "quality_suite": sql(CHECK_STATUS, "upserted", "audit", "measured"),
     "quality_summary": sql(
         f"""SELECT CASE WHEN bool_or(status = 'FAIL') THEN 'FAIL' ELSE 'PASS' END AS status,
   count(*) AS total_checks, count(*) FILTER (status = 'PASS') AS passed,
   count(*) FILTER (status <> 'PASS') AS failed,
   count(*) FILTER (status = 'PASS') / count(*) * 100 AS pass_rate FROM ({CHECK_STATUS})""",
-        "existing", "audit", "measured",
+        "upserted", "audit", "measured",
     ),
     "stream_decode": sql(
         f"""SELECT {BRONZE_COLUMNS}, 'streaming' AS ingestion_mode, ingested_at,
@@ -834,8 +836,7 @@ FROM lake LEFT JOIN languages ON key = coalesce(url, ' ')""",
     ),
     "stream_upsert": sql(UPSERTED, "existing", "incoming"),
     "set_aside": sql(
-        """WITH arrived AS (SELECT * FROM batch
-  WHERE scraped_at > '2024-01-31T00:00:00.000000+00:00')
+        """WITH arrived AS (SELECT * FROM batch)
 SELECT reason, n FROM (
   SELECT 'no article_id' AS reason, count(*) AS n FROM arrived WHERE category IS NULL
   UNION ALL SELECT 'article_id repeated in the batch', count(*) - count(DISTINCT article_id)
@@ -852,6 +853,57 @@ SELECT reason, n FROM (
         "articles",
     ),
 }
+FRESH = f"""
+fresh AS (SELECT doc_id, ingested_at, created_at FROM (
+    SELECT doc_id, ingested_at, created_at FROM incoming
+    UNION ALL SELECT doc_id, ingested_at, created_at FROM existing
+    WHERE article_id NOT IN (SELECT article_id FROM incoming))
+  WHERE coalesce(ingested_at, created_at) > {AS_OF} - INTERVAL 1 HOUR)"""
+
+
+def after(inputs: str, ctes: str) -> str:
+    """SQL with more CTEs after the inputs."""
+    return f"{inputs.rstrip()},\n{ctes.strip()}"
+
+
+_AT_HAND = "SELECT article_id, title, content, source, category, published_at FROM upserted"
+ORACLES |= {
+    "stored_silver_hour": after(sql("", "measured", "existing", "incoming"), FRESH)
+    + SILVER.format(AS_OF, "coalesce(t.ingested_at, t.created_at)", "fresh"),
+    "gold_by_batches": after(
+        sql("", "upserted", "sources"), f"left_over AS ({_AT_HAND} WHERE NOT {EXPIRED})"
+    )
+    + "\n"
+    + long_form(
+        {
+            "articles_by_day": count_by("published_at::DATE", "left_over"),
+            "articles_by_source": count_by("source", "left_over"),
+            "articles_by_theme": count_by(DETAIL_THEME, "left_over"),
+            "articles_by_country": BY_COUNTRY.replace("FROM detail", "FROM left_over"),
+            "articles_by_category": count_by("category", "left_over"),
+            "top_keywords": keywords("title", "left_over", C.WAREHOUSE_STOPWORDS, 100),
+        }
+    ),
+    "trends_by_batches": after(
+        sql("", "measured", "existing", "incoming"),
+        FRESH
+        + f""",
+earlier AS (SELECT doc_id, article_id FROM existing
+  WHERE coalesce(ingested_at, created_at) > {AS_OF} - INTERVAL 2 HOUR),
+fresh_ids AS (SELECT article_id FROM measured JOIN fresh USING (doc_id)),
+shown AS (SELECT doc_id FROM fresh UNION ALL SELECT doc_id FROM earlier
+  WHERE article_id NOT IN (SELECT article_id FROM fresh_ids))""",
+    )
+    + f"""
+SELECT published_at::DATE AS trend_date, source, count(*) AS articles_count,
+  round(avg(word_count))::INT AS avg_word_count, {AVG_SCORE} AS avg_quality_score
+FROM measured WHERE doc_id IN (SELECT doc_id FROM shown) AND published_at IS NOT NULL GROUP BY 1, 2""",
+    "stored_columns": sql(
+        """SELECT *, CASE WHEN source = 'BBC News' THEN 'desk' ELSE 'nobody' END AS checked_by
+FROM upserted""",
+        "upserted",
+    ),
+}
 # The same operations on stored tables give what they give on frames.
 ORACLES |= {
     "stored_purge": ORACLES["purge_articles"],

@@ -43,6 +43,11 @@ def _existing(spark, sf):
     return corpus.existing(spark, sf).select(*schemas.ARTICLES_DETAIL.names)
 
 
+def _upserted(spark, sf):
+    """The article table after the last hour's upsert: every article once."""
+    return ingest(_existing(spark, sf), corpus.incoming(spark, sf), AS_OF).articles
+
+
 def _bronze(spark, sf):
     return bronze.union(corpus.bronze_batch(spark, sf), corpus.bronze_stream(spark, sf))
 
@@ -401,12 +406,12 @@ def country_lookup(spark, sf):
 
 @register
 def orphan_audit(spark, sf):
-    return maintenance.orphans(corpus.audit(spark, sf), _existing(spark, sf))
+    return maintenance.orphans(corpus.audit(spark, sf), _upserted(spark, sf))
 
 
 @register
 def backfill_audit(spark, sf):
-    return maintenance.backfill(_existing(spark, sf), corpus.audit(spark, sf), AS_OF)
+    return maintenance.backfill(_upserted(spark, sf), corpus.audit(spark, sf), AS_OF)
 
 
 # Gold
@@ -579,27 +584,27 @@ def replace_by_key(spark, sf):
 
 @register
 def purge_articles(spark, sf):
-    return maintenance.purge_articles(_existing(spark, sf), AS_OF)
+    return maintenance.purge_articles(_upserted(spark, sf), AS_OF)
 
 
 @register
 def purge_audit(spark, sf):
-    return maintenance.purge_audit(corpus.audit(spark, sf), _existing(spark, sf), AS_OF)
+    return maintenance.purge_audit(corpus.audit(spark, sf), _upserted(spark, sf), AS_OF)
 
 
 @register
 def purge_counts(spark, sf):
-    return maintenance.purge_counts(corpus.audit(spark, sf), _existing(spark, sf), AS_OF)
+    return maintenance.purge_counts(corpus.audit(spark, sf), _upserted(spark, sf), AS_OF)
 
 
 def _approved_ids(spark, sf):
     """The ids a user approves at once: the quarantined ones that are on show."""
-    return rules.quarantined(ranking.recent_per_source(_existing(spark, sf))).select("article_id")
+    return rules.quarantined(ranking.recent_per_source(_upserted(spark, sf))).select("article_id")
 
 
 @register
 def approve_articles(spark, sf):
-    return maintenance.approve_articles(_existing(spark, sf), _approved_ids(spark, sf))
+    return maintenance.approve_articles(_upserted(spark, sf), _approved_ids(spark, sf))
 
 
 @register
@@ -610,7 +615,7 @@ def approve_audit(spark, sf):
 @register
 def evolve_schema(spark, sf):
     """An old article table gains its later columns, existing ones stay."""
-    old = _existing(spark, sf).drop("canonical_url", "quarantine")
+    old = _upserted(spark, sf).drop("canonical_url", "quarantine")
     return maintenance.evolve_schema(
         old,
         {
@@ -656,10 +661,7 @@ def silver_lake(spark, sf):
 
 def _checks(spark, sf):
     return quality.warehouse_checks(
-        _existing(spark, sf),
-        corpus.audit(spark, sf),
-        silver_plan.with_warehouse_text(corpus.existing(spark, sf)),
-        AS_OF,
+        _upserted(spark, sf), corpus.audit(spark, sf), _warehouse_silver(spark, sf), AS_OF
     )
 
 
@@ -751,9 +753,7 @@ def stream_upsert(spark, sf):
 def set_aside(spark, sf):
     """What a batch does not take, by reason, as the tables have it."""
     root = run_dir(spark, "table")
-    recent = corpus.bronze_batch(spark, sf).where(
-        F.col("scraped_at") > dates.iso_utc(F.lit("2024-01-31").cast("timestamp_ntz"))
-    )
+    recent = corpus.bronze_batch(spark, sf)
     articles = recent.select(*schemas.BRONZE.names).withColumn(
         "article_id", F.when(F.col("category").isNotNull(), F.col("article_id"))
     )
@@ -767,11 +767,11 @@ def set_aside(spark, sf):
 
 
 def _stored(spark, sf):
-    """A warehouse of the earlier articles and their audit."""
+    """A warehouse of all articles and their audit."""
     root = run_dir(spark, "warehouse")
     before = AS_OF.replace(hour=0)
     jobs.create_warehouse(
-        spark, root, before, _existing(spark, sf), corpus.audit(spark, sf), buckets=8
+        spark, root, before, _upserted(spark, sf), corpus.audit(spark, sf), buckets=8
     )
     return root
 
@@ -810,6 +810,56 @@ def stored_backfill(spark, sf):
     return jobs.audit(spark, root)
 
 
+def _with_last_hour(spark, sf):
+    """A warehouse of the earlier articles with the last hour's batch put in."""
+    root = run_dir(spark, "warehouse")
+    jobs.create_warehouse(spark, root, AS_OF.replace(hour=0), _existing(spark, sf), buckets=8)
+    return root, _as_bronze(corpus.incoming(spark, sf))
+
+
+@register
+def stored_silver_hour(spark, sf):
+    """Silver rows of the last hour, read from the stored articles of its day."""
+    root, fresh = _with_last_hour(spark, sf)
+    jobs.apply_batch(spark, root, fresh, "run", 1, AS_OF)
+    jobs.silver_hour(spark, root, AS_OF, "run silver", 1)
+    return jobs.warehouse_silver_of(spark, root, AS_OF)
+
+
+@register
+def gold_by_batches(spark, sf):
+    """Gold counts kept up by three batches: the earlier articles, the last hour's, a purge."""
+    root, fresh = _with_last_hour(spark, sf)
+    jobs.apply_batch(spark, root, fresh, "run", 1, AS_OF)
+    jobs.compact_warehouse(spark, root, AS_OF)
+    jobs.purge_warehouse(spark, root, AS_OF)
+    tables = jobs.gold_tables(spark, root, AS_OF)
+    keys = {**{t: gold.COUNT_KEYS[t] for t in gold.WAREHOUSE_TABLES}, "top_keywords": "keyword"}
+    return _long(spark, {t: tables[t] for t in keys}, keys)
+
+
+@register
+def trends_by_batches(spark, sf):
+    """Daily trends kept up by two hours of silver, the second replaces rows of the first."""
+    root, fresh = _with_last_hour(spark, sf)
+    jobs.silver_hour(spark, root, AS_OF.replace(hour=0), "run silver", 0)
+    jobs.apply_batch(spark, root, fresh, "run", 1, AS_OF)
+    jobs.silver_hour(spark, root, AS_OF, "run silver", 1)
+    return jobs.gold_tables(spark, root, AS_OF)["daily_article_trends"]
+
+
+@register
+def stored_columns(spark, sf):
+    """Articles of two batches with a column added in between, some with a value of their own."""
+    root, fresh = _with_last_hour(spark, sf)
+    tables = jobs.warehouse_store(spark, root)
+    tables.add_column(AS_OF, "articles_detail", "checked_by", "string", "nobody")
+    jobs.apply_batch(spark, root, fresh, "run", 1, AS_OF)
+    own = jobs.detail(spark, root).where(F.col("source") == "BBC News")
+    tables.commit(AS_OF, {"articles_detail": own.withColumn("checked_by", F.lit("desk"))})
+    return jobs.detail(spark, root)
+
+
 @register
 def batch_ingest(spark, sf):
     """Pages to the hour's folder and on to messages; the articles as consumers get them."""
