@@ -1,10 +1,10 @@
 """Language identification: naive Bayes over character trigrams.
 
 Training counts the trigrams of labelled texts in a fixed number of buckets, so
-no trigram is left out and the profile is bounded by construction: it may be
-broadcast whatever the texts hold. Scoring sums the log probabilities of a
-text's trigrams per language and takes the largest sum. Only (key, language
-sums) rows are shuffled, never the trigrams of a text.
+no trigram is left out and the profile is bounded by construction. It is held as
+one array per language, fetched once as a scalar subquery; a text is scored within
+its row, by the sum of the log probabilities of its trigrams. So scoring neither
+multiplies rows nor shuffles them.
 """
 
 from __future__ import annotations
@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 from gazette.functions.text import normalize_text
 from gazette.session import shared_dir
 
-# Overlapping trigrams: an empty match at every position, three characters ahead.
-_TRIGRAM = "(?s)(?=(...))"
 # Log probabilities are whole millionths, so sums do not depend on row order.
 LOG_UNIT = 1_000_000
 # Rows of a profile at most; each has a number for every language.
@@ -39,16 +37,21 @@ class LanguageProfile:
         return sorted(c for c in self.scores.columns if c != "bucket")
 
 
-def trigrams(text: Column) -> Column:
+def buckets(text: Column) -> Column:
+    """The buckets of a text's overlapping trigrams, from their code points."""
     padded = F.concat(F.lit(" "), F.lower(normalize_text(text)), F.lit(" "))
-    return F.regexp_extract_all(padded, F.lit(_TRIGRAM), F.lit(1))
+    points = F.transform(F.split(padded, ""), lambda c: F.ascii(c).cast("long"))
 
+    def of(p: Column) -> Column:
+        def one(i: Column) -> Column:
+            total = sum((F.get(p, i + k) * f for k, f in enumerate(FACTORS)), F.lit(0))
+            return (total % BUCKETS).cast("int")
 
-def bucket(gram: Column) -> Column:
-    """The bucket of a trigram, from its code points."""
-    points = [F.ascii(F.substr(gram, F.lit(i), F.lit(1))).cast("long") for i in (1, 2, 3)]
-    total = sum((p * f for p, f in zip(points, FACTORS, strict=True)), F.lit(0))
-    return (total % BUCKETS).cast("int")
+        starts = F.sequence(F.lit(0), F.size(p) - len(FACTORS))
+        return F.when(F.size(p) >= len(FACTORS), F.transform(starts, one))
+
+    # bound once, as each trigram looks into the list of code points
+    return F.get(F.transform(F.array(points), of), F.lit(0))
 
 
 def train(labelled: DataFrame, text: str, label: str) -> LanguageProfile:
@@ -56,8 +59,8 @@ def train(labelled: DataFrame, text: str, label: str) -> LanguageProfile:
     shared_dir(labelled.sparkSession)
     counted = (
         labelled.filter(F.col(label).isNotNull())
-        .select(F.col(label).alias("language"), F.explode(trigrams(F.col(text))).alias("gram"))
-        .groupBy("language", bucket(F.col("gram")).alias("bucket"))
+        .select(F.col(label).alias("language"), F.explode(buckets(F.col(text))).alias("bucket"))
+        .groupBy("language", "bucket")
         .agg(F.count(F.lit(1)).alias("n"))
         .checkpoint()
     )
@@ -75,23 +78,46 @@ def train(labelled: DataFrame, text: str, label: str) -> LanguageProfile:
     return LanguageProfile(table.select("bucket", *[log_score(x).alias(x) for x in sorted(totals)]))
 
 
-def identify(df: DataFrame, key: str, text: str, profile: LanguageProfile) -> DataFrame:
-    """(key, language) for every key; unknown where no trigram is in the profile.
-
-    Rows that share a key must share the text: copies scale all sums alike.
-    """
+def _arrays(profile: LanguageProfile) -> DataFrame:
+    """The profile as one row: an array over all buckets per language, null where unseen."""
     names = profile.languages
-    scores = profile.scores.select("bucket", *[F.col(f"`{x}`").alias(f"s{i}") for i, x in enumerate(names)])
-    grams = df.select(key, F.explode_outer(trigrams(F.col(text))).alias("gram"))
-    sums = (
-        grams.select(key, bucket(F.col("gram")).alias("bucket"))
-        .join(F.broadcast(scores), "bucket", "left")
-        .groupBy(key)
-        .agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in range(len(names))])
+    every = profile.scores.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
+    filled = every.join(profile.scores, "bucket", "left").select(
+        "bucket", *[F.col(f"`{x}`").alias(f"s{i}") for i, x in enumerate(names)]
     )
-    ranked = [
-        F.struct(F.col(f"s{i}").alias("score"), F.lit(x).alias("language"))
-        for i, x in enumerate(names)
-    ]
-    best = F.array_max(F.filter(F.array(*ranked), lambda s: s["score"].isNotNull()))
-    return sums.select(key, F.coalesce(best["language"], F.lit(UNKNOWN)).alias("language"))
+    ranked = filled.agg(F.sort_array(F.collect_list(F.struct(*filled.columns))).alias("rows"))
+    return ranked.select(F.struct(*[F.col(f"rows.s{i}").alias(f"s{i}") for i in range(len(names))]).alias("p"))
+
+
+def with_language(
+    df: DataFrame, text: str, profile: LanguageProfile, name: str = "language"
+) -> DataFrame:
+    """Add the language of a text column; unknown where no trigram of it is in the profile."""
+    names = profile.languages
+    if not names:
+        return df.withColumn(name, F.lit(UNKNOWN))
+
+    def best(x: Column) -> Column:
+        def total(scores: Column) -> Column:
+            zero = F.lit(0).cast("long")
+            return F.aggregate(x["b"], zero, lambda s, b: s + F.coalesce(F.get(scores, b), zero))
+
+        first = x["p"]["s0"]
+        known = F.exists(x["b"], lambda b: F.get(first, b).isNotNull())
+        sums = [
+            F.struct(total(x["p"][f"s{i}"]).alias("score"), F.lit(language).alias("language"))
+            for i, language in enumerate(names)
+        ]
+        return F.when(known, F.array_max(F.array(*sums))["language"])
+
+    # The profile is named once here and bound once below, so that Spark puts the
+    # subquery where it is used; as a column of its own it would be copied into every row.
+    held = df.withColumn("_profile", _arrays(profile).scalar())
+    given = F.array(F.struct(buckets(F.col(text)).alias("b"), F.col("_profile").alias("p")))
+    found = F.coalesce(F.get(F.transform(given, best), F.lit(0)), F.lit(UNKNOWN))
+    return held.select(*[F.col(f"`{c}`") for c in df.columns if c != name], found.alias(name))
+
+
+def identify(df: DataFrame, key: str, text: str, profile: LanguageProfile) -> DataFrame:
+    """(key, language) for every row; unknown where no trigram is in the profile."""
+    return with_language(df.select(key, text), text, profile).select(key, "language")

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from gazette import constants as C
 from gazette.functions import dates, html, language, text
 from gazette.operators.filters import event_time, moment, recent_hour
-from gazette.operators.language_model import UNKNOWN, LanguageProfile, identify
+from gazette.operators.language_model import UNKNOWN, LanguageProfile, with_language
 from gazette.operators.ranking import keep_last
-from gazette.session import shared_dir
 
 
 def with_lake_defaults(bronze: DataFrame) -> DataFrame:
@@ -47,18 +46,14 @@ def lake_silver(bronze: DataFrame, profile: LanguageProfile | None = None) -> Da
     """Latest scrape of every URL, cleaned, with its language (unknown without a profile).
 
     The choice depends on raw columns only, so it comes first and only the
-    rows that stay are cleaned. They are written once and scored from there, so
-    the input is read once.
+    rows that stay are cleaned and scored, each within its row.
     """
     latest = latest_by_url(bronze)
     dated = latest.withColumn("published_at", dates.parse_timestamp(F.col("published_at")))
     silver = with_lake_content(with_lake_defaults(dated))
     if profile is None:
         return silver.withColumn("language", F.lit(UNKNOWN))
-    shared_dir(silver.sparkSession)
-    silver = silver.withColumn("_url", _url_key()).checkpoint()
-    found = identify(silver, "_url", "content_final", profile)
-    return silver.join(found, "_url").drop("_url")
+    return with_language(silver, "content_final", profile)
 
 
 def _url_key() -> Column:
