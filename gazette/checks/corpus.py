@@ -79,7 +79,13 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     canonical = (
-        F.when(k % 53 == 14, "http://[::1/x").when(k % 59 == 16, "https://www.bbc.com/sport;v=1")
+        F.when(k % 53 == 14, "http://[::1/x")
+        .when(k % 59 == 16, "https://www.bbc.com/sport;v=1")
+        .when(k % 71 == 17, "http://[::1]/x")
+        .when(k % 73 == 18, "http://[::g]/x")
+        .when(k % 79 == 19, "http://a[b]/x")
+        .when(k % 83 == 20, "http://[2001:db8::7%eth0]:80/x")
+        .when(k % 89 == 21, "http://[1:2:3:4:5:6:7:8:9]/x")
     )
     escaped = F.replace(
         F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),

@@ -77,6 +77,20 @@ def host(x):
     return f"lower(regexp_extract({x}, '(?i)^https?://([^/?#]*)', 1))"
 
 
+# The shapes of an IPv6 address, by the number of groups on each side of "::"
+_H = "[0-9a-f]{1,4}"
+IPV6 = "|".join(
+    [f"({_H}:){{7}}{_H}", f"({_H}:){{1,7}}:", f":(:{_H}){{1,7}}", "::"]
+    + [f"({_H}:){{1,{n}}}(:{_H}){{1,{7 - n}}}" for n in range(1, 7)]
+)
+
+
+def broken(x):
+    """Brackets in a lower-case host that hold no address."""
+    sound = rf"([^\[\]]*@)?\[(({IPV6})(%[^%\[\]]+)?|v[0-9a-f]+\.[^\[\]]+)\](:[^\[\]]*)?"
+    return f"(regexp_matches({x}, '[\\[\\]]') AND NOT regexp_full_match({x}, '{sound}'))"
+
+
 def path(x):
     whole = f"regexp_extract({x}, '(?i)^https?://[^/?#]*([^?#]*)', 1)"
     return f"lower(regexp_replace({whole}, ';[^/]*$', ''))"
@@ -117,9 +131,7 @@ SCORE = "((content_length > 100)::int + (word_count > 20)::int + (title IS NOT N
 _reasons = f"""
 CASE WHEN u = '' THEN ['url_missing']
      WHEN NOT (starts_with(u, 'http://') OR starts_with(u, 'https://')) THEN ['url_invalid_scheme']
-     WHEN contains(regexp_extract(u, '(?i)^https?://([^/?#]*)', 1), '[')
-          <> contains(regexp_extract(u, '(?i)^https?://([^/?#]*)', 1), ']')
-       THEN ['url_parse_error']
+     WHEN {broken(host('u'))} THEN ['url_parse_error']
      ELSE list_filter([
        CASE WHEN t = '' THEN 'title_missing' WHEN length(t) < 8 THEN 'title_too_short' END,
        CASE WHEN t <> '' AND {any_of('lower(t)', C.GENERIC_TITLE_WORDS)} THEN 'title_generic' END,
@@ -179,7 +191,10 @@ SELECT doc_id, lang,
        WHEN k%5=2 AND k%2=0 THEN 'https://fr.hespress.com/' || (k//50) || '.html'
        ELSE 'https://news.example.org/' || lang || '/' || (k//4) END AS url,
   CASE WHEN k%53=14 THEN 'http://[::1/x'
-       WHEN k%59=16 THEN 'https://www.bbc.com/sport;v=1' END AS canonical_url,
+       WHEN k%59=16 THEN 'https://www.bbc.com/sport;v=1'
+       WHEN k%71=17 THEN 'http://[::1]/x' WHEN k%73=18 THEN 'http://[::g]/x'
+       WHEN k%79=19 THEN 'http://a[b]/x' WHEN k%83=20 THEN 'http://[2001:db8::7%eth0]:80/x'
+       WHEN k%89=21 THEN 'http://[1:2:3:4:5:6:7:8:9]/x' END AS canonical_url,
   CASE WHEN k%97<>50 THEN TIMESTAMP '2024-01-30 22:00:00' + to_minutes((k*7)%180) END AS scraped_at
 FROM heads)""",
     "judged": f"""
@@ -618,7 +633,7 @@ FROM (SELECT *, {strip('title')} AS t FROM articles)""",
     ),
     "suspicious_url": sql(
         f"""SELECT doc_id, NOT (starts_with(u, 'http://') OR starts_with(u, 'https://'))
-  OR contains(h, '[') <> contains(h, ']') OR CASE s
+  OR {broken('h')} OR CASE s
     WHEN 'bbc news' THEN NOT (contains(h, 'bbc.com') AND starts_with(p, '/news/'))
     WHEN 'hespress' THEN NOT (contains(h, 'hespress.com') AND ends_with(p, '.html'))
     WHEN 'reuters world' THEN NOT (contains(h, 'reuters.com') AND contains(p, '/world/'))
@@ -904,6 +919,31 @@ FROM upserted""",
         "upserted",
     ),
 }
+# Statements with parameters: one source has a quote in its name.
+_QUOTED = "L''Officiel"
+NEEDS["renamed"] = ["detail"]
+INPUTS["renamed"] = f"""SELECT * REPLACE (
+  CASE WHEN source = 'France24' THEN '{_QUOTED}' ELSE source END AS source) FROM detail"""
+_OF_SOURCE = f"FROM renamed WHERE source = '{_QUOTED}'"
+_IN_WINDOW = "FROM renamed WHERE published_at::DATE >= DATE '2024-01-31' - 7"
+ORACLES |= {
+    f"statement_{name}": sql(body, "renamed")
+    for name, body in {
+        "source_total": f"SELECT count(*) AS total {_OF_SOURCE}",
+        "window_total": f"SELECT count(*) AS total {_IN_WINDOW}",
+        "top_source": """SELECT source, count(*) AS articles_count FROM renamed GROUP BY 1
+ORDER BY 2 DESC, 1 NULLS LAST LIMIT 1""",
+        "recent_of_source": f"""SELECT article_id, title, author, published_at, url, quarantine
+{_OF_SOURCE} ORDER BY published_at DESC NULLS FIRST, article_id LIMIT 10""",
+        "hourly_of_source": f"""SELECT date_trunc('hour', published_at) AS published_hour,
+  count(*) AS articles_count {_OF_SOURCE}
+  AND published_at >= {AS_OF} - INTERVAL 24 HOUR GROUP BY 1""",
+        "day_series": f"SELECT {DAY}, count(*) AS articles_count {_IN_WINDOW} GROUP BY 1",
+    }.items()
+}
+ORACLES["stream_drain_bounded"] = ORACLES["stream_drain"]
+ORACLES["quality_by_hours"] = ORACLES["quality_report_lake"]
+ORACLES["quality_by_batches"] = ORACLES["quality_suite"]
 # The same operations on stored tables give what they give on frames.
 ORACLES |= {
     "stored_purge": ORACLES["purge_articles"],

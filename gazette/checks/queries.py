@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +18,12 @@ from gazette.operators import extract, filters, gold, lookups, maintenance, qual
 from gazette.operators import quarantine as rules
 from gazette.operators.language_model import identify, train
 from gazette.plans import gold as gold_plan
-from gazette.plans import jobs
+from gazette.plans import jobs, statements
 from gazette.plans import silver as silver_plan
 from gazette.plans.ingest import ingest
 from gazette.session import run_dir
-from gazette.sources import bronze, messages, warehouse
+from gazette.sources import bronze, config, messages, warehouse
+from gazette.streaming import bounded
 from gazette.streaming import ingest as stream
 from gazette.streaming import upsert as stream_table
 
@@ -705,6 +707,15 @@ def stream_drain(spark, sf):
     return bronze.scan(spark, f"{root}/streaming").drop("stream_received_at")
 
 
+@register
+def stream_drain_bounded(spark, sf):
+    """All messages in runs of at most 200, each going on where the one before ended."""
+    path, root = _messages(spark, sf), run_dir(spark, "bronze")
+    while bounded.drain(spark, path, root, max_messages=C.MAX_MESSAGES) == C.MAX_MESSAGES:
+        pass
+    return bronze.scan(spark, f"{root}/streaming").drop("stream_received_at")
+
+
 @register
 def stream_sink(spark, sf):
     """Rows per ingestion mode in the hour folders of a drained stream."""
@@ -869,9 +880,7 @@ def batch_ingest(spark, sf):
     return stream.decode(received, filters.moment(AS_OF)).select(*schemas.BRONZE.names)
 
 
-@register
-def silver_lake_hours(spark, sf):
-    """Lake silver built hour by hour: the batch's folder, then the stream's."""
+def _lake_hours(spark, sf):
     root = run_dir(spark, "lake")
     for hour, kind, rows in (
         (0, "batch", corpus.bronze_batch(spark, sf)),
@@ -879,14 +888,86 @@ def silver_lake_hours(spark, sf):
     ):
         rows.write.json(f"{root}/bronze/{kind}/date=2024-01-31/hour={hour:02d}")
         jobs.lake_silver_hour(spark, root, AS_OF.replace(hour=hour))
-    return warehouse.read(spark, f"{root}/silver", "articles_silver")
+    return root
+
+
+@register
+def silver_lake_hours(spark, sf):
+    """Lake silver built hour by hour: the batch's folder, then the stream's."""
+    root = _lake_hours(spark, sf)
+    return jobs.lake_silver_table(spark, root)
+
+
+@register
+def quality_by_hours(spark, sf):
+    """The lake's quality report, from counters kept while silver was written hour by hour."""
+    root = _lake_hours(spark, sf)
+    return jobs.lake_quality(spark, root, AS_OF).drop("generated_at")
+
+
+@register
+def quality_by_batches(spark, sf):
+    """The warehouse's checks after a batch, from counters kept by the batches."""
+    root, fresh = _with_last_hour(spark, sf)
+    tables = jobs.warehouse_store(spark, root)
+    tables.commit(AS_OF, {"quarantine_audit": corpus.audit(spark, sf)})
+    jobs.silver_hour(spark, root, AS_OF.replace(hour=0), "run silver", 0)
+    jobs.apply_batch(spark, root, fresh, "run", 1, AS_OF)
+    jobs.silver_hour(spark, root, AS_OF, "run silver", 1)
+    return jobs.kept_checks(spark, root, AS_OF)
+
+
+def _configured(spark):
+    """Entries of a file with the configured sources and three that cannot be used."""
+    path = f"{run_dir(spark, 'config')}/sources.yml"
+    odd = [
+        ("BBC News", None, "https://example.org/again"),
+        ("No feed", "France", None),
+        ("", "Maroc", "https://example.org/f"),
+    ]
+    config.write_sources(spark, path, [*C.SOURCES, *odd])
+    return config.checked(config.read_entries(spark, path))
 
 
 @register
 def sources_dim(spark, sf):
-    """The configured sources with the articles each has in the table."""
+    """The sources of a configuration file with the articles each has in the table."""
     counts = gold.count_by(corpus.articles(spark, sf), "source")
-    known = lookups.sources_dim(spark)
+    known, _ = _configured(spark)
     return known.join(counts, known["name"] == counts["source"], "left").select(
         "name", "country", "rss_url", F.coalesce("articles_count", F.lit(0)).alias("articles_count")
     )
+
+
+# Statements with parameters
+
+
+#: A source whose name holds a quote.
+QUOTED = "L'Officiel"
+
+
+def _views(spark, sf):
+    """Gold and article tables by name; one source has a quote in its name."""
+    renamed = F.when(F.col("source") == "France24", QUOTED).otherwise(F.col("source"))
+    detail = _detail(spark, sf).withColumn("source", renamed)
+    return {
+        "articles_detail": detail,
+        "articles_by_source": gold.count_by(detail, "source"),
+        "articles_by_day": gold.count_by(gold.with_published_day(detail), "published_day"),
+    }
+
+
+def _statement(name, **parameters):
+    def query(spark, sf):
+        return statements.run(spark, _views(spark, sf), name, **parameters)
+
+    query.__name__ = f"statement_{name}"
+    return register(query)
+
+
+_statement("source_total", source=QUOTED)
+_statement("window_total", today=AS_OF.date(), days=7)
+_statement("top_source")
+_statement("recent_of_source", source=QUOTED, rows=10)
+_statement("hourly_of_source", source=QUOTED, since=AS_OF - timedelta(hours=24))
+_statement("day_series", today=AS_OF.date(), days=7)

@@ -66,3 +66,6 @@ LIMIT_PER_SOURCE_WAREHOUSE = 20
 UNBOUNDED_WINDOW_DAYS = 30
 MIN_CONTENT_CHARS = 200
 INGEST_INTERVAL_SECONDS = 300
+
+# Messages that one run of the consumer takes.
+MAX_MESSAGES = 200

@@ -34,7 +34,32 @@ def path(url: Column) -> Column:
     return F.lower(F.regexp_replace(whole, r";[^/]*\z", ""))
 
 
+_HEX = "[0-9A-Fa-f]{1,4}"
+_OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+_LAST_AS_IPV4 = rf"^(.*:)(?:{_OCTET}\.){{3}}{_OCTET}$"
+
+
+def _is_ipv6(address: Column) -> Column:
+    """Eight groups, or fewer around one "::"; the last two may be an IPv4 address.
+
+    A zone behind "%" is anything but empty, without another "%".
+    """
+    bare = F.regexp_replace(address, "%[^%]+$", "")
+    groups = F.regexp_replace(bare, _LAST_AS_IPV4, "$10:0")
+    run = f"(?:{_HEX}(?::{_HEX})*)?"
+    whole = groups.rlike(f"^(?:{_HEX}:){{7}}{_HEX}$")
+    short = groups.rlike(f"^{run}::{run}$") & (F.size(F.regexp_extract_all(groups, F.lit(_HEX), F.lit(0))) <= 7)
+    return whole | short
+
+
 def has_broken_host(url: Column) -> Column:
-    """A bracket without its partner: the host cannot be an IPv6 address."""
+    """Brackets that do not hold an IPv6 address or a later kind ("v1.x").
+
+    They come in a pair, at the start of the host, and only a port may follow.
+    """
     authority = F.regexp_extract(url, _AUTHORITY, 1)
-    return F.contains(authority, F.lit("[")) != F.contains(authority, F.lit("]"))
+    opened, closed = (F.contains(authority, F.lit(c)) for c in "[]")
+    place = r"^(?:.*@)?\[([^\[\]]*)\](?::.*)?$"
+    inner = F.regexp_extract(authority, place, 1)
+    sound = authority.rlike(place) & (_is_ipv6(inner) | inner.rlike(r"^v[0-9A-Fa-f]+\..+$"))
+    return F.when(opened | closed, ~sound).otherwise(False)

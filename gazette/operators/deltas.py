@@ -9,18 +9,26 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gazette import constants as C
 from gazette.functions import text
 from gazette.operators import gold
+from gazette.operators.filters import moment
 from gazette.operators.lookups import with_country
 
 #: Columns of articles that the counts depend on.
-ARTICLE_COLUMNS = ["title", "content", "source", "category", "published_at"]
-SILVER_COLUMNS = ["published_at", "source", "word_count", "data_quality_score"]
+ARTICLE_COLUMNS = ["title", "author", "content", "source", "category", "published_at"]
+SILVER_COLUMNS = [
+    "published_at", "source", "word_count", "data_quality_score", "content_length"
+]
 COUNT_KEYS = ["published_day", "source", "theme", "category"]
+INVALID_DATES = "invalid_dates"
+CHECKS = [
+    "articles_detail.title_null", "articles_detail.author_null", "articles_detail.content_null",
+    INVALID_DATES, "negative_lengths", "invalid_scores",
+]
 TREND_KEYS = ["trend_date", "source"]
 TREND_SUMS = ["articles", "words", "counted", "score", "scored"]
 
@@ -70,6 +78,51 @@ def trend_counts(changed: DataFrame) -> DataFrame:
     return _net(rows, TREND_KEYS, TREND_SUMS)
 
 
+def _named(changed: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """Change of the number of rows that meet each rule, with their time where it matters."""
+    met = F.array(
+        *[F.when(rule, F.lit(name)) for name, rule in rules.items()]
+    )
+    rows = changed.select(F.explode(F.array_compact(met)).alias("name"), "published_at", F.col("sign").alias("n"))
+    timed = F.when(F.col("name") == INVALID_DATES, F.col("published_at"))
+    return _net(rows.withColumn("published_at", timed), ["name", "published_at"], ["n"])
+
+
+def article_checks(changed: DataFrame, as_of: datetime) -> DataFrame:
+    """Change of the counters of the articles' checks.
+
+    Articles dated after their batch are counted by their date, as they stop being
+    in the future; the others never are.
+    """
+    blank = {
+        f"articles_detail.{c}_null": text.blank_if_null(F.col(c)) == "" for c in ("title", "content")
+    }
+    return _named(
+        changed,
+        {
+            **blank,
+            "articles_detail.author_null": F.col("author") == C.UNKNOWN,
+            INVALID_DATES: F.col("published_at") > moment(as_of),
+        },
+    )
+
+
+def silver_checks(changed: DataFrame) -> DataFrame:
+    """Change of the counters of the silver table's checks."""
+    score = F.col("data_quality_score")
+    rules = {"negative_lengths": F.col("content_length") < 0, "invalid_scores": (score > 1) | (score < 0)}
+    return _named(changed, rules)
+
+
+def checks(counts: DataFrame, as_of: datetime) -> DataFrame:
+    """name and value of the checks that have counters, 0 where nothing was found."""
+    spark = counts.sparkSession
+    names = spark.createDataFrame([(n,) for n in CHECKS], "name string")
+    due = counts.where((F.col("name") != INVALID_DATES) | (F.col("published_at") > moment(as_of)))
+    found = due.groupBy("name").agg(F.sum("n").alias("n"))
+    return names.join(found, "name", "left").select("name", F.coalesce("n", F.lit(0)).alias("value"))
+
+
 # The gold tables from the stored counts
 
 

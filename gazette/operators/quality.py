@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gazette import constants as C
@@ -13,21 +13,30 @@ from gazette.operators.filters import moment
 from gazette.operators.maintenance import orphan_count
 
 
-def lake_report(silver: DataFrame, min_chars: int = C.MIN_CONTENT_CHARS) -> DataFrame:
-    """Completeness counters of the lake silver table and the scores from them."""
+COUNTERS = ("record_count", "article_sans_titre", "date_manquante", "contenu_trop_court")
+
+
+def _counters(min_chars: int) -> list[Column]:
     title = strip_space(blank_if_null(F.col("title")))
-    counted = silver.agg(
-        F.count(F.lit(1)).alias("record_count"),
-        F.count_if(title == "").alias("article_sans_titre"),
-        F.count_if(F.col("published_at").isNull()).alias("date_manquante"),
-        F.count_if(F.length(blank_if_null(F.col("content_final"))) < min_chars).alias(
-            "contenu_trop_court"
-        ),
-    )
+    short = F.length(blank_if_null(F.col("content_final"))) < min_chars
+    rules = (F.lit(True), title == "", F.col("published_at").isNull(), short)
+    return [F.count_if(rule).alias(name) for name, rule in zip(COUNTERS, rules, strict=True)]
+
+
+def counters(silver: DataFrame, min_chars: int = C.MIN_CONTENT_CHARS) -> DataFrame:
+    """Completeness counters of the lake silver table."""
+    return silver.agg(*_counters(min_chars))
+
+
+def observed(silver: DataFrame, seen: Observation, min_chars: int = C.MIN_CONTENT_CHARS) -> DataFrame:
+    """The rows as they are; the counters are gathered while they pass."""
+    return silver.observe(seen, *_counters(min_chars))
+
+
+def scored(counted: DataFrame) -> DataFrame:
+    """Counters with the scores from them."""
     n = F.greatest("record_count", F.lit(1))
-    untitled, undated, short = map(
-        F.col, ["article_sans_titre", "date_manquante", "contenu_trop_court"]
-    )
+    untitled, undated, short = map(F.col, COUNTERS[1:])
 
     def score(issues, tests: int):
         return F.round(100 * (1 - issues / (tests * n)), 2)
@@ -41,6 +50,11 @@ def lake_report(silver: DataFrame, min_chars: int = C.MIN_CONTENT_CHARS) -> Data
     )
 
 
+def lake_report(silver: DataFrame, min_chars: int = C.MIN_CONTENT_CHARS) -> DataFrame:
+    """Completeness counters of the lake silver table and the scores from them."""
+    return scored(counters(silver, min_chars))
+
+
 def _as_rows(counters: DataFrame, checks: dict[str, str]) -> DataFrame:
     """One row per check (name, value) from a one-row frame of counters."""
     pairs = ", ".join(f"'{name}', {column}" for name, column in checks.items())
@@ -65,10 +79,7 @@ def warehouse_checks(
             "invalid_dates": "dates",
         },
     )
-    orphans = orphan_count(audit, detail).select(
-        F.lit("orphaned_audit_records").alias("name"), F.col("orphans").alias("value")
-    )
-    rows = from_detail.unionByName(orphans)
+    rows = from_detail.unionByName(orphan_check(audit, detail))
     if silver is not None:
         score = F.col("data_quality_score")
         rows = rows.unionByName(
@@ -80,6 +91,17 @@ def warehouse_checks(
                 {"negative_lengths": "lengths", "invalid_scores": "scores"},
             )
         )
+    return judged_checks(rows)
+
+
+def orphan_check(audit: DataFrame, detail: DataFrame) -> DataFrame:
+    return orphan_count(audit, detail).select(
+        F.lit("orphaned_audit_records").alias("name"), F.col("orphans").alias("value")
+    )
+
+
+def judged_checks(rows: DataFrame) -> DataFrame:
+    """Checks (name, value) with their status."""
     failing = F.when(F.col("name") == "orphaned_audit_records", "FAIL").otherwise("WARN")
     return rows.select(
         "name", F.when(F.col("value") == 0, "PASS").otherwise(failing).alias("status"), "value"

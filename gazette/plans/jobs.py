@@ -10,7 +10,7 @@ import logging
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gazette import constants as C
@@ -24,7 +24,8 @@ from gazette.operators.ranking import first_n
 from gazette.plans import gold, silver
 from gazette.plans.ingest import as_detail_batch
 from gazette.sources import bronze, messages, warehouse
-from gazette.sources.store import BUCKETS, Conflict, Store, Table
+from gazette.sources.commits import exists
+from gazette.sources.store import BUCKETS, Conflict, Store, Table, bucket
 
 log = logging.getLogger(__name__)
 
@@ -69,47 +70,101 @@ def language_profile(spark: SparkSession, root: str) -> LanguageProfile:
     return LanguageProfile(warehouse.read(spark, f"{root}/language", "profile"))
 
 
+#: Folders that lake silver is bucketed into by URL.
+LAKE_BUCKETS = 64
+
+
+def lake_silver_table(spark: SparkSession, root: str) -> DataFrame:
+    """The lake's current silver articles."""
+    return spark.read.parquet(f"{root}/silver/articles_silver").drop("_bucket")
+
+
+def _lake_bucket() -> Column:
+    return bucket(F.coalesce("url", F.lit("")), LAKE_BUCKETS)
+
+
+def _write_silver(rows: DataFrame, root: str, mode: str) -> dict:
+    """Write buckets and count what the quality report needs on the way."""
+    seen = Observation()
+    counted = quality.observed(rows, seen).withColumn("_bucket", _lake_bucket())
+    (
+        counted.hint("rebalance", "_bucket")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", mode)
+        .partitionBy("_bucket")
+        .parquet(f"{root}/silver/articles_silver")
+    )
+    return seen.get
+
+
+def _keep_counters(spark: SparkSession, root: str, counters: dict | None) -> None:
+    """The counters of the table as it is, or none while it is being written."""
+    rows = [[(counters or {}).get(c) for c in quality.COUNTERS]]
+    schema = ", ".join(f"{c} long" for c in quality.COUNTERS)
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").json(f"{root}/silver_counters")
+
+
+def _lake_counters(spark: SparkSession, root: str) -> dict:
+    """The kept counters; if a run did not get to its end, those of a new scan."""
+    schema = ", ".join(f"{c} long" for c in quality.COUNTERS)
+    kept = spark.read.schema(schema).json(f"{root}/silver_counters").first()
+    if kept is not None and kept["record_count"] is not None:
+        return kept.asDict()
+    return quality.counters(lake_silver_table(spark, root)).first().asDict()
+
+
 def lake_silver(
     spark: SparkSession, root: str, as_of: datetime, profile: LanguageProfile | None = None
 ) -> DataFrame:
-    """Bronze to silver: all JSON lines below bronze, rewritten as a new version."""
+    """Bronze to silver: all JSON lines below bronze, in place of the table."""
     articles = bronze.require_rows(bronze.scan(spark, f"{root}/bronze"))
-    rows = silver.lake_silver(articles, profile)
-    warehouse.publish(spark, f"{root}/silver", {"articles_silver": rows}, as_of)
-    return warehouse.read(spark, f"{root}/silver", "articles_silver")
+    _keep_counters(spark, root, None)
+    seen = _write_silver(silver.lake_silver(articles, profile), root, "static")
+    _keep_counters(spark, root, seen)
+    return lake_silver_table(spark, root)
 
 
 def lake_silver_hour(
     spark: SparkSession, root: str, as_of: datetime, profile: LanguageProfile | None = None
 ) -> DataFrame:
-    """Add the hour's bronze folders to the silver table of the hours before.
+    """Put the hour's bronze folders into the silver table of the hours before.
 
-    Reads the new hour and the current silver; the latest scrape of a URL stays,
-    whichever of them holds it. Hours must be added once each, in any order.
+    Reads the new hour and the buckets of its URLs and writes these buckets anew;
+    the latest scrape of a URL stays, whichever of them holds it. An hour may be
+    repeated, and hours come in any order.
     """
     hour = f"date={as_of:%Y-%m-%d}/hour={as_of:%H}"
-    fresh = silver.lake_silver(
-        bronze.require_rows(bronze.scan(spark, f"{root}/bronze/*/{hour}")), profile
-    )
-    if warehouse.published(spark, f"{root}/silver"):
-        before = warehouse.read(spark, f"{root}/silver", "articles_silver")
-        fresh = silver.latest_by_url(before.unionByName(fresh))
-    warehouse.publish(spark, f"{root}/silver", {"articles_silver": fresh}, as_of)
-    return warehouse.read(spark, f"{root}/silver", "articles_silver")
+    landed = bronze.require_rows(bronze.scan(spark, f"{root}/bronze/*/{hour}"))
+    fresh = silver.lake_silver(landed, profile)
+    if not exists(spark, f"{root}/silver/articles_silver"):
+        _keep_counters(spark, root, None)
+        _keep_counters(spark, root, _write_silver(fresh, root, "dynamic"))
+        return lake_silver_table(spark, root)
+    before = _lake_counters(spark, root)
+    touched = [r[0] for r in landed.select(_lake_bucket().alias("b")).distinct().collect()]
+    held = spark.read.parquet(f"{root}/silver/articles_silver").where(F.col("_bucket").isin(touched))
+    taken = Observation()
+    merged = silver.latest_by_url(quality.observed(held.drop("_bucket"), taken).unionByName(fresh))
+    _keep_counters(spark, root, None)
+    seen = _write_silver(merged, root, "dynamic")
+    gone = taken.get
+    _keep_counters(spark, root, {c: before[c] - gone[c] + seen[c] for c in quality.COUNTERS})
+    return lake_silver_table(spark, root)
 
 
 def lake_quality(spark: SparkSession, root: str, as_of: datetime) -> DataFrame:
-    """Quality report of the current silver version, as one JSON record."""
-    rows = warehouse.read(spark, f"{root}/silver", "articles_silver")
-    report = quality.lake_report(rows).withColumn("generated_at", moment(as_of))
+    """Quality report of the silver table from the counters kept as it was written."""
+    schema = ", ".join(f"{c} long" for c in quality.COUNTERS)
+    found = _lake_counters(spark, root)
+    counted = spark.createDataFrame([[found[c] for c in quality.COUNTERS]], schema)
+    report = quality.scored(counted).withColumn("generated_at", moment(as_of))
     report.coalesce(1).write.mode("overwrite").json(f"{root}/governance/quality_report_latest")
     return report
 
 
 def lake_gold(spark: SparkSession, root: str, as_of: datetime) -> None:
     """Silver to gold: five tables that become visible together."""
-    rows = warehouse.read(spark, f"{root}/silver", "articles_silver")
-    warehouse.publish(spark, f"{root}/gold", gold.lake_tables(rows), as_of)
+    warehouse.publish(spark, f"{root}/gold", gold.lake_tables(lake_silver_table(spark, root)), as_of)
 
 
 # Warehouse
@@ -127,6 +182,7 @@ TABLES = {
     "set_aside": Table(schemas.SET_ASIDE, latest=False),
     "article_counts": Table(schemas.ARTICLE_COUNTS, key="source", latest=False, sums=("n",)),
     "keyword_counts": Table(schemas.KEYWORD_COUNTS, key="keyword", latest=False, sums=("n",)),
+    "check_counts": Table(schemas.CHECK_COUNTS, key="name", latest=False, sums=("n",)),
     "trend_counts": Table(
         schemas.TREND_COUNTS, key="source", latest=False, sums=tuple(deltas.TREND_SUMS)
     ),
@@ -165,18 +221,21 @@ def create_warehouse(
     """
     rows = {}
     if articles is not None:
-        rows = {"articles_detail": articles, "url_owner": _owned(articles), **_counts(None, articles)}
+        rows = {"articles_detail": articles, "url_owner": _owned(articles), **_counts(None, articles, as_of)}
     if audit is not None:
         rows["quarantine_audit"] = audit
     warehouse_store(spark, root).create(as_of, rows, buckets)
 
 
-def _counts(before: DataFrame | None, after: DataFrame | None) -> dict[str, DataFrame]:
+def _counts(
+    before: DataFrame | None, after: DataFrame | None, as_of: datetime
+) -> dict[str, DataFrame]:
     """What a change of articles does to the stored counts."""
     changed = deltas.signed(before, after, deltas.ARTICLE_COLUMNS)
     return {
         "article_counts": deltas.article_counts(changed),
         "keyword_counts": deltas.keyword_counts(changed),
+        "check_counts": deltas.article_checks(changed, as_of),
     }
 
 
@@ -289,7 +348,7 @@ def _apply(
                 "quarantine_audit": maintenance.quarantine_audit_delta(before, judged, keys, as_of),
                 "url_owner": urls,
                 "set_aside": _union(aside),
-                **_counts(before, judged),
+                **_counts(before, judged, as_of),
             },
             deletes={"url_owner": freed},
             writer=writer,
@@ -353,7 +412,7 @@ def warehouse_run(
     return WarehouseRun(
         applied=applied,
         metrics=gold_operators.kpi_metrics(table, as_of),
-        checks=quality.warehouse_checks(table, audit(spark, root), silver_rows, as_of),
+        checks=kept_checks(spark, root, as_of),
     )
 
 
@@ -382,6 +441,7 @@ def _silver_hour(spark: SparkSession, store: Store, as_of: datetime, writer: str
                     "articles_silver": fresh,
                     "transformation_audit": maintenance.transformation_audit(fresh, as_of),
                     "trend_counts": deltas.trend_counts(changed),
+                    "check_counts": deltas.silver_checks(changed),
                 },
                 writer=writer,
                 batch=batch,
@@ -395,6 +455,19 @@ def _silver_hour(spark: SparkSession, store: Store, as_of: datetime, writer: str
             fresh.unpersist()
 
 
+def kept_checks(spark: SparkSession, root: str, as_of: datetime) -> DataFrame:
+    """The checks from counters that the batches kept; only ids are read, for orphans."""
+    store = warehouse_store(spark, root)
+    state = store.state()
+    counts, trail, table = (
+        store.current(name, state=state)
+        for name in ("check_counts", "quarantine_audit", "articles_detail")
+    )
+    return quality.judged_checks(
+        deltas.checks(counts, as_of).unionByName(quality.orphan_check(trail, table))
+    )
+
+
 def gold_tables(
     spark: SparkSession, root: str, as_of: datetime, sources: list[tuple] = C.SOURCES
 ) -> dict[str, DataFrame]:
@@ -432,7 +505,7 @@ def purge_warehouse(
     gone = gone.select("article_id", "url", *deltas.ARTICLE_COLUMNS).persist()
     store.commit(
         as_of,
-        rows=_counts(gone, None),
+        rows=_counts(gone, None, as_of),
         deletes={
             "articles_detail": gone,
             "quarantine_audit": gone,

@@ -62,6 +62,7 @@ ARTICLE_COUNTS = T.StructType(
     _fields(published_day=_DATE) + _strings("source theme category") + _fields(n=_LONG)
 )
 KEYWORD_COUNTS = T.StructType(_strings("keyword") + _fields(n=_LONG))
+CHECK_COUNTS = T.StructType(_strings("name") + _fields(published_at=_TIME, n=_LONG))
 TREND_COUNTS = T.StructType(
     _fields(trend_date=_DATE)
     + _strings("source")

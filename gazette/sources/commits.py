@@ -72,3 +72,9 @@ class CommitLog:
         for name in names:
             self._files.delete(self._path(f"{self.folder}/{name}.json"), False)
             self._known.pop(name, None)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder of this name."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)

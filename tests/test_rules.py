@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from gazette.functions.urls import has_broken_host
 from gazette.operators import gold, lookups
 from gazette.operators.quarantine import (
     split_quarantine,
@@ -53,6 +54,28 @@ def test_url_rules_come_alone(spark):
     ]
 
 
+def test_bracketed_hosts(spark):
+    """As the standard library's parser and its address module judge them."""
+    good = [
+        "::", "::1", "1::", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7::", "::2:3:4:5:6:7:8", "1::3:4:5:6:7:8",
+        "fe80::1%eth0", "::ffff:192.168.0.1", "1:2:3:4:5:6:1.2.3.4", "ABCD:ef01::", "v1.x", "vF0.a:b",
+    ]
+    bad = [
+        "", "::g", "1", "1:2", ":::", "1::2::3", "1:2:3:4:5:6:7:8:9", "1:2:3:4:5:6:7::8", ":1::2", "1::2:",
+        "12345::", "fe80::1%", "fe80::1%a%b", "1.2.3.4", "::1.2.3", "::256.1.1.1", "::01.2.3.4", "b", "v1", "vg.x",
+    ]
+    hosts = [(f"http://[{h}]/x", False) for h in good] + [(f"http://[{h}]/x", True) for h in bad]
+    hosts += [
+        ("http://u:p@[::1]:80/x", False), ("http://[::1]:", False), ("http://[::1]80/", True),
+        ("http://a[b]/x", True), ("http://a[::1]/x", True), ("http://[::1/x", True),
+        ("http://::1]/x", True), ("http://][/", True), ("http://[::1][::1]/", True),
+        ("http://x.org/[a]?b=]", False), ("http://x.org", False),
+    ]
+    df = spark.createDataFrame(hosts, "u string, want boolean").coalesce(1)
+    got = df.select("u", has_broken_host(F.col("u")).alias("got"), "want").collect()
+    assert [(r["u"], r["got"]) for r in got] == [(r["u"], r["want"]) for r in got]
+
+
 def test_title_rules(spark):
     url = "https://example.org/"
     rows = [

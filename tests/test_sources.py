@@ -13,12 +13,14 @@ from gazette import schemas
 from gazette.checks import corpus
 from gazette.checks.oracle import ORACLES
 from gazette.checks.queries import QUERIES
-from gazette.operators import lookups, maintenance
-from gazette.plans import jobs
+from gazette.operators import lookups, maintenance, quality
+from gazette.plans import jobs, statements
 from gazette.plans import silver as silver_plan
 from gazette.plans.ingest import as_detail_batch
 from gazette.session import run_dir, scale_conf, shared_dir
 from gazette.sources import bronze, config, messages, store, warehouse
+from gazette.sources.commits import CommitLog
+from gazette.streaming import bounded
 from gazette.streaming import ingest as stream
 from gazette.streaming import upsert as table
 
@@ -428,14 +430,143 @@ def test_shared_folder_comes_from_the_session(spark):
     assert scale_conf(10**14, 8000)["spark.sql.shuffle.partitions"] == "745059"
 
 
-def test_source_file(spark, tmp_path):
-    pytest.importorskip("yaml")
-    file = tmp_path / "sources.yml"
-    file.write_text("sources:\n  - name: s\n    country: Maroc\n  - name: t\n")
-    found = config.load_sources(str(file))
-    assert found == [("s", "Maroc", ""), ("t", "Unknown", "")]
+def test_source_file(spark):
+    path = f"{run_dir(spark, 'config')}/sources.yml"
+    text = """# feeds
+sources:
+  - name: s  # short
+    country: Maroc
+    rss_url: https://s.org/feed#top
+  - name: "L'Officiel"
+    rss_url: 'https://o.org/feed' # quoted
+  - country: France
+    rss_url: https://nameless.org/
+  - name: s
+    rss_url: https://again.org/
+  - name: t
+    country: ''
+  - name: t
+    rss_url: https://t.org/
+other:
+  - name: not a source
+"""
+    spark.createDataFrame([(text,)], "v string").coalesce(1).write.text(path)
+    found = config.load_sources(spark, path)
+    assert found == [
+        ("s", "Maroc", "https://s.org/feed#top"), ("L'Officiel", "Unknown", "https://o.org/feed"),
+        ("t", "Unknown", "https://t.org/"),
+    ]
+    _, aside = config.checked(config.read_entries(spark, path))
+    assert sorted((r["position"], r["reason"]) for r in aside.collect()) == [
+        (3, config.NO_NAME), (4, config.REPEATED), (5, config.NO_URL)
+    ]
     joined = lookups.with_country(articles(spark, 1).drop("source_country"), found)
     assert joined.collect()[0]["source_country"] == "Maroc"
+    config.write_sources(spark, path, found)
+    assert config.load_sources(spark, path) == found
+
+
+def test_an_hour_of_silver_leaves_untouched_buckets_alone(spark):
+    root = run_dir(spark, "lake")
+
+    def hour(n, rows):
+        at = AS_OF + timedelta(hours=n)
+        bronze.write_hour(rows, f"{root}/bronze", at)
+        jobs.lake_silver_hour(spark, root, at)
+        files = {f.split("/articles_silver/")[1] for f in jobs.lake_silver_table(spark, root).inputFiles()}
+        report = jobs.lake_quality(spark, root, at).drop("generated_at")
+        whole = quality.lake_report(jobs.lake_silver_table(spark, root))
+        assert report.collect() == whole.collect()
+        return files
+
+    first = hour(0, articles(spark, 50))
+    assert len(first) > 20
+    later = articles(spark, 1, start=7, title="", scraped_at="2024-01-31T03:00:00Z")
+    second = hour(1, later)
+    assert len(first - second) == 1 and len(second - first) == 1
+    third = hour(1, later)  # a repeated hour changes no row
+    assert len(second - third) <= 1
+    rows = {r["article_id"]: r["title"] for r in jobs.lake_silver_table(spark, root).collect()}
+    assert len(rows) == 50 and rows["id7"] == "" and rows["id8"] == "A headline number 8"
+    # a run that was lost while it wrote: the counters are gathered anew
+    jobs._keep_counters(spark, root, None)
+    fourth = hour(2, articles(spark, 3, start=60, scraped_at=None))
+    assert jobs.lake_silver_table(spark, root).count() == 53 and len(fourth - third) <= 3
+
+
+def test_quality_is_read_from_counters(spark, monkeypatch):
+    """No article text or silver row is read for the checks."""
+    root = run_dir(spark, "warehouse")
+    jobs.create_warehouse(spark, root, AS_OF)
+    odd = [
+        articles(spark, 2, title=""), articles(spark, 2, start=2, author="Unknown"),
+        articles(spark, 1, start=4, content=None),
+        articles(spark, 1, start=5, published_at="2024-01-31T01:30:00Z"),
+    ]
+    batch = odd[0].unionByName(odd[1]).unionByName(odd[2]).unionByName(odd[3])
+    run = jobs.warehouse_run(spark, root, batch, 1, AS_OF)
+
+    def values(as_of):
+        checks = jobs.kept_checks(spark, root, as_of)
+        table, silver = jobs.detail(spark, root), jobs.silver_table(spark, root)
+        plain = quality.warehouse_checks(table, jobs.audit(spark, root), silver, as_of)
+        assert sorted(checks.collect()) == sorted(plain.collect())
+        scans = opened(checks)
+        assert not any("content" in columns or "title" in columns for columns, _ in scans)
+        return {r["name"].split(".")[-1]: r["value"] for r in checks.collect()}
+
+    assert sorted(run.checks.collect()) == sorted(jobs.kept_checks(spark, root, AS_OF).collect())
+    assert values(AS_OF) == {
+        "title_null": 2, "author_null": 2, "content_null": 1, "invalid_dates": 1,
+        "orphaned_audit_records": 0, "negative_lengths": 0, "invalid_scores": 0,
+    }
+    # a title comes, and the time that lay ahead has passed
+    later = AS_OF + timedelta(hours=1)
+    jobs.apply_batch(spark, root, articles(spark, 1, title="A title at last"), "run", 2, later)
+    jobs.compact_warehouse(spark, root, later)
+    assert values(later) | {"title_null": 1, "invalid_dates": 0} == values(later)
+
+
+def test_bounded_runs_go_on_where_they_ended(spark, monkeypatch):
+    inbox, root = run_dir(spark, "in"), run_dir(spark, "out")
+    assert bounded.drain(spark, inbox, root) == 0
+    messages.publish_files(articles(spark, 25).repartition(3), inbox)
+
+    def seen():
+        return sorted(r["article_id"] for r in bronze.scan(spark, f"{root}/streaming").collect())
+
+    assert bounded.drain(spark, inbox, root, 10, AS_OF) == 10
+    assert len(set(seen())) == 10
+    # a run that was lost before it noted how far it came is done again in its place
+    with monkeypatch.context() as patch:
+        add = CommitLog.add
+        patch.setattr(CommitLog, "add", lambda self, n, r: n.endswith("-begun") and add(self, n, r))
+        with pytest.raises(RuntimeError, match="another consumer"):
+            bounded.drain(spark, inbox, root, 10, AS_OF)
+    assert bounded.drain(spark, inbox, root, 10, AS_OF + timedelta(hours=5)) == 10
+    assert len(seen()) == len(set(seen())) == 20
+    lines = spark.createDataFrame([("{oops",), ("",), ('{"article_id": "last"}',)], "v string")
+    lines.coalesce(1).write.mode("append").text(inbox)
+    monkeypatch.setattr(bounded, "FOLDED", 2)
+    counts = []
+    while not counts or counts[-1]:
+        counts.append(bounded.drain(spark, inbox, root, 3, AS_OF))
+    assert sum(counts) == 8 and max(counts) == 3
+    assert seen() == sorted([f"id{i}" for i in range(25)] + ["last"])
+    aside = spark.read.json(f"{root}/set_aside").collect()
+    assert sorted(r["reason"] for r in aside) == ["empty message", "not an article"]
+    # names of finished files are put together, older records are gone
+    assert len(CommitLog(spark, f"{root}/consumed").names()) < 8
+
+
+def test_statements_bind_their_values(spark):
+    name = "L'Officiel; DROP TABLE x --\" OR 1=1"
+    counts = spark.createDataFrame([(name, 3), ("s", 4), (None, 9)], "source string, articles_count long")
+    tables = {"articles_by_source": counts}
+    assert statements.run(spark, tables, "source_total", source=name).collect()[0][0] == 3
+    assert statements.run(spark, tables, "source_total", source="' OR ''='").collect()[0][0] == 0
+    assert tuple(statements.run(spark, tables, "top_source").collect()[0]) == (None, 9)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("articles")]
 
 
 def test_every_query_has_sql():
