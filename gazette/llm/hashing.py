@@ -1,5 +1,8 @@
 """Vectorised words and polynomial hashes over the bytes of many texts.
 
+Words are told apart by polynomials modulo a prime: modulo a power of two, long
+words of two letters can be made that collide whatever the base.
+
 A text block is one byte array with the texts end to end and the offsets of
 their borders. Polynomial hashes are taken modulo 2^64 from prefix sums, so the
 hash of any range costs one subtraction and one product; a finaliser spreads
@@ -8,11 +11,19 @@ them over all bits.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 BASE = 0x9E3779B97F4A7C15 | 1
 BLOCK_BYTES = 1 << 20
 
+#: Modulus of the words' hashes, and two bases for independent ones.
+PRIME = (1 << 61) - 1
+WORD_BASE, SECOND_BASE = 0x1A2B3C4D5E6F7A8B % PRIME, 0x0F1E2D3C4B5A6978 % PRIME
+#: Longer words are hashed one by one.
+LONG_WORD = 1 << 20
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _NOT_ALPHANUMERIC = np.ones(128, bool)
@@ -49,6 +60,58 @@ def powers(n: int, base: int = BASE) -> tuple[np.ndarray, np.ndarray]:
     return known
 
 
+def _times(a: np.ndarray, b: int) -> np.ndarray:
+    """a * b modulo PRIME, for values below it."""
+    low = (1 << 31) - 1
+    a1, a0 = a >> np.uint64(31), a & np.uint64(low)
+    b1, b0 = np.uint64(b >> 31), np.uint64(b & low)
+    middle = a1 * b0 + a0 * b1
+    total = np.uint64(2) * (a1 * b1) + (middle >> np.uint64(30)) + a0 * b0
+    total += (middle & np.uint64((1 << 30) - 1)) << np.uint64(31)
+    return _reduced(total)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & np.uint64(PRIME)) + (x >> np.uint64(61))
+    return np.where(x >= np.uint64(PRIME), x - np.uint64(PRIME), x)
+
+
+_word_powers: dict[int, np.ndarray] = {}
+
+
+def prime_powers(n: int, base: int) -> np.ndarray:
+    """base^i modulo PRIME for i below n, at least."""
+    known = _word_powers.get(base, np.ones(1, np.uint64))
+    while len(known) < n:
+        known = np.concatenate([known, _times(known, pow(base, len(known), PRIME))])
+    _word_powers[base] = known
+    return known
+
+
+def word_hashes(
+    body: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = WORD_BASE
+) -> np.ndarray:
+    """Hashes of words (none empty) that follow each other in body."""
+    sizes = ends - starts
+    out = np.zeros(len(starts), np.uint64)
+    usual = np.flatnonzero(sizes <= LONG_WORD)
+    if len(usual):
+        own = sizes[usual]
+        first = np.cumsum(own) - own
+        place = np.arange(int(own.sum())) - np.repeat(first, own)
+        symbols = body[place + np.repeat(starts[usual], own)].astype(np.uint64) + np.uint64(1)
+        power = prime_powers(int(own.max()), base)[place]
+        # sums of the powers' halves stay below 2^64, as do those of their products
+        low = np.add.reduceat(symbols * (power & np.uint64(0xFFFFFFFF)), first)
+        high = _reduced(np.add.reduceat(symbols * (power >> np.uint64(32)), first))
+        turned = ((high & np.uint64((1 << 29) - 1)) << np.uint64(32)) + (high >> np.uint64(29))
+        out[usual] = _reduced(_reduced(low) + turned)
+    for i in np.flatnonzero(sizes > LONG_WORD):
+        word = hashlib.blake2b(body[starts[i] : ends[i]].tobytes(), digest_size=8, salt=b"%d" % (base % 997))
+        out[i] = int.from_bytes(word.digest(), "little")
+    return mix(out)
+
+
 class PrefixHash:
     """Hashes of ranges of one array of symbols."""
 
@@ -110,8 +173,8 @@ class Words:
         #: borders of the texts in the list of words
         self.borders = np.searchsorted(self.starts, borders)
 
-    def hashes(self) -> np.ndarray:
-        return mix(PrefixHash(self.body).ranges(self.starts, self.ends))
+    def hashes(self, base: int = WORD_BASE) -> np.ndarray:
+        return word_hashes(self.body, self.starts, self.ends, base)
 
 
 def inside(borders: np.ndarray, width: int, n: int) -> np.ndarray:

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gazette.llm.chunks import ids_of
 from gazette.llm.components import smallest_reachable
@@ -30,7 +31,7 @@ SAMPLE = 16_384
 CELL_ROWS = 32
 BLOCK_ROWS = 1024
 TASK_ROWS = 50_000
-VALID = "vec_id long, label int, sign binary, embedding array<float>"
+VALID = "vec_id long, label int, sign binary, embedding array<{}>"
 
 
 def _vectors(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -48,25 +49,30 @@ def _vectors(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return values, offsets, (bad[ends] == bad[starts]) & (full[ends] > full[starts])
 
 
-def _comparable(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows that can be linked, with a signature of label and components."""
-    for batch in batches:
-        values, offsets, good = _vectors(batch.column(2))
-        good &= np.asarray(batch.column(0).is_valid()) & np.asarray(batch.column(1).is_valid())
-        rows = np.flatnonzero(good)
-        labels = batch.column(1).to_pylist()
-        values = (values.astype(np.float32) + np.float32(0)).astype("<f4")  # one zero only
-        signs = [
-            hashlib.blake2b(
-                b"%d:" % labels[i] + values[offsets[i] : offsets[i + 1]].tobytes(), digest_size=16
-            ).digest()
-            for i in rows
-        ]
-        own = batch.take(pa.array(rows))
-        yield pa.RecordBatch.from_arrays(
-            [own.column(0), own.column(1), pa.array(signs, pa.binary()), own.column(2)],
-            ["vec_id", "label", "sign", "embedding"],
-        )
+def _comparable(kind: str):
+    """Rows that can be linked, with a signature of label and components (float or double)."""
+    exact = {"float": "<f4", "double": "<f8"}[kind]
+
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, offsets, good = _vectors(batch.column(2))
+            good &= np.asarray(batch.column(0).is_valid()) & np.asarray(batch.column(1).is_valid())
+            rows = np.flatnonzero(good)
+            labels = batch.column(1).to_pylist()
+            values = values.astype(exact) + np.zeros(1, exact)  # one zero only
+            signs = [
+                hashlib.blake2b(
+                    b"%d:" % labels[i] + values[offsets[i] : offsets[i + 1]].tobytes(), digest_size=16
+                ).digest()
+                for i in rows
+            ]
+            own = batch.take(pa.array(rows))
+            yield pa.RecordBatch.from_arrays(
+                [own.column(0), own.column(1), pa.array(signs, pa.binary()), own.column(2)],
+                ["vec_id", "label", "sign", "embedding"],
+            )
+
+    return signed
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -153,25 +159,31 @@ def linked(
     component_id (smallest vec_id reachable) and kept (it is its own). Vectors
     that are null, zero or hold null or non-finite components, or whose vec_id or
     label is null, link with nothing, nor do vectors of different lengths. Rows
-    with one vec_id are separate vectors. Other columns are not read. The index is
+    with one vec_id are separate vectors (a component's id is the smallest vec_id of its
+    vectors). Components are compared as given, float or double. Other columns are not read. The index is
     fitted on `sample` vectors at most, chosen by a hash; every vector is indexed.
     """
     shared_dir(embeddings.sparkSession)
+    given = embeddings.schema["embedding"].dataType
+    kind = "float" if given == T.ArrayType(T.FloatType(), given.containsNull) else "double"
     rows = embeddings.select(
         F.col("vec_id").cast("long"),
         F.col("label").cast("int"),
-        F.col("embedding").cast("array<float>"),
+        F.col("embedding").cast(f"array<{kind}>"),
     )
-    signed = rows.mapInArrow(_comparable, VALID)
+    signed = rows.mapInArrow(_comparable(kind), VALID.format(kind))
     merged = (
         signed.groupBy("sign")
         .agg(
-            F.min("vec_id").alias("node"),
+            F.min("vec_id").alias("least"),
             F.count("*").alias("copies"),
             F.first("label").alias("label"),
             F.first("embedding").alias("embedding"),
         )
         .withColumn("size", F.size("embedding"))
+        # numbered by their smallest vec_id, so that the smallest node has the smallest id
+        .orderBy("least", "sign")
+        .withColumn("node", F.monotonically_increasing_id())
         .checkpoint()
     )
     indexes = {}
@@ -212,7 +224,7 @@ def linked(
                     ["asks", "label", "size", "cell", "node", "copies", "embedding"],
                 )
 
-    columns = "label int, size int, cell long, node long, copies long, embedding array<float>"
+    columns = f"label int, size int, cell long, node long, copies long, embedding array<{kind}>"
     source = merged.select("label", "size", "node", "copies", "embedding")
     stands = source.mapInArrow(dealt, f"asks int, {columns}")
     cell = ["label", "size", "cell"]
@@ -253,14 +265,16 @@ def linked(
     )
     counts = found.where("b is null").groupBy("a").agg(F.sum("n").alias("n"))
     reach = smallest_reachable(found.where("b is not null").select("a", "b"))
+    roots = merged.select(F.col("node").alias("root"), F.col("least").alias("root_id"))
+    reach = reach.join(roots, F.col("component") == F.col("root")).select("node", "root_id")
     nodes = (
-        merged.select("sign", "node", "copies")
+        merged.select("sign", "node", "copies", "least")
         .join(counts, merged["node"] == counts["a"], "left")
         .join(reach.withColumnRenamed("node", "v"), F.col("node") == F.col("v"), "left")
         .select(
             "sign",
             (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "node").alias("component_id"),
+            F.coalesce("root_id", "least").alias("component_id"),
         )
         .checkpoint()
     )

@@ -1,8 +1,10 @@
 """Substring dedup: removal of words in windows that occur more than once.
 
 Every window of `width` words gets a Rabin-Karp hash; a chunk sums its own
-windows and asks the buckets which hashes other chunks hold too. Repeated
-windows merge into maximal intervals. All windows are counted, and they are
+windows and asks the buckets which hashes other chunks hold too. Windows that seem
+to repeat are asked for once more by a second hash, of words hashed to another
+base, and only those it confirms are removed. Repeated windows merge into maximal
+intervals. All windows are counted, and they are
 judged on the input: nothing depends on the order of removal.
 """
 
@@ -13,18 +15,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from gazette.llm import chunks as C
-from gazette.llm.hashing import PrefixHash, Words, blocks, covered, inside, runs
+from gazette.llm.hashing import (
+    SECOND_BASE, WORD_BASE, PrefixHash, Words, blocks, covered, inside, runs,
+)
 
 REPEATS = "doc_id long, n_words long, removed array<struct<start:long,end:long>>, kept string"
 
 
-def window_hashes(texts: C.Texts, width: int):
-    """(first text, words, starts of the windows, their hashes) of each block."""
+def window_hashes(texts: C.Texts, width: int, *bases: int):
+    """(first text, words, starts of the windows, their hashes by each base) of each block."""
     for first, last in blocks(texts.offsets):
         words = Words(texts.body, texts.offsets[first : last + 1])
         valid = inside(words.borders, width, len(words.starts))
         starts = np.flatnonzero(valid)
-        yield first, words, starts, PrefixHash(words.hashes()).windows(width)[starts]
+        found = [PrefixHash(words.hashes(b), b | 1).windows(width)[starts] for b in bases]
+        yield first, words, starts, *found
 
 
 def _in_several(keys: np.ndarray, sender: np.ndarray) -> np.ndarray:
@@ -35,6 +40,11 @@ def _in_several(keys: np.ndarray, sender: np.ndarray) -> np.ndarray:
     return out
 
 
+def _confirmed(keys: np.ndarray, sender: np.ndarray, whole: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """The second hashes that several chunks hold, or one more than once; 0 for others."""
+    return np.where(_in_several(whole, sender) | many, whole, 0).astype(np.uint64)
+
+
 def repeated_windows(docs: DataFrame, width: int = 35, **options) -> DataFrame:
     """What stays of each document (doc_id, text) without words in repeated windows.
 
@@ -43,26 +53,32 @@ def repeated_windows(docs: DataFrame, width: int = 35, **options) -> DataFrame:
     repeats if its words start at any other place, also in the same document or
     in another row with the same doc_id. A null or empty text has no words and
     an empty kept; a text of fewer than `width` words stays whole. Other columns
-    are not read. Hashes have 64 bits (48 of them and the bucket are compared
-    between chunks).
+    are not read. Between chunks 48 bits and the bucket of a first hash are compared,
+    then 64 bits of a second, independent one. Of a text of any length a block is
+    hashed at a time.
     """
     dealt = C.Chunks(docs, **options)
     n = dealt.n
 
     def ask(chunk, texts):
-        found = [h for *_, h in window_hashes(texts, width)]
+        found = [h for *_, h in window_hashes(texts, width, WORD_BASE)]
         keys = np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
         return C.questions(chunk, keys, n)
 
+    def ask_again(chunk, texts, replies):
+        found = [p[3:] for p in window_hashes(texts, width, WORD_BASE, SECOND_BASE)]
+        one, other = (np.concatenate([f[i] for f in found] or [np.zeros(0, np.uint64)]) for i in (0, 1))
+        _, place, counts = np.unique(one, return_inverse=True, return_counts=True)
+        seem = ((counts > 1) | C.answers(replies, bool))[place]
+        keys, counts = np.unique(other[seem], return_counts=True)
+        return C.questions(chunk, keys, n, keys, counts > 1)
+
     def remove(chunk, texts, replies):
-        parts = list(window_hashes(texts, width))
-        hashes = np.concatenate([p[3] for p in parts]) if parts else np.zeros(0, np.uint64)
-        keys, place, counts = np.unique(hashes, return_inverse=True, return_counts=True)
-        repeated = ((counts > 1) | C.answers(replies, bool))[place]
-        total, removed, kept, at = [], [], [], 0
-        for first, words, starts, own in parts:
-            gone = covered(starts[repeated[at : at + len(own)]], width, len(words.starts))
-            at += len(own)
+        again = np.unique(C.answers(replies, np.uint64))
+        again = again[again > 0]
+        total, removed, kept = [], [], []
+        for first, words, starts, own in window_hashes(texts, width, SECOND_BASE):
+            gone = covered(starts[np.isin(own, again)], width, len(words.starts))
             body = words.body.tobytes()
             borders = texts.offsets[first : first + len(words.borders)] - texts.offsets[first]
             for i, (a, b) in enumerate(zip(words.borders, words.borders[1:], strict=False)):
@@ -87,4 +103,6 @@ def repeated_windows(docs: DataFrame, width: int = 35, **options) -> DataFrame:
         )
 
     replies = C.answer(dealt.each(ask, C.MESSAGE), _in_several)
+    asked = dealt.each_with(replies, ask_again, C.MESSAGE)
+    replies = C.answer(asked, _confirmed, np.uint64, bool)
     return dealt.each_with(replies, remove, REPEATS)

@@ -77,6 +77,40 @@ def vectors(spark):
     return rows
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_repeated_ids_are_vectors_of_their_own(spark, kind):
+    """Every vector stands for itself, whatever ids they share; against all pairs."""
+    rng = np.random.default_rng(7)
+    base = rng.standard_normal((12, 8))
+    rows = []
+    for i in range(90):
+        v = base[i % 12] + rng.standard_normal(8) * (0.05 if i % 3 else 0.6)
+        rows.append((int(rng.integers(0, 25)), v.tolist(), int(i % 2)))
+    rows += [(1, base[0].tolist(), 0), (1, base[1].tolist(), 0), (2, (base[0] + 1e-4).tolist(), 0)]
+    rows += [rows[5], rows[5], (None, base[0].tolist(), 0)]
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>, label int")
+    exact = np.float32 if kind == "float" else np.float64
+    unit = np.array([np.array(v, exact) for _, v, _ in rows], float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    labels = np.array([r[2] for r in rows])
+    near = (unit @ unit.T >= 0.98) & (labels[:, None] == labels[None, :])
+    lost = [i for i, r in enumerate(rows) if r[0] is None]
+    near[lost] = near[:, lost] = False
+    np.fill_diagonal(near, False)
+    want = []
+    for i, r in enumerate(rows):
+        seen, todo = {i}, [i]
+        while todo:
+            for j in np.flatnonzero(near[todo.pop()]):
+                if j not in seen:
+                    seen.add(j)
+                    todo.append(j)
+        least = None if r[0] is None else min(rows[j][0] for j in seen)
+        want.append((r[0], int(near[i].sum()), least, r[0] == least))
+    got = multiindex.linked(df, threshold=0.98, recall=1.0).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
 def test_embedding_links(spark, monkeypatch):
     monkeypatch.setattr(multiindex, "BLOCK_ROWS", 16)  # so that cells are dealt in blocks
     monkeypatch.setattr(multiindex, "CELL_ROWS", 4)

@@ -13,7 +13,7 @@ from corpus import DOCUMENTS, documents, texts, with_odd_rows
 from pyspark.sql import functions as F
 
 from gazette.llm import (
-    decontamination, katz, pii, quality, queries, repeats, simhash, suffixes, widehash,
+    decontamination, hashing, katz, pii, quality, queries, repeats, simhash, suffixes, widehash,
 )
 
 SMALL = {"chunk_bytes": 4000}
@@ -51,6 +51,46 @@ def test_repeated_windows(spark, width):
         assert r["kept"].encode() == b" ".join(x for x, g in zip(w, gone, strict=True) if not g)
 
 
+def crafted(n):
+    """Two words of n letters (a power of two) that collide modulo 2^64, whatever the base."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return one, one.translate(str.maketrans("ab", "ba"))
+
+
+def test_crafted_words_are_told_apart(spark):
+    first, second = crafted(1024)
+    same = [f"w{i}" for i in range(34)]
+    df = documents(spark, [" ".join([first, *same]), " ".join([second, *same])])
+    assert {r["removed"] == [] for r in repeats.repeated_windows(df, 35).collect()} == {True}
+    one, other = crafted(2048)
+    rows = [(0, one, True), (1, other, False), (2, one, False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, train boolean")
+    known = {r["doc_id"]: r["n_known"] for r in katz.katz_scores(docs, order=3).collect()}
+    assert known == {0: 2, 1: 1, 2: 2}
+
+
+def test_word_hashes_are_polynomials_modulo_a_prime(monkeypatch):
+    monkeypatch.setattr(hashing, "LONG_WORD", 300)
+    rng = np.random.default_rng(3)
+    words = [rng.integers(33, 255, int(n)).astype(np.uint8).tobytes() for n in [1, 2, 3, 17, 256, 300, 301, 5000, 1]]
+    body = np.frombuffer(b" ".join(words), np.uint8)
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    for base in (hashing.WORD_BASE, hashing.SECOND_BASE):
+        got = hashing.word_hashes(body, starts, ends, base)
+        plain = [sum((c + 1) * pow(base, i, hashing.PRIME) for i, c in enumerate(w)) % hashing.PRIME
+                 for w in words[:6]]
+        assert got[:6].tolist() == hashing.mix(np.array(plain, np.uint64)).tolist()
+        assert len(set(got.tolist())) == len(set(words))  # long words too
+
+
+def test_only_confirmed_windows_repeat():
+    whole = np.array([5, 6, 7, 5, 8, 9], np.uint64)
+    keys, sender = whole & np.uint64(1), np.array([0, 0, 0, 1, 1, 1])  # the first hash sees two windows
+    many = np.array([False, True, False, False, False, False])
+    assert repeats._confirmed(keys, sender, whole, many).tolist() == [5, 6, 0, 5, 0, 0]
+
+
 @pytest.mark.parametrize("width", [16, 50])
 def test_remove_repeats(spark, width, monkeypatch):
     # a low bound, so that crowded anchors are dealt by their windows
