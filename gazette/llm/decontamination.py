@@ -5,8 +5,10 @@ overlapping passages; a passage is the query. A score counts as a share of the
 score that the item itself would reach, so one threshold holds for all items.
 Passages whose upper bounds (of a term over all items, then over blocks of
 items) stay below the threshold are dropped at once, the others run WAND in the
-blocks that are left, which returns every item above the threshold. The word sequences of
-question and answer are then compared.
+blocks that are left, which returns every entry above the threshold. An item is
+indexed as a whole and by its question and its answer, so that a passage that holds
+one of these is found however long the other is. Their word sequences are then
+compared.
 """
 
 from __future__ import annotations
@@ -24,12 +26,15 @@ from pyspark.sql import functions as F
 
 from gazette.llm.chunks import as_ids, ids_of, string_parts
 from gazette.llm.hashing import PrefixHash, Words, blocks
+from gazette.session import shared_dir
 
 K1, B = 1.2, 0.75
 #: Share of an item's own score that a passage must reach to be looked at.
 RETRIEVED = 0.5
 #: Share of an item's word sequences that a passage must hold.
 OVERLAP = 0.6
+#: Share of the sequences of a question or an answer, and words that it must have.
+PART_OVERLAP, PART_WORDS = 0.8, 12
 GRAM = 5
 PASSAGE_WORDS = 128
 #: Blocks of items, each with one maximum for a term, at most.
@@ -69,10 +74,40 @@ class Posting:
     block_max: dict[int, float] = field(default_factory=dict)
 
 
+@dataclass
+class Statistics:
+    """Of all items: how many, their mean and largest number of words, items per term."""
+
+    items: int
+    mean: float
+    longest: int
+    terms: np.ndarray
+    frequency: np.ndarray
+
+    def frequencies(self, terms: np.ndarray) -> np.ndarray:
+        return self.frequency[np.searchsorted(self.terms, terms)]
+
+
+def _statistics(words: list[np.ndarray]) -> Statistics:
+    lengths = [len(w) for w in words]
+    every = np.concatenate([np.unique(w) for w in words]) if words else np.zeros(0, np.uint64)
+    mean = float(np.mean(lengths)) if words else 1.0
+    return Statistics(len(words), mean, max(lengths, default=0), *np.unique(every, return_counts=True))
+
+
 class Index:
-    """Inverted index of items; weights are shares of what retrieval takes."""
+    """Inverted index of items and their parts; weights are shares of what retrieval takes.
+
+    `known` are the statistics of all items, where these are some of them.
+    """
 
-    def __init__(self, ids: list[int | None], texts: list[str | None], retrieved: float = RETRIEVED):
+    def __init__(
+        self,
+        ids: list[int | None],
+        texts: list[str | None],
+        retrieved: float = RETRIEVED,
+        known: Statistics | None = None,
+    ):
         parts = [question_and_answer(t or "") for t in texts]
         words = [_words(t or "") for t in texts]
         kept = [i for i, w in enumerate(words) if len(w)]
@@ -80,13 +115,19 @@ class Index:
         self.no_id = np.array([ids[i] is None for i in kept], bool)
         self.words = [words[i] for i in kept]
         self.parts = [tuple(_words(p) for p in parts[i]) for i in kept]
-        n = len(kept)
-        lengths = np.array([len(w) for w in self.words], float)
-        mean = lengths.mean() if n else 1.0
-        counts = [np.unique(w, return_counts=True) for w in self.words]
+        known = known or _statistics(self.words)
+        # entries of the index: the items, then the parts that are long enough
+        entries = list(enumerate(self.words))
+        for i, own in enumerate(self.parts):
+            entries += [(i, p) for p in own if PART_WORDS <= len(p) < len(self.words[i])]
+        self.owner = [i for i, _ in entries]
+        n = self.size = len(entries)
+        counts = [np.unique(w, return_counts=True) for _, w in entries]
+        lengths, mean = [len(w) for _, w in entries], known.mean
         every = np.concatenate([c[0] for c in counts]) if n else np.zeros(0, np.uint64)
-        self.terms, frequency = np.unique(every, return_counts=True)
-        rarity = np.log(1 + (n - frequency + 0.5) / (frequency + 0.5))
+        self.terms = np.unique(every)
+        frequency = known.frequencies(self.terms)
+        rarity = np.log(1 + (known.items - frequency + 0.5) / (frequency + 0.5))
         rows = []
         for i, (terms, tf) in enumerate(counts):
             at = np.searchsorted(self.terms, terms)
@@ -109,7 +150,7 @@ class Index:
         self.block, self.block_count = block[at], -(-n // self.block_items)
         self.block_max = np.maximum.reduceat(self.weight, at) if len(at) else self.weight
         self.block_first = np.searchsorted(self.term[at], np.arange(len(self.terms) + 1))
-        self.longest = int(lengths.max()) if n else 0
+        self.longest = known.longest
         self.postings: dict[int, Posting] = {}
 
     def posting(self, term: int) -> Posting:
@@ -127,7 +168,7 @@ class Index:
 def block_max_wand(
     index: Index, terms: list[int], blocks: list[int] | None = None
 ) -> list[tuple[int, float]]:
-    """All items whose weights for the distinct terms add up to 1, with their sums.
+    """All entries whose weights for the distinct terms add up to 1, with their sums.
 
     `blocks` may name the only blocks that can hold such items.
     """
@@ -139,7 +180,7 @@ def block_max_wand(
         lists = [x for x in lists if block in x[0].block_max]
         if sum(p.block_max[block] for p, _ in lists) >= 1 - 1e-9:
             begin = block * index.block_items
-            _wand(lists, begin, min(begin + index.block_items, len(index.ids)), block, found)
+            _wand(lists, begin, min(begin + index.block_items, index.size), block, found)
     return found
 
 
@@ -235,15 +276,27 @@ def search(index: Index, body: np.ndarray, offsets: np.ndarray, overlap: float =
             number = int(owner[passage])
             begin = words.borders[number] + (passage - base[number]) * stride
             own = hashes[begin : min(begin + 2 * stride, words.borders[number + 1])]
-            for item, score in block_max_wand(index, terms, some):
+            scores: dict[int, float] = {}
+            for entry, score in block_max_wand(index, terms, some):
+                item = index.owner[entry]
+                scores[item] = max(score, scores.get(item, 0.0))
+            for item, score in scores.items():
                 shares = _overlaps(index, item, own)
-                if shares[0] >= overlap:
+                if held(index, item, shares, overlap):
                     hit = (*shares, score)
                     best[number, item] = max(best.get((number, item), hit), hit)
         for (number, item), (*shares, score) in best.items():
             yield first + number, item, score, shares
 
 
+def held(index: Index, item: int, shares: list[float], overlap: float) -> bool:
+    """Whether a passage holds enough of the item, or of a question or answer that tells it."""
+    parts = zip(index.parts[item], shares[1:], strict=True)
+    return shares[0] >= overlap or any(
+        len(words) >= PART_WORDS and share >= max(overlap, PART_OVERLAP) for words, share in parts
+    )
+
+
 def _overlaps(index: Index, item: int, passage: np.ndarray) -> list[float]:
     """Shares of the word sequences of item, question and answer that a passage holds."""
     size = min(GRAM, len(index.words[item]))
@@ -256,29 +309,74 @@ def _overlaps(index: Index, item: int, passage: np.ndarray) -> list[float]:
     return [share(index.words[item]), *(share(p) for p in index.parts[item])]
 
 
-def indexes(items: DataFrame, retrieved: float = RETRIEVED) -> Iterator[Index]:
-    """Indexes of all items (item_id, text), each of about INDEX_BYTES at most."""
+def _terms_of(items: DataFrame) -> DataFrame:
+    """The distinct terms of each item that has words: slice, term; and its words once (term null)."""
+
+    def act(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            turns, terms, sizes = [], [], []
+            for turn, text in zip(batch["turn"].to_pylist(), batch["text"].to_pylist(), strict=True):
+                words = _words(text or "")
+                if len(words):
+                    own = np.unique(words).view(np.int64).tolist()
+                    turns += [turn] * (len(own) + 1)
+                    terms += [None, *own]
+                    sizes += [len(words)] + [0] * len(own)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(turns, pa.int32()), pa.array(terms, pa.int64()), pa.array(sizes, pa.int64())],
+                ["turn", "term", "words"],
+            )
+
+    return items.mapInArrow(act, "turn int, term long, words long")
+
+
+def indexes(
+    items: DataFrame, retrieved: float = RETRIEVED, index_bytes: int = INDEX_BYTES
+) -> Iterator[Index]:
+    """Indexes of all items (item_id, text), each of about index_bytes at most.
+
+    All of them weigh terms by the statistics of all items, counted in Spark if
+    there are several, so results do not depend on how many there are.
+    """
     items = items.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    turns = max(1, math.ceil(size / INDEX_BYTES))
+    turns = max(1, math.ceil(size / index_bytes))
+    dealt = items.withColumn("turn", F.pmod(F.xxhash64("item_id", "text"), F.lit(turns)).cast("int"))
+    if turns > 1:
+        shared_dir(items.sparkSession)
+        found = _terms_of(dealt).checkpoint()
+        lengths = found.where("term is null")
+        count, mean, longest = lengths.agg(F.count("*"), F.avg("words"), F.max("words")).first()
+        counted = found.where("term is not null").groupBy("term").count().checkpoint()
     for turn in range(turns):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(turns)) == turn)
+        own, known = dealt.where(F.col("turn") == turn), None
+        if turns > 1:
+            here = found.where((F.col("turn") == turn) & F.col("term").isNotNull()).select("term")
+            table = counted.join(here.distinct(), "term").toArrow()
+            terms = table["term"].to_numpy().view(np.uint64)
+            order = np.argsort(terms)
+            frequency = table["count"].to_numpy()[order]
+            known = Statistics(count, mean or 1.0, longest or 0, terms[order], frequency)
         table = own.orderBy("item_id", "text").toArrow()
-        yield Index(table["item_id"].to_pylist(), table["text"].to_pylist(), retrieved)
+        yield Index(table["item_id"].to_pylist(), table["text"].to_pylist(), retrieved, known)
 
 
-def hits(docs: DataFrame, items: DataFrame, overlap: float = OVERLAP) -> DataFrame:
+def hits(
+    docs: DataFrame, items: DataFrame, overlap: float = OVERLAP, index_bytes: int = INDEX_BYTES
+) -> DataFrame:
     """The items (item_id, text) that documents (doc_id, text) hold.
 
-    Returns doc_id, item_id, score (BM25, 1 at the threshold of retrieval), overlap
-    (share of the item's five-word sequences found in one passage, at least
-    `overlap`), question_overlap and answer_overlap (of its parts). Words are
+    Returns doc_id, item_id, score (BM25 of the item or the part that comes nearest, 1
+    at the threshold of retrieval), overlap (share of the item's five-word sequences
+    found in one passage), question_overlap and answer_overlap (of its parts). An item
+    is held if overlap is at least `overlap`, or that of a question or an answer of
+    PART_WORDS words at least PART_OVERLAP; a share that is equal counts. Words are
     letters and digits, A-Z in lower case; an item of fewer than five words is one
     sequence. Null or empty texts hold nothing, null or empty items are held by
     nothing. Repeated rows and items are reported each. Other columns are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    found = [docs.mapInArrow(_finder(index, overlap), HITS) for index in indexes(items)]
+    found = [docs.mapInArrow(_finder(index, overlap), HITS) for index in indexes(items, index_bytes=index_bytes)]
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)

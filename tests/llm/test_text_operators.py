@@ -407,6 +407,67 @@ def test_block_max_wand_returns_all_above_the_threshold():
         assert got == pytest.approx({i: scores[i] for i in np.flatnonzero(scores >= 1 - 1e-9)})
 
 
+def plain_hits(texts, items):
+    """Items whose five-word sequences, or those of a long part, are in one text, by plain sets.
+
+    The texts are shorter than a passage, so a text is one passage.
+    """
+    def words(text):
+        return re.findall(r"[a-z0-9\u0080-\uffff]+", lowered_text(text))
+
+    def grams(text, size):
+        w = words(text)
+        return {tuple(w[i : i + size]) for i in range(len(w) - size + 1)}
+
+    out = {}
+    for d, text in texts.items():
+        for i, item in items.items():
+            size = min(5, len(words(item)))
+            parts = decontamination.question_and_answer(item)
+            have = grams(text, size) if size else set()
+            shares = [len(grams(p, size) & have) / len(grams(p, size)) if size and grams(p, size) else 0.0
+                      for p in (item, *parts)]
+            long = [s for p, s in zip(parts, shares[1:], strict=True) if len(words(p)) >= 12]
+            if shares[0] >= 0.6 or any(s >= 0.8 for s in long):
+                out[d, i] = shares
+    return out
+
+
+def lowered_text(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+@pytest.mark.parametrize("index_bytes", [8 << 20, 1500])
+def test_hits_are_brute_force_in_one_index_or_several(spark, index_bytes):
+    """Whole items, questions alone, answers alone, parts of them, and what only looks alike."""
+    rng = np.random.default_rng(5)
+    vocabulary = [f"w{i}" for i in range(400)]
+
+    def some(n):
+        return " ".join(rng.choice(vocabulary, n))
+
+    items, texts = {}, {}
+    for i, (q, a) in enumerate([(18, 60), (60, 18), (14, 14), (30, 3), (3, 30), (8, 8)] * 4):
+        question, answer = some(q) + "?", some(a)
+        items[i] = f"{question} {answer}"
+        cut = question.split()
+        for kind, body in enumerate((items[i], question, answer, " ".join(cut[: len(cut) // 2]),
+                                     " ".join(rng.permutation(items[i].split())))):
+            texts[10 * i + kind] = f"{some(12)} {body} {some(9)}"
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want = plain_hits(texts, items)
+    assert {k % 10 for k, _ in want} == {0, 1, 2}
+    got = decontamination.hits(df, bench, index_bytes=index_bytes).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == set(want)
+    for r in got:
+        ours = [r["overlap"], r["question_overlap"], r["answer_overlap"]]
+        assert ours == pytest.approx(want[r["doc_id"], r["item_id"]])
+    if index_bytes < 2000:
+        whole = decontamination.hits(df, bench).collect()
+        assert sorted((*r[:2], round(r[2], 9)) for r in got) == sorted((*r[:2], round(r[2], 9)) for r in whole)
+
+
 OPERATORS = {
     "repeats": lambda df: repeats.repeated_windows(df, 5, **SMALL),
     "suffixes": lambda df: suffixes.remove_repeats(df, 20, **SMALL),
