@@ -48,11 +48,14 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir, else one below the warehouse.
 
+    A cluster must name the folder, as its warehouse may be a disk of the driver.
     The session's checkpoints go there too, if it has no folder for them yet.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
