@@ -16,8 +16,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gazette.llm.chunks import as_ids, ids_of, spread, string_parts
 from gazette.llm.components import smallest_reachable
@@ -55,8 +56,11 @@ def fingerprint(text: bytes, size: int) -> int:
     return int.from_bytes(np.packbits(ones * 2 > len(first)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
-    """doc_id and fingerprint (long, signed) of each row of (doc_id, text)."""
+def fingerprints(docs: DataFrame, size: int = 3, rows: bool = False) -> DataFrame:
+    """doc_id and fingerprint (long, signed) of each row of (doc_id, text).
+
+    With `rows` a third column, row, holds all columns as given.
+    """
 
     def act(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -68,11 +72,16 @@ def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
             ]
             signed = np.array(marks, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [as_ids(ids_of(batch.column(0))), pa.array(signed)], ["doc_id", "fingerprint"]
+                [as_ids(ids_of(batch.column(0))), pa.array(signed), *batch.columns[2:]],
+                ["doc_id", "fingerprint", *batch.schema.names[2:]],
             )
 
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return docs.mapInArrow(act, "doc_id long, fingerprint long")
+    columns = [F.col("doc_id").cast("long"), F.col("text").cast("string")]
+    schema = T.StructType().add("doc_id", "long").add("fingerprint", "long")
+    if rows:
+        columns.append(F.struct(*docs.columns).alias("row"))
+        schema = schema.add("row", docs.schema)
+    return docs.select(*columns).mapInArrow(act, schema)
 
 
 def pivot_distances(marks: np.ndarray, pivots: np.ndarray = PIVOTS) -> np.ndarray:
@@ -202,6 +211,29 @@ def _gridded(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Reco
         )
 
 
+def groups(own: DataFrame, radius: int = 2) -> DataFrame:
+    """The group of each distinct fingerprint of rows (doc_id, fingerprint).
+
+    Returns fingerprint, first (smallest doc_id with it), root (the group's smallest
+    fingerprint as a signed number) and component_id (the group's smallest doc_id).
+    """
+    marks = own.groupBy("fingerprint").agg(F.min("doc_id").alias("first")).checkpoint()
+    reach = smallest_reachable(links(marks, radius))
+    linked = marks.join(reach, marks["fingerprint"] == reach["node"])
+    least = linked.groupBy("component").agg(F.min("first").alias("least"))
+    moved = linked.join(least, "component").select("fingerprint", "component", "least")
+    return (
+        marks.join(moved, "fingerprint", "left")
+        .select(
+            "fingerprint",
+            "first",
+            F.coalesce("component", "fingerprint").alias("root"),
+            F.coalesce("least", "first").alias("component_id"),
+        )
+        .checkpoint()
+    )
+
+
 def near_duplicates(docs: DataFrame, size: int = 3, radius: int = 2) -> DataFrame:
     """The group of near copies of each document (doc_id, text).
 
@@ -215,16 +247,29 @@ def near_duplicates(docs: DataFrame, size: int = 3, radius: int = 2) -> DataFram
     """
     shared_dir(docs.sparkSession)
     own = fingerprints(docs, size).checkpoint()
-    marks = own.groupBy("fingerprint").agg(F.min("doc_id").alias("first")).checkpoint()
-    reach = smallest_reachable(links(marks, radius))
-    linked = marks.join(reach, marks["fingerprint"] == reach["node"])
-    least = linked.groupBy("component").agg(F.min("first").alias("least"))
-    moved = linked.join(least, "component").select("fingerprint", "least")
-    roots = marks.join(moved, "fingerprint", "left").select(
-        "fingerprint", F.coalesce("least", "first").alias("component_id")
-    )
-    return own.join(roots.checkpoint(), "fingerprint").select(
+    roots = groups(own, radius).select("fingerprint", "component_id")
+    return own.join(roots, "fingerprint").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def one_of_each_group(docs: DataFrame, size: int = 3, radius: int = 2) -> DataFrame:
+    """The documents, all columns, that stay when one of each group of near copies does.
+
+    Groups are those of `near_duplicates`. The row with the smallest doc_id stays, a
+    null one only where the group has no other; of rows with that doc_id the one with
+    the smallest fingerprint, then text. Texts without words are one group, and so is
+    a repeated row: of rows equal in doc_id and text any one stays. Rows with one
+    doc_id in two groups are judged apart.
+    """
+    shared_dir(docs.sparkSession)
+    marked = groups(fingerprints(docs, size).checkpoint(), radius)
+    order = F.struct(F.col("first").isNull(), "first", "fingerprint")
+    chosen = marked.groupBy("root").agg(F.min_by("fingerprint", order).alias("fingerprint"))
+    # the group limit leaves a task one row of a fingerprint before the shuffle
+    by = Window.partitionBy("fingerprint").orderBy(F.asc_nulls_last("doc_id"), "row.text")
+    rows = fingerprints(docs, size, rows=True).withColumn("place", F.row_number().over(by))
+    kept = rows.where("place = 1").join(chosen.select("fingerprint"), "fingerprint", "left_semi")
+    return kept.select("row.*")

@@ -13,7 +13,7 @@ from corpus import DOCUMENTS, documents, texts, with_odd_rows
 from pyspark.sql import functions as F
 
 from gazette.llm import (
-    decontamination, hashing, katz, pii, quality, queries, repeats, simhash, suffixes, widehash,
+    decontamination, hashing, katz, pii, quality, queries, repeats, simhash, suffixes,
 )
 
 SMALL = {"chunk_bytes": 4000}
@@ -257,31 +257,45 @@ def test_simhash(spark, crowded, monkeypatch):
     }
 
 
-def shingles(text, size=5):
-    w = lowered(text)
-    return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))}
-
-
-def test_wide_fingerprints_find_near_copies(spark):
-    base = [t for t in texts(n=80) if t and len(t.split()) >= 60]
-    far = {i: t for i, t in enumerate(base)}
-    for i, t in list(far.items()):  # copies with one word in forty changed
-        w = t.split()
-        w[:: max(40, len(w) // 3)] = ["changed"] * len(w[:: max(40, len(w) // 3)])
-        far[1000 + i] = " ".join(w)
-    df = spark.createDataFrame(list(far.items()), "doc_id long, text string")
-    got = {r["doc_id"]: r["component_id"] for r in widehash.similar_documents(df).collect()}
-    sets = {i: shingles(t) for i, t in far.items()}
-    for a in far:
-        for b in far:
-            if a < b:
-                alike = len(sets[a] & sets[b]) / len(sets[a] | sets[b])
-                if alike >= 0.88:
-                    assert got[a] == got[b], alike
-    for i, c in got.items():
-        assert c == i or max(
-            len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for j in far if j != i and got[j] == c
-        ) > 0.7
+def plain_fingerprint(text, size=3):
+    w = [x.decode() for x in lowered(text)]
+    own = [" ".join(w[j : j + size]) for j in range(max(1, len(w) - size + 1))] if w else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in own]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+@pytest.mark.parametrize("radius", [2, 6])
+def test_one_of_each_group_stays(spark, radius):
+    long = " ".join(f"word{i}" for i in range(300))
+    other = " ".join(f"other{i}" for i in range(300))
+    rows = list(enumerate(texts()))
+    # near copies, an id in two groups, ids that repeat, rows without an id
+    rows += [(900, long), (901, long + " tail"), (902, long + " tail more"), (901, other), (950, other)]
+    rows += [(5, "row of the fifth id"), (5, "row of the fifth id"), (None, other), (None, "alone it stays")]
+    rows += [(None, "alone it stays"), (None, None), (3000, "z " * 50_000), (3001, "z " * 60_000)]
+    df = spark.createDataFrame(
+        [(i, t, f"f{n}", f"r{n}") for n, (i, t) in enumerate(rows)],
+        "doc_id long, text string, fingerprint string, root string",
+    )
+    mark = [plain_fingerprint(t) for _, t in rows]
+    nodes = range(len(rows))
+    near = [(a, b) for a in nodes for b in nodes if a < b and (mark[a] ^ mark[b]).bit_count() <= radius]
+    group = components(nodes, near)
+
+    def order(n):
+        i, t = rows[n]
+        signed = mark[n] - (1 << 64) * (mark[n] >> 63)
+        return (i is None, i or 0, signed, t is not None, (t or "").encode())
+
+    want = {}
+    for n in nodes:
+        want[group[n]] = min(want.get(group[n], n), n, key=order)
+    got = simhash.one_of_each_group(df, 3, radius)
+    assert got.columns == df.columns
+    assert sorted((r["doc_id"] or -1, r["text"] or "") for r in got.collect()) == sorted(
+        (rows[n][0] or -1, rows[n][1] or "") for n in want.values()
+    )
+    assert simhash.one_of_each_group(df.limit(0)).count() == 0
 
 
 def test_quality_learns_the_labels(spark):
@@ -473,7 +487,6 @@ OPERATORS = {
     "suffixes": lambda df: suffixes.remove_repeats(df, 20, **SMALL),
     "katz": lambda df: katz.katz_scores(df.withColumn("train", F.lit(True)), **SMALL),
     "simhash": simhash.near_duplicates,
-    "widehash": widehash.similar_documents,
     "quality": lambda df: quality.quality_scores(df, df.select("doc_id", (F.col("doc_id") % 2).alias("quality"))),
     "pii": pii.personal_data,
 }
