@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gazette.llm import decontamination, mixing, quality, secrets, widehash
+from gazette.llm import decontamination, mixing, quality, secrets, simhash
 from gazette.session import run_dir
 
 #: Score from which a document is kept.
@@ -29,13 +29,8 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of near copies.
-
-    Rows without a doc_id stay, and so do rows that share the kept doc_id.
-    """
-    groups = widehash.similar_documents(docs, size=5, similarity=0.8)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Keeps one document of each group whose fingerprints of three words differ in two bits or fewer."""
+    return simhash.one_of_each_group(docs, size=3, radius=2)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
