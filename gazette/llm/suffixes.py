@@ -37,19 +37,21 @@ class Suffixes:
     def __init__(self, text: np.ndarray, starts: np.ndarray, width: int):
         self.text, self.starts, self.width = text, starts, width
         self.prefix = PrefixHash(text, _OTHER_BASE)
+        self.whole = self.prefix.ranges(starts, starts + width)
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Length of the common extension of pairs of suffixes, `width` at most."""
-        p, q = self.starts[a], self.starts[b]
-        low, high = np.zeros(len(p), np.int64), np.full(len(p), self.width)
-        while True:
-            open_ = low < high
-            if not open_.any():
-                return low
+        out = np.full(len(a), self.width)
+        # most pairs agree as wholes; the others are halved
+        some = np.flatnonzero(self.whole[a] != self.whole[b])
+        p, q = self.starts[a[some]], self.starts[b[some]]
+        low, high = np.zeros(len(p), np.int64), np.full(len(p), self.width - 1)
+        while (low < high).any():
             middle = (low + high + 1) // 2
             same = self.prefix.ranges(p, p + middle) == self.prefix.ranges(q, q + middle)
-            low = np.where(open_ & same, middle, low)
-            high = np.where(open_ & ~same, middle - 1, high)
+            low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
+        out[some] = low
+        return out
 
     def before(self, a: np.ndarray, b: np.ndarray, or_equal: np.ndarray) -> np.ndarray:
         length = self.common(a, b)
@@ -116,17 +118,16 @@ def repeated_windows(group, rank, masks, anchor, sizes, text, width: int) -> np.
     owner = np.concatenate(places)
     shift = np.repeat(np.arange(32), [len(p) for p in places])
     place = anchor[owner].astype(np.int64) - shift
+    # windows whose hash no context of another rank has cannot repeat and need no sorting
+    some = _in_several(PrefixHash(text, _OTHER_BASE), begin[owner] + shift, rank[owner], width)
+    owner, shift, place = owner[some], shift[some], place[some]
+    if not len(owner):
+        return out
     by_group = np.lexsort((place, group[owner]))
     owner, shift, place = owner[by_group], shift[by_group], place[by_group]
     new = np.ones(len(owner), bool)
     new[1:] = (group[owner[1:]] != group[owner[:-1]]) | (place[1:] != place[:-1])
     together = np.cumsum(new)
-    # a suffix that stands alone needs no sorting
-    counts = np.bincount(together)
-    some = counts[together] > 1
-    owner, shift, together = owner[some], shift[some], together[some]
-    if not len(owner):
-        return out
     suffixes = Suffixes(text, begin[owner] + shift, width)
     order = suffixes.sort(together)
     a, b = order[:-1], order[1:]
@@ -143,6 +144,19 @@ def repeated_windows(group, rank, masks, anchor, sizes, text, width: int) -> np.
     return out
 
 
+def _in_several(prefix: PrefixHash, starts: np.ndarray, rank: np.ndarray, width: int) -> np.ndarray:
+    """The windows whose hash occurs with more than one rank."""
+    whole = prefix.ranges(starts, starts + width)
+    order = np.argsort(whole)
+    ranked = whole[order]
+    first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))[: len(order)]
+    if not len(first):
+        return order
+    ranks = rank[order]
+    apart = np.minimum.reduceat(ranks, first) < np.maximum.reduceat(ranks, first)
+    return order[np.repeat(apart, np.diff(np.append(first, len(order))))]
+
+
 # --- anchors and cells ---
 
 
