@@ -4,12 +4,15 @@ The patterns find the base spans. The field adds others: its nodes are the words
 with a digit or an @, its labels the kinds of data or none; neighbouring nodes
 are linked, and so are distant ones that repeat or resemble each other, so a
 number that is clearly a phone number in one place carries its label to another
-mention. Weights are learnt by pseudo-likelihood from the base spans, labels
+mention. Weights are learnt by pseudo-likelihood from texts into which the base
+mentions are written again in forms that no pattern finds, beside strangers of
+the same forms: there the links alone tell a mention from a stranger. Labels
 follow from loopy message passing in which base spans are given.
 """
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 from collections.abc import Iterator
@@ -24,8 +27,16 @@ KINDS = ["email", "ip", "card", "phone"]
 FEATURES = 4096
 #: Documents with candidates from which the weights are learnt, about.
 SAMPLE_DOCUMENTS = 4000
+#: Bytes of a text that is learnt from, at most; longer ones are only judged.
+LEARNT_BYTES = 1 << 20
+#: Times that a mention is written again in a text that is learnt from, and strangers beside.
+AGAIN, STRANGERS = 4, 4
+#: Characters of a mail's local part that may stand for it.
+LOCAL_SIZE = 4
+#: Penalties of squared weights: words beside a mention must not be learnt by heart.
+WORD_PENALTY, LINK_PENALTY = 1e-3, 1e-5
 #: Probability from which a node is added.
-ADDED = 0.9
+ADDED = 0.5
 ROUNDS = 12
 SPANS = "doc_id long, spans array<struct<kind:string,start:long,end:long,base:boolean>>"
 
@@ -136,15 +147,22 @@ def _features(word: str, before: str, after: str) -> list[int]:
     return [zlib.crc32(n.encode()) % FEATURES for n in named]
 
 
+def _plain(word: str) -> str:
+    return word.strip(".,;:!?()[]<>\"'").lower()
+
+
 def _likeness(word: str) -> Iterator[tuple[str, str]]:
     """What a word shares with others that mean the same."""
-    plain = word.strip(".,;:!?()[]<>\"'").lower()
+    plain = _plain(word)
     if plain:
         yield "word", plain
     digits = _NOT_DIGIT.sub("", word)
     if len(digits) >= 6:
         yield "digits", digits
         yield "tail", digits[-6:]
+    parts = [p for p in _NOT_DIGIT.split(word) if p]
+    if len(parts) >= 3:
+        yield "parts", ".".join(parts)
     local, at, _ = plain.partition("@")
     if at and local:
         yield "word", local
@@ -163,11 +181,13 @@ def _barred(word: str) -> int:
 def graph_of(text: str, spans: list[tuple[int, int, int]]) -> Graph:
     graph, last = Graph(), {}
     words = [m.span() for m in _WORD.finditer(text)]
+    mails = [text[a:b].partition("@")[0].lower() for k, a, b in spans if k == 0]
+    locals_ = {m for m in mails if len(m) >= LOCAL_SIZE}
     given = sorted((a, b, k) for k, a, b in spans)
     at, previous = 0, -9
     for i, (start, end) in enumerate(words):
         word = text[start:end]
-        if not _CANDIDATE.search(word):
+        if not _CANDIDATE.search(word) and not (locals_ and _plain(word) in locals_):
             continue
         while at < len(given) and given[at][1] <= start:
             at += 1
@@ -193,6 +213,70 @@ def graph_of(text: str, spans: list[tuple[int, int, int]]) -> Graph:
     return graph
 
 
+def _other_forms(kind: int, mention: str) -> list[str]:
+    """The mention as no pattern finds it."""
+    if KINDS[kind] == "email":
+        return [mention.partition("@")[0]]
+    digits = _NOT_DIGIT.sub("", mention)
+    if KINDS[kind] == "ip":
+        parts = mention.split(".")
+        return ["-".join(parts), "[.]".join(parts)]
+    if KINDS[kind] == "card":
+        fours = [digits[i : i + 4] for i in range(0, len(digits), 4)]
+        return [".".join(fours), "/".join(fours)]
+    dashed = re.sub(r"[\x20().-]+", "-", mention).strip("+-")
+    national = re.sub(r"^\+[0-9]{1,3}[\x20().-]+", "", mention)
+    short = dashed.partition("-")[2]
+    forms = [mention.replace("+", ""), national, dashed, short, short.replace("-", ""), digits]
+    # a form that has lost most digits would not be known again
+    return [f for f in forms if sum(c.isdigit() for c in f) >= 7] or [digits]
+
+
+def _stranger(rng: random.Random, mention: str) -> str:
+    """Another mention of the same form."""
+    mixed = [rng.choice("0123456789") if "0" <= c <= "9" else c for c in mention]
+    if not any("0" <= c <= "9" for c in mention):
+        rng.shuffle(mixed)
+    return "".join(mixed)
+
+
+def taught(text: str, base: list[tuple[int, int, int]]) -> tuple[Graph, list[bool]]:
+    """A graph to learn from, and which of its labels are known.
+
+    The base mentions are written again elsewhere, in other forms and with their
+    label, beside strangers without one. What else resembles a mention is left
+    open. The same text gives the same graph.
+    """
+    rng = random.Random(zlib.crc32(text.encode("utf-8", "surrogatepass")))
+    more = []
+    for kind, a, b in base:
+        forms = _other_forms(kind, text[a:b])
+        more += [(rng.choice(forms), kind) for _ in range(AGAIN)]
+        more += [(_stranger(rng, rng.choice(forms)), -1) for _ in range(STRANGERS)]
+    rng.shuffle(more)
+    gaps = [m.end() for m in _WORD.finditer(text)]
+    places = [g for g in gaps if not any(a < g < b for _, a, b in base)] or [len(text)]
+    new = sorted((rng.choice(places), i) for i in range(len(more)))
+    pieces, done, size, spans, strangers = [], 0, 0, [], []
+    shift = [(place, len(more[i][0]) + 1) for place, i in new]
+    for place, i in new:
+        mention, kind = more[i]
+        pieces += [text[done:place], " ", mention]
+        size += place - done + 1
+        (spans if kind >= 0 else strangers).append((kind, size, size + len(mention)))
+        size, done = size + len(mention), place
+    pieces.append(text[done:])
+    moved = [(k, *(x + sum(n for p, n in shift if p <= a) for x in (a, b))) for k, a, b in base]
+    graph = graph_of("".join(pieces), moved + spans)
+    known = [True] * len(graph.labels)
+    apart = {a for _, a, _ in strangers}
+    for one, other in graph.skip:
+        for near, far in ((one, other), (other, one)):
+            if graph.labels[far] and not graph.labels[near] and graph.starts[near] not in apart:
+                known[near] = False
+    return graph, known
+
+
 # --- weights and inference ---
 
 
@@ -208,8 +292,14 @@ def _softmax(scores: np.ndarray) -> np.ndarray:
     return scores / scores.sum(1, keepdims=True)
 
 
-def learn(features: np.ndarray, labels: np.ndarray, chain: np.ndarray, skip: np.ndarray) -> Weights:
-    """Pseudo-likelihood: each node given its features and its neighbours' labels."""
+def learn(
+    features: np.ndarray,
+    labels: np.ndarray,
+    chain: np.ndarray,
+    skip: np.ndarray,
+    known: np.ndarray | None = None,
+) -> Weights:
+    """Pseudo-likelihood: each known node given its features and its neighbours' labels."""
     k = len(KINDS) + 1
     weights = [np.zeros((FEATURES, k)), np.zeros((k, k)), np.zeros((k, k))]
     if len(labels):
@@ -224,11 +314,13 @@ def learn(features: np.ndarray, labels: np.ndarray, chain: np.ndarray, skip: np.
         for step in range(1, 201):
             scores = weights[0][features].sum(1) + around[0] @ weights[1] + around[1] @ weights[2]
             error = (_softmax(scores) - truth) / len(labels)
+            if known is not None:
+                error[~known] = 0
             slope = np.zeros_like(weights[0])
             np.add.at(slope, features.ravel(), np.repeat(error, features.shape[1], 0))
             slopes = [slope, around[0].T @ error, around[1].T @ error]
             for i, g in enumerate(slopes):
-                g = g + 1e-5 * weights[i]
+                g = g + (LINK_PENALTY if i else WORD_PENALTY) * weights[i]
                 if i:  # links have no direction
                     g = (g + g.T) / 2
                 first, second = moments[i]
@@ -275,8 +367,8 @@ def marginals(weights: Weights, graph: Graph) -> np.ndarray:
 def added_spans(text: str, weights: Weights, base: list[tuple[int, int, int]]):
     """Spans of nodes that the field labels, outside the base spans."""
     graph = graph_of(text, base)
-    # without links or with no doubtful node there is nothing to pass on
-    if not graph.labels or all(graph.labels):
+    # without a known mention or a doubtful node there is nothing to pass on
+    if not any(graph.labels) or all(graph.labels):
         return []
     chances = marginals(weights, graph)
     found: list[list[int]] = []
@@ -303,32 +395,37 @@ def _texts(batch: pa.RecordBatch) -> list[str]:
     return [t or "" for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
 
 
+LEARNT = "at long, features array<int>, labels array<int>, known array<boolean>, chain array<int>, skip array<int>"
+
+
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The graphs of the texts as one row each, for learning."""
+    ints = pa.list_(pa.int32())
     for batch in batches:
-        graphs = [graph_of(t, base_spans(t)) for t in _texts(batch)]
+        both = [taught(t, base_spans(t)) for t in _texts(batch)]
+        graphs = [g for g, _ in both]
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([np.ravel(g.features).astype(int) for g in graphs], pa.list_(pa.int32())),
-                pa.array([g.labels for g in graphs], pa.list_(pa.int32())),
-                pa.array([np.ravel(g.chain).astype(int) for g in graphs], pa.list_(pa.int32())),
-                pa.array([np.ravel(g.skip).astype(int) for g in graphs], pa.list_(pa.int32())),
+                batch.column(batch.schema.get_field_index("at")),
+                pa.array([np.ravel(g.features).astype(int) for g in graphs], ints),
+                pa.array([g.labels for g in graphs], ints),
+                pa.array([known for _, known in both], pa.list_(pa.bool_())),
+                pa.array([np.ravel(g.chain).astype(int) for g in graphs], ints),
+                pa.array([np.ravel(g.skip).astype(int) for g in graphs], ints),
             ],
-            ["features", "labels", "chain", "skip"],
+            ["at", "features", "labels", "known", "chain", "skip"],
         )
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> Weights:
     """Weights from about `sample` documents (doc_id, text) with candidates, by a hash."""
-    some = docs.where(F.col("text").rlike("[0-9@]"))
+    some = docs.where(F.col("text").rlike("[0-9@]") & (F.octet_length("text") <= LEARNT_BYTES))
+    some = some.select("text", F.xxhash64("doc_id", "text").alias("at"))
     count = some.count()
     if count > sample:
         share = int(1_000_000 * sample / count)
-        chosen = F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(1_000_000)) < share
-        some = some.where(chosen).limit(2 * sample)
-    rows = some.mapInArrow(
-        _nodes, "features array<int>, labels array<int>, chain array<int>, skip array<int>"
-    ).toArrow()
+        some = some.where(F.pmod("at", F.lit(1_000_000)) < share).limit(2 * sample)
+    rows = some.mapInArrow(_nodes, LEARNT).toArrow().sort_by("at")
     sizes = [len(x) for x in rows["labels"]]
     before = np.concatenate(([0], np.cumsum(sizes)))[: len(sizes)]
 
@@ -342,7 +439,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> Weights:
     labels = flat("labels").astype(np.int64)
     names = len(_features("0", "", ""))
     features = flat("features").astype(np.int64).reshape(-1, names)
-    return learn(features, labels, links("chain"), links("skip"))
+    return learn(features, labels, links("chain"), links("skip"), flat("known").astype(bool))
 
 
 def personal_data(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> DataFrame:
@@ -350,8 +447,8 @@ def personal_data(docs: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> DataFrame:
 
     Returns doc_id and spans: kind, start and end in code points (end exclusive)
     and base (found by a pattern, else added by the field), base spans by kind and
-    start first. A null or empty text has no spans. Added spans do not overlap base
-    ones. Repeated rows are treated alike. Other columns are not read.
+    start first. Texts over LEARNT_BYTES are judged but not learnt from. A null or empty text has no spans. Added spans do not overlap base
+    ones; they stand only in texts with a base span. Repeated rows are treated alike. Other columns are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     weights = fit(docs, sample)

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -9,7 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
-from corpus import DOCUMENTS, documents, texts, with_odd_rows
+from corpus import DOCUMENTS, documents, texts, with_odd_rows, words
 from pyspark.sql import functions as F
 
 from gazette.llm import (
@@ -264,6 +265,10 @@ def plain_fingerprint(text, size=3):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
+def rng_of(seed):
+    return random.Random(seed)
+
+
 @pytest.mark.parametrize("radius", [2, 6])
 def test_one_of_each_group_stays(spark, radius):
     long = " ".join(f"word{i}" for i in range(300))
@@ -383,6 +388,55 @@ def test_the_field_carries_labels_to_distant_mentions():
     assert pii.added_spans(alone, weights, []) == []
 
 
+def test_the_query_adds_second_mentions(spark, tmp_path):
+    """Weights learnt from the query's own table find planted mentions, and no strangers."""
+    rng = np.random.default_rng(4)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+
+    def number(size):
+        return "".join(str(d) for d in rng.integers(0, 10, size))
+
+    def card():
+        body = "4" + number(14)
+        return next(body + str(d) for d in range(10) if pii.luhn(body + str(d)))
+
+    planted, want = [], {}
+    for i in range(60):
+        kind = pii.KINDS[i % 4]
+        if kind == "phone":
+            first = f"+1 ({number(3)}) 555-{number(4)}"
+            second = first.replace("+1 (", "").replace(") ", "-")
+            stranger = f"{number(3)}-556-{number(4)}"
+        elif kind == "card":
+            first, other = card(), card()
+            second, stranger = (".".join(x[j : j + 4] for j in (0, 4, 8, 12)) for x in (first, other))
+        elif kind == "ip":
+            parts = [str(x) for x in rng.integers(10, 256, 8)]
+            first, second, stranger = ".".join(parts[:4]), "-".join(parts[:4]), "-".join(parts[4:])
+        else:
+            name = f"{'abcdefghij'[i % 10]}lex.{number(3)}"
+            first, second, stranger = f"{name}@mail{i}.example.com", name, f"kim.{number(3)}"
+        fill = [" ".join(words(rng_of(10 * i + j), 20)) for j in range(4)]
+        text = f"{fill[0]} {first} {fill[1]} {second} {fill[2]} {stranger} {fill[3]}"
+        planted.append((10**9 + i, text))
+        at = text.index(f" {second} ", len(fill[0]) + len(first) + 2) + 1
+        want[10**9 + i] = f"{kind}:{at}:{at + len(second)}"
+    more = spark.createDataFrame(planted, "doc_id long, text string")
+    docs.unionByName(more).write.parquet(f"{tmp_path}/documents.parquet")
+    added = set()
+    for r in queries.op3_personal_data(spark, str(tmp_path)).collect():
+        known = pii.base_spans(next((t for i, t in planted if i == r["doc_id"]), ""))
+        base = {f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in known}
+        if r["doc_id"] in want:
+            added |= {(r["doc_id"], s) for s in r["spans"].split(",") if s not in base}
+        else:  # in the table itself a mention rarely stands twice
+            n = sum(r[f"n_{k}"] for k in pii.KINDS)
+            added |= {(r["doc_id"], s) for s in r["spans"].split(",")[n:]} if r["spans"] else set()
+    found = added & set(want.items())
+    assert len(found) >= 0.9 * len(want), sorted(set(want.items()) - found)
+    assert len(found) >= 0.9 * len(added), sorted(added - found)
+
+
 def test_decontamination(spark):
     items = [
         (1, "Who wrote the long letter about the seven ships of winter? It was the old captain himself."),
