@@ -112,6 +112,18 @@ class MultiIndex:
         left, right = self.halves(unit)
         return left.argmin(1) * len(self.right) + right.argmin(1)
 
+    def rank(self, unit: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """The cells that the traversal of each vector meets before the given one."""
+        left, right = self.halves(unit)
+        out = np.empty(len(unit), np.int64)
+        for v, (x, y) in enumerate(zip(left, right, strict=True)):
+            a, b = divmod(int(cells[v]), len(y))
+            # rows of the grid are counted in the sorted other half, none is listed
+            limit = x[a] + y[b] - x
+            limit[a] = y[b]
+            out[v] = np.searchsorted(np.sort(y), limit, side="left").sum()
+        return out
+
     def nearest(self, unit: np.ndarray, visits: int) -> np.ndarray:
         """The first cells of the multi-sequence traversal of each vector.
 
@@ -120,9 +132,10 @@ class MultiIndex:
         """
         left, right = self.halves(unit)
         by_left, by_right = left.argsort(1, kind="stable"), right.argsort(1, kind="stable")
-        i, j = np.divmod(np.arange(left.shape[1] * right.shape[1]), right.shape[1])
-        reach = np.flatnonzero((i + 1) * (j + 1) <= visits)
-        i, j = i[reach], j[reach]
+        i = np.arange(min(left.shape[1], visits))
+        widths = np.minimum(visits // (i + 1), right.shape[1])
+        i = np.repeat(i, widths)
+        j = np.arange(len(i)) - np.repeat(np.cumsum(widths) - widths, widths)
         a, b = by_left[:, i], by_right[:, j]
         total = np.take_along_axis(left, a, 1) + np.take_along_axis(right, b, 1)
         first = total.argsort(1, kind="stable")[:, :visits]
@@ -145,7 +158,7 @@ def fit(sample: np.ndarray, rows: int, threshold: float, recall: float) -> Multi
     length = np.linalg.norm(turn, axis=1, keepdims=True)
     turn = np.divide(turn, length, out=np.zeros_like(turn), where=length > 1e-9)
     near = _unit(threshold * tried + math.sqrt(1 - threshold**2) * turn)
-    ranks = (index.nearest(tried, k * k) == index.home(near)[:, None]).argmax(1)
+    ranks = index.rank(tried, index.home(near))
     index.visits = min(k * k, int(np.quantile(ranks, recall, method="higher")) + 1)
     return index
 
