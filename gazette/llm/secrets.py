@@ -267,16 +267,19 @@ def masked(docs: DataFrame, found: DataFrame) -> DataFrame:
     A column n_chars, if there is one, follows the new text. Values are replaced
     wherever they stand in the texts with their doc_id, longer ones first.
     """
-    values = found.groupBy(F.col("doc_id").alias("_id")).agg(
-        F.sort_array(F.collect_set(F.struct(F.length("value").alias("n"), "value")), False).alias("_values")
+    values = found.groupBy(F.col("doc_id").cast("long").alias("id")).agg(
+        F.sort_array(F.collect_set(F.struct(F.length("value").alias("n"), "value")), False).alias("values")
     )
+    # the given columns stand in a struct, so that no name of theirs gets in the way
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("key"))
+    joined = rows.join(values, F.col("key").eqNullSafe(F.col("id")), "left")
     text = F.aggregate(
-        F.col("_values.value"), F.col("text"), lambda t, v: F.replace(t, v, F.lit(MASK))
+        F.col("values.value"), F.col("row.text"), lambda t, v: F.replace(t, v, F.lit(MASK))
     )
-    joined = docs.join(values, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
-    changed = {"text": F.when(F.col("_values").isNull(), F.col("text")).otherwise(text)}
-    out = joined.withColumns(changed)
-    if "n_chars" in docs.columns:
-        length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col("_values").isNull(), F.col("n_chars")).otherwise(length))
-    return out.select(*docs.columns)
+    clean = F.col("values").isNull()
+    out = {name: F.col("row").getField(name) for name in docs.columns}
+    out["text"] = F.when(clean, out["text"]).otherwise(text)
+    if "n_chars" in out:
+        length = F.length(out["text"]).cast(docs.schema["n_chars"].dataType)
+        out["n_chars"] = F.when(clean, out["n_chars"]).otherwise(length)
+    return joined.select(*(column.alias(name) for name, column in out.items()))

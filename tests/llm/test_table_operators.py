@@ -186,6 +186,29 @@ def test_secret_scan(spark):
     assert "InArrow" not in plan and "EvalPython" not in plan
 
 
+def test_masked_with_clashing_names(spark):
+    names = ("id", "key", "row", "values", "_id", "_values")
+    docs = spark.createDataFrame(
+        [(*["x"] * 6, 1, f"a {SECRET[0]} b"), (*["x"] * 6, None, "plain")],
+        ", ".join(f"`{c}` string" for c in names) + ", doc_id long, text string",
+    )
+    found = spark.createDataFrame([(1, 1, SECRET[0], 1.0)], "doc_id long, position long, value string, probability double")
+    out = secrets.masked(docs, found)
+    assert out.columns == docs.columns
+    assert {r["doc_id"]: r["text"] for r in out.collect()} == {1: "a [SECRET] b", None: "plain"}
+    assert all(r[c] == "x" for r in out.collect() for c in names)
+
+
+def test_rank_in_the_traversal():
+    rng = np.random.default_rng(5)
+    index = multiindex.MultiIndex(rng.normal(size=(7, 4)), rng.normal(size=(7, 3)))
+    unit = rng.normal(size=(20, 7))
+    cells = rng.integers(0, 49, 20)
+    listed = index.nearest(unit, 49)
+    assert (np.sort(listed, 1) == np.arange(49)).all()
+    assert index.rank(unit, cells).tolist() == (listed == cells[:, None]).argmax(1).tolist()
+
+
 def test_every_secret_of_a_word_is_found(spark):
     github = ["ghp_" + c * 35 + "1" for c in "abcdef"]
     slack = "xoxb-123456789012-abcdefABCDEF"
