@@ -711,7 +711,7 @@ def stream_drain(spark, sf):
 def stream_drain_bounded(spark, sf):
     """All messages in runs of at most 200, each going on where the one before ended."""
     path, root = _messages(spark, sf), run_dir(spark, "bronze")
-    while bounded.drain(spark, path, root, max_messages=C.MAX_MESSAGES) == C.MAX_MESSAGES:
+    while bounded.drain(spark, path, root, max_messages=C.MAX_MESSAGES, runs=None):
         pass
     return bronze.scan(spark, f"{root}/streaming").drop("stream_received_at")
 

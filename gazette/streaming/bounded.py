@@ -4,11 +4,13 @@ The position is a message: files count in the order of their time and name, and
 within a file by line. Each run has a number in a log of its own: it first notes
 when it received its messages, writes them to a folder that follows from both,
 and then notes how far it came. A run that failed in between is done again with
-the same number and time, and so replaces what it had written.
+the same number and time, and so replaces what it had written. Runs that follow
+each other can be done by one job; then they are noted and done again together.
 """
 
 from __future__ import annotations
 
+import math
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,21 +36,31 @@ def _files(spark: SparkSession, path: str) -> list[tuple[int, str]]:
     return sorted((t, name) for t, name, size in found if size and name.rsplit("/", 1)[1][0] not in "._")
 
 
-def _position(log: CommitLog) -> tuple[int, set[str], dict[str, int], list[str]]:
-    """Number of the next run, files read to their end, lines read of others, records in use."""
+def _position(log: CommitLog) -> tuple[int, set[str], dict[str, int], dict[str, int], list[str]]:
+    """Number of the next run, files read to their end, lines read of others, lines they have, records in use."""
     names = [n for n in log.names() if not n.endswith("-begun")]
     folded = [n for n in names if n.startswith("all-")]
     last = max(folded, default=None)
     since = int(last[4:]) if last else 0
     later = [n for n in names if not n.startswith("all-") and int(n) > since]
-    done, partial = set(log.read(last)["done"]) if last else set(), {}
-    if last:
-        partial = dict(log.read(last)["partial"])
-    for name in later:
-        record = log.read(name)
-        done.update(record["done"])
-        partial = record["partial"]
-    return since + len(later) + 1, done, partial, later
+    records = [log.read(n) for n in ([last] if last else []) + later]
+    done = {name for record in records for name in record["done"]}
+    partial, known = (records[-1].get(k, {}) if records else {} for k in ("partial", "lines"))
+    runs = sum(log.read(n).get("runs", 1) for n in later)
+    return since + runs + 1, done, partial, known, later
+
+
+def _lines(spark: SparkSession, names: list[str], columns: dict[str, dict[str, int]]) -> DataFrame:
+    """name, line and value of the messages of files, with a number given for each file in every column."""
+    whole = spark.read.text(names, wholetext=True).select(
+        F.element_at(F.split("_metadata.file_path", "/"), -1).alias("_tail"),
+        F.regexp_replace("value", r"\r?\n\z", "").alias("value"),
+    )
+    lines = whole.select("_tail", F.posexplode(F.split("value", r"\r?\n")).alias("line", "value"))
+    schema = ", ".join(["name string", *(f"{c} long" for c in columns)])
+    given = spark.createDataFrame([(n, *(numbers[n] for numbers in columns.values())) for n in names], schema)
+    keyed = given.withColumn("_tail", F.element_at(F.split("name", "/"), -1))
+    return lines.join(F.broadcast(keyed), "_tail").drop("_tail")
 
 
 def drain(
@@ -57,62 +69,87 @@ def drain(
     root: str,
     max_messages: int = C.MAX_MESSAGES,
     received_at: datetime | None = None,
+    runs: int | None = 1,
 ) -> int:
     """Take up to max_messages from the folder to the hour folders of root; how many were taken.
 
     Articles go to streaming/date=/hour=/, other messages to set_aside, as in
     drain_to_hours. At most max_messages files are read. A run that another one
     overtook raises RuntimeError and changes nothing.
+
+    With `runs`, so many runs that follow each other, or as many as there are
+    messages for if it is None, are done by one job: each has its number and its
+    folder with up to max_messages, as if it had been called alone, but the messages
+    are read and the position is noted once for all of them.
     """
     log = CommitLog(spark, f"{root}/consumed")
-    number, done, partial, later = _position(log)
-    pending = [name for _, name in _files(spark, path) if name not in done][:max_messages]
+    number, done, partial, known, later = _position(log)
+    begun = f"{number:012d}-begun"
+    lost = log.read(begun) if begun in log.names() else None
+    runs = lost.get("runs", 1) if lost else runs
+    pending = [name for _, name in _files(spark, path) if name not in done]
+    pending = pending[: None if runs is None else max_messages * runs]
     if not pending:
         return 0
-    places = {name: (i, partial.get(name, 0)) for i, name in enumerate(pending)}
-    schema = "name string, file int, skipped int"
-    order = spark.createDataFrame([(n, *p) for n, p in places.items()], schema)
-    whole = spark.read.text(pending, wholetext=True).select(
-        F.col("_metadata.file_path").alias("_path"), F.regexp_replace("value", r"\r?\n\z", "").alias("value")
-    )
-    lines = whole.select("_path", F.posexplode(F.split("value", r"\r?\n")).alias("line", "value"))
-    tail = F.element_at(F.split("_path", "/"), -1)
-    keyed = order.withColumn("_tail", F.element_at(F.split("name", "/"), -1))
-    waiting = lines.join(keyed, tail == F.col("_tail")).where("line >= skipped")
-    taken = waiting.orderBy("file", "line").limit(max_messages).select("name", "file", "line", "value")
-    begun = f"{number:012d}-begun"
+    ends = {n: known[n] for n in pending if n in known}
+    if new := [n for n in pending if n not in ends]:
+        counted = _lines(spark, new, {}).groupBy("name").agg(F.count("*").alias("n"))
+        ends.update({n: 0 for n in new} | {r["name"]: r["n"] for r in counted.collect()})
+    # how many messages wait before a file's first line, if its lines were all waiting
+    waiting, before = 0, {}
+    for name in pending:
+        before[name] = waiting - partial.get(name, 0)
+        waiting += ends[name] - partial.get(name, 0)
+    if runs is None:
+        runs = max(1, math.ceil(waiting / max_messages))
+    count = min(waiting, max_messages * runs)
     now = (received_at or datetime.now(UTC).replace(tzinfo=None)).isoformat()
-    log.add(begun, {"received_at": now})
+    log.add(begun, {"received_at": now, "runs": runs})
     when = datetime.fromisoformat(log.read(begun)["received_at"])
-    taken = taken.persist()
-    try:
-        count = taken.count()
-        hour = f"date={when:%Y-%m-%d}/hour={when:%H}/run={number:012d}"
-        messages = taken.select("value")
-        _replace(decode(messages, moment(when)), f"{root}/streaming/{hour}")
-        _replace(aside(messages), f"{root}/set_aside/run={number:012d}")
-        ends = {r["name"]: r["n"] for r in lines.groupBy("_path").agg(F.count("*").alias("n")).join(
-            keyed, tail == F.col("_tail")).select("name", "n").collect()}
-        read = {r["name"]: r["n"] for r in taken.groupBy("name").agg((F.max("line") + 1).alias("n")).collect()}
-    finally:
-        taken.unpersist()
-    finished = [n for n in pending if read.get(n, places[n][1]) >= ends.get(n, 0)]
-    left = {n: c for n, c in read.items() if n not in finished}
-    if not log.add(f"{number:012d}", {"done": finished, "partial": left}):
+    used = [n for n in pending if before[n] + partial.get(n, 0) < count]
+    hour = {"date": F.lit(f"{when:%Y-%m-%d}"), "hour": F.lit(f"{when:%H}")}
+    if lost:
+        folders = (f"streaming/date={when:%Y-%m-%d}/hour={when:%H}", "set_aside")
+        _drop(spark, [f"{root}/{f}/run={number + i:012d}" for f in folders for i in range(runs)])
+    if used:
+        skipped = {n: partial.get(n, 0) for n in used}
+        lines = _lines(spark, used, {"skipped": skipped, "before": before})
+        place = F.col("before") + F.col("line")
+        run = F.lpad((F.lit(number) + F.floor(place / max_messages)).cast("string"), 12, "0")
+        taken = lines.where((F.col("line") >= F.col("skipped")) & (place < count))
+        messages = taken.select("value", run.alias("run"))
+        _replace(decode(messages, moment(when), ["run"]).withColumns(hour), f"{root}/streaming", "date", "hour", "run")
+        _replace(aside(messages, ["run"]), f"{root}/set_aside", "run")
+    read = {n: min(ends[n], count - before[n]) for n in used}
+    finished = [n for n in pending if read.get(n, partial.get(n, 0)) >= ends[n]]
+    left = {n: c for n, c in {**partial, **read}.items() if n not in finished}
+    lengths = {n: c for n, c in ends.items() if n not in finished}
+    if not log.add(f"{number:012d}", {"done": finished, "partial": left, "lines": lengths, "runs": runs}):
         raise RuntimeError(f"another consumer took run {number} of {root}")
     if len(later) >= FOLDED:
-        log.add(f"all-{number:012d}", {"done": sorted(done | set(finished)), "partial": left})
+        record = {"done": sorted(done | set(finished)), "partial": left, "lines": lengths}
+        log.add(f"all-{number + runs - 1:012d}", record)
         log.remove([n for n in log.names() if not n.startswith("all-") and int(n[:12]) < number])
     return count
 
 
-def _replace(rows: DataFrame, folder: str) -> None:
-    rows.write.mode("overwrite").json(folder)
+def _drop(spark: SparkSession, folders: list[str]) -> None:
+    """Remove what a lost run has left."""
+    for folder in folders:
+        at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def _replace(rows: DataFrame, folder: str, *by: str) -> None:
+    """Write the folders of the rows anew, others stay."""
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*by).json(folder)
 
 
 def consumed(spark: SparkSession, root: str) -> DataFrame:
     """The runs so far: number, and when their messages were received."""
     log = CommitLog(spark, f"{root}/consumed")
-    rows = [(int(n[:12]), log.read(n)["received_at"]) for n in log.names() if n.endswith("-begun")]
+    begun = [(int(n[:12]), log.read(n)) for n in log.names() if n.endswith("-begun")]
+    rows = [(n + i, r["received_at"]) for n, r in begun for i in range(r.get("runs", 1))]
     schema = T.StructType.fromDDL("run long, received_at string")
     return spark.createDataFrame(rows, schema)

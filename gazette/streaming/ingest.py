@@ -6,6 +6,8 @@ position, so the next run goes on where this one ended.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,7 +42,7 @@ def read_files(spark: SparkSession, path: str, files_per_batch: int | None = Non
     return reader.load(path)
 
 
-def _parse(messages: DataFrame) -> DataFrame:
+def _parse(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The article of each message, its text, and why it is not taken (null if it is)."""
     schema = T.StructType([*schemas.BRONZE_BATCH.fields, T.StructField(_BROKEN, T.StringType())])
     record = F.col("value").cast("string")
@@ -55,24 +57,29 @@ def _parse(messages: DataFrame) -> DataFrame:
         )
         .when(F.coalesce("article.article_id", F.lit("")) == "", "no article_id")
     )
-    return messages.select(record.alias("record"), parsed.alias("article")).withColumn(
+    return messages.select(*keep, record.alias("record"), parsed.alias("article")).withColumn(
         "reason", reason
     )
 
 
-def decode(messages: DataFrame, received_at: Column | None = None) -> DataFrame:
-    """Articles from messages, stamped as streamed; what aside() gives is left out."""
+def decode(
+    messages: DataFrame, received_at: Column | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Articles from messages, stamped as streamed; what aside() gives is left out.
+
+    Columns of the messages named in `keep` stay beside the article's.
+    """
     if received_at is None:
         received_at = utc(F.current_timestamp())
-    valid = _parse(messages).filter("reason IS NULL").select("article.*").drop(_BROKEN)
+    valid = _parse(messages, keep).filter("reason IS NULL").select("article.*", *keep).drop(_BROKEN)
     return valid.withColumns(
         {"ingestion_mode": F.lit("streaming"), "stream_received_at": iso_utc(received_at)}
     )
 
 
-def aside(messages: DataFrame) -> DataFrame:
+def aside(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The messages decode leaves out (record, reason): empty, broken or without an id."""
-    return _parse(messages).filter("reason IS NOT NULL").select("record", "reason")
+    return _parse(messages, keep).filter("reason IS NOT NULL").select("record", "reason", *keep)
 
 
 def drain_to_hours(messages: DataFrame, root: str, checkpoint: str) -> StreamingQuery:

@@ -559,6 +559,37 @@ def test_bounded_runs_go_on_where_they_ended(spark, monkeypatch):
     assert len(CommitLog(spark, f"{root}/consumed").names()) < 8
 
 
+def test_bounded_runs_that_follow_each_other_are_one_job(spark, monkeypatch):
+    inbox, root = run_dir(spark, "in"), run_dir(spark, "out")
+    messages.publish_files(articles(spark, 25).repartition(3), inbox)
+    assert bounded.drain(spark, inbox, root, 4, AS_OF) == 4
+
+    def runs(folder):
+        found = spark.read.json(f"{root}/{folder}").groupBy("run").count().collect()
+        return {int(r["run"]): r["count"] for r in found}
+
+    with monkeypatch.context() as patch:
+        add = CommitLog.add
+        patch.setattr(CommitLog, "add", lambda self, n, r: n.endswith("-begun") and add(self, n, r))
+        with pytest.raises(RuntimeError, match="another consumer"):
+            bounded.drain(spark, inbox, root, 4, AS_OF, runs=2)
+    # lost runs are done again together, at the time they began
+    assert bounded.drain(spark, inbox, root, 4, AS_OF + timedelta(hours=5), runs=None) == 8
+    lines = spark.createDataFrame([("{oops",), ('{"article_id": "last"}',)], "v string")
+    lines.coalesce(1).write.mode("append").text(inbox)
+    status = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("drain", "drain")
+    assert bounded.drain(spark, inbox, root, 4, AS_OF, runs=None) == 15
+    jobs_used = len(status.getJobIdsForGroup("drain"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs_used < 12
+    assert runs("streaming") == {1: 4, 2: 4, 3: 4, 4: 4, 5: 4, 6: 4, 7: 2} and runs("set_aside") == {7: 1}
+    ids = [r["article_id"] for r in bronze.scan(spark, f"{root}/streaming").collect()]
+    assert sorted(ids) == sorted([f"id{i}" for i in range(25)] + ["last"])
+    assert [r["run"] for r in bounded.consumed(spark, root).orderBy("run").collect()] == list(range(1, 8))
+    assert bounded.drain(spark, inbox, root, 4, AS_OF, runs=None) == 0
+
+
 def test_statements_bind_their_values(spark):
     name = "L'Officiel; DROP TABLE x --\" OR 1=1"
     counts = spark.createDataFrame([(name, 3), ("s", 4), (None, 9)], "source string, articles_count long")
