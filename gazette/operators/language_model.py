@@ -1,16 +1,19 @@
 """Language identification: naive Bayes over character trigrams.
 
 Training counts the trigrams of labelled texts in a fixed number of buckets, so
-no trigram is left out and the profile is bounded by construction. It is held as
-one array per language, fetched once as a scalar subquery; a text is scored within
-its row, by the sum of the log probabilities of its trigrams. So scoring neither
-multiplies rows nor shuffles them.
+no trigram is left out and the profile is bounded by construction. It is broadcast
+as one array per language; a text is scored within its row, by the sum of the log
+probabilities of its trigrams. So scoring neither multiplies rows nor shuffles them.
+Both look at the trigrams of a batch of texts at once, as arrays in the tasks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +26,9 @@ LOG_UNIT = 1_000_000
 BUCKETS = 1 << 18
 # Factors of the three code points of a trigram.
 FACTORS = (7919, 104_729, 1_299_709)
+# Trigrams that are worked on at once, and languages a task counts at once.
+SLICE = 1 << 20
+HELD = 32
 UNKNOWN = "unknown"
 
 
@@ -37,21 +43,65 @@ class LanguageProfile:
         return sorted(c for c in self.scores.columns if c != "bucket")
 
 
-def buckets(text: Column) -> Column:
-    """The buckets of a text's overlapping trigrams, from their code points."""
-    padded = F.concat(F.lit(" "), F.lower(normalize_text(text)), F.lit(" "))
-    points = F.transform(F.split(padded, ""), lambda c: F.ascii(c).cast("long"))
-
-    def of(p: Column) -> Column:
-        def one(i: Column) -> Column:
-            total = sum((F.get(p, i + k) * f for k, f in enumerate(FACTORS)), F.lit(0))
-            return (total % BUCKETS).cast("int")
-
-        starts = F.sequence(F.lit(0), F.size(p) - len(FACTORS))
-        return F.when(F.size(p) >= len(FACTORS), F.transform(starts, one))
-
-    # bound once, as each trigram looks into the list of code points
-    return F.get(F.transform(F.array(points), of), F.lit(0))
+def _padded(text: Column) -> Column:
+    """The text as its trigrams are taken: clean, lower case, a space at both ends."""
+    return F.concat(F.lit(" "), F.lower(normalize_text(text)), F.lit(" "))
+
+
+def _slices(texts: Iterable[str]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+    """Rows, first positions and trigram buckets of texts, about SLICE of them at a time.
+
+    A trigram that is not of one text has the bucket BUCKETS. A text that is longer
+    than a slice is in several, cut so that each trigram is in one; a text without
+    any trigram is in none.
+    """
+    rows, parts, size, last = [], [], 0, len(FACTORS) - 1
+    for row, text in enumerate(texts):
+        for start in range(0, len(text) - last, SLICE):
+            rows.append(row)
+            parts.append(text[start : start + SLICE + last])
+            size += len(parts[-1])
+            if size >= SLICE:
+                yield rows, *_buckets(parts)
+                rows, parts, size = [], [], 0
+    if rows:
+        yield rows, *_buckets(parts)
+
+
+def _buckets(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """First position of each text, and the buckets at all positions of them joined."""
+    points = np.frombuffer("".join(parts).encode("utf-32-le"), "<u4").astype(np.int64)
+    last = len(FACTORS) - 1
+    found = sum(points[k : len(points) - last + k] * f for k, f in enumerate(FACTORS)) % BUCKETS
+    ends = np.cumsum([len(p) for p in parts])
+    for back in range(1, last + 1):
+        found[ends[:-1] - back] = BUCKETS
+    return ends - [len(p) for p in parts], found
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Trigrams per language and bucket of the texts of a task."""
+    held: dict[str, np.ndarray] = {}
+
+    def counted() -> Iterator[pa.RecordBatch]:
+        for language, counts in held.items():
+            seen = np.flatnonzero(counts[:BUCKETS])
+            columns = [pa.array([language] * len(seen), pa.string()), pa.array(seen, pa.int32()), pa.array(counts[seen])]
+            yield pa.RecordBatch.from_arrays(columns, ["language", "bucket", "n"])
+
+    for batch in batches:
+        labels, texts = (batch.column(i).to_pylist() for i in range(2))
+        texts_of: dict[str, list[str]] = {}
+        for language, text in zip(labels, texts, strict=True):
+            texts_of.setdefault(language, []).append(text)
+        for language, own in texts_of.items():
+            if language not in held and len(held) == HELD:
+                yield from counted()
+                held.clear()
+            counts = held.setdefault(language, np.zeros(BUCKETS + 1, np.int64))
+            for _, _, found in _slices(own):
+                counts += np.bincount(found, minlength=BUCKETS + 1)
+    yield from counted()
 
 
 def train(labelled: DataFrame, text: str, label: str) -> LanguageProfile:
@@ -59,9 +109,10 @@ def train(labelled: DataFrame, text: str, label: str) -> LanguageProfile:
     shared_dir(labelled.sparkSession)
     counted = (
         labelled.filter(F.col(label).isNotNull())
-        .select(F.col(label).alias("language"), F.explode(buckets(F.col(text))).alias("bucket"))
+        .select(F.col(label).cast("string").alias("language"), _padded(F.col(text)).alias("text"))
+        .mapInArrow(_count, "language string, bucket int, n long")
         .groupBy("language", "bucket")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
         .checkpoint()
     )
     totals = {
@@ -78,15 +129,25 @@ def train(labelled: DataFrame, text: str, label: str) -> LanguageProfile:
     return LanguageProfile(table.select("bucket", *[log_score(x).alias(x) for x in sorted(totals)]))
 
 
-def _arrays(profile: LanguageProfile) -> DataFrame:
-    """The profile as one row: an array over all buckets per language, null where unseen."""
-    names = profile.languages
-    every = profile.scores.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-    filled = every.join(profile.scores, "bucket", "left").select(
-        "bucket", *[F.col(f"`{x}`").alias(f"s{i}") for i, x in enumerate(names)]
-    )
-    ranked = filled.agg(F.sort_array(F.collect_list(F.struct(*filled.columns))).alias("rows"))
-    return ranked.select(F.struct(*[F.col(f"rows.s{i}").alias(f"s{i}") for i in range(len(names))]).alias("p"))
+def _arrays(profile: LanguageProfile) -> list[np.ndarray]:
+    """The profile as an array over all buckets per language, and one that marks those seen."""
+    table = profile.scores.select("bucket", *[f"`{x}`" for x in profile.languages]).toArrow()
+    place = table.column(0).to_numpy()
+    arrays = []
+    for values in [*(c.to_numpy() for c in table.columns[1:]), np.ones(len(place), np.int64)]:
+        arrays.append(np.zeros(BUCKETS + 1, np.int64))
+        arrays[-1][place] = values
+    return arrays
+
+
+def _best(texts: list[str], arrays: list[np.ndarray], names: list[str]) -> list[str]:
+    """The language with the highest sum for each text, of equal ones the last."""
+    sums = np.zeros((len(arrays), len(texts)), np.int64)
+    for rows, starts, found in _slices(texts):
+        for total, values in zip(sums, arrays, strict=True):
+            np.add.at(total, rows, np.add.reduceat(values[found], starts))
+    best = len(names) - 1 - np.argmax(sums[-2::-1], axis=0)
+    return [names[i] if seen else UNKNOWN for i, seen in zip(best, sums[-1], strict=True)]
 
 
 def with_language(
@@ -96,26 +157,15 @@ def with_language(
     names = profile.languages
     if not names:
         return df.withColumn(name, F.lit(UNKNOWN))
+    held = df.sparkSession.sparkContext.broadcast(_arrays(profile))
+
+    @F.arrow_udf("string")
+    def found(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            yield pa.array(_best(batch.to_pylist(), held.value, names), pa.string())
 
-    def best(x: Column) -> Column:
-        def total(scores: Column) -> Column:
-            zero = F.lit(0).cast("long")
-            return F.aggregate(x["b"], zero, lambda s, b: s + F.coalesce(F.get(scores, b), zero))
-
-        first = x["p"]["s0"]
-        known = F.exists(x["b"], lambda b: F.get(first, b).isNotNull())
-        sums = [
-            F.struct(total(x["p"][f"s{i}"]).alias("score"), F.lit(language).alias("language"))
-            for i, language in enumerate(names)
-        ]
-        return F.when(known, F.array_max(F.array(*sums))["language"])
-
-    # The profile is named once here and bound once below, so that Spark puts the
-    # subquery where it is used; as a column of its own it would be copied into every row.
-    held = df.withColumn("_profile", _arrays(profile).scalar())
-    given = F.array(F.struct(buckets(F.col(text)).alias("b"), F.col("_profile").alias("p")))
-    found = F.coalesce(F.get(F.transform(given, best), F.lit(0)), F.lit(UNKNOWN))
-    return held.select(*[F.col(f"`{c}`") for c in df.columns if c != name], found.alias(name))
+    others = [F.col(f"`{c}`") for c in df.columns if c != name]
+    return df.select(*others, found(_padded(F.col(text))).alias(name))
 
 
 def identify(df: DataFrame, key: str, text: str, profile: LanguageProfile) -> DataFrame:

@@ -1,5 +1,7 @@
 """Maintenance, ranking, gold and quality on small tables and random ones."""
 
+import math
+from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
@@ -8,8 +10,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gazette import schemas
-from gazette.operators import filters, gold, maintenance, quality, ranking
-from gazette.operators.language_model import BUCKETS, identify, train
+from gazette.operators import filters, gold, language_model, maintenance, quality, ranking
+from gazette.operators.language_model import BUCKETS, FACTORS, identify, train
 from gazette.plans import gold as gold_plan
 from gazette.plans.ingest import ingest
 
@@ -307,3 +309,38 @@ def test_language_model_knows_the_documents(spark):
     assert {r["language"] for r in identify(empty, "doc_id", "text", profile).collect()} == {
         "unknown"
     }
+
+
+def test_language_is_scored_by_arrays_as_by_its_definition(spark, monkeypatch):
+    odd = ["", None, "a", "  Ünï\tcode\u00a0 \U0001f600x ", "abcabcabc", "zzz" * 40, "漢字漢字漢"]
+    rows = [(i, text, ["x", "y", None][i % 3]) for i, text in enumerate(odd * 3)]
+    given = spark.createDataFrame(rows, "k int, text string, lang string").coalesce(1)
+
+    def grams(text):
+        points = [ord(c) for c in f" {' '.join((text or '').split()).lower()} "]
+        return [sum(p * f for p, f in zip(points[i:], FACTORS)) % BUCKETS for i in range(len(points) - 2)]
+
+    counts = {x: Counter(b for _, t, l in rows if l == x for b in grams(t)) for x in "xy"}
+    seen = set(counts["x"]) | set(counts["y"])
+    score = {
+        x: {b: round(math.log((c[b] + 1) / (c.total() + len(seen))) * 10**6) for b in seen}
+        for x, c in counts.items()
+    }
+    expected = {
+        k: max((sum(score[x].get(b, 0) for b in grams(t)), x) for x in "xy")[1]
+        if seen & set(grams(t)) else "unknown"
+        for k, t, _ in rows
+    }
+    profile = train(given, "text", "lang")
+    assert {r["bucket"]: (r["x"], r["y"]) for r in profile.scores.collect()} == {
+        b: (score["x"][b], score["y"][b]) for b in seen
+    }
+    found = identify(given, "k", "text", profile)
+    assert {r["k"]: r["language"] for r in found.collect()} == expected
+    # trigrams are not interpreted one by one
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "lambda" not in plan
+    monkeypatch.setattr(language_model, "SLICE", 5)
+    texts = [f" {' '.join((t or '').split()).lower()} " for t in odd]
+    arrays = language_model._arrays(profile)
+    assert language_model._best(texts, arrays, profile.languages) == [expected[i] for i in range(len(odd))]
