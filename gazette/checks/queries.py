@@ -886,7 +886,7 @@ def _lake_hours(spark, sf):
         (0, "batch", corpus.bronze_batch(spark, sf)),
         (1, "streaming", corpus.bronze_stream(spark, sf)),
     ):
-        rows.write.json(f"{root}/bronze/{kind}/date=2024-01-31/hour={hour:02d}")
+        rows.write.json(f"{root}/bronze/{kind}/date=2024-01-31/hour={hour:02d}", compression="gzip")
         jobs.lake_silver_hour(spark, root, AS_OF.replace(hour=hour))
     return root
 

@@ -1,4 +1,4 @@
-"""Joins against small dimensions; Spark broadcasts them by their size in bytes."""
+"""Joins against small dimensions, which are broadcast."""
 
 from __future__ import annotations
 
@@ -19,7 +19,8 @@ def with_country(articles: DataFrame, sources: list[tuple] = C.SOURCES) -> DataF
     dim = sources_dim(articles.sparkSession, sources).select(
         F.col("name").alias("_name"), F.col("country").alias("_country")
     )
-    joined = articles.join(dim, F.col("source") == F.col("_name"), "left")
+    # the driver has the list; as rows of unknown size they would have all articles shuffled
+    joined = articles.join(F.broadcast(dim), F.col("source") == F.col("_name"), "left")
     return joined.withColumn("source_country", F.coalesce("_country", F.lit(C.UNKNOWN))).drop(
         "_name", "_country"
     )

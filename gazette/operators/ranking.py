@@ -10,6 +10,8 @@ key. Those choices go through an intermediate round that many tasks share.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,8 +49,8 @@ def keep_first(df: DataFrame) -> DataFrame:
     return first_n(known, ["article_id"], [F.col("source_pos"), F.col("feed_pos")], 1)
 
 
-def keep_last(df: DataFrame, key: str = "url") -> DataFrame:
-    """Latest scrape of a URL.
+def keep_last(df: DataFrame, key: str = "url", within: Sequence[str] = ()) -> DataFrame:
+    """Latest scrape of a URL; rows that are dealt out by `within`, which follows from it, stay in place.
 
     A missing scrape time counts as latest and missing URLs are one URL. The
     same article usually arrives by batch and by stream with one scrape time:
@@ -62,7 +64,7 @@ def keep_last(df: DataFrame, key: str = "url") -> DataFrame:
             for c in ("article_id", "published_at", "title", "content")
         ],
     ]
-    return first_n(df, [key], order, 1)
+    return first_n(df, [*within, key], order, 1)
 
 
 def recent_per_source(df: DataFrame, n: int = C.RECENT_PER_SOURCE) -> DataFrame:

@@ -72,6 +72,8 @@ def language_profile(spark: SparkSession, root: str) -> LanguageProfile:
 
 #: Folders that lake silver is bucketed into by URL.
 LAKE_BUCKETS = 64
+#: Tasks that share the URLs of a bucket while silver of two hours is put together.
+LAKE_PARTS = 8
 
 
 def lake_silver_table(spark: SparkSession, root: str) -> DataFrame:
@@ -83,14 +85,31 @@ def _lake_bucket() -> Column:
     return bucket(F.coalesce("url", F.lit("")), LAKE_BUCKETS)
 
 
+def _new_silver(landed: DataFrame, profile: LanguageProfile | None) -> DataFrame:
+    """Silver rows by bucket; the raw rows travel, which are less than cleaned ones."""
+    latest = silver.latest_by_url(landed).withColumn("_bucket", _lake_bucket())
+    return silver.cleaned(latest.hint("rebalance", "_bucket"), profile)
+
+
+def _merged(held: DataFrame, fresh: DataFrame) -> DataFrame:
+    """The latest of silver rows by bucket, each of two frames with a URL once.
+
+    One exchange serves the choice and the write: a URL has two rows at most here.
+    """
+    part = F.pmod(F.xxhash64(F.coalesce("url", F.lit("")), F.lit(1)), F.lit(LAKE_PARTS))
+    both = held.unionByName(fresh).withColumns({"_bucket": _lake_bucket(), "_part": part})
+    by = ["_bucket", "_part"]
+    return silver.latest_by_url(both.repartition(*by), by).drop("_part")
+
+
 def _write_silver(rows: DataFrame, root: str, mode: str) -> dict:
     """Write buckets and count what the quality report needs on the way."""
     seen = Observation()
-    counted = quality.observed(rows, seen).withColumn("_bucket", _lake_bucket())
     (
-        counted.hint("rebalance", "_bucket")
+        quality.observed(rows, seen)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
+        .option("compression", "zstd")
         .partitionBy("_bucket")
         .parquet(f"{root}/silver/articles_silver")
     )
@@ -119,7 +138,7 @@ def lake_silver(
     """Bronze to silver: all JSON lines below bronze, in place of the table."""
     articles = bronze.require_rows(bronze.scan(spark, f"{root}/bronze"))
     _keep_counters(spark, root, None)
-    seen = _write_silver(silver.lake_silver(articles, profile), root, "static")
+    seen = _write_silver(_new_silver(articles, profile), root, "static")
     _keep_counters(spark, root, seen)
     return lake_silver_table(spark, root)
 
@@ -135,16 +154,16 @@ def lake_silver_hour(
     """
     hour = f"date={as_of:%Y-%m-%d}/hour={as_of:%H}"
     landed = bronze.require_rows(bronze.scan(spark, f"{root}/bronze/*/{hour}"))
-    fresh = silver.lake_silver(landed, profile)
     if not exists(spark, f"{root}/silver/articles_silver"):
         _keep_counters(spark, root, None)
-        _keep_counters(spark, root, _write_silver(fresh, root, "dynamic"))
+        _keep_counters(spark, root, _write_silver(_new_silver(landed, profile), root, "dynamic"))
         return lake_silver_table(spark, root)
     before = _lake_counters(spark, root)
     touched = [r[0] for r in landed.select(_lake_bucket().alias("b")).distinct().collect()]
     held = spark.read.parquet(f"{root}/silver/articles_silver").where(F.col("_bucket").isin(touched))
     taken = Observation()
-    merged = silver.latest_by_url(quality.observed(held.drop("_bucket"), taken).unionByName(fresh))
+    fresh = silver.lake_silver(landed, profile)
+    merged = _merged(quality.observed(held.drop("_bucket"), taken), fresh)
     _keep_counters(spark, root, None)
     seen = _write_silver(merged, root, "dynamic")
     gone = taken.get

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -48,7 +49,11 @@ def lake_silver(bronze: DataFrame, profile: LanguageProfile | None = None) -> Da
     The choice depends on raw columns only, so it comes first and only the
     rows that stay are cleaned and scored, each within its row.
     """
-    latest = latest_by_url(bronze)
+    return cleaned(latest_by_url(bronze), profile)
+
+
+def cleaned(latest: DataFrame, profile: LanguageProfile | None = None) -> DataFrame:
+    """Bronze rows as silver rows, each within its row."""
     dated = latest.withColumn("published_at", dates.parse_timestamp(F.col("published_at")))
     silver = with_lake_content(with_lake_defaults(dated))
     if profile is None:
@@ -61,10 +66,10 @@ def _url_key() -> Column:
     return F.struct(F.col("url").isNotNull().alias("has"), F.coalesce("url", F.lit("")).alias("url"))
 
 
-def latest_by_url(articles: DataFrame) -> DataFrame:
+def latest_by_url(articles: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     """The latest scrape of every URL; missing URLs are one."""
     keyed = articles.withColumn("_url", _url_key())
-    return keep_last(keyed, "_url").drop("_url")
+    return keep_last(keyed, "_url", within).drop("_url")
 
 
 def with_warehouse_text(articles: DataFrame) -> DataFrame:

@@ -494,6 +494,28 @@ def test_an_hour_of_silver_leaves_untouched_buckets_alone(spark):
     assert jobs.lake_silver_table(spark, root).count() == 53 and len(fourth - third) <= 3
 
 
+def test_silver_hours_are_put_together_by_one_exchange(spark):
+    """Wide rows travel once to be chosen and written, and the sources do not make them travel."""
+    root = run_dir(spark, "lake")
+    rows = articles(spark, 40).unionByName(articles(spark, 5, start=50, url=None))
+    bronze.write_hour(rows, f"{root}/bronze", AS_OF)
+    jobs.lake_silver_hour(spark, root, AS_OF)
+    held = jobs.lake_silver_table(spark, root).checkpoint()
+    later = articles(spark, 9, start=30, title="later", scraped_at="2024-01-31T03:00:00Z")
+    gone = articles(spark, 1, start=60, url=None, scraped_at=None)
+    fresh = silver_plan.lake_silver(bronze.stamp_batch(later.unionByName(gone), AS_OF)
+                               .withColumn("stream_received_at", F.lit(None).cast("string"))).checkpoint()
+    merged = jobs._merged(held, fresh)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Exchange rebalance" not in plan
+    whole = silver_plan.latest_by_url(held.unionByName(fresh))
+    key = lambda r: (r["article_id"], r["title"])
+    found = merged.drop("_bucket").collect()
+    assert sorted(found, key=key) == sorted(whole.collect(), key=key) and len(found) == 41
+    placed = lookups.with_country(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in placed and "BroadcastHashJoin" in placed
+
+
 def test_quality_is_read_from_counters(spark, monkeypatch):
     """No article text or silver row is read for the checks."""
     root = run_dir(spark, "warehouse")
