@@ -48,6 +48,49 @@ def unsqueeze(body: bytes, *types) -> list[np.ndarray]:
     return out
 
 
+def squeeze_places(*arrays: np.ndarray) -> bytes:
+    """As squeeze, with the bytes of numbers compressed place by place; booleans are bits.
+
+    Small numbers and differences of sorted ones then cost little more than the
+    places that vary; a place that is zero throughout costs nothing.
+    """
+    head, pieces, tool = [len(arrays)], [], zstandard.ZstdCompressor(level=1)
+    for a in arrays:
+        head.append(len(a))
+        rows = np.packbits(a) if a.dtype == bool else np.ascontiguousarray(a)
+        for place in rows.view(np.uint8).reshape(len(rows), rows.itemsize).T:
+            plain = place.tobytes() if place.any() else b""
+            small = tool.compress(plain) if plain else plain
+            pieces.append(min(plain, small, key=len))  # as it is, if it has its full length
+            head.append(len(pieces[-1]))
+    return b"".join([np.array(head, "<u4").tobytes(), *pieces])
+
+
+def unsqueeze_places(body: bytes, *types) -> list[np.ndarray]:
+    tool, out = zstandard.ZstdDecompressor(), []
+    places = [1 if kind is bool else np.dtype(kind).itemsize for kind in types]
+    head = np.frombuffer(body, "<u4", 1 + len(types) + sum(places)).tolist()
+    if head[0] != len(types):
+        raise ValueError(f"{head[0]} arrays, {len(types)} expected")
+    at, from_ = 4 * len(head), 1
+    for kind, width in zip(types, places, strict=True):
+        size = head[from_]
+        stored = -(-size // 8) if kind is bool else size
+        rows = np.zeros((stored, width), np.uint8)
+        for i, length in enumerate(head[from_ + 1 : from_ + 1 + width]):
+            piece = body[at : at + length]
+            if length:
+                whole = piece if length == stored else tool.decompress(piece)
+                rows[:, i] = np.frombuffer(whole, np.uint8)
+            at += length
+        from_ += 1 + width
+        if kind is bool:
+            out.append(np.unpackbits(rows.ravel(), count=size).astype(bool))
+        else:
+            out.append(rows.view(kind).ravel())
+    return out
+
+
 def string_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string column; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -190,6 +233,22 @@ def long_keys(data: np.ndarray) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
+def sorted_keys(keys: np.ndarray, n: int) -> list[np.ndarray]:
+    """Sorted hashes for each of n buckets, as differences of their high bits.
+
+    48 bits and those that tell the buckets apart are kept.
+    """
+    bits = min(64, 8 * KEY_BYTES + (n - 1).bit_length())
+    high = keys >> np.uint64(64 - bits)
+    return [np.diff(high[own], prepend=np.uint64(0)) for own in bucket_slices(keys, n)]
+
+
+def bucket_slices(keys: np.ndarray, n: int) -> list[slice]:
+    """Where each bucket's part of sorted hashes lies."""
+    ends = np.searchsorted(spread(keys, n), np.arange(n), side="right").tolist()
+    return [slice(a, b) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+
 def questions(chunk: int, keys: np.ndarray, n: int, *columns: np.ndarray) -> pa.Table:
     """One message to each bucket: sorted distinct keys and columns of equal length."""
     ends = np.searchsorted(spread(keys, n), np.arange(n), side="right")

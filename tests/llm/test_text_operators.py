@@ -14,7 +14,7 @@ from corpus import DOCUMENTS, documents, texts, with_odd_rows, words
 from pyspark.sql import functions as F
 
 from gazette.llm import (
-    decontamination, hashing, katz, pii, quality, queries, repeats, simhash, suffixes,
+    chunks, decontamination, hashing, katz, pii, quality, queries, repeats, simhash, suffixes,
 )
 
 SMALL = {"chunk_bytes": 4000}
@@ -224,6 +224,37 @@ def test_katz_query_is_brute_force_trigrams(spark):
         assert abs(got[i] - score) < 1e-6 * abs(score)
 
 
+def test_places_come_back():
+    rng = np.random.default_rng(5)
+    sorted_ = np.sort(rng.integers(0, 1 << 63, 3000).astype(np.uint64))
+    arrays = [
+        np.diff(sorted_, prepend=np.uint64(0)), rng.integers(0, 3, 9).astype(np.uint32), rng.random(700),
+        rng.random(2001) < 0.1, np.zeros(0, np.uint64), np.zeros(0, bool), np.zeros(500, np.int64),
+        np.array([1 << 40]), *[rng.integers(0, 9, n).astype(np.uint8) for n in range(9, 60)],
+    ]
+    back = chunks.unsqueeze_places(chunks.squeeze_places(*arrays), *[a.dtype.type if a.dtype != bool else bool for a in arrays])
+    assert all(a.dtype == b.dtype and np.array_equal(a, b) for a, b in zip(arrays, back, strict=True))
+
+
+def test_katz_asks_with_few_bytes():
+    # before: 6 bytes of each hash, and four of its count compressed across its zeros
+    text = np.frombuffer(" ".join(f"w{i}" for i in range(60_000)).encode(), np.uint8)
+    texts = chunks.Texts(np.array([1]), np.array([len(text)]), text, np.array([True]))
+    grams = katz.Grams(texts, 3)
+    sent = sum(len(b) for b in katz.ask_counts(0, grams, 20)["body"].to_pylist())
+    assert sent < 5.3 * sum(len(k) for k in grams.keys)
+
+
+def test_katz_shares_are_exchanged_where_several_chunks_need_them():
+    keys = np.array([1, 2, 3, 4, 5, 1, 3, 4, 5], np.uint64)  # of two chunks
+    counts = np.array([1, 1, 0, 2, 1, 1, 1, 0, 0], np.uint32)
+    held = np.array([0, 1, 1, 1, 0, 1, 0, 1, 0], bool)
+    _, owner, wanted, _ = katz.total_counts(keys, counts, held, katz.GOOD_TURING)
+    assert owner.tolist() == [True, True, False, True, True, False, True, False, False]
+    # 2 is used by its one holder, 5 by none
+    assert dict(zip(keys.tolist(), wanted.tolist(), strict=True)) == {1: True, 2: False, 3: True, 4: True, 5: False}
+
+
 def components(nodes, linked):
     parent = {n: n for n in nodes}
 
