@@ -236,14 +236,20 @@ def create_warehouse(
 ) -> None:
     """Start the warehouse, empty or with articles and audit rows.
 
-    More buckets make an upsert read less of a large table.
+    More buckets make an upsert read less of a large table. The articles are made
+    once; their URLs and counts are read from the stored table.
     """
-    rows = {}
+    rows, derive = {}, None
     if articles is not None:
-        rows = {"articles_detail": articles, "url_owner": _owned(articles), **_counts(None, articles, as_of)}
+        rows["articles_detail"] = articles
+
+        def derive(stored):
+            held = stored("articles_detail")
+            return {"url_owner": _owned(held), **_counts(None, held, as_of)}
+
     if audit is not None:
         rows["quarantine_audit"] = audit
-    warehouse_store(spark, root).create(as_of, rows, buckets)
+    warehouse_store(spark, root).create(as_of, rows, buckets, derive)
 
 
 def _counts(

@@ -121,22 +121,37 @@ class Store:
     # Writing
 
     def create(
-        self, as_of: datetime, rows: dict[str, DataFrame] | None = None, buckets: int = BUCKETS
+        self,
+        as_of: datetime,
+        rows: dict[str, DataFrame] | None = None,
+        buckets: int = BUCKETS,
+        derive: Callable[[Callable[[str], DataFrame]], dict[str, DataFrame]] | None = None,
     ) -> None:
-        """Start the store, with rows for some tables."""
+        """Start the store, with rows for some tables.
+
+        What follows from these rows is given by derive(stored), where stored(name) reads
+        a table of `rows` as it was written, so its rows are made once.
+        """
         if self.log.names():
             raise Conflict(f"{self.root} is a store already")
-        found = {
-            name: (rows or {}).get(name, self.spark.createDataFrame([], table.schema))
-            for name, table in self.tables.items()
-        }
+        found = dict(rows or {})
         folder = self._folder("base", 0)
 
         def write(name: str) -> None:
             df = found[name].select(*self.tables[name].schema.names)
             self._write_buckets(folder, name, df, buckets)
 
-        _together(write, found)
+        def stored(name: str) -> DataFrame:
+            schema = self.tables[name].schema
+            return self.spark.read.schema(schema).parquet(f"{folder}/{name}").select(*schema.names)
+
+        _together(write, list(found))
+        if derive:
+            found.update(derive(stored))
+        left = [name for name in self.tables if name not in (rows or {})]
+        for name in left:
+            found.setdefault(name, self.spark.createDataFrame([], self.tables[name].schema))
+        _together(write, left)
         parts = {name: [[folder, 0, None]] for name in found}
         if not self._base(0, as_of, buckets=buckets, parts=parts, columns=[], notes=[]):
             raise Conflict(f"{self.root} is a store already")
