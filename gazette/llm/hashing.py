@@ -21,6 +21,8 @@ BLOCK_BYTES = 1 << 20
 #: Modulus of the words' hashes, and two bases for independent ones.
 PRIME = (1 << 61) - 1
 WORD_BASE, SECOND_BASE = 0x1A2B3C4D5E6F7A8B % PRIME, 0x0F1E2D3C4B5A6978 % PRIME
+#: Words up to this length are hashed by tables of products.
+SHORT_WORD = 32
 #: Longer words are hashed one by one.
 LONG_WORD = 1 << 20
 
@@ -88,13 +90,46 @@ def prime_powers(n: int, base: int) -> np.ndarray:
     return known
 
 
+_products: dict[int, list[np.ndarray]] = {}
+
+
+def products(base: int) -> list[np.ndarray]:
+    """For each place of a short word, what each byte adds to its polynomial."""
+    if base not in _products:
+        symbols = np.arange(1, 257, dtype=np.uint64)
+        places = prime_powers(SHORT_WORD, base)[:SHORT_WORD].tolist()
+        _products[base] = [_times(symbols, power) for power in places]
+    return _products[base]
+
+
+def _short_hashes(
+    body: np.ndarray, starts: np.ndarray, sizes: np.ndarray, base: int
+) -> np.ndarray:
+    """Polynomials of short words: a byte of all words that are long enough at a time."""
+    order = np.argsort(sizes.astype(np.uint8), kind="stable")[::-1]
+    longer = len(sizes) - np.cumsum(np.bincount(sizes, minlength=SHORT_WORD))
+    at, total = starts[order], np.zeros(len(sizes), np.uint64)
+    for place, (added, n) in enumerate(zip(products(base), longer.tolist(), strict=False)):
+        if n == 0:
+            break
+        total[:n] += added[body[at[:n] + place]]
+        if place % 7 == 6:  # eight values below PRIME stay below 2^64
+            total[:n] = _reduced(total[:n])
+    out = np.empty_like(total)
+    out[order] = _reduced(total)
+    return out
+
+
 def word_hashes(
     body: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = WORD_BASE
 ) -> np.ndarray:
-    """Hashes of words (none empty) that follow each other in body."""
+    """Hashes of words (none empty), given by their borders in body."""
     sizes = ends - starts
     out = np.zeros(len(starts), np.uint64)
-    usual = np.flatnonzero(sizes <= LONG_WORD)
+    short = np.flatnonzero(sizes <= SHORT_WORD)
+    if len(short):
+        out[short] = _short_hashes(body, starts[short], sizes[short], base)
+    usual = np.flatnonzero((sizes > SHORT_WORD) & (sizes <= LONG_WORD))
     if len(usual):
         own = sizes[usual]
         first = np.cumsum(own) - own
@@ -138,6 +173,32 @@ class PrefixHash:
         return mix((self.sums[width:] - self.sums[:n]) * down[:n])
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The values once each, sorted; np.unique alone puts them into a hash table first."""
+    ranked = np.sort(values)
+    new = np.ones(len(ranked), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    return ranked[new]
+
+
+def among(values: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which of the finalised hashes are among sorted ones.
+
+    Most of the others have high bits that no key has; the rest are looked up in order.
+    """
+    out = np.zeros(len(values), bool)
+    if not len(keys):
+        return out
+    rest = np.uint64(64 - min(22, (16 * len(keys)).bit_length()))
+    seen = np.zeros(1 << int(64 - rest), bool)
+    seen[keys >> rest] = True
+    place = np.flatnonzero(seen[values >> rest])
+    place = place[np.argsort(values[place])]
+    found = np.searchsorted(keys, values[place])
+    out[place] = keys[np.minimum(found, len(keys) - 1)] == values[place]
+    return out
+
+
 def blocks(offsets: np.ndarray, size: int = BLOCK_BYTES):
     """Runs (first, last) of texts of about `size` bytes together; a longer text stands alone."""
     first, n = 0, len(offsets) - 1

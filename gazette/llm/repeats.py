@@ -16,20 +16,70 @@ from pyspark.sql import DataFrame
 
 from gazette.llm import chunks as C
 from gazette.llm.hashing import (
-    SECOND_BASE, WORD_BASE, PrefixHash, Words, blocks, covered, inside, runs,
+    SECOND_BASE, WORD_BASE, PrefixHash, Words, among, blocks, covered, distinct, inside,
+    word_hashes,
 )
 
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 REPEATS = "doc_id long, n_words long, removed array<struct<start:long,end:long>>, kept string"
 
 
-def window_hashes(texts: C.Texts, width: int, *bases: int):
-    """(first text, words, starts of the windows, their hashes by each base) of each block."""
+def windows(texts: C.Texts, width: int):
+    """(first text, words, starts of the windows) of each block."""
     for first, last in blocks(texts.offsets):
         words = Words(texts.body, texts.offsets[first : last + 1])
-        valid = inside(words.borders, width, len(words.starts))
-        starts = np.flatnonzero(valid)
-        found = [PrefixHash(words.hashes(b), b | 1).windows(width)[starts] for b in bases]
-        yield first, words, starts, *found
+        yield first, words, np.flatnonzero(inside(words.borders, width, len(words.starts)))
+
+
+def window_hashes(words: Words, starts: np.ndarray, width: int, base: int) -> np.ndarray:
+    return PrefixHash(words.hashes(base), base | 1).windows(width)[starts]
+
+
+def some_window_hashes(words: Words, starts: np.ndarray, width: int, base: int) -> np.ndarray:
+    """As window_hashes; words outside the windows are not hashed."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    used = covered(starts, width, len(words.starts))
+    hashes = np.zeros(len(used), np.uint64)
+    hashes[used] = word_hashes(words.body, words.starts[used], words.ends[used], base)
+    return PrefixHash(hashes, base | 1).windows(width)[starts]
+
+
+def joined(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.uint64), *parts])
+
+
+def spans_by_text(gone: np.ndarray, borders: np.ndarray) -> pa.Array:
+    """The maximal runs of words that are gone, by number within each text."""
+    opens = np.zeros(len(gone) + 1, bool)
+    opens[borders] = True
+    begins, ends = gone.copy(), gone.copy()
+    begins[1:] &= ~gone[:-1] | opens[1:-1]
+    ends[:-1] &= ~gone[1:] | opens[1:-1]
+    begin, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    base = borders[np.searchsorted(borders, begin, side="right") - 1]
+    places = [pa.array(begin - base, pa.int64()), pa.array(end - base, pa.int64())]
+    return pa.ListArray.from_arrays(
+        pa.array(np.searchsorted(begin, borders), pa.int32()),
+        pa.StructArray.from_arrays(places, ["start", "end"]),
+    )
+
+
+def kept_words(words: Words, gone: np.ndarray) -> pa.Array:
+    """The other words of each text, joined by one space."""
+    kept = np.flatnonzero(~gone)
+    ahead = np.searchsorted(kept, words.borders)
+    spaced = np.ones(len(kept), np.int64)
+    spaced[ahead[1:][ahead[1:] > ahead[:-1]] - 1] = 0  # nothing follows a text's last word
+    starts, ends = words.starts[kept], words.ends[kept] + spaced
+    steps = np.zeros(len(words.body) + 1, np.int8)
+    steps[starts] += 1
+    steps[ends] -= 1
+    body = words.body[np.cumsum(steps[:-1], dtype=np.int8).view(bool)]
+    places = np.concatenate(([0], np.cumsum(ends - starts)))
+    body[places[1:][spaced > 0] - 1] = ord(" ")
+    offsets = places[ahead].astype(np.int32)
+    return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(body))
 
 
 def _in_several(keys: np.ndarray, sender: np.ndarray) -> np.ndarray:
@@ -60,45 +110,43 @@ def repeated_windows(docs: DataFrame, width: int = 35, **options) -> DataFrame:
     dealt = C.Chunks(docs, **options)
     n = dealt.n
 
+    def first_hashes(texts):
+        return joined([window_hashes(w, s, width, WORD_BASE) for _, w, s in windows(texts, width)])
+
     def ask(chunk, texts):
-        found = [h for *_, h in window_hashes(texts, width, WORD_BASE)]
-        keys = np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
-        return C.questions(chunk, keys, n)
+        return C.questions(chunk, distinct(first_hashes(texts)), n)
 
     def ask_again(chunk, texts, replies):
-        found = [p[3:] for p in window_hashes(texts, width, WORD_BASE, SECOND_BASE)]
-        one, other = (np.concatenate([f[i] for f in found] or [np.zeros(0, np.uint64)]) for i in (0, 1))
-        _, place, counts = np.unique(one, return_inverse=True, return_counts=True)
-        seem = ((counts > 1) | C.answers(replies, bool))[place]
-        keys, counts = np.unique(other[seem], return_counts=True)
+        hashes = first_hashes(texts)
+        keys, counts = np.unique(hashes, return_counts=True)
+        seem = among(hashes, keys[(counts > 1) | C.answers(replies, bool)])
+        other, at = [], 0
+        for _, words, starts in windows(texts, width):
+            own = starts[seem[at : at + len(starts)]]
+            other.append(some_window_hashes(words, own, width, SECOND_BASE))
+            at += len(starts)
+        keys, counts = np.unique(joined(other), return_counts=True)
         return C.questions(chunk, keys, n, keys, counts > 1)
 
     def remove(chunk, texts, replies):
-        again = np.unique(C.answers(replies, np.uint64))
+        again = distinct(C.answers(replies, np.uint64))
         again = again[again > 0]
-        total, removed, kept = [], [], []
-        for first, words, starts, own in window_hashes(texts, width, SECOND_BASE):
-            gone = covered(starts[np.isin(own, again)], width, len(words.starts))
-            body = words.body.tobytes()
-            borders = texts.offsets[first : first + len(words.borders)] - texts.offsets[first]
-            for i, (a, b) in enumerate(zip(words.borders, words.borders[1:], strict=False)):
-                total.append(b - a)
-                all_words = body[borders[i] : borders[i + 1]].split()
-                begin, end = runs(gone[a:b])
-                removed.append([{"start": s, "end": e} for s, e in zip(begin, end, strict=True)])
-                for s, e in zip(begin[::-1], end[::-1], strict=True):
-                    del all_words[s:e]
-                kept.append(b" ".join(all_words).decode())
-        return table(texts.ids, total, removed, kept)
-
-    def table(ids, total, removed, kept):
-        span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+        parts = [table(texts.ids[:0], [], pa.array([], SPANS), pa.array([], pa.string()))]
+        for first, words, starts in windows(texts, width):
+            own = window_hashes(words, starts, width, SECOND_BASE)
+            gone = covered(starts[among(own, again)], width, len(words.starts))
+            counts = np.diff(words.borders)
+            ids = texts.ids[first : first + len(counts)]
+            parts.append(table(ids, counts, spans_by_text(gone, words.borders), kept_words(words, gone)))
+        return pa.concat_tables(parts)
+
+    def table(ids, counts, removed, kept):
         return pa.table(
             {
                 "doc_id": C.as_ids(ids),
-                "n_words": pa.array(total, pa.int64()),
-                "removed": pa.array(removed, span),
-                "kept": pa.array(kept, pa.string()),
+                "n_words": pa.array(counts, pa.int64()),
+                "removed": removed,
+                "kept": kept,
             }
         )
 

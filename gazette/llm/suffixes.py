@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gazette.llm import chunks as C
-from gazette.llm.hashing import BASE, PrefixHash, blocks, covered, mix, runs
+from gazette.llm.hashing import BASE, PrefixHash, blocks, covered, distinct, mix, runs
 
 REMOVED = "doc_id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary"
 #: Cells of one anchor that one task sorts; more are dealt by the hash of their windows.
@@ -313,7 +313,7 @@ def remove_repeats(docs: DataFrame, width: int = 50, **options) -> DataFrame:
     def edges(texts, cells: Cells, replies: pa.Table):
         """The cells of anchors with differing cells elsewhere, one of each kind, as sent."""
         which = shared(cells, replies)
-        asked = np.unique(cells.key[which])
+        asked = distinct(cells.key[which])
         found = C.answers(steps(replies, 2), np.uint32)
         number = np.searchsorted(asked, cells.key[which])
         differing = np.zeros(len(cells.key), np.uint32)
@@ -321,7 +321,7 @@ def remove_repeats(docs: DataFrame, width: int = 50, **options) -> DataFrame:
         which = np.flatnonzero(differing)
         kind = _firsts(which, cells.key[which], cells.wholes(texts, which))
         # the first cell of each kind stands for the others
-        sent = np.unique(kind[0])
+        sent = distinct(kind[0])
         parts = np.maximum(1, -(-differing[sent].astype(np.int64) // SORTED_TOGETHER))
         masks = cells.masks(sent)
         split = np.flatnonzero(parts > 1)

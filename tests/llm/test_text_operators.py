@@ -85,6 +85,93 @@ def test_word_hashes_are_polynomials_modulo_a_prime(monkeypatch):
         assert len(set(got.tolist())) == len(set(words))  # long words too
 
 
+def test_short_words_have_the_same_polynomials():
+    rng = np.random.default_rng(4)
+    sizes = [*range(1, 42), 32, 33, 1, 8, 32, 33]
+    words = [rng.integers(33, 256, n).astype(np.uint8).tobytes() for n in sizes[:41]]
+    words += [b"\xff" * n for n in sizes[41:]]  # the greatest sums
+    body = np.frombuffer(b" ".join(words), np.uint8)
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    starts = ends - np.array(sizes)
+    for base in (hashing.WORD_BASE, hashing.SECOND_BASE, hashing.PRIME - 2):
+        plain = [sum((c + 1) * pow(base, i, hashing.PRIME) for i, c in enumerate(w)) % hashing.PRIME for w in words]
+        want = hashing.mix(np.array(plain, np.uint64)).tolist()
+        assert hashing.word_hashes(body, starts, ends, base).tolist() == want
+        some = np.array([40, 3, 44, 31])  # any words, in any order
+        assert hashing.word_hashes(body, starts[some], ends[some], base).tolist() == [want[i] for i in some]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 1000, 70_000])
+def test_distinct_and_among(n):
+    rng = np.random.default_rng(n)
+    values = hashing.mix(rng.integers(0, 1 + n // 2, n).astype(np.uint64))
+    values[:2] = [0, (1 << 64) - 1][: len(values)]
+    keys = hashing.distinct(values)
+    assert keys.tolist() == sorted(set(values.tolist()))
+    for some in (keys, keys[::3], keys[:1], keys[:0], keys ^ np.uint64(1)):
+        some = np.sort(some)
+        known = set(some.tolist())
+        assert hashing.among(values, some).tolist() == [v in known for v in values.tolist()]
+
+
+def test_removed_words_of_texts_that_touch():
+    rng = random.Random(6)
+    rows = ["a", "", "b c", " ", "d  e\tf ", "\n\u00e9 \u00df", "g", *(" ".join("x" * rng.randint(1, 3) for _ in range(9)) for _ in range(40))]
+    data = [t.encode() for t in rows]
+    own = hashing.Words(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+    for share in (0, 0.5, 0.9, 1):
+        gone = np.array([rng.random() < share for _ in own.starts])
+        want, removed = [], []
+        for t, a, b in zip(data, own.borders, own.borders[1:], strict=False):
+            want.append(b" ".join(w for w, g in zip(t.split(), gone[a:b], strict=True) if not g).decode())
+            removed.append([{"start": s, "end": e} for s, e in spans(gone[a:b])])
+        assert repeats.kept_words(own, gone).to_pylist() == want
+        assert repeats.spans_by_text(gone, own.borders).to_pylist() == removed
+
+
+def test_steps_of_repeats_sort_hashes_and_hash_few_words_twice(monkeypatch):
+    """np.unique alone fills a hash table, by far the dearest step of a chunk."""
+    acts = []
+
+    class Recorder:
+        n = 4
+        each = each_with = lambda self, *args: acts.append(args[-2])
+
+    monkeypatch.setattr(chunks, "Chunks", lambda docs, **options: Recorder())
+    monkeypatch.setattr(chunks, "answer", lambda *args: None)
+    repeats.repeated_windows(None, 5)
+    plain, hashed = np.unique, Counter()
+
+    def unique(values, **wanted):
+        assert wanted, "a hash table of all windows"
+        return plain(values, **wanted)
+
+    def word_hashes(body, starts, ends, base):
+        hashed[base] += len(starts)
+        return hash_words(body, starts, ends, base)
+
+    hash_words = hashing.word_hashes
+    monkeypatch.setattr(np, "unique", unique)
+    for module in (hashing, repeats):
+        monkeypatch.setattr(module, "word_hashes", word_hashes, raising=False)
+    data = [b"one two three four five six"] * 2 + [b" ".join(b"w%d" % i for i in range(500))]
+    sizes = np.array([len(t) for t in data])
+    texts = chunks.Texts(np.arange(3), sizes, np.frombuffer(b"".join(data), np.uint8), np.zeros(3, bool))
+    ask, ask_again, remove = acts
+
+    def reply(asked, rule, *kinds):
+        parts = [chunks.unsqueeze(b, np.uint8, *kinds) for b in asked["body"].to_pylist()]
+        bodies = [chunks.squeeze(rule(chunks.long_keys(k), None, *c)) for k, *c in parts]
+        return asked.select(["bucket", "chunk"]).append_column("body", [bodies])
+
+    asked = ask(0, texts)
+    replies = reply(asked, lambda keys, sender: np.zeros(len(keys), bool))
+    asked = ask_again(0, texts, replies)
+    assert hashed == {hashing.WORD_BASE: 1024, hashing.SECOND_BASE: 12}
+    got = remove(0, texts, reply(asked, repeats._confirmed, np.uint64, bool)).to_pydict()
+    assert got["kept"] == ["", "", data[2].decode()]
+
+
 def test_only_confirmed_windows_repeat():
     whole = np.array([5, 6, 7, 5, 8, 9], np.uint64)
     keys, sender = whole & np.uint64(1), np.array([0, 0, 0, 1, 1, 1])  # the first hash sees two windows
