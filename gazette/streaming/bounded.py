@@ -6,12 +6,19 @@ when it received its messages, writes them to a folder that follows from both,
 and then notes how far it came. A run that failed in between is done again with
 the same number and time, and so replaces what it had written. Runs that follow
 each other can be done by one job; then they are noted and done again together.
+
+Files are read by line and in splits, so a task holds one message at a time however
+large a file is. What is counted before tells where in its file a split begins.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import UTC, datetime
+from typing import NamedTuple
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +31,16 @@ from gazette.streaming.ingest import aside, decode
 
 #: Records whose file names are put together in one.
 FOLDED = 50
+_LEAST_SPLITS = "spark.sql.files.minPartitionNum"
+
+
+class Split(NamedTuple):
+    """A split of a file: the file's last name, where it starts, the number of its first line, its lines."""
+
+    tail: str
+    start: int
+    first: int
+    n: int
 
 
 def _files(spark: SparkSession, path: str) -> list[tuple[int, str]]:
@@ -50,17 +67,61 @@ def _position(log: CommitLog) -> tuple[int, set[str], dict[str, int], dict[str,
     return since + runs + 1, done, partial, known, later
 
 
-def _lines(spark: SparkSession, names: list[str], columns: dict[str, dict[str, int]]) -> DataFrame:
-    """name, line and value of the messages of files, with a number given for each file in every column."""
-    whole = spark.read.text(names, wholetext=True).select(
-        F.element_at(F.split("_metadata.file_path", "/"), -1).alias("_tail"),
-        F.regexp_replace("value", r"\r?\n\z", "").alias("value"),
+def _lines(spark: SparkSession, names: list[str]) -> DataFrame:
+    """The messages of files: value, file and split, and a number that counts up within the split."""
+    return spark.read.text(names, lineSep="\n").select(
+        F.element_at(F.split("_metadata.file_path", "/"), -1).alias("tail"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("id"),
+        F.regexp_replace("value", r"\r\z", "").alias("value"),
+    )
+
+
+def _splits(lines: DataFrame, names: list[str]) -> dict[str, list[Split]]:
+    """The splits of each of the files that have lines, in order."""
+    found = lines.groupBy("tail", "start").agg(F.min("id"), F.count("*")).collect()
+    named = {name.rsplit("/", 1)[1]: name for name in names}
+    splits: dict[str, list[Split]] = {name: [] for name in names}
+    for split in sorted(Split(*row) for row in found):
+        splits[named[unquote(split.tail)]].append(split)
+    return splits
+
+
+def _placed(lines: DataFrame, splits: dict[str, list[Split]], before: dict[str, int], skipped: dict[str, int]) -> DataFrame:
+    """value and place of the messages; the first line of a file has the place before[name], skipped ones have none.
+
+    Fails where a line is not in the split that was counted, as its place would be another's.
+    """
+    rows = []
+    for name, found in splits.items():
+        lines_before = 0
+        for split in found:
+            skip = min(max(skipped[name] - lines_before, 0), split.n)
+            rows.append((*split, skip, before[name] + lines_before))
+            lines_before += split.n
+    schema = "tail string, start long, first long, n long, skip long, place long"
+    given = F.broadcast(lines.sparkSession.createDataFrame(rows, schema))
+    line = F.col("id") - F.col("first")
+    place = (
+        F.when(line.between(F.col("skip"), F.col("n") - 1), F.col("place") + line)
+        .when(line.between(0, F.col("skip") - 1), F.lit(None))
+        .otherwise(F.raise_error(F.concat(F.lit("split anew since it was counted: "), "tail")))
     )
-    lines = whole.select("_tail", F.posexplode(F.split("value", r"\r?\n")).alias("line", "value"))
-    schema = ", ".join(["name string", *(f"{c} long" for c in columns)])
-    given = spark.createDataFrame([(n, *(numbers[n] for numbers in columns.values())) for n in names], schema)
-    keyed = given.withColumn("_tail", F.element_at(F.split("name", "/"), -1))
-    return lines.join(F.broadcast(keyed), "_tail").drop("_tail")
+    return lines.join(given, ["tail", "start"], "left").select("value", place.alias("place"))
+
+
+@contextmanager
+def _same_splits(spark: SparkSession) -> Iterator[None]:
+    """Files are split in one way within, whatever executors come or go."""
+    before = spark.conf.get(_LEAST_SPLITS, None)
+    spark.conf.set(_LEAST_SPLITS, before or str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_LEAST_SPLITS)
+        else:
+            spark.conf.set(_LEAST_SPLITS, before)
 
 
 def drain(
@@ -82,6 +143,13 @@ def drain(
     folder with up to max_messages, as if it had been called alone, but the messages
     are read and the position is noted once for all of them.
     """
+    with _same_splits(spark):
+        return _drain(spark, path, root, max_messages, received_at, runs)
+
+
+def _drain(
+    spark: SparkSession, path: str, root: str, max_messages: int, received_at: datetime | None, runs: int | None
+) -> int:
     log = CommitLog(spark, f"{root}/consumed")
     number, done, partial, known, later = _position(log)
     begun = f"{number:012d}-begun"
@@ -93,8 +161,9 @@ def drain(
         return 0
     ends = {n: known[n] for n in pending if n in known}
     if new := [n for n in pending if n not in ends]:
-        counted = _lines(spark, new, {}).groupBy("name").agg(F.count("*").alias("n"))
-        ends.update({n: 0 for n in new} | {r["name"]: r["n"] for r in counted.collect()})
+        lines = _lines(spark, new)
+        splits = _splits(lines, new)
+        ends.update({name: sum(x.n for x in found) for name, found in splits.items()})
     # how many messages wait before a file's first line, if its lines were all waiting
     waiting, before = 0, {}
     for name in pending:
@@ -112,12 +181,12 @@ def drain(
         folders = (f"streaming/date={when:%Y-%m-%d}/hour={when:%H}", "set_aside")
         _drop(spark, [f"{root}/{f}/run={number + i:012d}" for f in folders for i in range(runs)])
     if used:
-        skipped = {n: partial.get(n, 0) for n in used}
-        lines = _lines(spark, used, {"skipped": skipped, "before": before})
-        place = F.col("before") + F.col("line")
-        run = F.lpad((F.lit(number) + F.floor(place / max_messages)).cast("string"), 12, "0")
-        taken = lines.where((F.col("line") >= F.col("skipped")) & (place < count))
-        messages = taken.select("value", run.alias("run"))
+        if used != new:
+            lines = _lines(spark, used)
+            splits = _splits(lines, used)
+        placed = _placed(lines, splits, before, {n: partial.get(n, 0) for n in used})
+        run = F.lpad((F.lit(number) + F.floor(F.col("place") / max_messages)).cast("string"), 12, "0")
+        messages = placed.where(F.col("place") < count).select("value", run.alias("run"))
         _replace(decode(messages, moment(when), ["run"]).withColumns(hour), f"{root}/streaming", "date", "hour", "run")
         _replace(aside(messages, ["run"]), f"{root}/set_aside", "run")
     read = {n: min(ends[n], count - before[n]) for n in used}

@@ -1,7 +1,11 @@
 """Sinks, versions, streaming and the registered queries as a whole."""
 
+import json
+import os
+from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -631,6 +635,58 @@ def test_bounded_runs_that_follow_each_other_are_one_job(spark, monkeypatch):
     assert bounded.drain(spark, inbox, root, 4, AS_OF, runs=None) == 0
 
 
+def test_bounded_runs_read_large_files_in_splits(spark):
+    inbox, root = run_dir(spark, "in"), run_dir(spark, "out")
+    folder = Path(inbox.removeprefix("file:"))
+    folder.mkdir(parents=True)
+    texts = [json.dumps({"article_id": f"id{i}", "title": "é" * (i % 7 * 40)}, ensure_ascii=False) for i in range(600)]
+    texts[10], texts[333] = "", '{"article_id": "in\rside"'
+    given = {"b.txt": "\r\n".join(texts[:400]) + "\r\n", "a 1%.txt": "\n".join(texts[400:]), "c.txt": "\n\n"}
+    for name, written in given.items():
+        (folder / name).write_text(written, encoding="utf-8", newline="")
+        os.utime(folder / name, (1000 + ord(name[0]), 1000 + ord(name[0])))
+    expected = [*texts[400:], *texts[:400], "", ""]
+    conf = {"spark.sql.files.maxPartitionBytes": "2k", "spark.sql.files.openCostInBytes": "1"}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    spark.sparkContext.setJobGroup("splits", "splits")
+    try:
+        counts = [bounded.drain(spark, inbox, root, 30, AS_OF, runs) for runs in (1, 7, 2, None, None)]
+        status = spark.sparkContext.statusTracker()
+        stages = [s for j in status.getJobIdsForGroup("splits") for s in status.getJobInfo(j).stageIds]
+        tasks = max(x.numTasks for s in stages if (x := status.getStageInfo(s)))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for key in conf:
+            spark.conf.unset(key)
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+    assert counts == [30, 210, 60, len(expected) - 300, 0]
+    taken = spark.read.json(f"{root}/streaming").select("run", "article_id").collect()
+    aside = spark.read.json(f"{root}/set_aside").select("run", "record").collect()
+    whole = [json.loads(x)["article_id"] if x.endswith("}") else x for x in expected]
+    assert Counter((int(run), x) for run, x in [*taken, *aside]) == Counter((i // 30 + 1, x) for i, x in enumerate(whole))
+    # no task has a whole file
+    assert tasks > 20
+
+
+def test_a_bounded_run_fails_if_files_are_split_anew(spark, monkeypatch):
+    inbox, root = run_dir(spark, "in"), run_dir(spark, "out")
+    messages.publish_files(articles(spark, 25).repartition(3), inbox)
+    counted = bounded._splits
+
+    def other(lines, names):
+        return {n: [x._replace(first=x.first - 1) for x in found] for n, found in counted(lines, names).items()}
+
+    with monkeypatch.context() as patch:
+        patch.setattr(bounded, "_splits", other)
+        with pytest.raises(Exception, match="split anew"):
+            bounded.drain(spark, inbox, root, 10, AS_OF, runs=2)
+    assert bounded.drain(spark, inbox, root, 10, AS_OF + timedelta(hours=5)) == 20
+    assert bounded.drain(spark, inbox, root, 10, AS_OF) == 5
+    ids = [r["article_id"] for r in bronze.scan(spark, f"{root}/streaming").collect()]
+    assert sorted(ids) == sorted(f"id{i}" for i in range(25))
+
+
 def test_statements_bind_their_values(spark):
     name = "L'Officiel; DROP TABLE x --\" OR 1=1"
     counts = spark.createDataFrame([(name, 3), ("s", 4), (None, 9)], "source string, articles_count long")
